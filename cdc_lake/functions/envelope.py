@@ -54,13 +54,20 @@ def build_value(row_cols: list[str], op: str = "op", ts_ms: str = "ts_ms") -> Co
 def parse_messages(messages: DataFrame, row_schema: T.StructType, with_before: bool = True,
                    keep: tuple[str, ...] = ("topic", "partition", "offset")) -> DataFrame:
     """Decode ``value`` and expand the payload; malformed text, tombstones and
-    messages without ``payload`` all give a null ``op``."""
+    messages without ``payload`` all give a null ``op``.
+
+    The parsed row is produced by a one-element ``inline(array(...))``: filters
+    on the parsed fields then stay above the generator instead of being pushed
+    below it, where Catalyst would inline ``from_json`` into the filter
+    condition once per field reference and parse every message several times.
+    """
     text = F.col("value").cast("string")
     msg = F.from_json(text, envelope_schema(row_schema, with_before))
-    cols = [F.col(k) for k in keep if k in messages.columns]
-    out = messages.select(*cols, F.col("value").isNull().alias("_null_value"), text.alias("_text"),
-                          msg.alias("_m"))
-    sel = [F.col(k) for k in keep if k in messages.columns]
+    kept = [k for k in keep if k in messages.columns]
+    row = F.struct(*[F.col(k) for k in kept], F.col("value").isNull().alias("_null_value"),
+                   text.alias("_text"), msg.alias("_m"))
+    out = messages.select(F.inline(F.array(row)))
+    sel = [F.col(k) for k in kept]
     if with_before:
         sel.append(F.col("_m.payload.before").alias("before"))
     sel += [F.col("_m.payload.after").alias("after"), F.col("_m.payload.op").alias("op"),

@@ -18,19 +18,31 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def epoch_ms_of(ts) -> Column:
-    """Epoch milliseconds of a ``TIMESTAMP_NTZ`` value."""
-    return F.timestamp_diff("MILLISECOND", F.expr(_EPOCH), _c(ts))
+def epoch_us_of(ts) -> Column:
+    """Epoch microseconds of a ``TIMESTAMP_NTZ`` value.
+
+    Built from the calendar fields (day number, hour, minute, fractional
+    second), which Spark reads from an NTZ value without any zone.
+    ``timestamp_diff`` would cast to a zoned timestamp and shift by the DST
+    offset in non-UTC sessions.
+    """
+    t = _c(ts)
+    days = F.datediff(t.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    return (days * F.lit(86_400_000_000)
+            + F.hour(t).cast("long") * F.lit(3_600_000_000)
+            + F.minute(t).cast("long") * F.lit(60_000_000)
+            + (F.extract(F.lit("SECOND"), t) * F.lit(1_000_000)).cast("long"))
 
 
-def epoch_us_of(ts) -> Column:
-    """Epoch microseconds of a ``TIMESTAMP_NTZ`` value."""
-    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), _c(ts))
+def epoch_ms_of(ts) -> Column:
+    """Epoch milliseconds (floored) of a ``TIMESTAMP_NTZ`` value."""
+    return floor_div(epoch_us_of(ts), 1000)
 
 
 def floor_div(x, d: int) -> Column:
-    """Exact floor division of a long by a positive constant (no double on the way)."""
-    return F.floor(_c(x).cast("decimal(20,0)") / F.lit(d).cast("decimal(20,0)")).cast("long")
+    """Exact floor division of a long by a positive constant, in integer arithmetic."""
+    v = _c(x).cast("long")
+    return F.call_function("div", v - F.pmod(v, F.lit(d).cast("long")), F.lit(d).cast("long"))
 
 
 def micros_to_ts(us) -> Column:

@@ -21,20 +21,29 @@ from cdc_lake.operators.sequence import keyed_next, keyed_prev
 
 
 def contract_report(df: DataFrame, c: Contract) -> DataFrame:
-    """``(table_name, rule, violations)`` for every NOT NULL and CHECK rule and the PK."""
+    """``(table_name, rule, violations)`` for every NOT NULL and CHECK rule and the PK.
+
+    One scan per table: rows are grouped by the primary key (a shuffle the
+    uniqueness check needs anyway) while counting rule failures per key; a
+    second, tiny aggregate sums the per-key counts and counts keys seen twice.
+    """
     rules: list[tuple[str, Column]] = []
     for col in c.not_null:
-        rules.append((f"not_null:{col}", F.count_if(F.col(col).isNull())))
+        rules.append((f"not_null:{col}", F.col(col).isNull()))
     for name, expr in c.checks.items():
-        rules.append((f"check:{name}", F.count_if(~F.expr(expr))))
-    per_row = df.agg(*[F.coalesce(agg, F.lit(0)).cast("long").alias(f"r{i}") for i, (_, agg) in enumerate(rules)])
-    stacked = per_row.select(F.explode(F.array(*[
-        F.struct(F.lit(name).alias("rule"), F.col(f"r{i}").alias("violations"))
-        for i, (name, _) in enumerate(rules)])).alias("x")).select("x.*")
-    dup = (pk_duplicates(df, list(c.pk))
-           .agg(F.count(F.lit(1)).cast("long").alias("violations"))
-           .select(F.lit("pk_unique").alias("rule"), "violations"))
-    return stacked.unionByName(dup).select(F.lit(c.table).alias("table_name"), "rule", "violations")
+        rules.append((f"check:{name}", ~F.expr(expr)))
+    per_key = df.groupBy(*c.pk).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(cond).alias(f"r{i}") for i, (_, cond) in enumerate(rules)])
+    totals = per_key.agg(
+        *[F.coalesce(F.sum(f"r{i}"), F.lit(0)).cast("long").alias(f"r{i}") for i in range(len(rules))],
+        F.count_if(F.col("_n") > 1).cast("long").alias("pk"))
+    names = [*[name for name, _ in rules], "pk_unique"]
+    cols = [*[f"r{i}" for i in range(len(rules))], "pk"]
+    stacked = totals.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("rule"), F.col(col).alias("violations")) for n, col in zip(names, cols)
+    ])).alias("x")).select("x.*")
+    return stacked.select(F.lit(c.table).alias("table_name"), "rule", "violations")
 
 
 def pk_duplicates(df: DataFrame, pk: list[str]) -> DataFrame:

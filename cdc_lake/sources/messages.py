@@ -19,14 +19,14 @@ from pyspark.sql import functions as F
 from cdc_lake.functions.envelope import build_value
 from cdc_lake.functions.timecols import epoch_ms_of
 from cdc_lake.sources import feeds
-from cdc_lake.sources.tables import Tables
+from cdc_lake.sources.tables import Tables, spread
 
 USERS_TOPIC = "users"
 ORDER_STATUS_TOPIC = "order_status"
 
 
 def user_messages(t: Tables) -> DataFrame:
-    c = feeds.chg_users(t).withColumn("ts_ms", epoch_ms_of("ts"))
+    c = spread(feeds.chg_users(t)).withColumn("ts_ms", epoch_ms_of("ts"))
     seq = F.col("seq")
     env = c.select(
         F.lit(USERS_TOPIC).alias("topic"), F.lit(0).alias("partition"), (seq * 2).alias("offset"),
@@ -46,7 +46,7 @@ def user_messages(t: Tables) -> DataFrame:
 
 
 def order_status_messages(t: Tables) -> DataFrame:
-    c = feeds.chg_order_status(t).withColumn("ts_ms", epoch_ms_of("ts"))
+    c = spread(feeds.chg_order_status(t)).withColumn("ts_ms", epoch_ms_of("ts"))
     return c.select(
         F.lit(ORDER_STATUS_TOPIC).alias("topic"), F.lit(0).alias("partition"),
         (F.col("o_orderkey") * 4 + F.col("seq")).alias("offset"),
