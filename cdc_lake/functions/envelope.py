@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cdc_lake.functions.timecols import ns_to_ts
+
 # Change operation codes.
 OP_CREATE, OP_UPDATE, OP_DELETE, OP_READ = "c", "u", "d", "r"
 OPS = (OP_CREATE, OP_UPDATE, OP_DELETE, OP_READ)
@@ -96,15 +98,25 @@ def dead_letter_reason(pk: str, legacy_null_key: bool = False) -> Column:
 
 
 def to_change_log(parsed: DataFrame, pk: str, row_cols: list[str], seq: str = "offset",
-                  legacy_null_key: bool = False) -> DataFrame:
-    """Valid messages as change-log rows: key, seq, ts_ms, op, after-image columns."""
+                  legacy_null_key: bool = False, ns_timestamps: tuple[str, ...] = ()) -> DataFrame:
+    """Valid messages as change-log rows: key, seq, ts_ms, op, after-image columns.
+
+    Columns named in ``ns_timestamps`` (DATETIME2 sent as epoch nanoseconds)
+    become ``TIMESTAMP_NTZ`` exactly, in the current-state path as well as in
+    the history path.
+    """
     valid = parsed.where(dead_letter_reason(pk, legacy_null_key).isNull())
+
+    def image(c: str) -> Column:
+        v = F.col(f"after.{c}")
+        return (ns_to_ts(v) if c in ns_timestamps else v).alias(c)
+
     return valid.select(
         change_key(pk, legacy_null_key).alias(pk),
         F.col(seq).alias("seq"),
         "ts_ms",
         "op",
-        *[F.col(f"after.{c}").alias(c) for c in row_cols if c != pk],
+        *[image(c) for c in row_cols if c != pk],
     )
 
 

@@ -158,6 +158,20 @@ def verified_reviews(reviews: DataFrame, purchases: DataFrame, verified: bool =
     return reviews.join(p, cond, "left_semi" if verified else "left_anti")
 
 
+def address_violations(addresses: DataFrame, customer: str = "customer_id", address: str = "address_id",
+                       billing: str = "is_billing", shipping: str = "is_shipping") -> DataFrame:
+    """Addresses: exactly one of billing/shipping each; at most one billing
+    address per customer.  ``(customer, address, rule)``; the per-customer
+    rule reports the customer with a null address id."""
+    b, s = F.coalesce(F.col(billing), F.lit(False)), F.coalesce(F.col(shipping), F.lit(False))
+    per_address = addresses.where(b == s).select(
+        customer, address, F.when(b, F.lit("both_flags")).otherwise(F.lit("no_flag")).alias("rule"))
+    per_customer = (addresses.groupBy(customer).agg(F.count_if(b).alias("_nb")).where(F.col("_nb") > 1)
+                    .select(customer, F.lit(None).cast(addresses.schema[address].dataType).alias(address),
+                            F.lit("several_billing").alias("rule")))
+    return per_address.unionByName(per_customer)
+
+
 def low_stock(stock: DataFrame) -> DataFrame:
     """Products at or below their reorder threshold."""
     return stock.where(F.col("qty_in_stock") <= F.col("reorder_threshold")).select(
