@@ -8,9 +8,11 @@ summary, not the sales rows, so the sales are shuffled exactly once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cdc_lake.operators.sequence import keyed_running_sum
+
 # Movement order inside a product: ship date, then the unique line identity.
 LEDGER_ORDER = (("l_shipdate", "asc"), ("l_orderkey", "asc"), ("l_linenumber", "asc"),
                 ("l_extendedprice", "desc"), ("l_suppkey", "desc"))
@@ -23,21 +25,8 @@ def _ledger_order():
 def stock_ledger(sales: DataFrame, stock: DataFrame, bucket: Column | None = None) -> DataFrame:
     """One row per sold item: quantity, stock sold so far, balance after the sale."""
     key = "p_partkey"
-    frame = (Window.unboundedPreceding, Window.currentRow)
     opening = stock.select(key, "qty_in_stock")
-    if bucket is None:
-        w = Window.partitionBy(key).orderBy(*_ledger_order()).rowsBetween(*frame)
-        x = sales.withColumn("sold_to_date", F.sum("qty").over(w)).join(opening, key, "left")
-    else:
-        b = "_bucket"
-        s = sales.withColumn(b, bucket)
-        w = Window.partitionBy(key, b).orderBy(*_ledger_order()).rowsBetween(*frame)
-        s = s.withColumn("_inner", F.sum("qty").over(w))
-        totals = sales.withColumn(b, bucket).groupBy(key, b).agg(F.sum("qty").alias("_tot"))
-        wb = Window.partitionBy(key).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-        totals = (totals.select(key, b, F.coalesce(F.sum("_tot").over(wb), F.lit(0)).alias("_before"))
-                  .join(opening, key, "left"))
-        x = s.join(totals, [key, b], "left").withColumn("sold_to_date", F.col("_before") + F.col("_inner"))
+    x = keyed_running_sum(sales, [key], _ledger_order(), "qty", "sold_to_date", bucket, carry=opening)
     bal = F.col("qty_in_stock") - F.col("sold_to_date")
     return x.select(key, "l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "qty",
                     "qty_in_stock", "sold_to_date", bal.alias("balance"), (bal < 0).alias("oversold"))

@@ -71,22 +71,37 @@ def _neighbour(df, key, order, cols, bucket, prefix, forward):
     )
 
 
-def keyed_running_sum(df: DataFrame, key: list[str], order: list[str], value: str, out: str,
-                      bucket: Column | None = None) -> DataFrame:
-    """Add ``out``: sum of ``value`` over the rows of the key up to and including this one."""
+def keyed_running_sum(df: DataFrame, key: list[str], order: list, value: str, out: str,
+                      bucket: Column | None = None, carry: DataFrame | None = None) -> DataFrame:
+    """Add ``out``: SQL ``SUM(value)`` over the key's rows up to and including this one.
+
+    ``carry`` (one row per key, e.g. an opening balance) is joined to the small
+    per-bucket summary rather than to the rows, and its columns appear on every
+    row.  Null handling follows SQL: the sum is null only while every value so
+    far is null.
+    """
     frame = (Window.unboundedPreceding, Window.currentRow)
     if bucket is None:
         w = Window.partitionBy(*key).orderBy(*order).rowsBetween(*frame)
-        return df.withColumn(out, F.sum(value).over(w))
+        x = df.withColumn(out, F.sum(value).over(w))
+        return x.join(carry, key, "left") if carry is not None else x
 
     base_cols = df.columns
     x = df.withColumn(_B, bucket)
     w = Window.partitionBy(*key, _B).orderBy(*order).rowsBetween(*frame)
-    x = x.withColumn("_inner", F.sum(value).over(w))
+    x = x.withColumn("_in_s", F.sum(value).over(w)).withColumn("_in_n", F.count(value).over(w))
 
-    totals = df.withColumn(_B, bucket).groupBy(*key, _B).agg(F.sum(value).alias("_tot"))
+    totals = (df.withColumn(_B, bucket).groupBy(*key, _B)
+              .agg(F.sum(value).alias("_ts"), F.count(value).alias("_tn")))
     wb = Window.partitionBy(*key).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(*key, _B, F.coalesce(F.sum("_tot").over(wb), F.lit(0)).alias("_before"))
+    totals = totals.select(*key, _B, F.sum("_ts").over(wb).alias("_bs"), F.sum("_tn").over(wb).alias("_bn"))
+    extra: list[str] = []
+    if carry is not None:
+        totals = totals.join(carry, key, "left")
+        extra = [c for c in carry.columns if c not in key]
 
     j = x.join(totals, [*key, _B], "left")
-    return j.select(*base_cols, (F.col("_before") + F.col("_inner")).alias(out))
+    n = F.coalesce(F.col("_bn"), F.lit(0)) + F.col("_in_n")
+    total = F.when(n == 0, F.lit(None)).otherwise(
+        F.coalesce(F.col("_bs"), F.lit(0)) + F.coalesce(F.col("_in_s"), F.lit(0)))
+    return j.select(*base_cols, total.alias(out), *extra)
