@@ -77,6 +77,24 @@ def upsert(snapshot: DataFrame, changes: DataFrame, key, cols: list[str], order=
     return kept.select(*out_cols).unionByName(new.select(*out_cols))
 
 
+def compact(base: DataFrame | None, tail: DataFrame, key, cols: list[str], order=ORDER,
+            drop_tombstones_before=None) -> DataFrame:
+    """New snapshot of the log: last change per key over ``base`` (an older
+    snapshot, or None) and the log ``tail`` after it.
+
+    Deleted keys stay as tombstones (op ``d``), so a late change that is older
+    than the delete cannot bring the key back; readers drop them
+    (:func:`current_state` on the snapshot).  ``drop_tombstones_before`` (a value
+    of the first ``order`` column) purges tombstones no late event can undo.
+    """
+    carry = [*_keys(key), *[c for c in dict.fromkeys([*order, "op", *cols]) if c not in _keys(key)]]
+    src = tail.select(*carry) if base is None else base.select(*carry).unionByName(tail.select(*carry))
+    snap = latest_per_key(src, key, cols, order)
+    if drop_tombstones_before is not None:
+        snap = snap.where((F.col("op") != OP_DELETE) | (F.col(order[0]) >= drop_tombstones_before))
+    return snap
+
+
 def touch_updated_at(log: DataFrame, key, cols: list[str], order=ORDER, ts: str = "ts") -> DataFrame:
     """Current state with ``created_at`` from the first image and ``updated_at``
     moved by every later change (what the source's update triggers maintain)."""
@@ -160,6 +178,18 @@ def scd2_reference(log: DataFrame, key: str, cols: list[str], batch: str, order=
         F.col("end_date").isNull().alias("is_current"))
 
 
+def history_lookup(history: DataFrame, key: str, value, order: str = "valid_from") -> DataFrame:
+    """Versions of one key in time order.  The key must be an integer; the
+    filter is a plain equality, pushed down to the scan of a stored history
+    (or through the per-key window to the change-log scan)."""
+    if isinstance(value, bool) or not isinstance(value, int):
+        try:
+            value = int(str(value), 10)
+        except ValueError:
+            raise ValueError(f"{key} must be an integer, got {value!r}") from None
+    return history.where(F.col(key) == F.lit(value)).orderBy(order)
+
+
 def scd2_expire(history: DataFrame, keys: DataFrame, key: str, at) -> DataFrame:
     """Close the open version of the given keys at ``at`` (matched-update only)."""
     k = keys.select(key).distinct().withColumn("_hit", F.lit(True))

@@ -56,10 +56,14 @@ def _neighbour(df, key, order, cols, bucket, prefix, forward):
                  *[shift(c).over(w).alias("_n_" + c) for c in cols])
 
     # Edge row of each (key, bucket): first row when looking forward, last when back.
-    pick = F.min_by if forward else F.max_by
-    edges = (df.withColumn(_B, bucket)
-             .groupBy(*key, _B)
-             .agg(pick(F.struct(*[F.col(c) for c in cols]), _order_struct(order)).alias("_edge")))
+    if list(cols) == [order[0]]:
+        # Only the leading sort column is wanted: a plain min/max (hash aggregate).
+        pick1 = F.min if forward else F.max
+        edge = F.struct(pick1(cols[0]).alias(cols[0]))
+    else:
+        pick = F.min_by if forward else F.max_by
+        edge = pick(F.struct(*[F.col(c) for c in cols]), _order_struct(order))
+    edges = df.withColumn(_B, bucket).groupBy(*key, _B).agg(edge.alias("_edge"))
     wb = Window.partitionBy(*key).orderBy(_B)
     edges = edges.select(*key, _B, shift("_edge").over(wb).alias("_adj"))
 

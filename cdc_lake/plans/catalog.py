@@ -179,8 +179,7 @@ def q_scd2_current(spark, d):
 
 
 def q_history_lookup(spark, d):
-    h = _history(_t(spark, d))
-    return h.where(F.col("user_id") == LOOKUP_USER).orderBy("valid_from")
+    return changes.history_lookup(_history(_t(spark, d)), "user_id", LOOKUP_USER)
 
 
 def q_history_head(spark, d):

@@ -23,7 +23,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -54,11 +54,19 @@ class TableSpec:
 
 
 # ---------------------------------------------------------------- sources
-def kafka_source(spark: SparkSession, servers: str, topic: str, starting: str = "earliest") -> DataFrame:
-    """One topic from Kafka (needs the Kafka connector on the classpath)."""
+def kafka_source(spark: SparkSession, servers: str, topics: str | list[str],
+                 starting: str = "earliest") -> DataFrame:
+    """Kafka topics as a stream (needs the Kafka connector on the classpath).
+
+    Prefer one topic per query (:func:`start_all`): a multi-topic
+    subscription filtered by ``topic`` afterwards reads every topic once per
+    query, because the topic predicate is not pushed into the source.
+    ``starting="latest"`` tails a topic for inspection (:func:`tap`).
+    """
+    subscribe = topics if isinstance(topics, str) else ",".join(topics)
     return (spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", servers)
-            .option("subscribe", topic)
+            .option("subscribe", subscribe)
             .option("startingOffsets", starting)
             .load()
             .select("topic", "partition", "offset", "value"))
@@ -84,6 +92,7 @@ class ChangeLogSink:
         self.lake_root = lake_root
         self.fmt = fmt
         self.legacy_null_key = legacy_null_key
+        self.last_counts: dict = {}
 
     def log_table(self, spark: SparkSession) -> LakeTable:
         return LakeTable(spark, self.lake_root, f"{self.spec.name}_log", self.fmt)
@@ -92,6 +101,9 @@ class ChangeLogSink:
         return LakeTable(spark, self.lake_root, f"{self.spec.name}_dead_letter", self.fmt)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        # One cheap emptiness probe (a LIMIT 1 job) instead of a write per empty trigger.
+        if batch.isEmpty():
+            return
         spark = batch.sparkSession
         s = self.spec
         parsed = env.parse_messages(batch, s.row_schema)
@@ -99,10 +111,14 @@ class ChangeLogSink:
         parsed = parsed.persist()
         try:
             log = env.to_change_log(parsed, s.pk, s.row_cols, legacy_null_key=self.legacy_null_key)
+            # Per-op counts ride along with the write: no extra action.
+            obs = Observation(f"{s.name}_{batch_id}")
+            log = log.observe(obs, *[F.count_if(F.col("op") == o).alias(o) for o in env.OPS])
             self.log_table(spark).overwrite_partitions(log.withColumn("batch_id", F.lit(batch_id)))
             dead = env.dead_letters(parsed, s.pk, keep=("topic", "partition", "offset"),
                                     legacy_null_key=self.legacy_null_key)
             self.dead_letter_table(spark).overwrite_partitions(dead.withColumn("batch_id", F.lit(batch_id)))
+            self.last_counts = {"batch_id": batch_id, **obs.get}
         finally:
             parsed.unpersist()
 
