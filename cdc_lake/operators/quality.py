@@ -51,14 +51,23 @@ def pk_duplicates(df: DataFrame, pk: list[str]) -> DataFrame:
     return df.groupBy(*pk).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
 
 
-def fk_orphans(child: DataFrame, parent: DataFrame, fk: ForeignKey) -> DataFrame:
-    """Child keys with no parent row: ``(fk_name, child_key, n_rows)``.  Null keys pass."""
-    keys = (child.where(F.col(fk.child_col).isNotNull())
-            .groupBy(F.col(fk.child_col).cast("long").alias("child_key"))
-            .agg(F.count(F.lit(1)).alias("n_rows")))
-    par = parent.select(F.col(fk.parent_col).cast("long").alias("child_key"))
-    return keys.join(par, "child_key", "left_anti").select(
-        F.lit(fk.name).alias("fk_name"), "child_key", "n_rows")
+def fk_orphans(children: list[tuple[DataFrame, ForeignKey]], parent: DataFrame, parent_col: str) -> DataFrame:
+    """Child keys with no parent row: ``(fk_name, child_key, n_rows)``.  Null keys pass.
+
+    All foreign keys that point at the same parent column are checked by one
+    anti join: each child is first reduced to its distinct keys with counts
+    (partial aggregation before the shuffle, so a hot key is one row per
+    task), the reduced children are unioned with their FK name, and the
+    parent is shuffled once for all of them.
+    """
+    keys = union_all([
+        child.where(F.col(fk.child_col).isNotNull())
+        .groupBy(F.col(fk.child_col).cast("long").alias("child_key"))
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .select(F.lit(fk.name).alias("fk_name"), "child_key", "n_rows")
+        for child, fk in children])
+    par = parent.select(F.col(parent_col).cast("long").alias("child_key"))
+    return keys.join(par, "child_key", "left_anti").select("fk_name", "child_key", "n_rows")
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
