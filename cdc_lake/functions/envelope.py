@@ -130,7 +130,7 @@ def dead_letters(parsed: DataFrame, pk: str, keep: tuple[str, ...] = ("topic", "
 
 # ---------------------------------------------------------------- decimals
 def decode_decimal_b64(b64, precision: int = 18, scale: int = 2) -> Column:
-    """Debezium's default DECIMAL encoding: base64 of a big-endian two's complement
+    """The usual CDC-connector DECIMAL encoding: base64 of a big-endian two's complement
     unscaled integer.  Values up to 8 bytes (precision <= 18) decode exactly with
     built-ins: sign-extend the hex to 16 digits, read it as a signed 64-bit number.
     """
