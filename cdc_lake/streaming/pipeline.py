@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cdc_lake.functions import envelope as env
+from cdc_lake.session import checkpoint_dir
 from cdc_lake.sources.lake import LakeTable
 
 # Schema of a message as the bus (or a message file) delivers it.
@@ -123,9 +124,17 @@ class ChangeLogSink:
             parsed.unpersist()
 
 
+def stream_checkpoint_root(spark: SparkSession) -> str:
+    """Streams checkpoint under the cluster's shared ``spark.checkpoint.dir``."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/streams"
+
+
 def start_table_stream(spark: SparkSession, spec: TableSpec, source: DataFrame, lake_root: str,
-                       checkpoint_root: str, trigger: dict | None = None, fmt: str = "parquet") -> StreamingQuery:
-    """One streaming query for one table, checkpointed under ``<root>/<table>``."""
+                       checkpoint_root: str | None = None, trigger: dict | None = None,
+                       fmt: str = "parquet") -> StreamingQuery:
+    """One streaming query for one table, checkpointed under ``<root>/<table>``
+    (``root`` defaults to :func:`stream_checkpoint_root`)."""
+    checkpoint_root = checkpoint_root or stream_checkpoint_root(spark)
     w = (source.writeStream
          .foreachBatch(ChangeLogSink(spec, lake_root, fmt))
          .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{spec.name.lower()}")
@@ -136,7 +145,8 @@ def start_table_stream(spark: SparkSession, spec: TableSpec, source: DataFrame,
 
 
 def start_all(spark: SparkSession, specs: list[TableSpec], source_for: Callable[[TableSpec], DataFrame],
-              lake_root: str, checkpoint_root: str, trigger: dict | None = None) -> list[StreamingQuery]:
+              lake_root: str, checkpoint_root: str | None = None,
+              trigger: dict | None = None) -> list[StreamingQuery]:
     """Start one query per table; wait with :func:`await_any`."""
     return [start_table_stream(spark, s, source_for(s), lake_root, checkpoint_root, trigger) for s in specs]
 
