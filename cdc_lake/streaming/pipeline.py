@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cdc_lake.functions import envelope as env
+from cdc_lake.operators import changes
 from cdc_lake.session import checkpoint_dir
 from cdc_lake.sources.lake import LakeTable
 
@@ -168,6 +169,17 @@ def tap(source: DataFrame, sink: str = "console", name: str = "raw_tap",
     return w.start()
 
 
+# ----------------------------------------------------- stream-native SCD1
+def current_state_stream(source: DataFrame, spec: TableSpec, order=("ts_ms", "seq")) -> DataFrame:
+    """Streaming SCD1 held in the state store: the last change per key by
+    event order (deletes kept as tombstone rows with op ``d``; drop them when
+    serving).  Run in ``update`` mode to emit only the keys a batch touched;
+    the state is one row per key, however many changes arrive."""
+    parsed = env.parse_messages(source, spec.row_schema)
+    log = env.to_change_log(parsed, spec.pk, spec.row_cols)
+    return changes.latest_per_key(log, spec.pk, [c for c in spec.row_cols if c != spec.pk], order=order)
+
+
 # ---------------------------------------------------------------- serving
 def quantity_deltas(parsed: DataFrame, product: str = "ProductID", qty: str = "Quantity") -> DataFrame:
     """Per change, the quantity it adds to / removes from each product:

@@ -202,3 +202,16 @@ def test_tombstone_blocks_late_resurrection(spark):
     late = spark.createDataFrame([(1, 2, 20, "u", "old")], "k int, seq long, ts long, op string, v string")
     snap = changes.compact(base, late, "k", ["v"])
     assert changes.current_state(snap, "k", ["v"]).count() == 0
+
+
+def test_state_store_current_state_equals_batch(spark, scratch):
+    msgs = messages.user_messages(Tables(spark, SF_SMALL))
+    src = os.path.join(scratch, "users")
+    _write_files(msgs, src, [0, 700, 1400, 10**9])
+    agg = pl.current_state_stream(pl.file_source(spark, src + "/msgs_*.parquet", 1), USERS)
+    q = (agg.writeStream.outputMode("complete").format("memory").queryName("cur_state_test")
+         .option("checkpointLocation", os.path.join(scratch, "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert q.exception() is None
+    got = spark.table("cur_state_test").where(F.col("op") != "d")
+    assert sorted((r.user_id, r.value, r.props) for r in got.collect()) == _batch_state(spark)
