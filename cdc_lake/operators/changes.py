@@ -162,12 +162,18 @@ def scd2_reference(log: DataFrame, key: str, cols: list[str], batch: str, order=
     s = (log.groupBy(F.col(batch), pkey.alias("_pkey"))
          .agg(F.max_by(F.struct(*[F.col(c) for c in carry]), F.struct(*[F.col(o) for o in order])).alias("_w"))
          .select(batch, *[F.col("_w." + c).alias(c) for c in carry]))
-    opened = s.where(F.col("op").isin(OP_CREATE, OP_UPDATE)).select(
-        key, *[c for c in cols if c != key], batch, F.lit(1).alias("_kind"), F.lit(None).cast(s.schema[batch].dataType).alias("_exp"))
-    expired = s.where(F.col("op").isin(OP_UPDATE, OP_DELETE)).select(key, batch).distinct().select(
-        key, *[F.lit(None).cast(s.schema[c].dataType).alias(c) for c in cols if c != key], batch,
-        F.lit(0).alias("_kind"), F.col(batch).alias("_exp"))
-    both = opened.unionByName(expired)
+    # One pass over the deduped batch: a create/update opens a version, an
+    # update/delete expires the key (an update does both).  Repeated expiry
+    # rows cannot change the running minimum below, so no DISTINCT is needed.
+    btype = s.schema[batch].dataType
+    rest = [c for c in cols if c != key]
+    opened = F.when(F.col("op").isin(OP_CREATE, OP_UPDATE), F.struct(
+        F.col(key).alias(key), *[F.col(c).alias(c) for c in rest], F.col(batch).alias(batch),
+        F.lit(1).alias("_kind"), F.lit(None).cast(btype).alias("_exp")))
+    expired = F.when(F.col("op").isin(OP_UPDATE, OP_DELETE), F.struct(
+        F.col(key).alias(key), *[F.lit(None).cast(s.schema[c].dataType).alias(c) for c in rest],
+        F.col(batch).alias(batch), F.lit(0).alias("_kind"), F.col(batch).alias("_exp")))
+    both = s.select(F.inline(F.array_compact(F.array(opened, expired))))
     # Walk each key from its latest batch back; expiries of the same batch sort
     # after the opening, so "earliest expiry seen so far" is the first later one.
     w = (Window.partitionBy(key).orderBy(F.col(batch).desc(), F.col("_kind").desc())
