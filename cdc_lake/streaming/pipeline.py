@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from cdc_lake.contracts import PRIMARY_KEYS, ROW_SCHEMAS
 from cdc_lake.functions import envelope as env
 from cdc_lake.operators import changes
 from cdc_lake.session import checkpoint_dir
@@ -44,17 +45,26 @@ MESSAGE_SCHEMA = T.StructType([
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A captured source table: its topic, row image, primary key."""
+    """A captured source table: its topic, row image, primary key, and the
+    row columns that arrive as epoch nanoseconds (stored as timestamps)."""
     name: str
     topic: str
     row_schema: T.StructType
     pk: str
+    ns_timestamps: tuple[str, ...] = ()
 
     @property
     def row_cols(self) -> list[str]:
         return [f.name for f in self.row_schema.fields]
 
 
+def source_table_specs(topic_prefix: str = "", names=None) -> list[TableSpec]:
+    """Specs of the captured source tables (topic = prefix + table name)."""
+    names = names or list(ROW_SCHEMAS)
+    return [TableSpec(n, f"{topic_prefix}{n}", ROW_SCHEMAS[n], PRIMARY_KEYS[n], ("CreatedAt", "UpdatedAt"))
+            for n in names]
+
+
 # ---------------------------------------------------------------- sources
 def kafka_source(spark: SparkSession, servers: str, topics: str | list[str],
                  starting: str = "earliest") -> DataFrame:
@@ -112,7 +122,8 @@ class ChangeLogSink:
         # Two outputs read the parsed batch: keep it for the second one.
         parsed = parsed.persist()
         try:
-            log = env.to_change_log(parsed, s.pk, s.row_cols, legacy_null_key=self.legacy_null_key)
+            log = env.to_change_log(parsed, s.pk, s.row_cols, legacy_null_key=self.legacy_null_key,
+                                    ns_timestamps=s.ns_timestamps)
             # Per-op counts ride along with the write: no extra action.
             obs = Observation(f"{s.name}_{batch_id}")
             log = log.observe(obs, *[F.count_if(F.col("op") == o).alias(o) for o in env.OPS])
