@@ -17,7 +17,6 @@ import argparse
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cdc_lake.contracts import PRIMARY_KEYS, ROW_SCHEMAS
 from cdc_lake.functions.timecols import ms_to_ts

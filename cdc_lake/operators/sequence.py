@@ -23,10 +23,6 @@ from pyspark.sql import functions as F
 _B = "_bucket"
 
 
-def _as_cols(xs) -> list[Column]:
-    return [F.col(x) if isinstance(x, str) else x for x in xs]
-
-
 def _order_struct(order: list[str]) -> Column:
     return F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)])
 
