@@ -13,14 +13,50 @@ The big side is shuffled once, by ``(key, bucket)``; the join with the summary
 reuses that partitioning, so only the summary moves a second time.
 
 With ``bucket=None`` the operators fall back to the plain per-key window.
+
+``bucket=HotSplit(expr, share)`` splits only the keys that hold more than
+``share`` of all rows.  They are found by one aggregate pass; there can be at
+most ``1 / share`` of them, so that list is broadcast with a proven size
+bound.  Every other key stays in a single bucket and adds no summary rows,
+so the summary is ``hot keys x buckets`` rows instead of up to one per row.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _B = "_bucket"
+_HOT = "_hot"
+
+
+@dataclass(frozen=True)
+class HotSplit:
+    """Split keys holding more than ``share`` of the rows by ``bucket``."""
+    bucket: Column
+    share: float = 0.001
+
+
+def hot_keys(df: DataFrame, key: list[str], share: float) -> DataFrame:
+    """Keys with more than ``share`` of all rows: at most ``1 / share`` rows."""
+    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.select(F.sum("_n")).scalar()
+    return counts.where(F.col("_n") > total * F.lit(share)).select(*key)
+
+
+def _with_bucket(df: DataFrame, key: list[str], bucket) -> tuple[DataFrame, Column | None]:
+    """``df`` with the ``_bucket`` column, and a filter selecting the rows that
+    need a summary (None: all rows)."""
+    if not isinstance(bucket, HotSplit):
+        return df.withColumn(_B, bucket), None
+    hot = hot_keys(df, key, bucket.share).withColumn(_HOT, F.lit(True))
+    # Bounded broadcast: at most 1 / share hot keys.
+    marked = df.join(F.broadcast(hot), key, "left")
+    is_hot = F.coalesce(F.col(_HOT), F.lit(False))
+    marked = marked.withColumn(_B, F.when(is_hot, bucket.bucket.cast("long")).otherwise(F.lit(0).cast("long")))
+    return marked.withColumn(_HOT, is_hot), F.col(_HOT)
 
 
 def _order_struct(order: list[str]) -> Column:
@@ -28,13 +64,13 @@ def _order_struct(order: list[str]) -> Column:
 
 
 def keyed_next(df: DataFrame, key: list[str], order: list[str], cols: list[str],
-               bucket: Column | None = None, prefix: str = "next_") -> DataFrame:
+               bucket: Column | HotSplit | None = None, prefix: str = "next_") -> DataFrame:
     """Add ``next_<c>``: the value of ``c`` on the following row of the same key."""
     return _neighbour(df, key, order, cols, bucket, prefix, forward=True)
 
 
 def keyed_prev(df: DataFrame, key: list[str], order: list[str], cols: list[str],
-               bucket: Column | None = None, prefix: str = "prev_") -> DataFrame:
+               bucket: Column | HotSplit | None = None, prefix: str = "prev_") -> DataFrame:
     """Add ``prev_<c>``: the value of ``c`` on the preceding row of the same key."""
     return _neighbour(df, key, order, cols, bucket, prefix, forward=False)
 
@@ -46,8 +82,9 @@ def _neighbour(df, key, order, cols, bucket, prefix, forward):
         w = Window.partitionBy(*key).orderBy(*order)
         return df.select("*", *[shift(c).over(w).alias(prefix + c) for c in cols])
 
-    x = df.withColumn(_B, bucket)
+    x, needs_summary = _with_bucket(df, key, bucket)
     w = Window.partitionBy(*key, _B).orderBy(*order)
+    src = x if needs_summary is None else x.where(needs_summary)
     x = x.select("*", shift(F.lit(True)).over(w).alias("_inner"),
                  *[shift(c).over(w).alias("_n_" + c) for c in cols])
 
@@ -59,7 +96,7 @@ def _neighbour(df, key, order, cols, bucket, prefix, forward):
     else:
         pick = F.min_by if forward else F.max_by
         edge = pick(F.struct(*[F.col(c) for c in cols]), _order_struct(order))
-    edges = df.withColumn(_B, bucket).groupBy(*key, _B).agg(edge.alias("_edge"))
+    edges = src.groupBy(*key, _B).agg(edge.alias("_edge"))
     wb = Window.partitionBy(*key).orderBy(_B)
     edges = edges.select(*key, _B, shift("_edge").over(wb).alias("_adj"))
 
@@ -72,7 +109,7 @@ def _neighbour(df, key, order, cols, bucket, prefix, forward):
 
 
 def keyed_running_sum(df: DataFrame, key: list[str], order: list, value: str, out: str,
-                      bucket: Column | None = None, carry: DataFrame | None = None) -> DataFrame:
+                      bucket: Column | HotSplit | None = None, carry: DataFrame | None = None) -> DataFrame:
     """Add ``out``: SQL ``SUM(value)`` over the key's rows up to and including this one.
 
     ``carry`` (one row per key, e.g. an opening balance) is joined to the small
@@ -87,12 +124,14 @@ def keyed_running_sum(df: DataFrame, key: list[str], order: list, value: str, ou
         return x.join(carry, key, "left") if carry is not None else x
 
     base_cols = df.columns
-    x = df.withColumn(_B, bucket)
+    x, needs_summary = _with_bucket(df, key, bucket)
+    # ``carry`` must reach every key, so then the summary covers all keys
+    # (one row per unsplit key, one per bucket of a hot key).
+    src = x if needs_summary is None or carry is not None else x.where(needs_summary)
     w = Window.partitionBy(*key, _B).orderBy(*order).rowsBetween(*frame)
     x = x.withColumn("_in_s", F.sum(value).over(w)).withColumn("_in_n", F.count(value).over(w))
 
-    totals = (df.withColumn(_B, bucket).groupBy(*key, _B)
-              .agg(F.sum(value).alias("_ts"), F.count(value).alias("_tn")))
+    totals = src.groupBy(*key, _B).agg(F.sum(value).alias("_ts"), F.count(value).alias("_tn"))
     wb = Window.partitionBy(*key).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(*key, _B, F.sum("_ts").over(wb).alias("_bs"), F.sum("_tn").over(wb).alias("_bn"))
     extra: list[str] = []

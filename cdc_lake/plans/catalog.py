@@ -17,6 +17,7 @@ from cdc_lake.contracts import CONTRACTS, FOREIGN_KEYS, ORDER_STATUS_ROW, USER_R
 from cdc_lake.functions import envelope as env
 from cdc_lake.functions.timecols import epoch_us_of, floor_div, ns_to_ts, ns_to_us_double
 from cdc_lake.operators import changes, ledger, metrics, quality
+from cdc_lake.operators.sequence import HotSplit
 from cdc_lake.sources import feeds, messages
 from cdc_lake.sources.tables import Tables
 
@@ -27,13 +28,17 @@ LOOKUP_USER = 7          # key of the point lookup
 PICK_SEED, PICK_K = "42", 5
 
 
-def hour_bucket(ts: str = "ts"):
-    """Hot-key split for per-user sequences: the hour of the event."""
-    return floor_div(epoch_us_of(ts), HOUR_US)
+HOT_SHARE = 0.001        # a key with more than 0.1 % of the rows is split
 
 
-def month_bucket(ts: str):
-    return floor_div(epoch_us_of(ts), MONTH_US)
+def hour_bucket(ts: str = "ts") -> HotSplit:
+    """Hot-key split for per-user sequences: hot users are split by event hour."""
+    return HotSplit(floor_div(epoch_us_of(ts), HOUR_US), HOT_SHARE)
+
+
+def month_bucket(ts: str) -> HotSplit:
+    """Hot-key split by 30-day period (products in the ledger, order status)."""
+    return HotSplit(floor_div(epoch_us_of(ts), MONTH_US), HOT_SHARE)
 
 
 def _t(spark: SparkSession, d: str) -> Tables:

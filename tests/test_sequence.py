@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cdc_lake.operators import changes
-from cdc_lake.operators.sequence import keyed_next, keyed_prev, keyed_running_sum
+from cdc_lake.operators.sequence import HotSplit, hot_keys, keyed_next, keyed_prev, keyed_running_sum
 
 
 def _skewed(spark, n=3000, seed=7):
@@ -35,6 +35,21 @@ def test_split_next_prev_equal_plain(spark):
         assert _as_set(plain, cols) == _as_set(split, cols)
 
 
+def test_hot_split_equal_plain(spark):
+    df = _skewed(spark)
+    assert [r.k for r in hot_keys(df, ["k"], 0.1).collect()] == [0]
+    split = HotSplit(F.floor(F.col("ts") / 250), share=0.1)
+    for fn, p in ((keyed_next, "next_"), (keyed_prev, "prev_")):
+        plain = fn(df, ["k"], ["ts", "seq"], ["v", "seq"])
+        hot = fn(df, ["k"], ["ts", "seq"], ["v", "seq"], bucket=split)
+        cols = ["k", "seq", p + "v", p + "seq"]
+        assert _as_set(plain, cols) == _as_set(hot, cols)
+    carry = spark.createDataFrame([(k, 100 + k) for k in range(40)], "k int, opening int")
+    plain = keyed_running_sum(df, ["k"], ["ts", "seq"], "v", "rs", carry=carry)
+    hot = keyed_running_sum(df, ["k"], ["ts", "seq"], "v", "rs", bucket=split, carry=carry)
+    assert _as_set(plain, ["seq", "rs", "opening"]) == _as_set(hot, ["seq", "rs", "opening"])
+
+
 def test_split_running_sum_equal_plain(spark):
     df = _skewed(spark)
     plain = keyed_running_sum(df, ["k"], ["ts", "seq"], "v", "rs")
