@@ -51,3 +51,14 @@ def test_sink_counts_and_empty_batch(spark, scratch):
     sink(spark.createDataFrame(rows, MESSAGE_SCHEMA), 1)
     assert sink.last_counts == {"batch_id": 1, "c": 1, "u": 1, "d": 1, "r": 0}
     assert sink.dead_letter_table(spark).read().count() == 1
+
+
+def test_delta_merge_sink_is_gated():
+    from cdc_lake.streaming import delta_sink
+    try:
+        import delta  # noqa: F401
+    except ImportError:
+        with pytest.raises(RuntimeError):
+            delta_sink._delta()
+        return
+    assert delta_sink._delta() is not None
