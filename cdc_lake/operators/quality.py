@@ -66,8 +66,13 @@ def fk_orphans(children: list[tuple[DataFrame, ForeignKey]], parent: DataFrame,
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .select(F.lit(fk.name).alias("fk_name"), "child_key", "n_rows")
         for child, fk in children])
-    par = parent.select(F.col(parent_col).cast("long").alias("child_key"))
-    return keys.join(par, "child_key", "left_anti").select("fk_name", "child_key", "n_rows")
+    # A left_anti join here would be pushed below the union by Catalyst and
+    # shuffle the parent once per child again; an outer join on the distinct
+    # parent keys stays above it (the distinct's shuffle is the join's).
+    par = (parent.select(F.col(parent_col).cast("long").alias("child_key")).distinct()
+           .withColumn("_found", F.lit(True)))
+    return (keys.join(par, "child_key", "left").where(F.col("_found").isNull())
+            .select("fk_name", "child_key", "n_rows"))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
