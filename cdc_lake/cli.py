@@ -5,6 +5,7 @@
     python -m cdc_lake.cli current  --lake PATH --table NAME
     python -m cdc_lake.cli top-products --lake PATH [-k 10]
     python -m cdc_lake.cli tap      (--kafka HOST:PORT --topic T | --source-dir DIR)
+    python -m cdc_lake.cli serve    --lake PATH (--kafka HOST:PORT --topic T | --source-dir DIR) [-k 10]
 
 ``process`` starts one streaming query per source table and blocks until one
 ends; the others read the change logs it writes.  Only ``k`` (or 10) rows are
@@ -77,6 +78,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     t = sub.add_parser("top-products")
     t.add_argument("--lake", required=True)
     t.add_argument("-k", type=int, default=10)
+    sv = sub.add_parser("serve", help="keep <lake>/top_products current from the OrderItems stream")
+    sv.add_argument("--lake", required=True)
+    sv.add_argument("--kafka")
+    sv.add_argument("--topic", default="OrderItems")
+    sv.add_argument("--source-dir")
+    sv.add_argument("--checkpoint")
+    sv.add_argument("-k", type=int, default=10)
+    sv.add_argument("--every", default="10 seconds")
+    sv.add_argument("--available-now", action="store_true")
     tp = sub.add_parser("tap")
     tp.add_argument("--kafka")
     tp.add_argument("--topic")
@@ -113,6 +123,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         current_table(spark, a.lake, a.table).show(20, truncate=False)
     elif a.cmd == "top-products":
         top_products_table(spark, a.lake, a.k).show(a.k, truncate=False)
+    elif a.cmd == "serve":
+        src = (pl.kafka_source(spark, a.kafka, a.topic) if a.kafka else pl.file_source(spark, a.source_dir))
+        writer = pl.TopKWriter(lambda s: current_table(s, a.lake, "Products"), f"{a.lake.rstrip('/')}/top_products", a.k)
+        trigger = {"availableNow": True} if a.available_now else {"processingTime": a.every}
+        ckpt = a.checkpoint or f"{pl.stream_checkpoint_root(spark)}/top_products"
+        q = pl.start_top_products(src, ROW_SCHEMAS["OrderItems"], writer, ckpt, trigger)
+        q.awaitTermination()
     elif a.cmd == "tap":
         src = (pl.kafka_source(spark, a.kafka, a.topic, starting="latest") if a.kafka
                else pl.file_source(spark, a.source_dir))

@@ -5,6 +5,8 @@ import datetime as dt
 import json
 import os
 
+from pyspark.sql import functions as F
+
 from cdc_lake import cli
 from cdc_lake.streaming.pipeline import MESSAGE_SCHEMA
 
@@ -68,6 +70,12 @@ def test_cli_end_to_end(spark, scratch, capsys):
     top = [(r.Name, r.quantity) for r in cli.top_products_table(spark, lake).collect()]
     assert top == [("pen", 2), ("cup", 1)]
 
+    cli.main(["serve", "--lake", lake, "--source-dir", os.path.join(src, "orderitems"),
+              "--checkpoint", os.path.join(scratch, "serve_ckpt"), "--available-now"], spark=spark)
+    served = [(r.name, r.quantity) for r in spark.read.parquet(os.path.join(lake, "top_products"))
+              .orderBy(F.desc("quantity"), "name").collect()]
+    assert served == top
+
     cli.main(["history", "--lake", lake, "1"], spark=spark)
     cli.main(["history", "--lake", lake, "99"], spark=spark)
     cli.main(["top-products", "--lake", lake, "-k", "3"], spark=spark)
