@@ -13,7 +13,7 @@ whole parse path runs over data that grows with the tables:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cdc_lake.functions.envelope import build_value
@@ -26,23 +26,24 @@ ORDER_STATUS_TOPIC = "order_status"
 
 
 def user_messages(t: Tables) -> DataFrame:
+    """One scan of the user feed; each change yields its envelope and, after
+    a delete or a damaged slot, one more message at ``2*seq+1``."""
     c = spread(feeds.chg_users(t)).withColumn("ts_ms", epoch_ms_of("ts"))
-    seq = F.col("seq")
-    env = c.select(
-        F.lit(USERS_TOPIC).alias("topic"), F.lit(0).alias("partition"), (seq * 2).alias("offset"),
-        build_value(["user_id", "value", "props"]).alias("value"))
-    tomb = c.where(F.col("op") == "d").select(
-        F.lit(USERS_TOPIC).alias("topic"), F.lit(0).alias("partition"), (seq * 2 + 1).alias("offset"),
-        F.lit(None).cast("binary").alias("value"))
-    text = build_value(["user_id", "value", "props"]).cast("string")
-    cut = (c.where((F.col("op") != "d") & (seq % 500 == 250))
-           .select((seq * 2 + 1).alias("offset"), text.alias("_t"))
-           .select(F.lit(USERS_TOPIC).alias("topic"), F.lit(0).alias("partition"), "offset",
-                   F.expr("substring(_t, 1, length(_t) div 3)").cast("binary").alias("value")))
-    heartbeat = c.where((F.col("op") != "d") & (seq % 500 == 0)).select(
-        F.lit(USERS_TOPIC).alias("topic"), F.lit(0).alias("partition"), (seq * 2 + 1).alias("offset"),
-        F.concat(F.lit('{"heartbeat": '), seq.cast("string"), F.lit("}")).cast("binary").alias("value"))
-    return env.unionByName(tomb).unionByName(cut).unionByName(heartbeat)
+    seq, op = F.col("seq"), F.col("op")
+    value = build_value(["user_id", "value", "props"])
+    text = value.cast("string")
+
+    def message(offset: Column, v: Column) -> Column:
+        return F.struct(F.lit(USERS_TOPIC).alias("topic"), F.lit(0).alias("partition"),
+                        offset.alias("offset"), v.cast("binary").alias("value"))
+
+    follow_up = (
+        F.when(op == "d", message(seq * 2 + 1, F.lit(None)))
+        .when(seq % 500 == 250, message(seq * 2 + 1, F.expr("substring(_t, 1, length(_t) div 3)")))
+        .when(seq % 500 == 0, message(seq * 2 + 1, F.concat(F.lit('{"heartbeat": '), seq.cast("string"), F.lit("}"))))
+    )
+    with_text = c.select("seq", "op", value.alias("_v"), text.alias("_t"))
+    return with_text.select(F.inline(F.array_compact(F.array(message(seq * 2, F.col("_v")), follow_up))))
 
 
 def order_status_messages(t: Tables) -> DataFrame:
