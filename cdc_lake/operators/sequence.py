@@ -34,16 +34,30 @@ _HOT = "_hot"
 
 @dataclass(frozen=True)
 class HotSplit:
-    """Split keys holding more than ``share`` of the rows by ``bucket``."""
-    bucket: Column
+    """Split the keys holding more than ``share`` of the rows.
+
+    Either by a fixed ``bucket`` expression, or adaptively: with
+    ``order_value`` (a numeric column monotone in the sort order, e.g. epoch
+    microseconds) each hot key gets its own bucket width, chosen from its row
+    count and value range so that a bucket holds about ``rows_per_bucket``
+    rows.  A key with a third of a 100 TB table is then cut into pieces of
+    that size instead of one piece per hour.
+    """
+    bucket: Column | None = None
     share: float = 0.001
+    order_value: Column | None = None
+    rows_per_bucket: int = 1_000_000
 
 
-def hot_keys(df: DataFrame, key: list[str], share: float) -> DataFrame:
-    """Keys with more than ``share`` of all rows: at most ``1 / share`` rows."""
-    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.select(F.sum("_n")).scalar()
-    return counts.where(F.col("_n") > total * F.lit(share)).select(*key)
+def hot_keys(df: DataFrame, key: list[str], share: float, value: Column | None = None) -> DataFrame:
+    """Keys with more than ``share`` of all rows: at most ``1 / share`` rows.
+    With ``value``, also the key's row count and value range."""
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    if value is not None:
+        aggs += [F.min(value).alias("_lo"), F.max(value).alias("_hi")]
+    stats = df.groupBy(*key).agg(*aggs)
+    total = stats.select(F.sum("_n")).scalar()
+    return stats.where(F.col("_n") > total * F.lit(share))
 
 
 def _with_bucket(df: DataFrame, key: list[str], bucket) -> tuple[DataFrame, Column | None]:
@@ -51,11 +65,20 @@ def _with_bucket(df: DataFrame, key: list[str], bucket) -> tuple[DataFrame, Colu
     need a summary (None: all rows)."""
     if not isinstance(bucket, HotSplit):
         return df.withColumn(_B, bucket), None
-    hot = hot_keys(df, key, bucket.share).withColumn(_HOT, F.lit(True))
+    if bucket.order_value is None:
+        hot = hot_keys(df, key, bucket.share).select(*key, F.lit(True).alias(_HOT))
+        fine = bucket.bucket.cast("long")
+    else:
+        # Width per hot key: value range * rows_per_bucket / rows, at least 1.
+        width = F.greatest((F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double")
+                           * F.lit(float(bucket.rows_per_bucket)) / F.col("_n"), F.lit(1.0))
+        hot = hot_keys(df, key, bucket.share, bucket.order_value).select(
+            *key, F.lit(True).alias(_HOT), F.col("_lo").alias("_blo"), width.alias("_bw"))
+        fine = F.floor((bucket.order_value - F.col("_blo")).cast("double") / F.col("_bw")).cast("long")
     # Bounded broadcast: at most 1 / share hot keys.
     marked = df.join(F.broadcast(hot), key, "left")
     is_hot = F.coalesce(F.col(_HOT), F.lit(False))
-    marked = marked.withColumn(_B, F.when(is_hot, bucket.bucket.cast("long")).otherwise(F.lit(0).cast("long")))
+    marked = marked.withColumn(_B, F.when(is_hot, fine).otherwise(F.lit(0).cast("long")))
     return marked.withColumn(_HOT, is_hot), F.col(_HOT)
 
 

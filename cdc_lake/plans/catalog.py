@@ -22,23 +22,17 @@ from cdc_lake.sources import feeds, messages
 from cdc_lake.sources.tables import Tables
 
 USER_COLS = ["value", "props"]
-HOUR_US = 3_600_000_000
-MONTH_US = 30 * 24 * HOUR_US
 LOOKUP_USER = 7          # key of the point lookup
 PICK_SEED, PICK_K = "42", 5
 
 
-HOT_SHARE = 0.001        # a key with more than 0.1 % of the rows is split
+HOT_SHARE = 0.001             # a key with more than 0.1 % of the rows is split ...
+ROWS_PER_BUCKET = 1_000_000   # ... into pieces of about a million rows, by event time
 
 
-def hour_bucket(ts: str = "ts") -> HotSplit:
-    """Hot-key split for per-user sequences: hot users are split by event hour."""
-    return HotSplit(floor_div(epoch_us_of(ts), HOUR_US), HOT_SHARE)
-
-
-def month_bucket(ts: str) -> HotSplit:
-    """Hot-key split by 30-day period (products in the ledger, order status)."""
-    return HotSplit(floor_div(epoch_us_of(ts), MONTH_US), HOT_SHARE)
+def time_split(ts: str = "ts") -> HotSplit:
+    """Hot-key split for per-key sequences ordered by ``ts`` (adaptive widths)."""
+    return HotSplit(share=HOT_SHARE, order_value=epoch_us_of(ts), rows_per_bucket=ROWS_PER_BUCKET)
 
 
 def _t(spark: SparkSession, d: str) -> Tables:
@@ -155,7 +149,7 @@ def q_bootstrap_union(spark, d):
 
 # ------------------------------------------------------------------- SCD2
 def _history(t: Tables) -> DataFrame:
-    return changes.scd2_history(feeds.chg_users(t), "user_id", USER_COLS, bucket=hour_bucket())
+    return changes.scd2_history(feeds.chg_users(t), "user_id", USER_COLS, bucket=time_split())
 
 
 def q_scd2_history(spark, d):
@@ -227,7 +221,7 @@ def q_order_total_reconcile(spark, d):
 
 def q_stock_ledger(spark, d):
     t = _t(spark, d)
-    return ledger.stock_ledger(feeds.sales(t), feeds.stock(t), bucket=month_bucket("l_shipdate"))
+    return ledger.stock_ledger(feeds.sales(t), feeds.stock(t), bucket=time_split("l_shipdate"))
 
 
 def q_stock_balance(spark, d):
@@ -236,11 +230,11 @@ def q_stock_balance(spark, d):
 
 
 def q_illegal_transitions(spark, d):
-    return quality.illegal_transitions(feeds.chg_order_status(_t(spark, d)), month_bucket("ts"))
+    return quality.illegal_transitions(feeds.chg_order_status(_t(spark, d)), time_split())
 
 
 def q_status_timeline(spark, d):
-    return quality.status_timeline(feeds.chg_order_status(_t(spark, d)), month_bucket("ts"))
+    return quality.status_timeline(feeds.chg_order_status(_t(spark, d)), time_split())
 
 
 def q_payment_violations(spark, d):

@@ -38,7 +38,12 @@ def test_split_next_prev_equal_plain(spark):
 def test_hot_split_equal_plain(spark):
     df = _skewed(spark)
     assert [r.k for r in hot_keys(df, ["k"], 0.1).collect()] == [0]
-    split = HotSplit(F.floor(F.col("ts") / 250), share=0.1)
+    for split in (HotSplit(F.floor(F.col("ts") / 250), share=0.1),
+                  HotSplit(share=0.1, order_value=F.col("ts"), rows_per_bucket=50)):
+        _check_split(spark, df, split)
+
+
+def _check_split(spark, df, split):
     for fn, p in ((keyed_next, "next_"), (keyed_prev, "prev_")):
         plain = fn(df, ["k"], ["ts", "seq"], ["v", "seq"])
         hot = fn(df, ["k"], ["ts", "seq"], ["v", "seq"], bucket=split)
@@ -106,3 +111,12 @@ def test_current_state_and_history_match_model(spark, evs, rnd):
     got = sorted(((r.k, r.v, r.valid_from, r.valid_to, r.is_current) for r in hist.collect()),
                  key=lambda r: (r[0], r[2], r[1], -1 if r[3] is None else r[3]))
     assert got == _history_model(events)
+
+
+def test_adaptive_buckets_are_balanced(spark):
+    from cdc_lake.operators.sequence import _with_bucket
+    df = _skewed(spark, n=20000)
+    marked, _ = _with_bucket(df, ["k"], HotSplit(share=0.1, order_value=F.col("ts"), rows_per_bucket=200))
+    sizes = [r["count"] for r in marked.where("k = 0").groupBy("_bucket").count().collect()]
+    assert len(sizes) >= 30                    # ~8000 rows of the hot key cut into ~40 pieces
+    assert max(sizes) <= 3 * 200
