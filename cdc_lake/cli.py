@@ -57,6 +57,20 @@ def top_products_table(spark: SparkSession, lake: str, k: int = 10) -> DataFrame
                                 product_key="ProductID", name="Name")
 
 
+def register_views(spark: SparkSession, lake: str, tables=None) -> list[str]:
+    """Temp views ``<table>_current`` and ``<table>_history`` for SQL users, e.g.
+    ``spark.sql("SELECT * FROM customers_history WHERE CustomerID = :id ORDER BY
+    valid_from", args={"id": 42})`` (the parameter is bound, not spliced)."""
+    names = []
+    for t in tables or list(ROW_SCHEMAS):
+        if not LakeTable(spark, lake, f"{t}_log").exists():
+            continue
+        current_table(spark, lake, t).createOrReplaceTempView(f"{t.lower()}_current")
+        history_table(spark, lake, t).createOrReplaceTempView(f"{t.lower()}_history")
+        names += [f"{t.lower()}_current", f"{t.lower()}_history"]
+    return names
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     ap = argparse.ArgumentParser(prog="cdc_lake")
     sub = ap.add_subparsers(dest="cmd", required=True)

@@ -70,6 +70,11 @@ def test_cli_end_to_end(spark, scratch, capsys):
     top = [(r.Name, r.quantity) for r in cli.top_products_table(spark, lake).collect()]
     assert top == [("pen", 2), ("cup", 1)]
 
+    assert "customers_history" in cli.register_views(spark, lake)
+    rows = spark.sql("SELECT Name FROM customers_history WHERE CustomerID = :id ORDER BY valid_from",
+                     args={"id": 1}).collect()
+    assert [r.Name for r in rows] == ["ann", "anna"]
+
     cli.main(["serve", "--lake", lake, "--source-dir", os.path.join(src, "orderitems"),
               "--checkpoint", os.path.join(scratch, "serve_ckpt"), "--available-now"], spark=spark)
     served = [(r.name, r.quantity) for r in spark.read.parquet(os.path.join(lake, "top_products"))
