@@ -1,8 +1,9 @@
 """Change envelopes: ``payload{before, after, op, ts_ms}`` as JSON text in a binary value.
 
 Build (for tests and derived feeds) and parse (for sources) are both plain
-column expressions: ``to_json`` / ``from_json`` run in the JVM, inside
-whole-stage code generation, with no Python on the data path.
+column expressions evaluated in the JVM (``from_json`` / ``to_json`` are
+interpreted inside their stage rather than code-generated); no Python runs on
+the data path.
 """
 
 from __future__ import annotations
@@ -77,23 +78,24 @@ def parse_messages(messages: DataFrame, row_schema: T.StructType, with_before: b
     return out.select(*sel)
 
 
-def change_key(pk: str, legacy_null_key: bool = False) -> Column:
+def change_key(pk: str, legacy_null_key: bool = False, has_before: bool = True) -> Column:
     """Key of a change: after-image key, else before-image key.
 
     ``legacy_null_key`` reproduces the reference, which keys on the after image
-    only, so every delete of a batch shares the null key.
+    only, so every delete of a batch shares the null key.  Without a parsed
+    ``before`` image the after-image key is all there is.
     """
-    if legacy_null_key:
+    if legacy_null_key or not has_before:
         return F.col(f"after.{pk}")
     return F.coalesce(F.col(f"after.{pk}"), F.col(f"before.{pk}"))
 
 
-def dead_letter_reason(pk: str, legacy_null_key: bool = False) -> Column:
+def dead_letter_reason(pk: str, legacy_null_key: bool = False, has_before: bool = True) -> Column:
     """Why a parsed message cannot enter the change log (null when it can)."""
     return (
         F.when(F.col("_null_value"), F.lit(NULL_VALUE))
         .when(F.col("op").isNull(), F.lit(UNPARSABLE))
-        .when(change_key(pk, legacy_null_key).isNull(), F.lit(NO_KEY))
+        .when(change_key(pk, legacy_null_key, has_before).isNull(), F.lit(NO_KEY))
     )
 
 
@@ -105,14 +107,15 @@ def to_change_log(parsed: DataFrame, pk: str, row_cols: list[str], seq: str = "o
     become ``TIMESTAMP_NTZ`` exactly, in the current-state path as well as in
     the history path.
     """
-    valid = parsed.where(dead_letter_reason(pk, legacy_null_key).isNull())
+    hb = "before" in parsed.columns
+    valid = parsed.where(dead_letter_reason(pk, legacy_null_key, hb).isNull())
 
     def image(c: str) -> Column:
         v = F.col(f"after.{c}")
         return (ns_to_ts(v) if c in ns_timestamps else v).alias(c)
 
     return valid.select(
-        change_key(pk, legacy_null_key).alias(pk),
+        change_key(pk, legacy_null_key, hb).alias(pk),
         F.col(seq).alias("seq"),
         "ts_ms",
         "op",
@@ -123,7 +126,7 @@ def to_change_log(parsed: DataFrame, pk: str, row_cols: list[str], seq: str = "o
 def dead_letters(parsed: DataFrame, pk: str, keep: tuple[str, ...] = ("topic", "offset"),
                  legacy_null_key: bool = False) -> DataFrame:
     """Messages the change log rejects, with the reason and the raw text."""
-    reason = dead_letter_reason(pk, legacy_null_key)
+    reason = dead_letter_reason(pk, legacy_null_key, "before" in parsed.columns)
     return parsed.where(reason.isNotNull()).select(
         *[k for k in keep if k in parsed.columns], reason.alias("reason"), F.col("_text").alias("raw"))
 

@@ -247,3 +247,11 @@ def test_rul8_addresses(spark):
     ], "customer_id int, address_id int, is_billing boolean, is_shipping boolean")
     got = {(r.customer_id, r.address_id, r.rule) for r in address_violations(a).collect()}
     assert got == {(2, None, "several_billing"), (3, 30, "both_flags"), (3, 31, "no_flag")}
+
+
+def test_parse_without_before_image(spark):
+    rows = [msg(1, "c", 10, after=cust(1)), msg(2, "d", 12, before=cust(1))]
+    parsed = env.parse_messages(messages(spark, rows), CUST, with_before=False)
+    assert "before" not in parsed.columns
+    assert [r.seq for r in env.to_change_log(parsed, "CustomerID", ["CustomerID", "Name"]).collect()] == [1]
+    assert [(r.offset, r.reason) for r in env.dead_letters(parsed, "CustomerID").collect()] == [(2, "no_key")]
