@@ -15,10 +15,13 @@ reuses that partitioning, so only the summary moves a second time.
 With ``bucket=None`` the operators fall back to the plain per-key window.
 
 ``bucket=HotSplit(expr, share)`` splits only the keys that hold more than
-``share`` of all rows.  They are found by one aggregate pass; there can be at
-most ``1 / share`` of them, so that list is broadcast with a proven size
-bound.  Every other key stays in a single bucket and adds no summary rows,
-so the summary is ``hot keys x buckets`` rows instead of up to one per row.
+``share`` of all rows.  They are found before the plan is built: a row count
+(no shuffle) and one aggregate pass whose filtered result is collected --
+there can be at most ``1 / share`` such keys, so the list has a proven size
+bound and is broadcast.  Every other key stays in a single bucket and adds no
+summary rows, so the summary is ``hot keys x buckets`` rows instead of up to
+one per row.  When no key is hot the operators use the plain per-key window:
+no join, no summary.
 """
 
 from __future__ import annotations
@@ -49,33 +52,44 @@ class HotSplit:
     rows_per_bucket: int = 1_000_000
 
 
-def hot_keys(df: DataFrame, key: list[str], share: float, value: Column | None = None) -> DataFrame:
-    """Keys with more than ``share`` of all rows: at most ``1 / share`` rows.
-    With ``value``, also the key's row count and value range."""
+def _hot_rows(df: DataFrame, key: list[str], share: float, value: Column | None = None):
+    """Rows ``(*key, _n[, _lo, _hi])`` of the keys holding more than ``share``
+    of all rows, and their schema.  At most ``1 / share`` rows reach the driver."""
+    total = df.count()
     aggs = [F.count(F.lit(1)).alias("_n")]
     if value is not None:
         aggs += [F.min(value).alias("_lo"), F.max(value).alias("_hi")]
-    stats = df.groupBy(*key).agg(*aggs)
-    total = stats.select(F.sum("_n")).scalar()
-    return stats.where(F.col("_n") > total * F.lit(share))
+    stats = df.groupBy(*key).agg(*aggs).where(F.col("_n") > F.lit(total * share))
+    return stats.collect(), stats.schema
+
+
+def hot_keys(df: DataFrame, key: list[str], share: float, value: Column | None = None) -> DataFrame:
+    """Keys with more than ``share`` of all rows: at most ``1 / share`` rows.
+    With ``value``, also the key's row count and value range."""
+    rows, schema = _hot_rows(df, key, share, value)
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
-def _with_bucket(df: DataFrame, key: list[str], bucket) -> tuple[DataFrame, Column | None]:
+def _with_bucket(df: DataFrame, key: list[str], bucket):
     """``df`` with the ``_bucket`` column, and a filter selecting the rows that
-    need a summary (None: all rows)."""
+    need a summary (None: all rows).  None instead of the pair when a
+    ``HotSplit`` finds no hot key: the plain per-key window is then exact."""
     if not isinstance(bucket, HotSplit):
         return df.withColumn(_B, bucket), None
+    rows, schema = _hot_rows(df, key, bucket.share, bucket.order_value)
+    if not rows:
+        return None
+    hot = df.sparkSession.createDataFrame(rows, schema)
     if bucket.order_value is None:
-        hot = hot_keys(df, key, bucket.share).select(*key, F.lit(True).alias(_HOT))
+        hot = hot.select(*key, F.lit(True).alias(_HOT))
         fine = bucket.bucket.cast("long")
     else:
         # Width per hot key: value range * rows_per_bucket / rows, at least 1.
         width = F.greatest((F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double")
                            * F.lit(float(bucket.rows_per_bucket)) / F.col("_n"), F.lit(1.0))
-        hot = hot_keys(df, key, bucket.share, bucket.order_value).select(
-            *key, F.lit(True).alias(_HOT), F.col("_lo").alias("_blo"), width.alias("_bw"))
+        hot = hot.select(*key, F.lit(True).alias(_HOT), F.col("_lo").alias("_blo"), width.alias("_bw"))
         fine = F.floor((bucket.order_value - F.col("_blo")).cast("double") / F.col("_bw")).cast("long")
-    # Bounded broadcast: at most 1 / share hot keys.
+    # Bounded broadcast: at most 1 / share hot keys, collected above.
     marked = df.join(F.broadcast(hot), key, "left")
     is_hot = F.coalesce(F.col(_HOT), F.lit(False))
     marked = marked.withColumn(_B, F.when(is_hot, fine).otherwise(F.lit(0).cast("long")))
@@ -105,7 +119,10 @@ def _neighbour(df, key, order, cols, bucket, prefix, forward):
         w = Window.partitionBy(*key).orderBy(*order)
         return df.select("*", *[shift(c).over(w).alias(prefix + c) for c in cols])
 
-    x, needs_summary = _with_bucket(df, key, bucket)
+    split = _with_bucket(df, key, bucket)
+    if split is None:
+        return _neighbour(df, key, order, cols, None, prefix, forward)
+    x, needs_summary = split
     w = Window.partitionBy(*key, _B).orderBy(*order)
     src = x if needs_summary is None else x.where(needs_summary)
     x = x.select("*", shift(F.lit(True)).over(w).alias("_inner"),
@@ -147,7 +164,10 @@ def keyed_running_sum(df: DataFrame, key: list[str], order: list, value: str, ou
         return x.join(carry, key, "left") if carry is not None else x
 
     base_cols = df.columns
-    x, needs_summary = _with_bucket(df, key, bucket)
+    split = _with_bucket(df, key, bucket)
+    if split is None:
+        return keyed_running_sum(df, key, order, value, out, None, carry)
+    x, needs_summary = split
     # ``carry`` must reach every key, so then the summary covers all keys
     # (one row per unsplit key, one per bucket of a hot key).
     src = x if needs_summary is None or carry is not None else x.where(needs_summary)

@@ -36,7 +36,7 @@ def time_split(ts: str = "ts") -> HotSplit:
 
 
 def _t(spark: SparkSession, d: str) -> Tables:
-    return Tables(spark, d)
+    return Tables.of(spark, d)
 
 
 # ----------------------------------------------------------------- metrics

@@ -120,3 +120,14 @@ def test_adaptive_buckets_are_balanced(spark):
     sizes = [r["count"] for r in marked.where("k = 0").groupBy("_bucket").count().collect()]
     assert len(sizes) >= 30                    # ~8000 rows of the hot key cut into ~40 pieces
     assert max(sizes) <= 3 * 200
+
+
+def test_no_hot_key_gives_the_plain_window(spark):
+    df = _skewed(spark)
+    split = HotSplit(share=0.9, order_value=F.col("ts"))      # no key holds 90 % of the rows
+    for fn, p in ((keyed_next, "next_"), (keyed_prev, "prev_")):
+        got = fn(df, ["k"], ["ts", "seq"], ["v"], bucket=split)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" not in plan
+        cols = ["k", "seq", p + "v"]
+        assert _as_set(got, cols) == _as_set(fn(df, ["k"], ["ts", "seq"], ["v"]), cols)
