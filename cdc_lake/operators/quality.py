@@ -40,10 +40,10 @@ def contract_report(df: DataFrame, c: Contract) -> DataFrame:
         F.count_if(F.col("_n") > 1).cast("long").alias("pk"))
     names = [*[name for name, _ in rules], "pk_unique"]
     cols = [*[f"r{i}" for i in range(len(rules))], "pk"]
-    stacked = totals.select(F.explode(F.array(*[
-        F.struct(F.lit(n).alias("rule"), F.col(col).alias("violations")) for n, col in zip(names, cols)
-    ])).alias("x")).select("x.*")
-    return stacked.select(F.lit(c.table).alias("table_name"), "rule", "violations")
+    table = F.lit(c.table)
+    return totals.select(F.inline(F.array(*[
+        F.struct(table.alias("table_name"), F.lit(n).alias("rule"), F.col(col).alias("violations"))
+        for n, col in zip(names, cols)])))
 
 
 def pk_duplicates(df: DataFrame, pk: list[str]) -> DataFrame:
@@ -51,28 +51,53 @@ def pk_duplicates(df: DataFrame, pk: list[str]) -> DataFrame:
     return df.groupBy(*pk).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
 
 
-def fk_orphans(children: list[tuple[DataFrame, ForeignKey]], parent: DataFrame, parent_col: str) -> DataFrame:
+def fk_orphans(tables: dict[str, DataFrame], fks) -> DataFrame:
     """Child keys with no parent row: ``(fk_name, child_key, n_rows)``.  Null keys pass.
 
-    All foreign keys that point at the same parent column are checked by one
-    anti join: each child is first reduced to its distinct keys with counts
-    (partial aggregation before the shuffle, so a hot key is one row per
-    task), the reduced children are unioned with their FK name, and the
-    parent is shuffled once for all of them.
+    All foreign keys are checked by one join on ``(parent, key)``:
+
+    * each FK contributes rows ``(parent id, key)`` with a count in the slot
+      of that FK among the FKs of its parent; the union is summed per
+      ``(parent, key)`` (partial aggregation before the shuffle, so a hot key
+      is one row per task);
+    * every parent column is read once and made distinct per ``(parent, key)``;
+    * both sides are hash-partitioned on ``(parent, key)`` by their
+      aggregates, so the join adds no exchange: two shuffles in all, however
+      many foreign keys there are.
     """
-    keys = union_all([
-        child.where(F.col(fk.child_col).isNotNull())
-        .groupBy(F.col(fk.child_col).cast("long").alias("child_key"))
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-        .select(F.lit(fk.name).alias("fk_name"), "child_key", "n_rows")
-        for child, fk in children])
-    # A left_anti join here would be pushed below the union by Catalyst and
-    # shuffle the parent once per child again; an outer join on the distinct
-    # parent keys stays above it (the distinct's shuffle is the join's).
-    par = (parent.select(F.col(parent_col).cast("long").alias("child_key")).distinct()
-           .withColumn("_found", F.lit(True)))
-    return (keys.join(par, "child_key", "left").where(F.col("_found").isNull())
-            .select("fk_name", "child_key", "n_rows"))
+    fks = list(fks)
+    parents = list(dict.fromkeys((fk.parent, fk.parent_col) for fk in fks))
+    pid = {p: i for i, p in enumerate(parents)}
+    slot: list[int] = []
+    for i, fk in enumerate(fks):
+        slot.append(sum(1 for g in fks[:i] if (g.parent, g.parent_col) == (fk.parent, fk.parent_col)))
+    slots = [f"_n{j}" for j in range(max(slot) + 1)]
+
+    children = union_all([
+        tables[fk.child].select(
+            F.lit(pid[(fk.parent, fk.parent_col)]).alias("parent"), F.col(fk.child_col).cast("long").alias("key"),
+            *[F.lit(int(j == slot[i])).alias(c) for j, c in enumerate(slots)])
+        for i, fk in enumerate(fks)])
+    # One filter; Catalyst pushes it into every branch (and the scans).
+    keys = (children.where(F.col("key").isNotNull())
+            .groupBy("parent", "key").agg(*[F.sum(c).alias(c) for c in slots]))
+    par = union_all([tables[t].select(F.lit(pid[(t, c)]).alias("parent"), F.col(c).cast("long").alias("key"))
+                     for t, c in parents]).distinct()
+    orphans = keys.join(par.withColumn("_found", F.lit(True)), ["parent", "key"], "left").where(
+        F.col("_found").isNull())
+
+    def name_of(j: int) -> Column:
+        """FK name of slot ``j``, looked up by parent id (null: no such FK)."""
+        names = [None] * len(parents)
+        for i, fk in enumerate(fks):
+            if slot[i] == j:
+                names[pid[(fk.parent, fk.parent_col)]] = fk.name
+        return F.element_at(F.array(*[F.lit(n).cast("string") for n in names]), F.col("parent") + 1)
+
+    per_slot = F.array(*[F.struct(name_of(j).alias("fk_name"), F.col(c).alias("n_rows"))
+                         for j, c in enumerate(slots)])
+    return (orphans.select(F.col("key").alias("child_key"), F.inline(per_slot))
+            .where(F.col("n_rows") > 0).select("fk_name", "child_key", "n_rows"))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

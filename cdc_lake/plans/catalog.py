@@ -207,11 +207,7 @@ def q_fk_orphans(spark, d):
     t = _t(spark, d)
     tabs = _rule_tables(t)
     tabs["lineitem"] = feeds.lineitem_spoiled(t)
-    by_parent: dict[tuple[str, str], list] = {}
-    for fk in FOREIGN_KEYS:
-        by_parent.setdefault((fk.parent, fk.parent_col), []).append((tabs[fk.child], fk))
-    return quality.union_all([quality.fk_orphans(kids, tabs[parent], col)
-                              for (parent, col), kids in by_parent.items()])
+    return quality.fk_orphans(tabs, FOREIGN_KEYS)
 
 
 def q_order_total_reconcile(spark, d):

@@ -55,7 +55,10 @@ def test_only_bounded_broadcasts():
     assert [f for f, _ in uses] == ["sequence.py"]
 
 
-def test_fk_check_shuffles_each_parent_once(spark):
+def test_fk_check_is_one_join(spark):
+    """Eleven foreign keys over six parents: one aggregate shuffle per side,
+    and the join reuses their partitioning."""
     _, p = _plan(spark, "fk_orphans")
-    scans = re.findall(r"FileScan parquet \[o_orderkey#\d+L\]", p)
-    assert len(scans) == 1        # orders read once for its three foreign keys
+    assert len(re.findall(r"Exchange hashpartitioning\(parent#\d+, key#\d+L", p)) == 2
+    assert len(re.findall(r"Join \[parent#", p)) == 1
+    assert len(re.findall(r"FileScan parquet \[o_orderkey#\d+L\]", p)) == 1    # orders as a parent, read once

@@ -22,10 +22,23 @@ def test_fk_orphans_null_keys_pass(spark):
     child = spark.createDataFrame([(1,), (2,), (2,), (None,), (9,)], "pid int")
     parent = spark.createDataFrame([(1,), (2,), (2,)], "id long")
     fk = ForeignKey("c_p", "c", "pid", "p", "id")
-    got = [(r.fk_name, r.child_key, r.n_rows) for r in quality.fk_orphans([(child, fk)], parent, "id").collect()]
+    got = [(r.fk_name, r.child_key, r.n_rows) for r in quality.fk_orphans({"c": child, "p": parent}, [fk]).collect()]
     assert got == [("c_p", 9, 1)]
 
 
+def test_fk_orphans_several_keys_and_parents(spark):
+    # Two FKs of one child to one parent, one to another; a key orphaned by
+    # both FKs of the same parent is reported once per FK.
+    child = spark.createDataFrame([(1, 5, 7), (9, 9, 7), (9, None, 8), (2, 9, 8)], "a int, b int, c int")
+    p1 = spark.createDataFrame([(1,), (2,), (5,)], "id long")
+    p2 = spark.createDataFrame([(7,)], "id int")
+    fks = [ForeignKey("c_a", "c", "a", "p1", "id"), ForeignKey("c_b", "c", "b", "p1", "id"),
+           ForeignKey("c_c", "c", "c", "p2", "id")]
+    got = sorted((r.fk_name, r.child_key, r.n_rows)
+                 for r in quality.fk_orphans({"c": child, "p1": p1, "p2": p2}, fks).collect())
+    assert got == [("c_a", 9, 2), ("c_b", 9, 2), ("c_c", 8, 2)]
+
+
 def test_payment_rules(spark):
     orders = spark.createDataFrame([
         (1, 3, Decimal("10.00")), (2, 4, Decimal("5.00")), (3, 1, Decimal("7.00")), (4, 3, Decimal("8.00"))],
