@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _B = "_bucket"
 _HOT = "_hot"
@@ -40,26 +41,32 @@ class HotSplit:
     """Split the keys holding more than ``share`` of the rows.
 
     Either by a fixed ``bucket`` expression, or adaptively: with
-    ``order_value`` (a numeric column monotone in the sort order, e.g. epoch
-    microseconds) each hot key gets its own bucket width, chosen from its row
-    count and value range so that a bucket holds about ``rows_per_bucket``
-    rows.  A key with a third of a 100 TB table is then cut into pieces of
-    that size instead of one piece per hour.
+    ``order_value`` (an integral column monotone in the sort order, e.g.
+    epoch microseconds) each hot key's value range is first cut at
+    ``ranges - 1`` approximate quantiles (equi-depth: each range holds about
+    the same number of its rows, however they cluster in time), and each
+    range into equal-width pieces sized so that a piece holds about
+    ``rows_per_bucket`` rows.  A key with a third of a 100 TB table is then
+    cut into pieces of that size, and a burst of its rows in a short span is
+    cut as finely as the rest.  Rows with one and the same order value cannot
+    be told apart by it and stay together.
     """
     bucket: Column | None = None
     share: float = 0.001
     order_value: Column | None = None
     rows_per_bucket: int = 1_000_000
+    ranges: int = 64
 
 
-def _hot_rows(df: DataFrame, key: list[str], share: float, value: Column | None = None):
+def _hot_rows(df: DataFrame, key: list[str], share: float, value: Column | None = None, min_rows: int = 0):
     """Rows ``(*key, _n[, _lo, _hi])`` of the keys holding more than ``share``
-    of all rows, and their schema.  At most ``1 / share`` rows reach the driver."""
+    of all rows (and more than ``min_rows``), and their schema.  At most
+    ``1 / share`` rows reach the driver."""
     total = df.count()
     aggs = [F.count(F.lit(1)).alias("_n")]
     if value is not None:
         aggs += [F.min(value).alias("_lo"), F.max(value).alias("_hi")]
-    stats = df.groupBy(*key).agg(*aggs).where(F.col("_n") > F.lit(total * share))
+    stats = df.groupBy(*key).agg(*aggs).where(F.col("_n") > F.lit(max(total * share, min_rows)))
     return stats.collect(), stats.schema
 
 
@@ -70,25 +77,66 @@ def hot_keys(df: DataFrame, key: list[str], share: float, value: Column | None =
     return df.sparkSession.createDataFrame(rows, schema)
 
 
+def _equi_depth_ranges(df: DataFrame, key: list[str], rows, schema, split: HotSplit) -> DataFrame:
+    """Per hot key: ``_bounds`` (the inner quantiles of its order values),
+    the low end ``_lows`` and sub-bucket width ``_widths`` of every range.
+
+    One aggregate over the hot keys' rows only (the bounded key list is
+    broadcast); ``percentile_approx`` is combined map-side, so a key holding a
+    third of the table is one sketch per task before the shuffle.
+    """
+    spark = df.sparkSession
+    m = split.ranges
+    keys = spark.createDataFrame(rows, schema).select(*key)
+    v = split.order_value.cast("long")
+    qs = (df.join(F.broadcast(keys), key, "inner")       # at most 1 / share rows: bounded
+          .groupBy(*key).agg(F.percentile_approx(v, [i / m for i in range(1, m)], 1000).alias("_q"))
+          .collect())
+    by_key = {tuple(r[k] for k in key): r["_q"] for r in qs}
+    out = []
+    for r in rows:
+        n, lo, hi = r["_n"], r["_lo"], r["_hi"]
+        q = by_key.get(tuple(r[k] for k in key))
+        if lo is None or not q:              # no order values: one range
+            bounds, lows, widths = [], [lo or 0], [1.0]
+        else:
+            # As many ranges as the key needs (at most m), each of about n / mk rows,
+            # cut into pieces of about rows_per_bucket rows.
+            mk = min(m, -(-n // split.rows_per_bucket))
+            bounds = [q[round(j * m / mk) - 1] for j in range(1, mk)]
+            edges = [lo, *bounds, hi + 1]
+            lows = edges[:-1]
+            widths = [max((edges[i + 1] - edges[i]) * split.rows_per_bucket * mk / n, 1.0) for i in range(mk)]
+        out.append((*[r[k] for k in key], bounds, lows, widths))
+    kt = [schema[k] for k in key]
+    return spark.createDataFrame(out, T.StructType([
+        *[T.StructField(f.name, f.dataType) for f in kt],
+        T.StructField("_bounds", T.ArrayType(T.LongType())), T.StructField("_lows", T.ArrayType(T.LongType())),
+        T.StructField("_widths", T.ArrayType(T.DoubleType()))])).select(*key, F.lit(True).alias(_HOT), "_bounds",
+                                                                     "_lows", "_widths")
+
+
 def _with_bucket(df: DataFrame, key: list[str], bucket):
     """``df`` with the ``_bucket`` column, and a filter selecting the rows that
     need a summary (None: all rows).  None instead of the pair when a
     ``HotSplit`` finds no hot key: the plain per-key window is then exact."""
     if not isinstance(bucket, HotSplit):
         return df.withColumn(_B, bucket), None
-    rows, schema = _hot_rows(df, key, bucket.share, bucket.order_value)
+    adaptive = bucket.order_value is not None
+    rows, schema = _hot_rows(df, key, bucket.share, bucket.order_value.cast("long") if adaptive else None,
+                             bucket.rows_per_bucket if adaptive else 0)
     if not rows:
         return None
-    hot = df.sparkSession.createDataFrame(rows, schema)
+    spark = df.sparkSession
     if bucket.order_value is None:
-        hot = hot.select(*key, F.lit(True).alias(_HOT))
+        hot = spark.createDataFrame(rows, schema).select(*key, F.lit(True).alias(_HOT))
         fine = bucket.bucket.cast("long")
     else:
-        # Width per hot key: value range * rows_per_bucket / rows, at least 1.
-        width = F.greatest((F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double")
-                           * F.lit(float(bucket.rows_per_bucket)) / F.col("_n"), F.lit(1.0))
-        hot = hot.select(*key, F.lit(True).alias(_HOT), F.col("_lo").alias("_blo"), width.alias("_bw"))
-        fine = F.floor((bucket.order_value - F.col("_blo")).cast("double") / F.col("_bw")).cast("long")
+        hot = _equi_depth_ranges(df, key, rows, schema, bucket)
+        v = bucket.order_value.cast("long")
+        q = F.size(F.filter(F.col("_bounds"), lambda b: b <= v))      # range index, 0 .. ranges-1
+        lo, width = F.element_at("_lows", q + 1), F.element_at("_widths", q + 1)
+        fine = q.cast("long") * F.lit(1 << 31) + F.floor((v - lo).cast("double") / width).cast("long")
     # Bounded broadcast: at most 1 / share hot keys, collected above.
     marked = df.join(F.broadcast(hot), key, "left")
     is_hot = F.coalesce(F.col(_HOT), F.lit(False))

@@ -67,21 +67,26 @@ def source_table_specs(topic_prefix: str = "", names=None) -> list[TableSpec]:
 
 # ---------------------------------------------------------------- sources
 def kafka_source(spark: SparkSession, servers: str, topics: str | list[str],
-                 starting: str = "earliest") -> DataFrame:
+                 starting: str = "earliest", max_offsets_per_trigger: int | None = 50_000_000) -> DataFrame:
     """Kafka topics as a stream (needs the Kafka connector on the classpath).
 
     Prefer one topic per query (:func:`start_all`): a multi-topic
     subscription filtered by ``topic`` afterwards reads every topic once per
     query, because the topic predicate is not pushed into the source.
     ``starting="latest"`` tails a topic for inspection (:func:`tap`).
+    ``max_offsets_per_trigger`` bounds a micro-batch: a first start from
+    ``earliest`` on a topic holding years of changes is worked off in
+    batches of that size instead of one batch holding the whole topic
+    (``None``: no bound).
     """
     subscribe = topics if isinstance(topics, str) else ",".join(topics)
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", servers)
-            .option("subscribe", subscribe)
-            .option("startingOffsets", starting)
-            .load()
-            .select("topic", "partition", "offset", "value"))
+    r = (spark.readStream.format("kafka")
+         .option("kafka.bootstrap.servers", servers)
+         .option("subscribe", subscribe)
+         .option("startingOffsets", starting))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    return r.load().select("topic", "partition", "offset", "value")
 
 
 def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
