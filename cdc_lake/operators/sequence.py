@@ -63,10 +63,13 @@ def _hot_rows(df: DataFrame, key: list[str], share: float, value: Column | None
     of all rows (and more than ``min_rows``), and their schema.  At most
     ``1 / share`` rows reach the driver."""
     total = df.count()
+    floor = max(total * share, min_rows)
     aggs = [F.count(F.lit(1)).alias("_n")]
     if value is not None:
         aggs += [F.min(value).alias("_lo"), F.max(value).alias("_hi")]
-    stats = df.groupBy(*key).agg(*aggs).where(F.col("_n") > F.lit(max(total * share, min_rows)))
+    stats = df.groupBy(*key).agg(*aggs).where(F.col("_n") > F.lit(floor))
+    if total <= floor:                     # no key can hold more rows than the table
+        return [], stats.schema
     return stats.collect(), stats.schema
 
 
