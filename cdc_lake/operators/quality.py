@@ -184,10 +184,16 @@ def reason_violations(orders: DataFrame, reasons: DataFrame) -> DataFrame:
 
 
 def delivered_purchases(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    """(product, customer) pairs of delivered orders."""
+    """Distinct (product, customer) pairs of delivered orders.
+
+    Distinct so that a pair bought a billion times is one row: the duplicates
+    are combined map-side before the shuffle, and the review join, keyed the
+    same way, reuses that partitioning (a semi join cannot split a skewed
+    build side at run time).
+    """
     li = lineitem.select("l_orderkey", "l_partkey")
     o = orders.where(F.col("status_id") == DELIVERED).select("o_orderkey", "o_custkey")
-    return li.join(o, li.l_orderkey == o.o_orderkey).select("l_partkey", "o_custkey")
+    return li.join(o, li.l_orderkey == o.o_orderkey).select("l_partkey", "o_custkey").distinct()
 
 
 def verified_reviews(reviews: DataFrame, purchases: DataFrame, verified: bool = True) -> DataFrame:
