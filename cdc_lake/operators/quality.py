@@ -171,16 +171,27 @@ def payment_violations(payments: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def reason_violations(orders: DataFrame, reasons: DataFrame) -> DataFrame:
-    """A reason must exist exactly for returned/cancelled orders, of the matching type."""
+    """A reason must exist exactly for returned/cancelled orders, of the matching type.
+
+    The result of a full outer join of the orders needing a reason with the
+    reasons, written as two joins whose skew Spark can split at run time
+    (a full outer join cannot be split): every reason row against its order
+    (left join, reasons streamed), and the orders with no reason at all (anti
+    join against the distinct reason keys, combined map-side).
+    """
     need = orders.where(F.col("status_id").isin(RETURNED, CANCELLED)).select("o_orderkey", "status_id")
-    j = need.join(reasons.select("o_orderkey", "reason_type"), "o_orderkey", "full_outer")
+    rs = reasons.select("o_orderkey", "reason_type")
     s, r = F.col("status_id"), F.col("reason_type")
     expected = F.when(s == RETURNED, F.lit("Return")).when(s == CANCELLED, F.lit("Cancellation"))
     v = (F.when(r.isNull(), F.lit("missing_reason"))
          .when(s.isNull(), F.lit("unexpected_reason"))
          .when(r != expected, F.lit("wrong_type")))
-    return j.select("o_orderkey", "status_id", "reason_type", v.alias("violation")).where(
-        F.col("violation").isNotNull())
+    per_reason = rs.join(need, "o_orderkey", "left").select(
+        "o_orderkey", "status_id", "reason_type", v.alias("violation")).where(F.col("violation").isNotNull())
+    missing = need.join(rs.select("o_orderkey").distinct(), "o_orderkey", "left_anti").select(
+        "o_orderkey", "status_id", F.lit(None).cast("string").alias("reason_type"),
+        F.lit("missing_reason").alias("violation"))
+    return per_reason.unionByName(missing)
 
 
 def delivered_purchases(lineitem: DataFrame, orders: DataFrame) -> DataFrame:

@@ -120,3 +120,27 @@ def test_upsert_and_expire(spark):
     keys = spark.createDataFrame([(1,), (1,), (5,)], "k int")
     out = sorted((r.k, r.v, r.end_date, r.is_current) for r in changes.scd2_expire(hist, keys, "k", 9).collect())
     assert out == [(1, "x", 2, False), (1, "y", 9, False), (2, "z", None, True)]
+
+
+def test_reason_rules_equal_full_outer_join(spark):
+    orders = spark.createDataFrame([(1, 4), (2, 4), (3, 5), (5, 5), (6, 3), (None, 4)],
+                                   "o_orderkey long, status_id int")
+    reasons = spark.createDataFrame(
+        [(1, "Return"), (1, "Return"), (2, "Cancellation"), (None, "Return"), (5, None), (6, None), (8, "Return")],
+        "o_orderkey long, reason_type string")
+    orders.createOrReplaceTempView("t_orders")
+    reasons.createOrReplaceTempView("t_reasons")
+    want = spark.sql("""
+        SELECT * FROM (
+          SELECT COALESCE(n.o_orderkey, r.o_orderkey) AS o_orderkey, n.status_id, r.reason_type,
+                 CASE WHEN r.reason_type IS NULL THEN 'missing_reason'
+                      WHEN n.status_id IS NULL THEN 'unexpected_reason'
+                      WHEN r.reason_type <> CASE n.status_id WHEN 4 THEN 'Return' WHEN 5 THEN 'Cancellation' END
+                      THEN 'wrong_type' END AS violation
+          FROM (SELECT * FROM t_orders WHERE status_id IN (4, 5)) n
+          FULL OUTER JOIN t_reasons r ON n.o_orderkey = r.o_orderkey) x
+        WHERE violation IS NOT NULL""")
+    key = lambda r: tuple((v is None, str(v)) for v in r)
+    got = sorted((tuple(r) for r in quality.reason_violations(orders, reasons).collect()), key=key)
+    assert got == sorted((tuple(r) for r in want.collect()), key=key)
+    assert len(got) == 7
