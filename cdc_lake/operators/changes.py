@@ -80,16 +80,30 @@ def upsert(snapshot: DataFrame, changes: DataFrame, key, cols: list[str], order=
 def compact(base: DataFrame | None, tail: DataFrame, key, cols: list[str], order=ORDER,
             drop_tombstones_before=None) -> DataFrame:
     """New snapshot of the log: last change per key over ``base`` (an older
-    snapshot, or None) and the log ``tail`` after it.
+    snapshot, one row per key, or None) and the log ``tail`` after it.
+
+    Only keys that occur in the tail can change.  The base rows of the other
+    keys pass through an anti join with the tail's distinct keys -- when
+    those are small enough Spark broadcasts them and the base is not
+    shuffled at all; the base rows of touched keys (a semi join) are folded
+    with the tail by the per-key aggregate, so the shuffle is the size of
+    the change, not of the table.
 
     Deleted keys stay as tombstones (op ``d``), so a late change that is older
     than the delete cannot bring the key back; readers drop them
     (:func:`current_state` on the snapshot).  ``drop_tombstones_before`` (a value
     of the first ``order`` column) purges tombstones no late event can undo.
     """
-    carry = [*_keys(key), *[c for c in dict.fromkeys([*order, "op", *cols]) if c not in _keys(key)]]
-    src = tail.select(*carry) if base is None else base.select(*carry).unionByName(tail.select(*carry))
-    snap = latest_per_key(src, key, cols, order)
+    keys = _keys(key)
+    carry = [*keys, *[c for c in dict.fromkeys([*order, "op", *cols]) if c not in keys]]
+    t = tail.select(*carry)
+    if base is None:
+        snap = latest_per_key(t, key, cols, order)
+    else:
+        b = base.select(*carry)
+        touched = t.select(*keys).distinct()
+        folded = latest_per_key(b.join(touched, keys, "left_semi").unionByName(t), key, cols, order)
+        snap = b.join(touched, keys, "left_anti").unionByName(folded.select(*carry))
     if drop_tombstones_before is not None:
         snap = snap.where((F.col("op") != OP_DELETE) | (F.col(order[0]) >= drop_tombstones_before))
     return snap
