@@ -28,7 +28,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,17 +60,23 @@ class HotSplit:
 
 def _hot_rows(df: DataFrame, key: list[str], share: float, value: Column | None = None, min_rows: int = 0):
     """Rows ``(*key, _n[, _lo, _hi])`` of the keys holding more than ``share``
-    of all rows (and more than ``min_rows``), and their schema.  At most
-    ``1 / share`` rows reach the driver."""
-    total = df.count()
-    floor = max(total * share, min_rows)
+    of all rows (and more than ``min_rows``), and their schema.
+
+    One job: the grouped pass keeps the ``1 / share + 1`` largest keys
+    (``TakeOrderedAndProject``, so at most that many rows reach the driver)
+    while an observation counts all rows; no more than ``1 / share`` keys can
+    each hold more than ``share`` of them, so none is missed.
+    """
+    obs = Observation()
     aggs = [F.count(F.lit(1)).alias("_n")]
     if value is not None:
         aggs += [F.min(value).alias("_lo"), F.max(value).alias("_hi")]
-    stats = df.groupBy(*key).agg(*aggs).where(F.col("_n") > F.lit(floor))
-    if total <= floor:                     # no key can hold more rows than the table
-        return [], stats.schema
-    return stats.collect(), stats.schema
+    top = (df.observe(obs, F.count(F.lit(1)).alias("rows"))
+           .groupBy(*key).agg(*aggs).where(F.col("_n") > F.lit(min_rows))
+           .orderBy(F.col("_n").desc()).limit(int(1 / share) + 1))
+    rows = top.collect()
+    floor = max(obs.get["rows"] * share, min_rows)
+    return [r for r in rows if r["_n"] > floor], top.schema
 
 
 def hot_keys(df: DataFrame, key: list[str], share: float, value: Column | None = None) -> DataFrame:

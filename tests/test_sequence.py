@@ -152,3 +152,16 @@ def test_bursty_hot_key_is_cut_evenly(spark):
     sizes = [r["count"] for r in marked.where("k = 0").groupBy("_bucket").count().collect()]
     assert max(sizes) <= 3 * 200, max(sizes)
     _check_split(spark, df, split)
+
+
+def test_hot_key_detection_matches_brute_force(spark):
+    rnd = random.Random(11)
+    rows = [(k, i) for i, k in enumerate(rnd.choice(range(40)) if rnd.random() < 0.8 else rnd.randrange(40, 3000)
+                                         for _ in range(20000))]
+    df = spark.createDataFrame(rows, "k int, seq long")
+    counts = {}
+    for k, _ in rows:
+        counts[k] = counts.get(k, 0) + 1
+    for share in (0.01, 0.02, 0.03):
+        want = sorted(k for k, n in counts.items() if n > share * len(rows))
+        assert sorted(r.k for r in hot_keys(df, ["k"], share).collect()) == want
