@@ -132,7 +132,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             else:
                 rows.show(truncate=False)
         else:
-            hist.orderBy(PRIMARY_KEYS[a.table], "valid_from").show(10, truncate=False)
+            head = changes.history_head(change_log(spark, a.lake, a.table), PRIMARY_KEYS[a.table],
+                                        _row_cols(a.table), 10, LOG_ORDER, ts="ts_ms")
+            head.withColumn("valid_from", ms_to_ts("valid_from")).withColumn(
+                "valid_to", ms_to_ts("valid_to")).show(10, truncate=False)
     elif a.cmd == "current":
         current_table(spark, a.lake, a.table).show(20, truncate=False)
     elif a.cmd == "top-products":

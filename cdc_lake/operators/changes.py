@@ -198,6 +198,24 @@ def scd2_reference(log: DataFrame, key: str, cols: list[str], batch: str, order=
         F.col("end_date").isNull().alias("is_current"))
 
 
+def history_head(log: DataFrame, key: str, cols: list[str], n: int = 10, order=ORDER, ts: str = "ts",
+                 bucket=None) -> DataFrame:
+    """The first ``n`` SCD2 versions by ``(key, valid_from)``, built from the
+    history of at most ``n`` keys.
+
+    Every create/update/read opens a version, so the first ``n`` versions
+    belong to the ``n`` smallest keys that have a non-delete change.  Those
+    keys come from a distinct + ``TakeOrderedAndProject`` (``n`` rows), the
+    log is semi-joined to them (null-safe), and only their history is built:
+    the window no longer runs over the whole log.
+    """
+    first = (log.where(F.col("op") != OP_DELETE).select(key).distinct()
+             .orderBy(F.col(key).asc_nulls_first()).limit(n).select(F.col(key).alias("_k")))
+    sub = log.join(first, log[key].eqNullSafe(first["_k"]), "left_semi")
+    return scd2_history(sub, key, cols, order, ts, bucket).orderBy(
+        F.col(key).asc_nulls_first(), F.col("valid_from").asc_nulls_first()).limit(n)
+
+
 def history_lookup(history: DataFrame, key: str, value, order: str = "valid_from") -> DataFrame:
     """Versions of one key in time order.  The key must be an integer; the
     filter is a plain equality, pushed down to the scan of a stored history

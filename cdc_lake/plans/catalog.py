@@ -182,7 +182,7 @@ def q_history_lookup(spark, d):
 
 
 def q_history_head(spark, d):
-    return _history(_t(spark, d)).orderBy("user_id", "valid_from").limit(10)
+    return changes.history_head(feeds.chg_users(_t(spark, d)), "user_id", USER_COLS, 10, bucket=time_split())
 
 
 # ------------------------------------------------------------------- rules

@@ -5,6 +5,8 @@ reasons without orders), plus the eager upsert and the expiry step of SCD2."""
 import datetime as dt
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from cdc_lake.contracts import Contract, ForeignKey
 from cdc_lake.operators import changes, ledger, quality
 
@@ -144,3 +146,14 @@ def test_reason_rules_equal_full_outer_join(spark):
     got = sorted((tuple(r) for r in quality.reason_violations(orders, reasons).collect()), key=key)
     assert got == sorted((tuple(r) for r in want.collect()), key=key)
     assert len(got) == 7
+
+
+def test_history_head_equals_head_of_full_history(spark):
+    # Key 1 has only a delete (no version), key None sorts first, key 3 has many versions.
+    rows = [(None, 1, 5, "c", "n"), (1, 2, 1, "d", None), (2, 3, 2, "c", "a"), (2, 4, 9, "d", None),
+            *[(3, 10 + i, 10 + i, "u", f"v{i}") for i in range(12)], (4, 40, 3, "c", "z")]
+    log = spark.createDataFrame(rows, "k int, seq long, ts long, op string, v string")
+    for n in (1, 3, 10):
+        full = changes.scd2_history(log, "k", ["v"]).orderBy(F.col("k").asc_nulls_first(), "valid_from").limit(n)
+        head = changes.history_head(log, "k", ["v"], n)
+        assert [tuple(r) for r in head.collect()] == [tuple(r) for r in full.collect()]
