@@ -186,12 +186,27 @@ def q_history_head(spark, d):
 
 
 # ------------------------------------------------------------------- rules
+class _RuleTables(dict):
+    """Rule inputs by name, each built on first use (a report that needs five
+    of them does not build the other six)."""
+
+    def __init__(self, t: Tables):
+        super().__init__()
+        self._make = {
+            "region": lambda: t.region, "nation": lambda: t.nation, "customer": lambda: t.customer,
+            "supplier": lambda: t.supplier, "part": lambda: t.part, "orders": lambda: t.orders,
+            "lineitem": lambda: t.lineitem, "reasons": lambda: feeds.reasons(t),
+            "chg_users": lambda: feeds.chg_users(t), "payments": lambda: feeds.payments(t),
+            "reviews": lambda: feeds.reviews(t),
+        }
+
+    def __missing__(self, name: str) -> DataFrame:
+        df = self[name] = self._make[name]()
+        return df
+
+
 def _rule_tables(t: Tables) -> dict[str, DataFrame]:
-    return {
-        "region": t.region, "nation": t.nation, "customer": t.customer, "supplier": t.supplier,
-        "part": t.part, "orders": t.orders, "lineitem": t.lineitem, "reasons": feeds.reasons(t),
-        "chg_users": feeds.chg_users(t), "payments": feeds.payments(t), "reviews": feeds.reviews(t),
-    }
+    return _RuleTables(t)
 
 
 def q_contract_report(spark, d):
