@@ -95,20 +95,23 @@ def order_final(t: Tables) -> DataFrame:
 
 
 def chg_order_status(t: Tables) -> DataFrame:
-    """Order life cycle Ordered -> Shipped -> Delivered; keys divisible by 97 skip Shipped."""
+    """Order life cycle Ordered -> Shipped -> Delivered; keys divisible by 97 skip Shipped.
+
+    One scan of ``orders``: each order row yields its one to three status
+    changes through ``inline`` (no union of three scans).
+    """
     o = t.orders.select("o_orderkey", "o_orderdate", "o_orderstatus")
-    created = o.select(
-        "o_orderkey", F.lit(1).alias("seq"), F.col("o_orderdate").alias("ts"),
-        F.lit("c").alias("op"), F.lit(1).alias("status_id"))
-    shipped = o.where(F.col("o_orderstatus").isin("P", "F") & (F.col("o_orderkey") % 97 != 0)).select(
-        "o_orderkey", F.lit(2).alias("seq"),
-        (F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).alias("ts"),
-        F.lit("u").alias("op"), F.lit(2).alias("status_id"))
-    delivered = o.where(F.col("o_orderstatus") == "F").select(
-        "o_orderkey", F.lit(3).alias("seq"),
-        (F.col("o_orderdate") + F.expr("INTERVAL 3 DAY")).alias("ts"),
-        F.lit("u").alias("op"), F.lit(3).alias("status_id"))
-    return created.unionByName(shipped).unionByName(delivered)
+    k, st, day = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderdate")
+
+    def change(seq: int, ts: Column, op: str, status: int) -> Column:
+        return F.struct(F.lit(seq).alias("seq"), ts.alias("ts"), F.lit(op).alias("op"),
+                        F.lit(status).alias("status_id"))
+
+    created = change(1, day, "c", 1)
+    shipped = F.when(st.isin("P", "F") & (k % 97 != 0),
+                     change(2, day + F.expr("INTERVAL 1 DAY"), "u", 2))
+    delivered = F.when(st == "F", change(3, day + F.expr("INTERVAL 3 DAY"), "u", 3))
+    return o.select(k, F.inline(F.array_compact(F.array(created, shipped, delivered))))
 
 
 def payments(t: Tables) -> DataFrame:
