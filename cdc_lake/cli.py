@@ -25,6 +25,7 @@ from cdc_lake.operators import changes, metrics
 from cdc_lake.session import build_session
 from cdc_lake.sources.lake import LakeTable
 from cdc_lake.streaming import pipeline as pl
+from cdc_lake.streaming.compaction import SnapshotStore, history_view
 
 LOG_ORDER = ("ts_ms", "seq")
 
@@ -43,9 +44,12 @@ def current_table(spark: SparkSession, lake: str, table: str) -> DataFrame:
 
 
 def history_table(spark: SparkSession, lake: str, table: str) -> DataFrame:
-    """SCD2 view of a source table: versions with event-time validity."""
-    h = changes.scd2_history(change_log(spark, lake, table), PRIMARY_KEYS[table], _row_cols(table),
-                             LOG_ORDER, ts="ts_ms")
+    """SCD2 view of a source table: versions with event-time validity.  Uses
+    the newest history snapshot (``compact_history``) plus the log after it
+    when one exists, else the whole log."""
+    log = LakeTable(spark, lake, f"{table}_log")
+    store = SnapshotStore(spark, lake, f"{table}_history")
+    h = history_view(spark, log, store, PRIMARY_KEYS[table], _row_cols(table))
     return (h.withColumn("valid_from", ms_to_ts("valid_from"))
              .withColumn("valid_to", ms_to_ts("valid_to")))
 

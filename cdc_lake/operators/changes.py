@@ -149,6 +149,26 @@ def scd2_history(log: DataFrame, key, cols: list[str], order=ORDER, ts: str = "t
     )
 
 
+def scd2_refresh(history: DataFrame, log: DataFrame, changed: DataFrame, key: str, cols: list[str],
+                 order=ORDER, ts: str = "ts", bucket=None) -> DataFrame:
+    """Bring a stored SCD2 ``history`` up to date with the ``changed`` rows of
+    the ``log`` (which already holds them): the incremental form of
+    expire-then-insert, in event time.
+
+    Only keys that occur in ``changed`` can get new or different versions.
+    The stored rows of every other key pass an anti join with the distinct
+    changed keys (broadcast by Spark when small: the history is streamed,
+    not shuffled).  The history of the changed keys is rebuilt from their log
+    rows (a semi join), so a late change that falls between two old versions
+    splits them exactly as the full history would.  The shuffle is the size
+    of the changed keys' rows, not of the log.
+    """
+    keys = changed.select(key).distinct()
+    kept = history.join(keys, key, "left_anti")
+    redo = scd2_history(log.join(keys, key, "left_semi"), key, cols, order, ts, bucket)
+    return kept.unionByName(redo.select(*history.columns))
+
+
 def scd2_collapsed(log: DataFrame, key, cols: list[str], batch: str, order=ORDER) -> DataFrame:
     """SCD2 with one version per key and micro-batch: the batch's last change
     wins, the version runs from its batch to the key's next batch."""

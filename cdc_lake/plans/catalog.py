@@ -156,6 +156,16 @@ def q_scd2_history(spark, d):
     return _history(_t(spark, d))
 
 
+def q_scd2_refresh(spark, d):
+    """History stored up to the day before the last, refreshed with the last day's changes."""
+    log = feeds.chg_users(_t(spark, d))
+    last = log.select(F.max("batch_day")).scalar()
+    stored = changes.scd2_history(log.where(F.col("batch_day") < last), "user_id", USER_COLS,
+                                  bucket=time_split())
+    return changes.scd2_refresh(stored, log, log.where(F.col("batch_day") >= last), "user_id", USER_COLS,
+                                bucket=time_split())
+
+
 def q_scd2_collapsed(spark, d):
     return changes.scd2_collapsed(feeds.chg_users(_t(spark, d)), "user_id", USER_COLS, "batch_day")
 

@@ -207,6 +207,7 @@ def oracle_sql() -> dict[str, str]:
         UNION ALL
         SELECT o_orderkey, 3, o_orderdate + INTERVAL 3 DAY, 'u', 3 FROM orders WHERE o_orderstatus = 'F'"""
     q["scd2_history"] = with_feeds("SELECT * FROM history", "history")
+    q["scd2_refresh"] = with_feeds("SELECT * FROM history", "history")     # refreshed = full history
     q["scd2_collapsed"] = with_feeds(f"SELECT * FROM {_collapsed('chg_users')} c", "chg_users")
     q["scd2_reference_mode"] = with_feeds("""
         , s AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (

@@ -84,3 +84,34 @@ def current_view(spark: SparkSession, log: LakeTable, store: SnapshotStore, key:
         base = store.read(prev)
     snap = changes.compact(base, tail, key, cols, LOG_ORDER)
     return snap.where(F.col("op") != "d")
+
+
+# ------------------------------------------------------------------ SCD2
+def compact_history(spark: SparkSession, log: LakeTable, store: SnapshotStore, key: str, cols: list[str],
+                    upto: int, ts: str = "ts_ms") -> int:
+    """Write the SCD2 history of log batches ``<= upto`` as snapshot ``upto``:
+    the previous history snapshot refreshed with the batches after it (only
+    the keys those batches touch are rebuilt).  Returns the snapshot id in
+    force afterwards."""
+    prev = store.latest()
+    if prev is not None and prev >= upto:
+        return prev
+    upto_log = log.read().where(F.col("batch_id") <= upto)
+    if prev is None:
+        h = changes.scd2_history(upto_log, key, cols, LOG_ORDER, ts=ts)
+    else:
+        h = changes.scd2_refresh(store.read(prev), upto_log, upto_log.where(F.col("batch_id") > prev),
+                                 key, cols, LOG_ORDER, ts=ts)
+    store.write(h, upto)
+    return upto
+
+
+def history_view(spark: SparkSession, log: LakeTable, store: SnapshotStore, key: str, cols: list[str],
+                 ts: str = "ts_ms") -> DataFrame:
+    """SCD2 history = newest complete history snapshot, refreshed with the log after it."""
+    prev = store.latest()
+    full = log.read()
+    if prev is None:
+        return changes.scd2_history(full, key, cols, LOG_ORDER, ts=ts)
+    return changes.scd2_refresh(store.read(prev), full, full.where(F.col("batch_id") > prev),
+                                key, cols, LOG_ORDER, ts=ts)

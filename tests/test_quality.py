@@ -157,3 +157,19 @@ def test_history_head_equals_head_of_full_history(spark):
         full = changes.scd2_history(log, "k", ["v"]).orderBy(F.col("k").asc_nulls_first(), "valid_from").limit(n)
         head = changes.history_head(log, "k", ["v"], n)
         assert [tuple(r) for r in head.collect()] == [tuple(r) for r in full.collect()]
+
+
+def test_scd2_refresh_equals_full_history(spark):
+    old = [(1, 1, 10, "c", "a"), (1, 2, 30, "u", "b"), (2, 3, 15, "c", "x"), (3, 4, 5, "c", "q")]
+    new = [(1, 5, 20, "u", "late"),          # falls between key 1's two versions
+           (2, 6, 40, "d", None),            # closes key 2
+           (4, 7, 50, "c", "n")]             # a new key; key 3 is untouched
+    schema = "k int, seq long, ts long, op string, v string"
+    log = spark.createDataFrame(old + new, schema)
+    stored = changes.scd2_history(spark.createDataFrame(old, schema), "k", ["v"])
+    got = changes.scd2_refresh(stored, log, spark.createDataFrame(new, schema), "k", ["v"])
+    want = changes.scd2_history(log, "k", ["v"])
+    key = lambda r: (r.k, r.valid_from)
+    assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)
+    assert [(r.v, r.valid_to) for r in sorted(got.where("k = 1").collect(), key=key)] == \
+        [("a", 20), ("late", 30), ("b", None)]

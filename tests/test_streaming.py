@@ -198,6 +198,28 @@ def test_compaction_equals_full_log(spark, scratch):
     assert view() == want
 
 
+def test_history_snapshots_equal_full_history(spark, scratch):
+    from cdc_lake.streaming.compaction import SnapshotStore, compact_history, history_view
+    msgs = messages.user_messages(Tables(spark, SF_SMALL))
+    src = os.path.join(scratch, "users")
+    _write_files(msgs, src, [0, 600, 1200, 1800, 10**9])
+    lake = os.path.join(scratch, "lake")
+    _run(spark, USERS, src, lake, os.path.join(scratch, "ckpt"))
+    log = LakeTable(spark, lake, "users_log")
+    store = SnapshotStore(spark, lake, "users_history")
+    cols = ["value", "props"]
+    full = changes.scd2_history(log.read(), "user_id", cols, ("ts_ms", "seq"), ts="ts_ms")
+    rows = lambda df: sorted(
+        (r.user_id, r.valid_from, r.valid_to, r.value, r.props, r.is_current) for r in df.collect())
+    want = rows(full)
+    assert rows(history_view(spark, log, store, "user_id", cols)) == want
+    assert compact_history(spark, log, store, "user_id", cols, 1) == 1
+    assert rows(history_view(spark, log, store, "user_id", cols)) == want
+    assert compact_history(spark, log, store, "user_id", cols, 3) == 3
+    assert store.versions() == [1, 3]
+    assert rows(history_view(spark, log, store, "user_id", cols)) == want
+
+
 def test_tombstone_blocks_late_resurrection(spark):
     base = spark.createDataFrame([(1, 5, 50, "d", None)], "k int, seq long, ts long, op string, v string")
     late = spark.createDataFrame([(1, 2, 20, "u", "old")], "k int, seq long, ts long, op string, v string")
