@@ -64,15 +64,17 @@ def _hot_rows(df: DataFrame, key: list[str], share: float, value: Column | None
 
     One job: the grouped pass keeps the ``1 / share + 1`` largest keys
     (``TakeOrderedAndProject``, so at most that many rows reach the driver)
-    while an observation counts all rows; no more than ``1 / share`` keys can
-    each hold more than ``share`` of them, so none is missed.
+    while an observation sums the per-key counts; no more than ``1 / share``
+    keys can each hold more than ``share`` of the rows, so none is missed.
+    The observation sits after the final aggregate, in the result stage, so
+    a stage re-run after a lost executor cannot count rows twice.
     """
     obs = Observation()
     aggs = [F.count(F.lit(1)).alias("_n")]
     if value is not None:
         aggs += [F.min(value).alias("_lo"), F.max(value).alias("_hi")]
-    top = (df.observe(obs, F.count(F.lit(1)).alias("rows"))
-           .groupBy(*key).agg(*aggs).where(F.col("_n") > F.lit(min_rows))
+    top = (df.groupBy(*key).agg(*aggs).observe(obs, F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"))
+           .where(F.col("_n") > F.lit(min_rows))
            .orderBy(F.col("_n").desc()).limit(int(1 / share) + 1))
     rows = top.collect()
     floor = max(obs.get["rows"] * share, min_rows)
