@@ -62,3 +62,15 @@ def test_delta_merge_sink_is_gated():
             delta_sink._delta()
         return
     assert delta_sink._delta() is not None
+
+
+def test_table_handle_is_shared_and_refreshable(spark):
+    from conftest import SF_SMALL
+    from cdc_lake.sources.tables import Tables
+    a, b = Tables.of(spark, SF_SMALL), Tables.of(spark, SF_SMALL + "/")
+    assert a is b                                   # one handle per session and folder
+    first = a.orders
+    assert a.orders is first                        # resolved once
+    a.refresh()
+    assert a.orders is not first                    # re-read after refresh
+    assert a.orders.count() == first.count()
