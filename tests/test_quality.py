@@ -3,6 +3,7 @@ do not reach (NULL in CHECK rules, null foreign keys, duplicate payments,
 reasons without orders), plus the eager upsert and the expiry step of SCD2."""
 
 import datetime as dt
+import re
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -173,3 +174,6 @@ def test_scd2_refresh_equals_full_history(spark):
     assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)
     assert [(r.v, r.valid_to) for r in sorted(got.where("k = 1").collect(), key=key)] == \
         [("a", 20), ("late", 30), ("b", None)]
+    got.collect()                              # AQE's final plan: stored rows are not shuffled
+    p = got._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in p and re.search(r"BroadcastHashJoin \[k#\d+\], \[k#\d+\], LeftAnti", p)
