@@ -118,6 +118,12 @@ def _equi_depth_ranges(df: DataFrame, key: list[str], rows, schema, split: HotSp
             edges = [lo, *bounds, hi + 1]
             lows = edges[:-1]
             widths = [max((edges[i + 1] - edges[i]) * split.rows_per_bucket * mk / n, 1.0) for i in range(mk)]
+        # Pad to a power of two so the range index is a fixed binary search
+        # (bounds: +inf; unused ranges are never selected).
+        size = _pow2(m)
+        bounds = bounds + [_LONG_MAX] * (size - 1 - len(bounds))
+        lows = lows + [lows[-1]] * (size - len(lows))
+        widths = widths + [1.0] * (size - len(widths))
         out.append((*[r[k] for k in key], bounds, lows, widths))
     kt = [schema[k] for k in key]
     return spark.createDataFrame(out, T.StructType([
@@ -127,6 +133,13 @@ def _equi_depth_ranges(df: DataFrame, key: list[str], rows, schema, split: HotSp
                                                                      "_lows", "_widths")
 
 
+_LONG_MAX = (1 << 63) - 1
+
+
+def _pow2(n: int) -> int:
+    return 1 << max(n - 1, 0).bit_length()
+
+
 def _with_bucket(df: DataFrame, key: list[str], bucket):
     """``df`` with the ``_bucket`` column, and a filter selecting the rows that
     need a summary (None: all rows).  None instead of the pair when a
@@ -144,10 +157,24 @@ def _with_bucket(df: DataFrame, key: list[str], bucket):
         fine = bucket.bucket.cast("long")
     else:
         hot = _equi_depth_ranges(df, key, rows, schema, bucket)
-        v = bucket.order_value.cast("long")
-        q = F.size(F.filter(F.col("_bounds"), lambda b: b <= v))      # range index, 0 .. ranges-1
+        # Bounded broadcast: at most 1 / share hot keys, collected above.
+        marked = df.join(F.broadcast(hot), key, "left").withColumn("_v", bucket.order_value.cast("long"))
+        # Range index = number of bounds <= v, by binary search over the padded
+        # bounds: log2(ranges) steps of one array read each (code-generated;
+        # every step is its own projection, which Catalyst keeps because the
+        # index is read more than once).
+        marked = marked.withColumn("_q", F.lit(0))
+        step = _pow2(bucket.ranges) // 2
+        while step:
+            marked = marked.withColumn("_q", F.col("_q") + F.when(
+                F.element_at("_bounds", F.col("_q") + step) <= F.col("_v"), F.lit(step)).otherwise(F.lit(0)))
+            step //= 2
+        q = F.col("_q")
         lo, width = F.element_at("_lows", q + 1), F.element_at("_widths", q + 1)
-        fine = q.cast("long") * F.lit(1 << 31) + F.floor((v - lo).cast("double") / width).cast("long")
+        fine = q.cast("long") * F.lit(1 << 31) + F.floor((F.col("_v") - lo).cast("double") / width).cast("long")
+        is_hot = F.coalesce(F.col(_HOT), F.lit(False))
+        marked = marked.withColumn(_B, F.when(is_hot, fine).otherwise(F.lit(0).cast("long")))
+        return marked.withColumn(_HOT, is_hot), F.col(_HOT)
     # Bounded broadcast: at most 1 / share hot keys, collected above.
     marked = df.join(F.broadcast(hot), key, "left")
     is_hot = F.coalesce(F.col(_HOT), F.lit(False))
