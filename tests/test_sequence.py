@@ -165,3 +165,10 @@ def test_hot_key_detection_matches_brute_force(spark):
     for share in (0.01, 0.02, 0.03):
         want = sorted(k for k, n in counts.items() if n > share * len(rows))
         assert sorted(r.k for r in hot_keys(df, ["k"], share).collect()) == want
+
+
+def test_range_count_not_a_power_of_two(spark):
+    """Padding of the quantile bounds: 10 ranges search a 16-slot array."""
+    df = _skewed(spark, n=6000)
+    _check_split(spark, df, HotSplit(share=0.1, order_value=F.col("ts"), rows_per_bucket=100, ranges=10))
+    _check_split(spark, df, HotSplit(share=0.1, order_value=F.col("ts"), rows_per_bucket=100, ranges=1))
