@@ -43,13 +43,14 @@ def current_table(spark: SparkSession, lake: str, table: str) -> DataFrame:
     return changes.current_state(change_log(spark, lake, table), PRIMARY_KEYS[table], _row_cols(table), LOG_ORDER)
 
 
-def history_table(spark: SparkSession, lake: str, table: str) -> DataFrame:
+def history_table(spark: SparkSession, lake: str, table: str, key=None) -> DataFrame:
     """SCD2 view of a source table: versions with event-time validity.  Uses
     the newest history snapshot (``compact_history``) plus the log after it
-    when one exists, else the whole log."""
+    when one exists, else the whole log.  With ``key``, that key's versions
+    only, read through a filter on snapshot and log."""
     log = LakeTable(spark, lake, f"{table}_log")
     store = SnapshotStore(spark, lake, f"{table}_history")
-    h = history_view(spark, log, store, PRIMARY_KEYS[table], _row_cols(table))
+    h = history_view(spark, log, store, PRIMARY_KEYS[table], _row_cols(table), value=key)
     return (h.withColumn("valid_from", ms_to_ts("valid_from"))
              .withColumn("valid_to", ms_to_ts("valid_to")))
 
@@ -128,9 +129,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         else:
             pl.await_any(spark)
     elif a.cmd == "history":
-        hist = history_table(spark, a.lake, a.table)
         if a.key is not None:
-            rows = changes.history_lookup(hist, PRIMARY_KEYS[a.table], a.key)
+            rows = history_table(spark, a.lake, a.table, a.key).orderBy("valid_from")
             if rows.isEmpty():
                 print(f"no history for {PRIMARY_KEYS[a.table]} = {a.key}")
             else:

@@ -236,18 +236,35 @@ def history_head(log: DataFrame, key: str, cols: list[str], n: int = 10, order=O
         F.col(key).asc_nulls_first(), F.col("valid_from").asc_nulls_first()).limit(n)
 
 
-def history_lookup(history: DataFrame, key: str, value, order: str = "valid_from") -> DataFrame:
-    """Versions of one key in time order.  The key must be an integer; the
-    filter is a plain equality, pushed down to the scan of a stored history
-    (or through the per-key window to the change-log scan)."""
+def _int_key(key: str, value) -> int:
+    """The lookup key as an integer (the reader's argument check)."""
     if isinstance(value, bool) or not isinstance(value, int):
         try:
             value = int(str(value), 10)
         except ValueError:
             raise ValueError(f"{key} must be an integer, got {value!r}") from None
-    return history.where(F.col(key) == F.lit(value)).orderBy(order)
+    return value
 
 
+def history_lookup(history: DataFrame, key: str, value, order: str = "valid_from") -> DataFrame:
+    """Versions of one key in time order.  The key must be an integer; the
+    filter is a plain equality, pushed down to the scan of a stored history
+    (or through the per-key window to the change-log scan)."""
+    return history.where(F.col(key) == F.lit(_int_key(key, value))).orderBy(order)
+
+
+def history_of(log: DataFrame, key: str, value, cols: list[str], order=ORDER, ts: str = "ts",
+               bucket=None) -> DataFrame:
+    """Versions of one key built from that key's change rows only.
+
+    The history of a key depends on its own rows alone, so the equality
+    filter is applied to the log first: it reaches the scan before anything
+    runs, including the eager hot-key check of ``bucket`` (which would
+    otherwise group the whole log to answer a one-key question).
+    """
+    v = _int_key(key, value)
+    return scd2_history(log.where(F.col(key) == F.lit(v)), key, cols, order, ts, bucket).orderBy("valid_from")
+
 def scd2_expire(history: DataFrame, keys: DataFrame, key: str, at) -> DataFrame:
     """Close the open version of the given keys at ``at`` (matched-update only)."""
     k = keys.select(key).distinct().withColumn("_hit", F.lit(True))

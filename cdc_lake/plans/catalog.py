@@ -188,7 +188,8 @@ def q_scd2_current(spark, d):
 
 
 def q_history_lookup(spark, d):
-    return changes.history_lookup(_history(_t(spark, d)), "user_id", LOOKUP_USER)
+    return changes.history_of(feeds.chg_users(_t(spark, d)), "user_id", LOOKUP_USER, USER_COLS,
+                              bucket=time_split())
 
 
 def q_history_head(spark, d):

@@ -107,11 +107,18 @@ def compact_history(spark: SparkSession, log: LakeTable, store: SnapshotStore, k
 
 
 def history_view(spark: SparkSession, log: LakeTable, store: SnapshotStore, key: str, cols: list[str],
-                 ts: str = "ts_ms") -> DataFrame:
-    """SCD2 history = newest complete history snapshot, refreshed with the log after it."""
+                 ts: str = "ts_ms", value=None) -> DataFrame:
+    """SCD2 history = newest complete history snapshot, refreshed with the log after it.
+    With ``value``, the history of that key only: snapshot and log are
+    filtered to it first, so nothing reads or groups other keys' rows."""
     prev = store.latest()
     full = log.read()
+    if value is not None:
+        full = full.where(F.col(key) == F.lit(changes._int_key(key, value)))
     if prev is None:
         return changes.scd2_history(full, key, cols, LOG_ORDER, ts=ts)
-    return changes.scd2_refresh(store.read(prev), full, full.where(F.col("batch_id") > prev),
+    stored = store.read(prev)
+    if value is not None:
+        stored = stored.where(F.col(key) == F.lit(changes._int_key(key, value)))
+    return changes.scd2_refresh(stored, full, full.where(F.col("batch_id") > prev),
                                 key, cols, LOG_ORDER, ts=ts)

@@ -74,3 +74,13 @@ def test_table_handle_is_shared_and_refreshable(spark):
     a.refresh()
     assert a.orders is not first                    # re-read after refresh
     assert a.orders.count() == first.count()
+
+
+def test_history_of_filters_first(spark):
+    log = spark.createDataFrame([(7, 1, 10, "c", "a"), (7, 2, 20, "u", "b"), (8, 3, 15, "c", "x")],
+                                "user_id long, seq long, ts long, op string, v string")
+    full = changes.history_lookup(changes.scd2_history(log, "user_id", ["v"]), "user_id", 7)
+    one = changes.history_of(log, "user_id", "7", ["v"])
+    assert [tuple(r) for r in one.collect()] == [tuple(r) for r in full.collect()]
+    with pytest.raises(ValueError):
+        changes.history_of(log, "user_id", "seven", ["v"])

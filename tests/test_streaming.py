@@ -218,6 +218,8 @@ def test_history_snapshots_equal_full_history(spark, scratch):
     assert compact_history(spark, log, store, "user_id", cols, 3) == 3
     assert store.versions() == [1, 3]
     assert rows(history_view(spark, log, store, "user_id", cols)) == want
+    k = want[0][0]
+    assert rows(history_view(spark, log, store, "user_id", cols, value=k)) == [r for r in want if r[0] == k]
 
 
 def test_tombstone_blocks_late_resurrection(spark):
