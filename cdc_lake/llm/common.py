@@ -12,6 +12,7 @@ from cdc_lake.session import checkpoint_dir
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Words of the shingle operators: runs of anything but space and \t \n \v \f \r.
 WORD_SPLIT = "[\\x20\\x09-\\x0D]+"
+WORD_SPACE = " \t\n\x0b\x0c\r"
 SHINGLE_WORDS = 5
 SIMILARITY = 0.75
 #: A table is broadcast only after its rows were counted and found to be at most this many.
@@ -35,7 +36,19 @@ def lower_ascii(col: Column) -> Column:
 
 def words_of(col: Column) -> Column:
     """Lower-cased (A-Z) words of a text, in order; empty array for none."""
-    return F.filter(F.split(lower_ascii(col), WORD_SPLIT), lambda w: w != "")
+    inner = F.btrim(lower_ascii(col), F.lit(WORD_SPACE))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, WORD_SPLIT))
+
+
+def ngram_rows(df: DataFrame, words: str, n: int, keep: list[str]) -> DataFrame:
+    """One row per n-gram of the array column ``words``: the ``keep`` columns and w0 .. w(n-1).
+
+    ``inline`` over zipped slices stays inside generated code, unlike a lambda per position.
+    """
+    count = F.size(words) - (n - 1)
+    zipped = F.arrays_zip(*[F.slice(words, k + 1, count).alias(f"w{k}") for k in range(n)])
+    named = zipped.cast("array<struct<" + ",".join(f"w{k}:string" for k in range(n)) + ">>")
+    return df.where(F.size(words) >= n).select(*keep, F.inline(named))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
