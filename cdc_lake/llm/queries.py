@@ -9,7 +9,7 @@ from .kd_shards import kd_shards
 
 # Words and 5-word shingles in DuckDB: w is the list of lower-cased words.
 LOWER = f"translate(coalesce(text, ''), '{C.UPPER}', '{C.UPPER.lower()}')"
-WORDS = f"list_filter(regexp_split_to_array({LOWER}, '[\\x20\\x09-\\x0D]+'), x -> x <> '')"
+WORDS = f"list_filter(regexp_split_to_array({LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 
 
 def op2_decontaminate(spark, sf_dir):
@@ -35,12 +35,12 @@ ORACLE = {
         WITH iw AS (SELECT item_id, {WORDS} AS w FROM benchmark),
         ish AS (SELECT DISTINCT item_id, least(len(w), 5) AS n,
                        unnest(list_transform(range(1, len(w) - least(len(w), 5) + 2),
-                                             i -> array_to_string(w[i:i + least(len(w), 5) - 1], ' '))) AS shingle
+                                             lambda i: array_to_string(w[i:i + least(len(w), 5) - 1], ' '))) AS shingle
                 FROM iw WHERE len(w) > 0),
         q AS (SELECT item_id, count(*) AS item_shingles FROM ish GROUP BY item_id),
         dw AS (SELECT doc_id, {WORDS} AS w FROM documents),
         dsh AS (SELECT DISTINCT doc_id, n, unnest(list_transform(range(1, len(w) - n + 2),
-                                                  i -> array_to_string(w[i:i + n - 1], ' '))) AS shingle
+                                                  lambda i: array_to_string(w[i:i + n - 1], ' '))) AS shingle
                 FROM dw, (SELECT DISTINCT n FROM ish) WHERE len(w) >= n),
         m AS (SELECT doc_id, item_id, count(*) AS matched FROM dsh JOIN ish USING (n, shingle) GROUP BY ALL)
         SELECT doc_id, item_id, item_shingles, matched, matched / item_shingles AS containment
