@@ -23,6 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Path of an installed public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def text_of(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 

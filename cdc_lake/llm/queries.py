@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import common as C
+from .bpe import encode_digest
 from .decontaminate import leaks
 from .exact_dedup import exact_dedup
 from .kd_shards import kd_shards
@@ -12,6 +13,10 @@ LOWER = f"translate(coalesce(text, ''), '{C.UPPER}', '{C.UPPER.lower()}')"
 WORDS = f"list_filter(regexp_split_to_array({LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 
 
+def op1_bpe(spark, sf_dir):
+    return encode_digest(C.table(spark, sf_dir, "documents"), C.vocabulary("byte_bpe_50k.json"))
+
+
 def op2_decontaminate(spark, sf_dir):
     return leaks(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
 
@@ -25,6 +30,7 @@ def op6_exact_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
     "op5_kd_shards": op5_kd_shards,
     "op6_exact_dedup": op6_exact_dedup,
