@@ -80,3 +80,21 @@ def anti_rows(docs: DataFrame, key: Column, drop: DataFrame, drop_key: str) -> D
     """Rows of ``docs`` whose key is not among the (written) ``drop`` keys; all columns of ``docs``, null keys kept."""
     d = small(drop)
     return docs.join(d, key.eqNullSafe(d[drop_key]), "left_anti")
+
+
+def fold(id_col: Column, k: int) -> Column:
+    """crc32 of the id as text, modulo ``k``; a null id counts as empty text."""
+    return F.pmod(F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")), F.lit(k))
+
+
+def hash_sample(df: DataFrame, id_col: str, rows: int, total: int) -> DataFrame:
+    """About ``rows`` of ``total`` rows, chosen by a hash of the id: the same rows on every run."""
+    if total <= rows:
+        return df
+    return df.where(F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(1_000_000)) < int(1e6 * rows / total))
+
+
+def labelled(labels: DataFrame, label: str, id_col: str = "doc_id", folds: int = 5) -> DataFrame:
+    """(doc_id, y) of the labelled rows outside the held-out fold; of several labels of one id the largest counts."""
+    return (labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & (fold(F.col(id_col), folds) != 0))
+            .groupBy(F.col(id_col).alias("doc_id")).agg(F.max(F.col(label).cast("int")).alias("y")))

@@ -7,6 +7,7 @@ from .bpe import encode_digest
 from .decontaminate import leaks
 from .exact_dedup import exact_dedup
 from .kd_shards import kd_shards
+from .toxicity import toxicity
 
 # Words and 5-word shingles in DuckDB: w is the list of lower-cased words.
 LOWER = f"translate(coalesce(text, ''), '{C.UPPER}', '{C.UPPER.lower()}')"
@@ -29,11 +30,16 @@ def op6_exact_dedup(spark, sf_dir):
     return exact_dedup(C.table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark, sf_dir):
+    return toxicity(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
     "op5_kd_shards": op5_kd_shards,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_toxicity": op8_toxicity,
 }
 
 ORACLE = {
