@@ -7,6 +7,7 @@ from .bpe import encode_digest
 from .decontaminate import leaks
 from .exact_dedup import exact_dedup
 from .kd_shards import kd_shards
+from .pu_quality import quality
 from .toxicity import toxicity
 
 # Words and 5-word shingles in DuckDB: w is the list of lower-cased words.
@@ -34,12 +35,17 @@ def op8_toxicity(spark, sf_dir):
     return toxicity(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "labels"))
 
 
+def op10_pu_quality(spark, sf_dir):
+    return quality(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
     "op5_kd_shards": op5_kd_shards,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_toxicity": op8_toxicity,
+    "op10_pu_quality": op10_pu_quality,
 }
 
 ORACLE = {
