@@ -9,6 +9,7 @@ from .exact_dedup import exact_dedup
 from .kd_shards import kd_shards
 from .pu_quality import quality
 from .toxicity import toxicity
+from .warc import round_trip
 
 # Words and 5-word shingles in DuckDB: w is the list of lower-cased words.
 LOWER = f"translate(coalesce(text, ''), '{C.UPPER}', '{C.UPPER.lower()}')"
@@ -23,6 +24,10 @@ def op2_decontaminate(spark, sf_dir):
     return leaks(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
 
 
+def op4_warc(spark, sf_dir):
+    return round_trip(C.table(spark, sf_dir, "pages"))
+
+
 def op5_kd_shards(spark, sf_dir):
     return kd_shards(C.table(spark, sf_dir, "documents"), shards=8)
 
@@ -42,6 +47,7 @@ def op10_pu_quality(spark, sf_dir):
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
+    "op4_warc": op4_warc,
     "op5_kd_shards": op5_kd_shards,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_toxicity": op8_toxicity,
@@ -63,6 +69,14 @@ ORACLE = {
         m AS (SELECT doc_id, item_id, count(*) AS matched FROM dsh JOIN ish USING (n, shingle) GROUP BY ALL)
         SELECT doc_id, item_id, item_shingles, matched, matched / item_shingles AS containment
         FROM m JOIN q USING (item_id) WHERE matched >= 0.75 * item_shingles""",
+    "op4_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        g AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS keep, count(*) OVER (PARTITION BY html) AS n,
+                     row_number() OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST) AS place FROM p)
+        SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest,
+               CASE WHEN strlen(html) >= 1000 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN strlen(html) >= 1000 AND place > 1 THEN keep END AS refers_to
+        FROM g""",
     "op6_exact_dedup": f"""
         WITH d AS (SELECT doc_id, sha256({LOWER}) AS text_sha256 FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY text_sha256) AS keep_id,
