@@ -7,6 +7,7 @@ from .bpe import encode_digest
 from .decontaminate import leaks
 from .exact_dedup import exact_dedup
 from .kd_shards import kd_shards
+from .ngram_join import ngram_components
 from .pu_quality import quality
 from .toxicity import toxicity
 from .warc import round_trip
@@ -36,6 +37,10 @@ def op6_exact_dedup(spark, sf_dir):
     return exact_dedup(C.table(spark, sf_dir, "documents"))
 
 
+def op7_ngram_join(spark, sf_dir):
+    return ngram_components(C.table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark, sf_dir):
     return toxicity(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "labels"))
 
@@ -50,6 +55,7 @@ QUERIES = {
     "op4_warc": op4_warc,
     "op5_kd_shards": op5_kd_shards,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_ngram_join": op7_ngram_join,
     "op8_toxicity": op8_toxicity,
     "op10_pu_quality": op10_pu_quality,
 }
