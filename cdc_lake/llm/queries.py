@@ -8,6 +8,7 @@ from .decontaminate import leaks
 from .exact_dedup import exact_dedup
 from .kd_shards import kd_shards
 from .ngram_join import ngram_components
+from .para_dedup import repeated_passages
 from .pu_quality import quality
 from .toxicity import toxicity
 from .warc import round_trip
@@ -45,6 +46,10 @@ def op8_toxicity(spark, sf_dir):
     return toxicity(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "labels"))
 
 
+def op9_para_dedup(spark, sf_dir):
+    return repeated_passages(C.table(spark, sf_dir, "documents"))
+
+
 def op10_pu_quality(spark, sf_dir):
     return quality(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "labels"))
 
@@ -57,6 +62,7 @@ QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_ngram_join": op7_ngram_join,
     "op8_toxicity": op8_toxicity,
+    "op9_para_dedup": op9_para_dedup,
     "op10_pu_quality": op10_pu_quality,
 }
 
