@@ -6,6 +6,7 @@ from . import common as C
 from .bpe import encode_digest
 from .decontaminate import leaks
 from .exact_dedup import exact_dedup
+from .katz import katz_scores
 from .kd_shards import kd_shards
 from .ngram_join import ngram_components
 from .para_dedup import repeated_passages
@@ -26,6 +27,10 @@ def op2_decontaminate(spark, sf_dir):
     return leaks(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
 
 
+def op3_katz(spark, sf_dir):
+    return katz_scores(C.table(spark, sf_dir, "documents"))
+
+
 def op4_warc(spark, sf_dir):
     return round_trip(C.table(spark, sf_dir, "pages"))
 
@@ -57,6 +62,7 @@ def op10_pu_quality(spark, sf_dir):
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
+    "op3_katz": op3_katz,
     "op4_warc": op4_warc,
     "op5_kd_shards": op5_kd_shards,
     "op6_exact_dedup": op6_exact_dedup,
