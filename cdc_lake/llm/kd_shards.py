@@ -15,7 +15,8 @@ shards leave some shards empty.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -24,6 +25,7 @@ from . import common as C
 BITS, ROUNDS = 15, 4          # 24 bits of coordinate, 36 bits of hash
 DIMS = ("size", "ratio", "lang", "source")
 SLOT_ROWS = 20_000
+FILES, POINTS_PER_FILE = 8, 500_000
 
 
 def _unit(col: Column) -> Column:
@@ -53,48 +55,52 @@ def _points(rows: DataFrame) -> DataFrame:
     """One weighted point per group piece."""
     return rows.groupBy("g", "text_crc32", "piece").agg(
         F.sum("size").alias("weight"), *[F.min(f"v_{d}").alias(f"v_{d}") for d in DIMS]).withColumn(
-        "tie", F.shiftrightunsigned(F.xxhash64("g", "piece", "text_crc32"), 28)).withColumn("node", F.lit(1))
+        "tie", F.shiftrightunsigned(F.xxhash64("g", "piece", "text_crc32"), 28)).withColumn("node", F.lit(1).cast("long"))
+
+
+def _nodes(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A broadcast table of one row per open node (at most one per shard), from literals."""
+    return F.broadcast(spark.range(1).select(F.inline(F.array(*[
+        F.struct(*[F.lit(v).cast("long").alias(k) for k, v in zip(names, r)]) for r in rows]))))
 
 
 def _cut(points: DataFrame, nodes: dict[int, int]) -> tuple[DataFrame, dict[int, int]]:
     """One level: cut every node (number -> shards) of more than one shard."""
     spark = points.sparkSession
     open_ = {n: p for n, p in nodes.items() if p > 1}
-    wide = points.where(F.col("node").isin(*open_)).groupBy("node").agg(
-        F.sum("weight").alias("weight"), *[(F.max(f"v_{d}") - F.min(f"v_{d}")).alias(d) for d in DIMS])
-    state = {}
-    for r in wide.collect():  # one row per node, at most as many as shards
-        p = open_[r["node"]]
-        state[r["node"]] = [max(DIMS, key=lambda d: r[d]), 0, int(r["weight"]) * (p // 2) // p]
-    if state:
-        dim = F.lit(None).cast("long")
-        for n, (d, _, _) in state.items():
-            dim = F.when(F.col("node") == n, F.col(f"v_{d}")).otherwise(dim)
-        keyed = points.withColumn("k", F.shiftleft(dim, 36).bitwiseOR(F.col("tie")))
-        for rnd in range(ROUNDS):
-            shift = BITS * (ROUNDS - 1 - rnd)
-            at = spark.createDataFrame([(n, s[1], s[2]) for n, s in state.items()], "node int, prefix long, want long")
-            hist = (keyed.join(F.broadcast(at), "node")
-                    .where(F.shiftright("k", shift + BITS) == F.col("prefix"))
-                    .groupBy("node", "want", F.shiftright("k", shift).alias("b")).agg(F.sum("weight").alias("w")))
-            w = W.partitionBy("node").orderBy("b")  # at most 2**15 histogram rows per node
-            cum = hist.withColumn("cum", F.sum("w").over(w))
-            got = cum.where("cum >= want").groupBy("node").agg(F.min_by(F.struct("b", "w", "cum"), "b").alias("x"))
-            for r in got.collect():  # one row per node
-                s, x = state[r["node"]], r["x"]
-                before = x["cum"] - x["w"]
-                s[1], s[2] = x["b"], s[2] - before
-                if rnd == ROUNDS - 1 and x["w"] - s[2] > s[2]:
-                    s[1] -= 1  # nearer without the crossing point
-        side = F.lit(0)
-        for n, (_, key, _) in state.items():
-            side = F.when(F.col("node") == n, (F.col("k") > key).cast("int")).otherwise(side)
-        child = F.when(F.col("node").isin(*open_), F.col("node") * 2 + side).otherwise(F.col("node"))
-        points = C.written(keyed.withColumn("node", child).drop("k"), "kd-level")
     out = {n: p for n, p in nodes.items() if p == 1}
     for n, p in open_.items():
         out |= {2 * n: p // 2, 2 * n + 1: p - p // 2}
-    return points, out
+    wide = points.groupBy("node").agg(
+        F.sum("weight").alias("weight"), *[(F.max(f"v_{d}") - F.min(f"v_{d}")).alias(d) for d in DIMS])
+    state = {}
+    for r in wide.collect():  # one row per node, at most as many as shards
+        if p := open_.get(r["node"]):
+            best = max(range(len(DIMS)), key=lambda k: r[DIMS[k]])
+            state[r["node"]] = [best, 0, int(r["weight"]) * (p // 2) // p]
+    if not state:
+        return points, out
+    dims = _nodes(spark, [(n, s[0] + 1) for n, s in state.items()], ["node", "dim"])
+    value = F.element_at(F.array(*[F.col(f"v_{d}") for d in DIMS]), F.col("dim").cast("int"))
+    keyed = points.join(dims, "node", "left").withColumn("k", F.shiftleft(value, 36).bitwiseOR(F.col("tie"))).drop("dim")
+    for rnd in range(ROUNDS):
+        shift = BITS * (ROUNDS - 1 - rnd)
+        at = _nodes(spark, [(n, s[1], s[2]) for n, s in state.items()], ["node", "prefix", "want"])
+        hist = (keyed.join(at, "node").where(F.shiftright("k", shift + BITS) == F.col("prefix"))
+                .groupBy("node", "want", F.shiftright("k", shift).alias("b")).agg(F.sum("weight").alias("w")))
+        cum = hist.withColumn("cum", F.sum("w").over(W.partitionBy("node").orderBy("b")))  # 2**15 rows per node
+        got = cum.where("cum >= want").groupBy("node").agg(F.min_by(F.struct("b", "w", "cum"), "b").alias("x"))
+        for r in got.collect():  # one row per node
+            s, x = state[r["node"]], r["x"]
+            s[1], s[2] = x["b"], s[2] - (x["cum"] - x["w"])
+            if rnd == ROUNDS - 1 and x["w"] - s[2] > s[2]:
+                s[1] -= 1  # nearer without the crossing point
+    keys = _nodes(spark, [(n, s[1]) for n, s in state.items()], ["node", "cut"])
+    child = F.when(F.col("cut").isNull(), F.col("node")).otherwise(F.col("node") * 2 + (F.col("k") > F.col("cut")).cast("int"))
+    new = keyed.join(keys, "node", "left").withColumn("node", child).drop("k", "cut").persist(StorageLevel.MEMORY_AND_DISK)
+    new.count()  # kept before the level above is let go; a lost executor's part is derived anew
+    points.unpersist()
+    return new, out
 
 
 def kd_shards(docs: DataFrame, shards: int = 8, target_bytes: int | None = None, id_col: str = "doc_id",
@@ -109,17 +115,20 @@ def kd_shards(docs: DataFrame, shards: int = 8, target_bytes: int | None = None,
                     .select("g", "text_crc32", F.ceil(F.col("w") / limit).cast("int").alias("pieces")), "kd-heavy"))
     rows = base.join(heavy, ["g", "text_crc32"], "left").withColumn(
         "piece", F.pmod(F.xxhash64("doc_id", "rid"), F.coalesce(F.col("pieces"), F.lit(1))).cast("int")).drop("pieces")
-    points, nodes = C.written(_points(rows), "kd-points"), {1: shards}
+    files = max(FILES, -(-base.count() // POINTS_PER_FILE))
+    points, nodes = C.written(_points(rows).coalesce(files), "kd-points").persist(StorageLevel.MEMORY_AND_DISK), {1: shards}
     while max(nodes.values()) > 1:
         points, nodes = _cut(points, nodes)
-    shard = F.lit(None).cast("int")
-    for i, n in enumerate(sorted(nodes, key=lambda n: bin(n)[3:])):
-        shard = F.when(F.col("node") == n, F.lit(i)).otherwise(shard)
-    placed = rows.join(points.select("g", "text_crc32", "piece", shard.alias("shard")), ["g", "text_crc32", "piece"])
+    order = sorted(nodes, key=lambda n: bin(n)[3:])
+    number = _nodes(docs.sparkSession, [(n, i) for i, n in enumerate(order)], ["node", "shard"])
+    leaves = C.written(points.join(number, "node").select("g", "text_crc32", "piece", F.col("shard").cast("int"))
+                       .coalesce(files), "kd-leaves")
+    points.unpersist()
+    placed = rows.join(leaves, ["g", "text_crc32", "piece"])
 
     # Gapless slots: row numbers within bounded hash buckets of a shard, plus the rows of the buckets before.
     buckets = max(1, -(-base.count() // (shards * SLOT_ROWS)))
-    placed = C.written(placed.select("doc_id", "rid", "size", "text_crc32", "shard", F.pmod(
+    placed = C.written(placed.coalesce(files).select("doc_id", "rid", "size", "text_crc32", "shard", F.pmod(
         F.xxhash64("rid", "doc_id"), F.lit(buckets)).alias("bucket")), "kd-placed")
     before = placed.groupBy("shard", "bucket").agg(F.count("*").alias("n")).withColumn(
         "start", F.sum("n").over(W.partitionBy("shard").orderBy("bucket")) - F.col("n")).drop("n")
