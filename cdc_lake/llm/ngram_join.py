@@ -272,10 +272,14 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` (all columns) with one document of each component: the one with the smallest doc_id.
+    """``docs`` (all columns) with one document of each component: the one with the smallest doc_id (nulls last).
 
-    Rows that share the kept doc_id count as that document; rows without a doc_id stay.
+    A document is a doc_id with its text, so texts that share an id are decided one by one; rows that repeat both
+    stay or go together.
     """
-    gone = C.written(ngram_components(docs, id_col, text_col).where("doc_id <> component_id").select(
-        F.col("doc_id").alias("_drop_id")).distinct(), "near-copies")
-    return C.anti_rows(docs, docs[id_col], gone, "_drop_id")
+    sha = F.sha2(C.text_of(text_col), 256)
+    keyed = docs.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), sha.alias("sha"))
+                        .alias("doc_id"), F.col(text_col).alias("text"))
+    gone = C.small(C.written(ngram_components(keyed).where("doc_id <> component_id").select(
+        F.col("doc_id.id").alias("_drop_id"), F.col("doc_id.sha").alias("_drop_sha")).distinct(), "near-copies"))
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["_drop_id"]) & (sha == gone["_drop_sha"]), "left_anti")

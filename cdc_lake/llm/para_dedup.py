@@ -10,8 +10,8 @@ smallest one (a star); only keys that hold different paragraphs are joined back.
 Jaccard similarity of their shingle sets, and verified links form components.
 
 *Removals.*  A component that occurs in two documents or more is a repeated passage; it stays in the document with the
-smallest doc_id and is removed elsewhere.  Neighbouring repeated paragraphs of a document form a run; runs shorter
-than ``MIN_RUN`` words are left alone (the first and the last paragraph of a passage also hold foreign words, so a
+smallest doc_id and is removed elsewhere.  Neighbouring repeated paragraphs of a document (with at most one differing
+one between) form a run; runs shorter than ``MIN_RUN`` words are left alone (the first and the last paragraph of a passage also hold foreign words, so a
 passage of 50 words shows a shorter run).
 
 Cases: null and empty texts have no paragraphs; a text under five words is one paragraph; passages repeated within one
@@ -212,7 +212,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     found = flat.join(C.small(hot, KEY_ROWS), "name")
     w = W.partitionBy("rid").orderBy("pos")  # the paragraphs of one document
-    found = found.withColumn("run", F.col("pos") - F.row_number().over(w))
+    new = (F.col("pos") - F.lag("pos", 1, -9).over(w) > 2).cast("int")  # one differing paragraph does not end a run
+    found = found.withColumn("new", new).withColumn("run", F.sum("new").over(w)).drop("new")
     run = W.partitionBy("rid", "run")
     found = found.withColumn("run_first", F.min("at").over(run)).withColumn(
         "run_words", F.max(F.col("at") + F.col("words")).over(run) - F.col("run_first"))
