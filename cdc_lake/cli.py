@@ -1,15 +1,19 @@
 """Command line: the four programs of a CDC lake deployment.
 
-    python -m cdc_lake.cli process  --lake PATH (--kafka HOST:PORT [--topic-prefix P] | --source-dir DIR)
-    python -m cdc_lake.cli history  --lake PATH [--table Customers] [KEY]
-    python -m cdc_lake.cli current  --lake PATH --table NAME
+    python -m cdc_lake.cli process  --lake PATH --checkpoint PATH (--kafka HOST:PORT [--topic-prefix P] | --source-dir DIR)
+                                    [--decimals number|base64] [--rejoin]
+    python -m cdc_lake.cli compact  --lake PATH [--tables A,B] [--purge-before MS]
+    python -m cdc_lake.cli history  --lake PATH [--table Customers] [KEY] [--limit N] [--out PATH]
+    python -m cdc_lake.cli current  --lake PATH --table NAME [--limit N] [--out PATH]
     python -m cdc_lake.cli top-products --lake PATH [-k 10]
     python -m cdc_lake.cli tap      (--kafka HOST:PORT --topic T | --source-dir DIR)
-    python -m cdc_lake.cli serve    --lake PATH (--kafka HOST:PORT --topic T | --source-dir DIR) [-k 10]
+    python -m cdc_lake.cli serve    --lake PATH --checkpoint PATH (--kafka HOST:PORT --topic T | --source-dir DIR) [-k 10]
 
 ``process`` starts one streaming query per source table and blocks until one
-ends; the others read the change logs it writes.  Only ``k`` (or 10) rows are
-brought to the driver for display.
+ends; ``compact`` folds the logs into current and history snapshots; the
+others read the newest snapshot and the log after it.  A display shows
+``--limit`` rows and says so when there are more; ``--out`` writes all of them
+as Parquet.
 """
 
 from __future__ import annotations
@@ -18,41 +22,46 @@ import argparse
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cdc_lake.contracts import PRIMARY_KEYS, ROW_SCHEMAS
 from cdc_lake.functions.timecols import ms_to_ts
 from cdc_lake.operators import changes, metrics
 from cdc_lake.session import build_session
-from cdc_lake.sources.lake import LakeTable
 from cdc_lake.streaming import pipeline as pl
-from cdc_lake.streaming.compaction import SnapshotStore, history_view
-
-LOG_ORDER = ("ts_ms", "seq")
+from cdc_lake.streaming.changelog import ChangeLog
+from cdc_lake.streaming.compaction import (LOG_ORDER, SnapshotStore, compact_history, compact_log, current_view,
+                                           history_view)
 
 
 def _row_cols(table: str) -> list[str]:
     return [f.name for f in ROW_SCHEMAS[table].fields if f.name != PRIMARY_KEYS[table]]
 
 
-def change_log(spark: SparkSession, lake: str, table: str) -> DataFrame:
-    return LakeTable(spark, lake, f"{table}_log").read()
+def change_log(spark: SparkSession, lake: str, table: str) -> ChangeLog:
+    return ChangeLog(spark, lake, table, pl.source_table_specs(names=[table])[0].log_schema)
 
 
 def current_table(spark: SparkSession, lake: str, table: str) -> DataFrame:
-    """SCD1 view of a source table from its change log (deletes applied)."""
-    return changes.current_state(change_log(spark, lake, table), PRIMARY_KEYS[table], _row_cols(table), LOG_ORDER)
+    """SCD1 view of a source table: newest snapshot and the log after it, deletes applied."""
+    return current_view(spark, change_log(spark, lake, table), SnapshotStore(spark, lake, table),
+                        PRIMARY_KEYS[table], _row_cols(table))
 
 
 def history_table(spark: SparkSession, lake: str, table: str, key=None) -> DataFrame:
-    """SCD2 view of a source table: versions with event-time validity.  Uses
-    the newest history snapshot (``compact_history``) plus the log after it
-    when one exists, else the whole log.  With ``key``, that key's versions
-    only, read through a filter on snapshot and log."""
-    log = LakeTable(spark, lake, f"{table}_log")
+    """SCD2 view of a source table: versions with event-time validity, from
+    the newest history snapshot and the log after it.  With ``key``, that key's
+    versions only, read through a filter on snapshot and log.
+
+    ``effective_date``, ``end_date``, ``source_created_at`` and
+    ``source_updated_at`` are the names of a stored history table; the short
+    names stay beside them.
+    """
     store = SnapshotStore(spark, lake, f"{table}_history")
-    h = history_view(spark, log, store, PRIMARY_KEYS[table], _row_cols(table), value=key)
-    return (h.withColumn("valid_from", ms_to_ts("valid_from"))
-             .withColumn("valid_to", ms_to_ts("valid_to")))
+    h = history_view(spark, change_log(spark, lake, table), store, PRIMARY_KEYS[table], _row_cols(table), value=key)
+    h = h.withColumn("valid_from", ms_to_ts("valid_from")).withColumn("valid_to", ms_to_ts("valid_to"))
+    return h.withColumns({"effective_date": F.col("valid_from"), "end_date": F.col("valid_to"),
+                          "source_created_at": F.col("CreatedAt"), "source_updated_at": F.col("UpdatedAt")})
 
 
 def top_products_table(spark: SparkSession, lake: str, k: int = 10) -> DataFrame:
@@ -62,13 +71,37 @@ def top_products_table(spark: SparkSession, lake: str, k: int = 10) -> DataFrame
                                 product_key="ProductID", name="Name")
 
 
+def compact_table(spark: SparkSession, lake: str, table: str, purge_before: int | None = None) -> int | None:
+    """Bring both snapshots of a table up to its newest batch; returns that batch, None without data."""
+    log = change_log(spark, lake, table)
+    if not log.exists():
+        return None
+    upto = log.read(log.schema).agg(F.max("batch_id")).first()[0]
+    key, cols = PRIMARY_KEYS[table], _row_cols(table)
+    compact_log(spark, log, SnapshotStore(spark, lake, table), key, cols, upto, purge_before)
+    compact_history(spark, log, SnapshotStore(spark, lake, f"{table}_history"), key, cols, upto)
+    return upto
+
+
+def show(df: DataFrame, limit: int, out: str | None) -> None:
+    """Print the first ``limit`` rows, and say so when there are more; write all of them to ``out``."""
+    if out:
+        df.write.mode("errorifexists").parquet(out)
+        print(f"written to {out}")
+        return
+    rows = df.limit(limit + 1).collect()
+    df.sparkSession.createDataFrame(rows[:limit], df.schema).show(limit, truncate=False)
+    if len(rows) > limit:
+        print(f"only the first {limit} rows are shown (--limit N for more, --out PATH for all)")
+
+
 def register_views(spark: SparkSession, lake: str, tables=None) -> list[str]:
     """Temp views ``<table>_current`` and ``<table>_history`` for SQL users, e.g.
     ``spark.sql("SELECT * FROM customers_history WHERE CustomerID = :id ORDER BY
     valid_from", args={"id": 42})`` (the parameter is bound, not spliced)."""
     names = []
     for t in tables or list(ROW_SCHEMAS):
-        if not LakeTable(spark, lake, f"{t}_log").exists():
+        if not change_log(spark, lake, t).exists():
             continue
         current_table(spark, lake, t).createOrReplaceTempView(f"{t.lower()}_current")
         history_table(spark, lake, t).createOrReplaceTempView(f"{t.lower()}_history")
@@ -81,7 +114,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     sub = ap.add_subparsers(dest="cmd", required=True)
     p = sub.add_parser("process")
     p.add_argument("--lake", required=True)
-    p.add_argument("--checkpoint")
+    p.add_argument("--checkpoint", required=True, help="shared folder that outlives the process")
+    p.add_argument("--rejoin", action="store_true", help="read the topics again with a new checkpoint")
+    p.add_argument("--decimals", choices=("number", "base64"), default="number", help="how DECIMAL columns arrive")
     p.add_argument("--kafka")
     p.add_argument("--topic-prefix", default="")
     p.add_argument("--source-dir", help="one sub-folder of message files per table")
@@ -91,9 +126,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     h.add_argument("--lake", required=True)
     h.add_argument("--table", default="Customers")
     h.add_argument("key", nargs="?")
+    h.add_argument("--limit", type=int, default=None, help="rows shown (all versions of a key; 10 without a key)")
+    h.add_argument("--out")
     c = sub.add_parser("current")
     c.add_argument("--lake", required=True)
     c.add_argument("--table", required=True)
+    c.add_argument("--limit", type=int, default=20)
+    c.add_argument("--out")
+    cp = sub.add_parser("compact", help="fold the change logs into current and history snapshots")
+    cp.add_argument("--lake", required=True)
+    cp.add_argument("--tables", default=",".join(ROW_SCHEMAS))
+    cp.add_argument("--purge-before", type=int, help="drop tombstones older than this ts_ms")
     t = sub.add_parser("top-products")
     t.add_argument("--lake", required=True)
     t.add_argument("-k", type=int, default=10)
@@ -102,7 +145,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     sv.add_argument("--kafka")
     sv.add_argument("--topic", default="OrderItems")
     sv.add_argument("--source-dir")
-    sv.add_argument("--checkpoint")
+    sv.add_argument("--checkpoint", required=True)
     sv.add_argument("-k", type=int, default=10)
     sv.add_argument("--every", default="10 seconds")
     sv.add_argument("--available-now", action="store_true")
@@ -114,7 +157,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
 
     spark = spark or build_session(app=f"cdc_lake_{a.cmd}")
     if a.cmd == "process":
-        specs = pl.source_table_specs(a.topic_prefix, a.tables.split(","))
+        specs = pl.source_table_specs(a.topic_prefix, a.tables.split(","), a.decimals)
 
         def source_for(s: pl.TableSpec) -> DataFrame:
             if a.kafka:
@@ -122,35 +165,50 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             return pl.file_source(spark, f"{a.source_dir.rstrip('/')}/{s.name.lower()}")
 
         trigger = {"availableNow": True} if a.available_now else None
-        queries = pl.start_all(spark, specs, source_for, a.lake, a.checkpoint, trigger)
+        queries = pl.start_all(spark, specs, source_for, a.lake, a.checkpoint, trigger, a.rejoin)
         if a.available_now:
             for q in queries:
                 q.awaitTermination()
         else:
             pl.await_any(spark)
+    elif a.cmd in ("history", "current") and a.table not in ROW_SCHEMAS:
+        print(f"unknown table {a.table}: one of {', '.join(ROW_SCHEMAS)}")
+        return 2
+    elif a.cmd in ("history", "current") and not change_log(spark, a.lake, a.table).exists():
+        print(f"no data yet for {a.table} in {a.lake}")
+        return 1
     elif a.cmd == "history":
+        key = PRIMARY_KEYS[a.table]
         if a.key is not None:
-            rows = history_table(spark, a.lake, a.table, a.key).orderBy("valid_from")
+            try:
+                rows = history_table(spark, a.lake, a.table, a.key).orderBy("valid_from")
+            except ValueError as e:
+                print(e)
+                return 2
             if rows.isEmpty():
-                print(f"no history for {PRIMARY_KEYS[a.table]} = {a.key}")
+                print(f"no history for {key} = {a.key}")
             else:
-                rows.show(truncate=False)
+                show(rows, a.limit or rows.count(), a.out)
         else:
-            head = changes.history_head(change_log(spark, a.lake, a.table), PRIMARY_KEYS[a.table],
-                                        _row_cols(a.table), 10, LOG_ORDER, ts="ts_ms")
-            head.withColumn("valid_from", ms_to_ts("valid_from")).withColumn(
-                "valid_to", ms_to_ts("valid_to")).show(10, truncate=False)
+            h = history_table(spark, a.lake, a.table).orderBy(key, "valid_from")
+            show(h, a.limit or 10, a.out)
     elif a.cmd == "current":
-        current_table(spark, a.lake, a.table).show(20, truncate=False)
+        show(current_table(spark, a.lake, a.table), a.limit, a.out)
+    elif a.cmd == "compact":
+        for t in a.tables.split(","):
+            upto = compact_table(spark, a.lake, t, a.purge_before)
+            print(f"{t}: no data yet" if upto is None else f"{t}: compacted up to batch {upto}")
     elif a.cmd == "top-products":
+        if not change_log(spark, a.lake, "OrderItems").exists():
+            print(f"no data yet for OrderItems in {a.lake}")
+            return 1
         top_products_table(spark, a.lake, a.k).show(a.k, truncate=False)
     elif a.cmd == "serve":
         src = (pl.kafka_source(spark, a.kafka, a.topic) if a.kafka else pl.file_source(spark, a.source_dir))
         writer = pl.TopKWriter(lambda s: current_table(s, a.lake, "Products"), f"{a.lake.rstrip('/')}/top_products", a.k)
         trigger = {"availableNow": True} if a.available_now else {"processingTime": a.every}
-        ckpt = a.checkpoint or f"{pl.stream_checkpoint_root(spark)}/top_products"
-        q = pl.start_top_products(src, ROW_SCHEMAS["OrderItems"], writer, ckpt, trigger)
-        q.awaitTermination()
+        spec = pl.source_table_specs(names=["OrderItems"])[0]
+        pl.start_top_products(src, spec, writer, a.checkpoint, trigger).awaitTermination()
     elif a.cmd == "tap":
         src = (pl.kafka_source(spark, a.kafka, a.topic, starting="latest") if a.kafka
                else pl.file_source(spark, a.source_dir))

@@ -21,7 +21,20 @@ OP_CREATE, OP_UPDATE, OP_DELETE, OP_READ = "c", "u", "d", "r"
 OPS = (OP_CREATE, OP_UPDATE, OP_DELETE, OP_READ)
 
 # Dead-letter reasons.
-NULL_VALUE, UNPARSABLE, NO_KEY = "null_value", "unparsable", "no_key"
+NULL_VALUE, UNPARSABLE, BAD_OP, NO_KEY, BAD_DECIMAL = "null_value", "unparsable", "bad_op", "no_key", "bad_decimal"
+# How DECIMAL columns arrive: as JSON numbers, or as base64 of the unscaled value.
+NUMBER, BASE64 = "number", "base64"
+
+
+def decimal_columns(row_schema: T.StructType) -> dict[str, T.DecimalType]:
+    return {f.name: f.dataType for f in row_schema.fields if isinstance(f.dataType, T.DecimalType)}
+
+
+def wire_schema(row_schema: T.StructType) -> T.StructType:
+    """A row image as it is parsed: DECIMAL columns as text, whatever their encoding, so that
+    a value that cannot be decoded is seen instead of turning into null."""
+    return T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.DecimalType) else f.dataType)
+                         for f in row_schema.fields])
 
 
 def envelope_schema(row_schema: T.StructType, with_before: bool = True) -> T.StructType:
@@ -65,7 +78,7 @@ def parse_messages(messages: DataFrame, row_schema: T.StructType, with_before: b
     condition once per field reference and parse every message several times.
     """
     text = F.col("value").cast("string")
-    msg = F.from_json(text, envelope_schema(row_schema, with_before))
+    msg = F.from_json(text, envelope_schema(wire_schema(row_schema), with_before))
     kept = [k for k in keep if k in messages.columns]
     row = F.struct(*[F.col(k) for k in kept], F.col("value").isNull().alias("_null_value"),
                    text.alias("_text"), msg.alias("_m"))
@@ -90,27 +103,48 @@ def change_key(pk: str, legacy_null_key: bool = False, has_before: bool = True)
     return F.coalesce(F.col(f"after.{pk}"), F.col(f"before.{pk}"))
 
 
-def dead_letter_reason(pk: str, legacy_null_key: bool = False, has_before: bool = True) -> Column:
+def decoded_decimal(name: str, kind: T.DecimalType, encoding: str, image: str = "after") -> Column:
+    """A DECIMAL column of an image from its parsed text; null when the text is no such value."""
+    text = F.col(f"{image}.{name}")
+    if encoding == BASE64:
+        value = F.when(text.rlike("^[A-Za-z0-9+/]+={0,2}$") & (F.length(text) % 4 == 0) & (F.length(text) <= 12),
+                       decode_decimal_b64(text, kind.precision, kind.scale))
+        return value
+    return text.try_cast(kind)
+
+
+def dead_letter_reason(pk: str, legacy_null_key: bool = False, has_before: bool = True,
+                       decimals: dict[str, T.DecimalType] | None = None, encoding: str = NUMBER) -> Column:
     """Why a parsed message cannot enter the change log (null when it can)."""
+    lost = F.lit(False)
+    for name, kind in (decimals or {}).items():
+        lost = lost | (F.col(f"after.{name}").isNotNull() & decoded_decimal(name, kind, encoding).isNull())
     return (
         F.when(F.col("_null_value"), F.lit(NULL_VALUE))
         .when(F.col("op").isNull(), F.lit(UNPARSABLE))
+        .when(~F.col("op").isin(*OPS), F.lit(BAD_OP))
         .when(change_key(pk, legacy_null_key, has_before).isNull(), F.lit(NO_KEY))
+        .when(lost, F.lit(BAD_DECIMAL))
     )
 
 
 def to_change_log(parsed: DataFrame, pk: str, row_cols: list[str], seq: str = "offset",
-                  legacy_null_key: bool = False, ns_timestamps: tuple[str, ...] = ()) -> DataFrame:
-    """Valid messages as change-log rows: key, seq, ts_ms, op, after-image columns.
+                  legacy_null_key: bool = False, ns_timestamps: tuple[str, ...] = (),
+                  decimals: dict[str, T.DecimalType] | None = None, encoding: str = NUMBER,
+                  keep: tuple[str, ...] = ()) -> DataFrame:
+    """Valid messages as change-log rows: key, seq, ts_ms, op, after-image columns, and the
+    ``keep`` columns of the message.  ``decimals`` (name to type) are decoded from their text.
 
     Columns named in ``ns_timestamps`` (DATETIME2 sent as epoch nanoseconds)
     become ``TIMESTAMP_NTZ`` exactly, in the current-state path as well as in
     the history path.
     """
     hb = "before" in parsed.columns
-    valid = parsed.where(dead_letter_reason(pk, legacy_null_key, hb).isNull())
+    valid = parsed.where(dead_letter_reason(pk, legacy_null_key, hb, decimals, encoding).isNull())
 
     def image(c: str) -> Column:
+        if c in (decimals or {}):
+            return decoded_decimal(c, decimals[c], encoding).alias(c)
         v = F.col(f"after.{c}")
         return (ns_to_ts(v) if c in ns_timestamps else v).alias(c)
 
@@ -120,13 +154,15 @@ def to_change_log(parsed: DataFrame, pk: str, row_cols: list[str], seq: str = "o
         "ts_ms",
         "op",
         *[image(c) for c in row_cols if c != pk],
+        *keep,
     )
 
 
 def dead_letters(parsed: DataFrame, pk: str, keep: tuple[str, ...] = ("topic", "offset"),
-                 legacy_null_key: bool = False) -> DataFrame:
+                 legacy_null_key: bool = False, decimals: dict[str, T.DecimalType] | None = None,
+                 encoding: str = NUMBER) -> DataFrame:
     """Messages the change log rejects, with the reason and the raw text."""
-    reason = dead_letter_reason(pk, legacy_null_key, "before" in parsed.columns)
+    reason = dead_letter_reason(pk, legacy_null_key, "before" in parsed.columns, decimals, encoding)
     return parsed.where(reason.isNotNull()).select(
         *[k for k in keep if k in parsed.columns], reason.alias("reason"), F.col("_text").alias("raw"))
 

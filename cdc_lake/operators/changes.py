@@ -39,13 +39,6 @@ def latest_per_key(log: DataFrame, key, cols: list[str], order=ORDER, by: list[s
     return log.groupBy(*keys).agg(win.alias("_w")).select(*keys, *[F.col("_w." + c).alias(c) for c in carry])
 
 
-def latest_per_key_window(log: DataFrame, key, order=ORDER, by: list[str] = ()) -> DataFrame:
-    """Same result through ``row_number() = 1``; Spark plans a partial
-    ``WindowGroupLimit`` before the shuffle.  Kept for comparison in tests."""
-    w = Window.partitionBy(*_keys(key), *by).orderBy(*[F.col(o).desc() for o in order])
-    return log.withColumn("_rk", F.row_number().over(w)).where("_rk = 1").drop("_rk")
-
-
 def current_state(log: DataFrame, key, cols: list[str], order=ORDER, apply_deletes: bool = True,
                   order_guard: bool = True, batch: str | None = None) -> DataFrame:
     """SCD type 1: the current row of every key.
@@ -63,17 +56,32 @@ def current_state(log: DataFrame, key, cols: list[str], order=ORDER, apply_delet
 
 
 def upsert(snapshot: DataFrame, changes: DataFrame, key, cols: list[str], order=ORDER,
-           apply_deletes: bool = True) -> DataFrame:
-    """Eager SCD1 merge of one batch into a snapshot: matched rows replaced,
-    new rows inserted, deleted keys removed.  Equivalent to ``MERGE ... WHEN
-    MATCHED UPDATE * WHEN NOT MATCHED INSERT *`` plus the delete clause."""
+           apply_deletes: bool = True, order_guard: bool = True) -> DataFrame:
+    """SCD1 merge of one batch into a snapshot: newer changes replace matched
+    rows, new keys are inserted, deleted keys removed.
+
+    The snapshot carries the ``order`` columns, so an older late change loses
+    against the row it finds.  If it also carries ``op``, deleted keys stay in
+    it as tombstones (op ``d``) and a late change cannot bring them back;
+    readers drop them.  ``order_guard=False`` is the plain ``MERGE ... WHEN MATCHED
+    UPDATE * WHEN NOT MATCHED INSERT *``: the batch wins whatever its event time.
+    """
     keys = _keys(key)
-    last = latest_per_key(changes, key, cols, order)
     if not apply_deletes:
-        last = latest_per_key(changes.where(F.col("op") != OP_DELETE), key, cols, order)
-    kept = snapshot.join(last.select(*keys), keys, "left_anti")
+        changes = changes.where(F.col("op") != OP_DELETE)
     out_cols = [*keys, *[c for c in snapshot.columns if c not in keys]]
-    new = last.where(F.col("op") != OP_DELETE) if apply_deletes else last
+    if order_guard:
+        missing = [o for o in order if o not in snapshot.columns]
+        if missing:
+            raise ValueError(f"the snapshot has no order column {', '.join(missing)}")
+        kept = "op" in snapshot.columns
+        base = snapshot if kept else snapshot.withColumn("op", F.lit(OP_READ))
+        rest = [c for c in snapshot.columns if c not in (*keys, *order, "op")]
+        merged = compact(base, changes, key, rest, order)
+        return (merged if kept else merged.where(F.col("op") != OP_DELETE)).select(*out_cols)
+    last = latest_per_key(changes, key, cols, order)
+    kept = snapshot.join(last.select(*keys), keys, "left_anti")
+    new = last.where(F.col("op") != OP_DELETE)
     return kept.select(*out_cols).unionByName(new.select(*out_cols))
 
 
@@ -110,13 +118,17 @@ def compact(base: DataFrame | None, tail: DataFrame, key, cols: list[str], order
 
 
 def touch_updated_at(log: DataFrame, key, cols: list[str], order=ORDER, ts: str = "ts") -> DataFrame:
-    """Current state with ``created_at`` from the first image and ``updated_at``
-    moved by every later change (what the source's update triggers maintain)."""
+    """Current state with ``created_at`` from the first image (after the last
+    delete, if any) and ``updated_at`` moved by every later change (what the source's update triggers maintain)."""
     keys = _keys(key)
     carry = [c for c in dict.fromkeys([*order, "op", *cols]) if c not in keys]
-    agg = log.groupBy(*keys).agg(
-        F.min(ts).alias("created_at"),
-        F.max_by(F.struct(*[F.col(c) for c in carry]), F.struct(*[F.col(o) for o in order])).alias("_w"),
+    place = F.struct(*[F.col(o) for o in order])
+    # A key that was deleted and created again is a new row: only images after its last delete count.
+    gone = log.where(F.col("op") == OP_DELETE).groupBy(*keys).agg(F.max(place).alias("_gone"))
+    alive = F.col("_gone").isNull() | (place > F.col("_gone"))
+    agg = log.join(gone, keys, "left").groupBy(*keys).agg(
+        F.min(F.when(alive, F.col(ts))).alias("created_at"),
+        F.max_by(F.struct(*[F.col(c) for c in carry]), place).alias("_w"),
         F.count(F.lit(1)).alias("n_changes"),
     )
     return agg.where(F.col("_w.op") != OP_DELETE).select(

@@ -23,27 +23,25 @@ from cdc_lake.operators.sequence import keyed_next, keyed_prev
 def contract_report(df: DataFrame, c: Contract) -> DataFrame:
     """``(table_name, rule, violations)`` for every NOT NULL and CHECK rule and the PK.
 
-    One scan per table: rows are grouped by the primary key (a shuffle the
-    uniqueness check needs anyway) while counting rule failures per key; a
-    second, tiny aggregate sums the per-key counts and counts keys seen twice.
+    The rule counts are a global aggregate: no row is shuffled for them.  The
+    uniqueness check is a second, narrow pass that shuffles only the key and a
+    count (combined map-side).
     """
     rules: list[tuple[str, Column]] = []
     for col in c.not_null:
         rules.append((f"not_null:{col}", F.col(col).isNull()))
     for name, expr in c.checks.items():
         rules.append((f"check:{name}", ~F.expr(expr)))
-    per_key = df.groupBy(*c.pk).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(cond).alias(f"r{i}") for i, (_, cond) in enumerate(rules)])
-    totals = per_key.agg(
-        *[F.coalesce(F.sum(f"r{i}"), F.lit(0)).cast("long").alias(f"r{i}") for i in range(len(rules))],
-        F.count_if(F.col("_n") > 1).cast("long").alias("pk"))
-    names = [*[name for name, _ in rules], "pk_unique"]
-    cols = [*[f"r{i}" for i in range(len(rules))], "pk"]
     table = F.lit(c.table)
-    return totals.select(F.inline(F.array(*[
-        F.struct(table.alias("table_name"), F.lit(n).alias("rule"), F.col(col).alias("violations"))
-        for n, col in zip(names, cols)])))
+    counts = df.agg(*[F.count_if(cond).cast("long").alias(f"r{i}") for i, (_, cond) in enumerate(rules)],
+                    F.lit(0).alias("_any"))
+    twice = df.groupBy(*c.pk).agg(F.count(F.lit(1)).alias("_n")).agg(F.count_if(F.col("_n") > 1).cast("long").alias("pk"))
+    unique = twice.select(table.alias("table_name"), F.lit("pk_unique").alias("rule"), F.col("pk").alias("violations"))
+    if not rules:
+        return unique
+    return counts.select(F.inline(F.array(*[
+        F.struct(table.alias("table_name"), F.lit(n).alias("rule"), F.col(f"r{i}").alias("violations"))
+        for i, (n, _) in enumerate(rules)]))).unionByName(unique)
 
 
 def pk_duplicates(df: DataFrame, pk: list[str]) -> DataFrame:
@@ -56,8 +54,9 @@ def fk_orphans(tables: dict[str, DataFrame], fks) -> DataFrame:
 
     All foreign keys are checked by one join on ``(parent, key)``:
 
-    * each FK contributes rows ``(parent id, key)`` with a count in the slot
-      of that FK among the FKs of its parent; the union is summed per
+    * each child table is read once; a row gives one ``(parent id, key)`` per FK
+      with a count in the slot of that FK among the FKs of its parent; the
+      union is summed per
       ``(parent, key)`` (partial aggregation before the shuffle, so a hot key
       is one row per task);
     * every parent column is read once and made distinct per ``(parent, key)``;
@@ -73,12 +72,13 @@ def fk_orphans(tables: dict[str, DataFrame], fks) -> DataFrame:
         slot.append(sum(1 for g in fks[:i] if (g.parent, g.parent_col) == (fk.parent, fk.parent_col)))
     slots = [f"_n{j}" for j in range(max(slot) + 1)]
 
-    children = union_all([
-        tables[fk.child].select(
+    # One scan per child table, whatever number of foreign keys it has.
+    by_child: dict[str, list[Column]] = {}
+    for i, fk in enumerate(fks):
+        by_child.setdefault(fk.child, []).append(F.struct(
             F.lit(pid[(fk.parent, fk.parent_col)]).alias("parent"), F.col(fk.child_col).cast("long").alias("key"),
-            *[F.lit(int(j == slot[i])).alias(c) for j, c in enumerate(slots)])
-        for i, fk in enumerate(fks)])
-    # One filter; Catalyst pushes it into every branch (and the scans).
+            *[F.lit(int(j == slot[i])).alias(c) for j, c in enumerate(slots)]))
+    children = union_all([tables[child].select(F.inline(F.array(*rows))) for child, rows in by_child.items()])
     keys = (children.where(F.col("key").isNotNull())
             .groupBy("parent", "key").agg(*[F.sum(c).alias(c) for c in slots]))
     par = union_all([tables[t].select(F.lit(pid[(t, c)]).alias("parent"), F.col(c).cast("long").alias("key"))

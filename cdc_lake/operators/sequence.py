@@ -14,21 +14,27 @@ reuses that partitioning, so only the summary moves a second time.
 
 With ``bucket=None`` the operators fall back to the plain per-key window.
 
-``bucket=HotSplit(expr, share)`` splits only the keys that hold more than
-``share`` of all rows.  They are found before the plan is built: a row count
-(no shuffle) and one aggregate pass whose filtered result is collected --
-there can be at most ``1 / share`` such keys, so the list has a proven size
-bound and is broadcast.  Every other key stays in a single bucket and adds no
-summary rows, so the summary is ``hot keys x buckets`` rows instead of up to
-one per row.  When no key is hot the operators use the plain per-key window:
-no join, no summary.
+``bucket=HotSplit(...)`` splits only the keys that hold more rows than one
+task should get (``rows_per_bucket``, whatever their share of the table).
+They are found before the plan is built: a bounded sketch of the most frequent
+keys (``approx_top_k`` of a key hash, combined map-side, no shuffle of rows)
+gives at most ``CANDIDATES`` candidates, which alone are counted exactly; the
+sketch misses no key that holds more than about 1 / 28,000 of the rows.  Every
+other key stays in a single bucket and adds no summary rows, so the summary is
+``hot keys x buckets`` rows instead of up to one per row.  When no key is hot
+the operators use the plain per-key window: no join, no summary.
+
+Split and plain windows give the same rows, also for null keys and null order
+values: the summary is joined by a struct of key and bucket, in which nulls
+are equal, and a null order value falls into the null bucket, which sorts first
+as the null does.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,9 +42,15 @@ _B = "_bucket"
 _HOT = "_hot"
 
 
+# Most frequent keys taken from the sketch, and keys that the sketch tracks.
+CANDIDATES, TRACKED = 10_000, 100_000
+_G = "_group"
+
+
 @dataclass(frozen=True)
 class HotSplit:
-    """Split the keys holding more than ``share`` of the rows.
+    """Split the keys holding more than ``rows_per_bucket`` rows (and more than
+    ``share`` of the rows, if given).
 
     Either by a fixed ``bucket`` expression, or adaptively: with
     ``order_value`` (an integral column monotone in the sort order, e.g.
@@ -52,37 +64,48 @@ class HotSplit:
     be told apart by it and stay together.
     """
     bucket: Column | None = None
-    share: float = 0.001
+    share: float = 0.0
     order_value: Column | None = None
     rows_per_bucket: int = 1_000_000
     ranges: int = 64
 
+    @property
+    def min_rows(self) -> int:
+        """A fixed bucket with a share splits by the share alone."""
+        return 0 if self.order_value is None and self.share else self.rows_per_bucket
+
+
+def _join_keys(df: DataFrame, keys: DataFrame, key: list[str], how: str) -> DataFrame:
+    """``df`` joined with a bounded, broadcast key list; null keys match."""
+    small = keys.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(key)],
+                        *[c for c in keys.columns if c not in key])
+    on = F.lit(True)
+    for i, k in enumerate(key):
+        on = on & df[k].eqNullSafe(small[f"_hk{i}"])
+    return df.join(F.broadcast(small), on, how).drop(*[f"_hk{i}" for i in range(len(key))])
+
 
 def _hot_rows(df: DataFrame, key: list[str], share: float, value: Column | None = None, min_rows: int = 0):
     """Rows ``(*key, _n[, _lo, _hi])`` of the keys holding more than ``share``
-    of all rows (and more than ``min_rows``), and their schema.
-
-    One job: the grouped pass keeps the ``1 / share + 1`` largest keys
-    (``TakeOrderedAndProject``, so at most that many rows reach the driver)
-    while an observation sums the per-key counts; no more than ``1 / share``
-    keys can each hold more than ``share`` of the rows, so none is missed.
-    The observation sits after the final aggregate, in the result stage, so
-    a stage re-run after a lost executor cannot count rows twice.
-    """
-    obs = Observation()
+    of all rows and more than ``min_rows``, and their schema: at most ``CANDIDATES`` rows."""
+    found = (df.select(F.xxhash64(*key).alias("_h"))
+             .agg(F.expr(f"approx_top_k(_h, {CANDIDATES}, {TRACKED})").alias("top"), F.count("*").alias("rows")).first())
+    floor = max(found["rows"] * share, min_rows)
+    # The sketch's counts are upper bounds.
+    hashes = [(t["item"],) for t in found["top"] or [] if t["count"] > floor]
     aggs = [F.count(F.lit(1)).alias("_n")]
     if value is not None:
         aggs += [F.min(value).alias("_lo"), F.max(value).alias("_hi")]
-    top = (df.groupBy(*key).agg(*aggs).observe(obs, F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"))
-           .where(F.col("_n") > F.lit(min_rows))
-           .orderBy(F.col("_n").desc()).limit(int(1 / share) + 1))
-    rows = top.collect()
-    floor = max(obs.get["rows"] * share, min_rows)
-    return [r for r in rows if r["_n"] > floor], top.schema
+    if not hashes:
+        return [], df.limit(0).groupBy(*key).agg(*aggs).schema
+    near = df.sparkSession.createDataFrame(hashes, "_h long")
+    own = df.join(F.broadcast(near), F.xxhash64(*key) == F.col("_h"), "left_semi")
+    top = own.groupBy(*key).agg(*aggs).where(F.col("_n") > F.lit(floor))
+    return top.collect(), top.schema
 
 
 def hot_keys(df: DataFrame, key: list[str], share: float, value: Column | None = None) -> DataFrame:
-    """Keys with more than ``share`` of all rows: at most ``1 / share`` rows.
+    """Keys with more than ``share`` of all rows: at most ``CANDIDATES`` rows.
     With ``value``, also the key's row count and value range."""
     rows, schema = _hot_rows(df, key, share, value)
     return df.sparkSession.createDataFrame(rows, schema)
@@ -100,7 +123,7 @@ def _equi_depth_ranges(df: DataFrame, key: list[str], rows, schema, split: HotSp
     m = split.ranges
     keys = spark.createDataFrame(rows, schema).select(*key)
     v = split.order_value.cast("long")
-    qs = (df.join(F.broadcast(keys), key, "inner")       # at most 1 / share rows: bounded
+    qs = (_join_keys(df, keys, key, "inner")       # at most CANDIDATES keys: bounded
           .groupBy(*key).agg(F.percentile_approx(v, [i / m for i in range(1, m)], 1000).alias("_q"))
           .collect())
     by_key = {tuple(r[k] for k in key): r["_q"] for r in qs}
@@ -148,7 +171,7 @@ def _with_bucket(df: DataFrame, key: list[str], bucket):
         return df.withColumn(_B, bucket), None
     adaptive = bucket.order_value is not None
     rows, schema = _hot_rows(df, key, bucket.share, bucket.order_value.cast("long") if adaptive else None,
-                             bucket.rows_per_bucket if adaptive else 0)
+                             bucket.min_rows)
     if not rows:
         return None
     spark = df.sparkSession
@@ -157,8 +180,8 @@ def _with_bucket(df: DataFrame, key: list[str], bucket):
         fine = bucket.bucket.cast("long")
     else:
         hot = _equi_depth_ranges(df, key, rows, schema, bucket)
-        # Bounded broadcast: at most 1 / share hot keys, collected above.
-        marked = df.join(F.broadcast(hot), key, "left").withColumn("_v", bucket.order_value.cast("long"))
+        # Bounded broadcast: at most CANDIDATES hot keys, collected above.
+        marked = _join_keys(df, hot, key, "left").withColumn("_v", bucket.order_value.cast("long"))
         # Range index = number of bounds <= v, by binary search over the padded
         # bounds: log2(ranges) steps of one array read each (code-generated;
         # every step is its own projection, which Catalyst keeps because the
@@ -175,8 +198,8 @@ def _with_bucket(df: DataFrame, key: list[str], bucket):
         is_hot = F.coalesce(F.col(_HOT), F.lit(False))
         marked = marked.withColumn(_B, F.when(is_hot, fine).otherwise(F.lit(0).cast("long")))
         return marked.withColumn(_HOT, is_hot), F.col(_HOT)
-    # Bounded broadcast: at most 1 / share hot keys, collected above.
-    marked = df.join(F.broadcast(hot), key, "left")
+    # Bounded broadcast: at most CANDIDATES hot keys, collected above.
+    marked = _join_keys(df, hot, key, "left")
     is_hot = F.coalesce(F.col(_HOT), F.lit(False))
     marked = marked.withColumn(_B, F.when(is_hot, fine).otherwise(F.lit(0).cast("long")))
     return marked.withColumn(_HOT, is_hot), F.col(_HOT)
@@ -209,7 +232,8 @@ def _neighbour(df, key, order, cols, bucket, prefix, forward):
     if split is None:
         return _neighbour(df, key, order, cols, None, prefix, forward)
     x, needs_summary = split
-    w = Window.partitionBy(*key, _B).orderBy(*order)
+    x = x.withColumn(_G, F.struct(*key, _B))
+    w = Window.partitionBy(_G).orderBy(*order)
     src = x if needs_summary is None else x.where(needs_summary)
     x = x.select("*", shift(F.lit(True)).over(w).alias("_inner"),
                  *[shift(c).over(w).alias("_n_" + c) for c in cols])
@@ -222,11 +246,11 @@ def _neighbour(df, key, order, cols, bucket, prefix, forward):
     else:
         pick = F.min_by if forward else F.max_by
         edge = pick(F.struct(*[F.col(c) for c in cols]), _order_struct(order))
-    edges = src.groupBy(*key, _B).agg(edge.alias("_edge"))
-    wb = Window.partitionBy(*key).orderBy(_B)
-    edges = edges.select(*key, _B, shift("_edge").over(wb).alias("_adj"))
+    edges = src.groupBy(_G).agg(edge.alias("_edge"))
+    wb = Window.partitionBy(*[F.col(f"{_G}.{k}") for k in key]).orderBy(f"{_G}.{_B}")
+    edges = edges.select(_G, shift("_edge").over(wb).alias("_adj"))
 
-    j = x.join(edges, [*key, _B], "left")
+    j = x.join(edges, _G, "left")
     return j.select(
         *base_cols,
         *[F.when(F.col("_inner").isNotNull(), F.col("_n_" + c)).otherwise(F.col("_adj." + c)).alias(prefix + c)
@@ -238,9 +262,8 @@ def keyed_running_sum(df: DataFrame, key: list[str], order: list, value: str, ou
                       bucket: Column | HotSplit | None = None, carry: DataFrame | None = None) -> DataFrame:
     """Add ``out``: SQL ``SUM(value)`` over the key's rows up to and including this one.
 
-    ``carry`` (one row per key, e.g. an opening balance) is joined to the small
-    per-bucket summary rather than to the rows, and its columns appear on every
-    row.  Null handling follows SQL: the sum is null only while every value so
+    ``carry`` (one row per key, e.g. an opening balance) is joined by key and its
+    columns appear on every row; the adaptive skew join splits a hot key there.  Null handling follows SQL: the sum is null only while every value so
     far is null.
     """
     frame = (Window.unboundedPreceding, Window.currentRow)
@@ -254,22 +277,18 @@ def keyed_running_sum(df: DataFrame, key: list[str], order: list, value: str, ou
     if split is None:
         return keyed_running_sum(df, key, order, value, out, None, carry)
     x, needs_summary = split
-    # ``carry`` must reach every key, so then the summary covers all keys
-    # (one row per unsplit key, one per bucket of a hot key).
-    src = x if needs_summary is None or carry is not None else x.where(needs_summary)
-    w = Window.partitionBy(*key, _B).orderBy(*order).rowsBetween(*frame)
+    src = x if needs_summary is None else x.where(needs_summary)
+    x = x.withColumn(_G, F.struct(*key, _B))
+    w = Window.partitionBy(_G).orderBy(*order).rowsBetween(*frame)
     x = x.withColumn("_in_s", F.sum(value).over(w)).withColumn("_in_n", F.count(value).over(w))
 
-    totals = src.groupBy(*key, _B).agg(F.sum(value).alias("_ts"), F.count(value).alias("_tn"))
-    wb = Window.partitionBy(*key).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(*key, _B, F.sum("_ts").over(wb).alias("_bs"), F.sum("_tn").over(wb).alias("_bn"))
-    extra: list[str] = []
-    if carry is not None:
-        totals = totals.join(carry, key, "left")
-        extra = [c for c in carry.columns if c not in key]
-
-    j = x.join(totals, [*key, _B], "left")
+    totals = src.groupBy(F.struct(*key, _B).alias(_G)).agg(F.sum(value).alias("_ts"), F.count(value).alias("_tn"))
+    wb = (Window.partitionBy(*[F.col(f"{_G}.{k}") for k in key]).orderBy(f"{_G}.{_B}")
+          .rowsBetween(Window.unboundedPreceding, -1))
+    totals = totals.select(_G, F.sum("_ts").over(wb).alias("_bs"), F.sum("_tn").over(wb).alias("_bn"))
+    j = x.join(totals, _G, "left")
     n = F.coalesce(F.col("_bn"), F.lit(0)) + F.col("_in_n")
     total = F.when(n == 0, F.lit(None)).otherwise(
         F.coalesce(F.col("_bs"), F.lit(0)) + F.coalesce(F.col("_in_s"), F.lit(0)))
-    return j.select(*base_cols, total.alias(out), *extra)
+    out_rows = j.select(*base_cols, total.alias(out))
+    return out_rows.join(carry, key, "left") if carry is not None else out_rows

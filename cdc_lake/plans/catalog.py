@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from cdc_lake.contracts import CONTRACTS, FOREIGN_KEYS, ORDER_STATUS_ROW, USER_ROW
 from cdc_lake.functions import envelope as env
-from cdc_lake.functions.timecols import epoch_us_of, floor_div, ns_to_ts, ns_to_us_double
+from cdc_lake.functions.timecols import epoch_us_of, floor_div, ms_to_ts, ns_to_ts, ns_to_us_double
 from cdc_lake.operators import changes, ledger, metrics, quality
 from cdc_lake.operators.sequence import HotSplit
 from cdc_lake.sources import feeds, messages
@@ -26,13 +26,13 @@ LOOKUP_USER = 7          # key of the point lookup
 PICK_SEED, PICK_K = "42", 5
 
 
-HOT_SHARE = 0.001             # a key with more than 0.1 % of the rows is split ...
-ROWS_PER_BUCKET = 1_000_000   # ... into pieces of about a million rows, by event time
+ROWS_PER_BUCKET = 1_000_000   # a key with more rows is split into pieces of about as many, by event time
+FORCED_BUCKET = 50            # the *_hot queries split every key above this, so that fixtures take the split path
 
 
-def time_split(ts: str = "ts") -> HotSplit:
+def time_split(ts: str = "ts", rows: int = ROWS_PER_BUCKET) -> HotSplit:
     """Hot-key split for per-key sequences ordered by ``ts`` (adaptive widths)."""
-    return HotSplit(share=HOT_SHARE, order_value=epoch_us_of(ts), rows_per_bucket=ROWS_PER_BUCKET)
+    return HotSplit(order_value=epoch_us_of(ts), rows_per_bucket=rows)
 
 
 def _t(spark: SparkSession, d: str) -> Tables:
@@ -131,10 +131,13 @@ def q_last_batch_wins(spark, d):
 
 
 def q_upsert_snapshot(spark, d):
-    log = feeds.chg_users(_t(spark, d))
-    last = log.select(F.max("batch_day")).scalar()
-    snap = changes.current_state(log.where(F.col("batch_day") < last), "user_id", USER_COLS)
-    return changes.upsert(snap, log.where(F.col("batch_day") >= last), "user_id", USER_COLS)
+    """A snapshot with tombstones, merged with the last arrivals, among them changes older than it."""
+    log = feeds.chg_users_late(_t(spark, d))
+    last = log.select(F.max("arrival_day")).scalar()
+    cut = F.date_sub(last, 3)
+    snap = changes.latest_per_key(log.where(F.col("arrival_day") < cut), "user_id", USER_COLS)
+    merged = changes.upsert(snap, log.where(F.col("arrival_day") >= cut), "user_id", USER_COLS)
+    return merged.where(F.col("op") != env.OP_DELETE)
 
 
 def q_touch_updated_at(spark, d):
@@ -156,6 +159,49 @@ def q_scd2_history(spark, d):
     return _history(_t(spark, d))
 
 
+def q_scd2_history_hot(spark, d):
+    """The history with every key of more than ``FORCED_BUCKET`` rows split."""
+    return changes.scd2_history(feeds.chg_users(_t(spark, d)), "user_id", USER_COLS,
+                                bucket=time_split(rows=FORCED_BUCKET))
+
+
+def _user_log(spark, d) -> DataFrame:
+    """Messages -> valid change-log rows, as the streaming sink writes them, with event time as a timestamp."""
+    log = env.to_change_log(_parsed_users(_t(spark, d)), "user_id", ["user_id", *USER_COLS])
+    return log.withColumn("ts", ms_to_ts("ts_ms"))
+
+
+def q_log_current_state(spark, d):
+    return changes.current_state(_user_log(spark, d), "user_id", USER_COLS).select("user_id", *USER_COLS, "op")
+
+
+def q_log_history(spark, d):
+    return changes.scd2_history(_user_log(spark, d), "user_id", USER_COLS, bucket=time_split())
+
+
+ORDER_TOTAL_ROW = T.StructType([T.StructField("o_orderkey", T.LongType()),
+                                T.StructField("total", T.DecimalType(18, 2))])
+
+
+def q_decimal_envelope(spark, d):
+    """Order totals sent as base64 DECIMAL, parsed, decoded and routed: the change log's rows and the rejected
+    messages (every 50th total is no base64, every 70th op unknown), with the reason."""
+    o = _t(spark, d).orders
+    k = F.col("o_orderkey")
+    text = F.when(k % 50 == 0, F.lit("*bad*")).otherwise(
+        env.encode_decimal_b64(F.col("o_totalprice").cast("decimal(18,2)")))
+    sent = o.select(k, text.alias("total"), F.when(k % 70 == 0, F.lit("x")).otherwise(F.lit("c")).alias("op"),
+                    F.lit(1).cast("long").alias("ts_ms"))
+    msgs = sent.select(F.lit("orders").alias("topic"), F.lit(0).alias("partition"), k.alias("offset"),
+                       env.build_value(["o_orderkey", "total"]).alias("value"))
+    parsed = env.parse_messages(msgs, ORDER_TOTAL_ROW)
+    decimals = env.decimal_columns(ORDER_TOTAL_ROW)
+    log = env.to_change_log(parsed, "o_orderkey", ["o_orderkey", "total"], decimals=decimals, encoding=env.BASE64)
+    dead = env.dead_letters(parsed, "o_orderkey", decimals=decimals, encoding=env.BASE64)
+    return log.select("seq", "total", F.lit(None).cast("string").alias("reason")).unionByName(
+        dead.select(F.col("offset").alias("seq"), F.lit(None).cast("decimal(18,2)").alias("total"), "reason"))
+
+
 def q_scd2_refresh(spark, d):
     """History stored up to the day before the last, refreshed with the last day's changes."""
     log = feeds.chg_users(_t(spark, d))
@@ -246,6 +292,16 @@ def q_stock_ledger(spark, d):
     return ledger.stock_ledger(feeds.sales(t), feeds.stock(t), bucket=time_split("l_shipdate"))
 
 
+def q_stock_ledger_hot(spark, d):
+    """The ledger with every part of more than a few sales split."""
+    t = _t(spark, d)
+    return ledger.stock_ledger(feeds.sales(t), feeds.stock(t), bucket=time_split("l_shipdate", rows=20))
+
+
+def q_address_violations(spark, d):
+    return quality.address_violations(feeds.addresses(_t(spark, d)))
+
+
 def q_stock_balance(spark, d):
     t = _t(spark, d)
     return ledger.stock_balance(feeds.sales(t), feeds.stock(t))

@@ -196,7 +196,14 @@ def oracle_sql() -> dict[str, str]:
     q["touch_updated_at"] = with_feeds(f"""
         SELECT l.user_id, l.value, l.props, a.created_at, l.ts AS updated_at, a.n_changes
         FROM {_latest('chg_users', 'user_id')} l
-        JOIN (SELECT user_id, MIN(ts) AS created_at, COUNT(*) AS n_changes FROM chg_users GROUP BY user_id) a
+        JOIN (SELECT c.user_id, COUNT(*) AS n_changes,
+                     MIN(CASE WHEN g.ts IS NULL OR c.ts > g.ts OR (c.ts = g.ts AND c.seq > g.seq) THEN c.ts END)
+                       AS created_at
+              FROM chg_users c LEFT JOIN (
+                SELECT * FROM (SELECT user_id, ts, seq, ROW_NUMBER() OVER (
+                  PARTITION BY user_id ORDER BY ts DESC, seq DESC) AS rk FROM chg_users WHERE op = 'd') x WHERE rk = 1) g
+                ON g.user_id = c.user_id
+              GROUP BY c.user_id) a
           ON a.user_id = l.user_id
         WHERE l.op <> 'd'""", "chg_users")
     q["bootstrap_union"] = """
@@ -207,6 +214,26 @@ def oracle_sql() -> dict[str, str]:
         UNION ALL
         SELECT o_orderkey, 3, o_orderdate + INTERVAL 3 DAY, 'u', 3 FROM orders WHERE o_orderstatus = 'F'"""
     q["scd2_history"] = with_feeds("SELECT * FROM history", "history")
+    q["scd2_history_hot"] = q["scd2_history"]
+    q["log_history"] = with_feeds("""
+        SELECT user_id, value, props, date_trunc('milliseconds', valid_from) AS valid_from,
+               date_trunc('milliseconds', valid_to) AS valid_to, is_current FROM history""", "history")
+    q["log_current_state"] = with_feeds(
+        f"SELECT user_id, value, props, op FROM {_latest('chg_users', 'user_id')} l WHERE op <> 'd'", "chg_users")
+    q["decimal_envelope"] = """
+        SELECT o_orderkey AS seq,
+               CASE WHEN o_orderkey % 70 <> 0 AND o_orderkey % 50 <> 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS total,
+               CASE WHEN o_orderkey % 70 = 0 THEN 'bad_op' WHEN o_orderkey % 50 = 0 THEN 'bad_decimal' END AS reason
+        FROM orders"""
+    q["address_violations"] = """
+        WITH a AS (SELECT c_custkey AS customer_id, c_custkey * 2 AS address_id, c_custkey % 50 <> 7 AS b, c_custkey % 40 = 0 AS s
+                   FROM customer
+                   UNION ALL
+                   SELECT c_custkey, c_custkey * 2 + 1, c_custkey % 30 = 0, c_custkey % 30 <> 0 AND c_custkey % 45 <> 1
+                   FROM customer)
+        SELECT customer_id, address_id, CASE WHEN b THEN 'both_flags' ELSE 'no_flag' END AS rule FROM a WHERE b = s
+        UNION ALL
+        SELECT customer_id, NULL, 'several_billing' FROM a WHERE b GROUP BY customer_id HAVING count(*) > 1"""
     q["scd2_refresh"] = with_feeds("SELECT * FROM history", "history")     # refreshed = full history
     q["scd2_collapsed"] = with_feeds(f"SELECT * FROM {_collapsed('chg_users')} c", "chg_users")
     q["scd2_reference_mode"] = with_feeds("""
@@ -255,6 +282,7 @@ def oracle_sql() -> dict[str, str]:
                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS sold_to_date
               FROM sales) s
         LEFT JOIN stock st ON st.p_partkey = s.p_partkey""", "sales", "stock")
+    q["stock_ledger_hot"] = q["stock_ledger"]
     q["stock_balance"] = with_feeds("""
         SELECT st.p_partkey, st.qty_in_stock, COALESCE(s.sold, 0) AS sold,
                st.qty_in_stock - COALESCE(s.sold, 0) AS balance, st.qty_in_stock - COALESCE(s.sold, 0) < 0 AS oversold

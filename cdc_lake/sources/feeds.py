@@ -77,6 +77,19 @@ def stock(t: Tables) -> DataFrame:
     )
 
 
+def addresses(t: Tables) -> DataFrame:
+    """Two addresses per customer, a billing and a shipping one; some carry both flags or none, and some
+    customers have two billing addresses."""
+    k = F.col("c_custkey")
+
+    def one(number: int, billing, shipping):
+        return F.struct(k.alias("customer_id"), (k * 2 + number).alias("address_id"), billing.alias("is_billing"),
+                        shipping.alias("is_shipping"))
+
+    return t.customer.select(F.inline(F.array(
+        one(0, k % 50 != 7, k % 40 == 0), one(1, k % 30 == 0, (k % 30 != 0) & (k % 45 != 1)))))
+
+
 def order_final(t: Tables) -> DataFrame:
     o = t.orders
     k = F.col("o_orderkey")

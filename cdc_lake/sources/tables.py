@@ -10,23 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an under-split input over the cluster's cores.
-
-    A scan yields one task per file split (parquet: per row group); a small
-    table in one row group is one task.  Before CPU-heavy per-row work
-    (JSON build/parse) such an input is spread over ``defaultParallelism``
-    tasks.  When the scan already has that many partitions -- any large table
-    -- this is a no-op and adds no shuffle.
-    """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave the plan alone
-        return df
-    return df if have >= want else df.repartition(want)
-
-
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
 )

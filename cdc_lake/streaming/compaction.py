@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdc_lake.operators import changes
-from cdc_lake.sources.lake import LakeTable, table_path
+from cdc_lake.sources.lake import table_path
+from cdc_lake.streaming.changelog import ChangeLog
 
 LOG_ORDER = ("ts_ms", "seq")
 
@@ -56,28 +57,34 @@ class SnapshotStore:
     def write(self, df: DataFrame, upto: int) -> None:
         df.write.mode("overwrite").parquet(self.path(upto))
 
+    def drop(self, versions: list[int]) -> None:
+        """Delete old snapshots."""
+        jvm, _, fs = self._fs()
+        for v in versions:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(self.path(v)), True)
 
-def compact_log(spark: SparkSession, log: LakeTable, store: SnapshotStore, key: str, cols: list[str],
-                upto: int) -> int:
+
+def compact_log(spark: SparkSession, log: ChangeLog, store: SnapshotStore, key: str, cols: list[str],
+                upto: int, purge_before: int | None = None) -> int:
     """Fold log batches ``(latest snapshot, upto]`` into snapshot ``upto``; returns
-    the snapshot id in force afterwards."""
+    the snapshot id in force afterwards.  ``purge_before`` (ts_ms) drops older tombstones."""
     prev = store.latest()
     if prev is not None and prev >= upto:
         return prev
-    tail = log.read().where(F.col("batch_id") <= upto)
+    tail = log.rows().where(F.col("batch_id") <= upto)
     base = None
     if prev is not None:
         tail = tail.where(F.col("batch_id") > prev)
         base = store.read(prev)
-    store.write(changes.compact(base, tail, key, cols, LOG_ORDER), upto)
+    store.write(changes.compact(base, tail, key, cols, LOG_ORDER, purge_before), upto)
     return upto
 
 
-def current_view(spark: SparkSession, log: LakeTable, store: SnapshotStore, key: str,
+def current_view(spark: SparkSession, log: ChangeLog, store: SnapshotStore, key: str,
                  cols: list[str]) -> DataFrame:
     """Current state = newest complete snapshot + the log after it, deletes applied."""
     prev = store.latest()
-    tail = log.read()
+    tail = log.rows()
     base = None
     if prev is not None:
         tail = tail.where(F.col("batch_id") > prev)
@@ -87,7 +94,7 @@ def current_view(spark: SparkSession, log: LakeTable, store: SnapshotStore, key:
 
 
 # ------------------------------------------------------------------ SCD2
-def compact_history(spark: SparkSession, log: LakeTable, store: SnapshotStore, key: str, cols: list[str],
+def compact_history(spark: SparkSession, log: ChangeLog, store: SnapshotStore, key: str, cols: list[str],
                     upto: int, ts: str = "ts_ms") -> int:
     """Write the SCD2 history of log batches ``<= upto`` as snapshot ``upto``:
     the previous history snapshot refreshed with the batches after it (only
@@ -96,7 +103,7 @@ def compact_history(spark: SparkSession, log: LakeTable, store: SnapshotStore, k
     prev = store.latest()
     if prev is not None and prev >= upto:
         return prev
-    upto_log = log.read().where(F.col("batch_id") <= upto)
+    upto_log = log.rows().where(F.col("batch_id") <= upto)
     if prev is None:
         h = changes.scd2_history(upto_log, key, cols, LOG_ORDER, ts=ts)
     else:
@@ -106,13 +113,13 @@ def compact_history(spark: SparkSession, log: LakeTable, store: SnapshotStore, k
     return upto
 
 
-def history_view(spark: SparkSession, log: LakeTable, store: SnapshotStore, key: str, cols: list[str],
+def history_view(spark: SparkSession, log: ChangeLog, store: SnapshotStore, key: str, cols: list[str],
                  ts: str = "ts_ms", value=None) -> DataFrame:
     """SCD2 history = newest complete history snapshot, refreshed with the log after it.
     With ``value``, the history of that key only: snapshot and log are
     filtered to it first, so nothing reads or groups other keys' rows."""
     prev = store.latest()
-    full = log.read()
+    full = log.rows()
     if value is not None:
         full = full.where(F.col(key) == F.lit(changes._int_key(key, value)))
     if prev is None:

@@ -9,20 +9,24 @@ message files.  The design differs from an eager per-batch MERGE:
 * **Append-only change log.**  ``foreachBatch`` parses the batch once, writes
   valid changes to ``<lake>/<table>_log`` partition ``batch_id=N`` and rejected
   messages to ``<lake>/<table>_dead_letter``, both with dynamic partition
-  overwrite: replaying batch N after a failure rewrites the same partition,
-  so the sink is idempotent.  Current state and history are views over the
-  log (:mod:`cdc_lake.operators.changes`), ordered by event time, so late and
-  out-of-order batches give the same state.
-* **Incremental serving.**  The Top-k dashboard keeps one running total per
-  product in the streaming state store, fed by quantity deltas taken from the
-  envelope's before/after images; the k best are written per trigger.
+  overwrite: replaying batch N after a failure rewrites the same partition.
+  Rows carry their place in the topic, and every checkpoint gets its own range
+  of batch ids (:mod:`cdc_lake.streaming.changelog`), so a restart with a new
+  checkpoint neither loses nor doubles a message.  Current state and history
+  are views over the log (:mod:`cdc_lake.operators.changes`), ordered by event
+  time, so late and out-of-order batches give the same state.
+* **Incremental serving.**  The Top-k dashboard keeps the last image of every
+  item in the streaming state store and adds only what a newer change alters
+  to one running total per product, so redelivered and late messages change
+  nothing; the k best are written per trigger.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,8 +35,8 @@ from pyspark.sql.streaming import StreamingQuery
 from cdc_lake.contracts import PRIMARY_KEYS, ROW_SCHEMAS
 from cdc_lake.functions import envelope as env
 from cdc_lake.operators import changes
-from cdc_lake.session import checkpoint_dir
 from cdc_lake.sources.lake import LakeTable
+from cdc_lake.streaming.changelog import ChangeLog
 
 # Schema of a message as the bus (or a message file) delivers it.
 MESSAGE_SCHEMA = T.StructType([
@@ -45,24 +49,47 @@ MESSAGE_SCHEMA = T.StructType([
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A captured source table: its topic, row image, primary key, and the
-    row columns that arrive as epoch nanoseconds (stored as timestamps)."""
+    """A captured source table: its topic, row image, primary key, the row
+    columns that arrive as epoch nanoseconds (stored as timestamps), and how
+    its DECIMAL columns arrive (``"number"``, or ``"base64"`` as a connector
+    without a decimal mode sends them)."""
     name: str
     topic: str
     row_schema: T.StructType
     pk: str
     ns_timestamps: tuple[str, ...] = ()
+    decimal_encoding: str = env.NUMBER
 
     @property
     def row_cols(self) -> list[str]:
         return [f.name for f in self.row_schema.fields]
 
-
-def source_table_specs(topic_prefix: str = "", names=None) -> list[TableSpec]:
+    @property
+    def log_schema(self) -> T.StructType:
+        """Columns of the table's change log, before the message columns."""
+        by = {f.name: f.dataType for f in self.row_schema.fields}
+        return T.StructType([
+            T.StructField(self.pk, by[self.pk]), T.StructField("seq", T.LongType()), T.StructField("ts_ms", T.LongType()),
+            T.StructField("op", T.StringType()),
+            *[T.StructField(c, T.TimestampNTZType() if c in self.ns_timestamps else by[c])
+              for c in self.row_cols if c != self.pk]])
+
+    def change_rows(self, parsed: DataFrame, keep: tuple[str, ...] = (), legacy_null_key: bool = False) -> DataFrame:
+        """Valid parsed messages as change-log rows of this table."""
+        return env.to_change_log(parsed, self.pk, self.row_cols, legacy_null_key=legacy_null_key,
+                                 ns_timestamps=self.ns_timestamps, decimals=env.decimal_columns(self.row_schema),
+                                 encoding=self.decimal_encoding, keep=keep)
+
+    def rejected(self, parsed: DataFrame, legacy_null_key: bool = False) -> DataFrame:
+        return env.dead_letters(parsed, self.pk, keep=("topic", "partition", "offset"), legacy_null_key=legacy_null_key,
+                                decimals=env.decimal_columns(self.row_schema), encoding=self.decimal_encoding)
+
+
+def source_table_specs(topic_prefix: str = "", names=None, decimal_encoding: str = env.NUMBER) -> list[TableSpec]:
     """Specs of the captured source tables (topic = prefix + table name)."""
     names = names or list(ROW_SCHEMAS)
-    return [TableSpec(n, f"{topic_prefix}{n}", ROW_SCHEMAS[n], PRIMARY_KEYS[n], ("CreatedAt", "UpdatedAt"))
-            for n in names]
+    return [TableSpec(n, f"{topic_prefix}{n}", ROW_SCHEMAS[n], PRIMARY_KEYS[n], ("CreatedAt", "UpdatedAt"),
+                      decimal_encoding) for n in names]
 
 
 # ---------------------------------------------------------------- sources
@@ -101,18 +128,19 @@ def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 # ------------------------------------------------------------------ sinks
 class ChangeLogSink:
     """``foreachBatch`` function: parse once, append the batch to the change
-    log and the dead-letter table, keyed by ``batch_id`` (idempotent)."""
+    log and the dead-letter table under ``first_batch + batch_id``."""
 
     def __init__(self, spec: TableSpec, lake_root: str, fmt: str = "parquet",
-                 legacy_null_key: bool = False):
+                 legacy_null_key: bool = False, first_batch: int = 0):
         self.spec = spec
         self.lake_root = lake_root
         self.fmt = fmt
         self.legacy_null_key = legacy_null_key
+        self.first_batch = first_batch
         self.last_counts: dict = {}
 
-    def log_table(self, spark: SparkSession) -> LakeTable:
-        return LakeTable(spark, self.lake_root, f"{self.spec.name}_log", self.fmt)
+    def log_table(self, spark: SparkSession) -> ChangeLog:
+        return ChangeLog(spark, self.lake_root, self.spec.name, self.spec.log_schema, self.fmt)
 
     def dead_letter_table(self, spark: SparkSession) -> LakeTable:
         return LakeTable(spark, self.lake_root, f"{self.spec.name}_dead_letter", self.fmt)
@@ -123,38 +151,42 @@ class ChangeLogSink:
             return
         spark = batch.sparkSession
         s = self.spec
+        number = F.lit(self.first_batch + batch_id).cast("long")
         parsed = env.parse_messages(batch, s.row_schema)
-        # Two outputs read the parsed batch: keep it for the second one.
-        parsed = parsed.persist()
+        # Two outputs read the parsed batch: keep it for the second one, the text of rejected messages only.
+        bad = env.dead_letter_reason(s.pk, self.legacy_null_key, True, env.decimal_columns(s.row_schema),
+                                     s.decimal_encoding).isNotNull()
+        parsed = parsed.withColumn("_text", F.when(bad, F.col("_text"))).persist()
         try:
-            log = env.to_change_log(parsed, s.pk, s.row_cols, legacy_null_key=self.legacy_null_key,
-                                    ns_timestamps=s.ns_timestamps)
+            log = s.change_rows(parsed, keep=("topic", "partition"), legacy_null_key=self.legacy_null_key)
             # Per-op counts ride along with the write: no extra action.
             obs = Observation(f"{s.name}_{batch_id}")
             log = log.observe(obs, *[F.count_if(F.col("op") == o).alias(o) for o in env.OPS])
-            self.log_table(spark).overwrite_partitions(log.withColumn("batch_id", F.lit(batch_id)))
-            dead = env.dead_letters(parsed, s.pk, keep=("topic", "partition", "offset"),
-                                    legacy_null_key=self.legacy_null_key)
-            self.dead_letter_table(spark).overwrite_partitions(dead.withColumn("batch_id", F.lit(batch_id)))
+            self.log_table(spark).overwrite_partitions(log.withColumn("batch_id", number))
+            dead = s.rejected(parsed, self.legacy_null_key)
+            self.dead_letter_table(spark).overwrite_partitions(dead.withColumn("batch_id", number))
             self.last_counts = {"batch_id": batch_id, **obs.get}
         finally:
             parsed.unpersist()
 
 
-def stream_checkpoint_root(spark: SparkSession) -> str:
-    """Streams checkpoint under the cluster's shared ``spark.checkpoint.dir``."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/streams"
-
-
 def start_table_stream(spark: SparkSession, spec: TableSpec, source: DataFrame, lake_root: str,
-                       checkpoint_root: str | None = None, trigger: dict | None = None,
-                       fmt: str = "parquet") -> StreamingQuery:
-    """One streaming query for one table, checkpointed under ``<root>/<table>``
-    (``root`` defaults to :func:`stream_checkpoint_root`)."""
-    checkpoint_root = checkpoint_root or stream_checkpoint_root(spark)
+                       checkpoint_root: str, trigger: dict | None = None, fmt: str = "parquet",
+                       rejoin: bool = False) -> StreamingQuery:
+    """One streaming query for one table, checkpointed under ``<root>/<table>``.
+
+    ``checkpoint_root`` must be a folder that outlives the process and that all
+    executors share; there is no default.  ``rejoin`` allows a new checkpoint on
+    a log that already has data.
+    """
+    if not checkpoint_root:
+        raise ValueError("a stream needs a checkpoint folder that outlives it")
+    checkpoint = f"{checkpoint_root.rstrip('/')}/{spec.name.lower()}"
+    sink = ChangeLogSink(spec, lake_root, fmt)
+    sink.first_batch = sink.log_table(spark).join_stream(checkpoint, rejoin)
     w = (source.writeStream
-         .foreachBatch(ChangeLogSink(spec, lake_root, fmt))
-         .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{spec.name.lower()}")
+         .foreachBatch(sink)
+         .option("checkpointLocation", checkpoint)
          .queryName(f"cdc_{spec.name.lower()}"))
     if trigger:
         w = w.trigger(**trigger)
@@ -162,10 +194,11 @@ def start_table_stream(spark: SparkSession, spec: TableSpec, source: DataFrame,
 
 
 def start_all(spark: SparkSession, specs: list[TableSpec], source_for: Callable[[TableSpec], DataFrame],
-              lake_root: str, checkpoint_root: str | None = None,
-              trigger: dict | None = None) -> list[StreamingQuery]:
+              lake_root: str, checkpoint_root: str, trigger: dict | None = None,
+              rejoin: bool = False) -> list[StreamingQuery]:
     """Start one query per table; wait with :func:`await_any`."""
-    return [start_table_stream(spark, s, source_for(s), lake_root, checkpoint_root, trigger) for s in specs]
+    return [start_table_stream(spark, s, source_for(s), lake_root, checkpoint_root, trigger, rejoin=rejoin)
+            for s in specs]
 
 
 def await_any(spark: SparkSession, timeout: float | None = None) -> None:
@@ -192,53 +225,83 @@ def current_state_stream(source: DataFrame, spec: TableSpec, order=("ts_ms", "se
     serving).  Run in ``update`` mode to emit only the keys a batch touched;
     the state is one row per key, however many changes arrive."""
     parsed = env.parse_messages(source, spec.row_schema)
-    log = env.to_change_log(parsed, spec.pk, spec.row_cols)
+    log = spec.change_rows(parsed)
     return changes.latest_per_key(log, spec.pk, [c for c in spec.row_cols if c != spec.pk], order=order)
 
 
 # ---------------------------------------------------------------- serving
-def quantity_deltas(parsed: DataFrame, product: str = "ProductID", qty: str = "Quantity") -> DataFrame:
-    """Per change, the quantity it adds to / removes from each product:
-    ``-before.qty`` for the old product, ``+after.qty`` for the new one."""
-    d = F.array(
-        F.struct(F.col(f"before.{product}").alias("product"), (-F.col(f"before.{qty}")).alias("delta")),
-        F.struct(F.col(f"after.{product}").alias("product"), F.col(f"after.{qty}").alias("delta")))
-    return (parsed.where(F.col("op").isNotNull())
-            .select(F.inline(d))
-            .where(F.col("product").isNotNull() & F.col("delta").isNotNull()))
-
-
-def product_totals_stream(items_source: DataFrame, item_schema: T.StructType,
-                          product: str = "ProductID", qty: str = "Quantity") -> DataFrame:
-    """Streaming aggregate: current quantity per product.  State is one row
-    per product, however many changes flow through."""
-    parsed = env.parse_messages(items_source, item_schema)
-    return (quantity_deltas(parsed, product, qty)
-            .groupBy("product").agg(F.sum("delta").cast("long").alias("quantity")))
+DELTAS = "product long, delta long"
+ITEM_STATE = "ts_ms long, seq long, product long, qty long"
+
+
+def _item_deltas(key, frames, state) -> Iterator[pd.DataFrame]:
+    """What the changes of one item add to and remove from products: the newest
+    (ts_ms, seq) image replaces the one in state; older ones and copies do nothing."""
+    ts, seq, product, qty = state.get if state.exists else (None, None, None, None)
+    old = (product, qty)
+    for f in frames:
+        for r in f.sort_values(["ts_ms", "seq"]).itertuples():
+            if ts is None or (r.ts_ms, r.seq) > (ts, seq):
+                ts, seq = int(r.ts_ms), int(r.seq)
+                gone = r.op == env.OP_DELETE or pd.isna(r.product) or pd.isna(r.qty)
+                product, qty = (None, None) if gone else (int(r.product), int(r.qty))
+    if ts is not None:
+        state.update((ts, seq, product, qty))
+    if (product, qty) != old:
+        rows = [(p, d) for p, d in ((old[0], -(old[1] or 0)), (product, qty)) if p is not None and d]
+        if rows:
+            yield pd.DataFrame(rows, columns=["product", "delta"])
+
+
+def product_deltas_stream(items_source: DataFrame, spec: TableSpec, product: str = "ProductID",
+                          qty: str = "Quantity") -> DataFrame:
+    """Streaming (product, delta): the changes of the products' quantities.  State
+    is one row per item (its last change), however many changes flow through."""
+    rows = spec.change_rows(env.parse_messages(items_source, spec.row_schema)).where(
+        F.col("ts_ms").isNotNull() & F.col("seq").isNotNull()).select(
+        F.col(spec.pk).alias("item"), "ts_ms", "seq", "op", F.col(product).cast("long").alias("product"),
+        F.col(qty).cast("long").alias("qty"))
+    return rows.groupBy("item").applyInPandasWithState(_item_deltas, DELTAS, ITEM_STATE, "update", "NoTimeout")
 
 
 class TopKWriter:
-    """``foreachBatch`` over the complete product totals: join names, keep the
-    best ``k`` by name, overwrite the small serving table."""
+    """``foreachBatch`` over the product deltas: new totals = the totals of the
+    batch before plus the deltas, stored per batch (a replayed batch starts
+    from the same predecessor); then join names, keep the best ``k`` by name and
+    overwrite the small serving table."""
 
     def __init__(self, products: Callable[[SparkSession], DataFrame], out: str, k: int = 10,
                  product_key: str = "ProductID", name: str = "Name"):
         self.products, self.out, self.k = products, out, k
         self.product_key, self.name = product_key, name
 
-    def __call__(self, totals: DataFrame, batch_id: int) -> None:
-        spark = totals.sparkSession
-        p = self.products(spark).select(F.col(self.product_key).alias("product"), F.col(self.name).alias("name"))
-        top = (totals.join(p, "product").where(F.col("name").isNotNull())
+    def __call__(self, deltas: DataFrame, batch_id: int) -> None:
+        from cdc_lake.streaming.compaction import SnapshotStore
+
+        spark = deltas.sparkSession
+        store = SnapshotStore(spark, self.out.rstrip("/").rpartition("/")[0] or "/",
+                              self.out.rstrip("/").rpartition("/")[2] + "_totals")
+        before = [v for v in store.versions() if v < batch_id]
+        totals = deltas.select("product", "delta")
+        if before:
+            totals = totals.unionByName(store.read(before[-1]).select("product", F.col("quantity").alias("delta")))
+        store.write(totals.groupBy("product").agg(F.sum("delta").cast("long").alias("quantity"))
+                    .where("quantity <> 0"), batch_id)
+        store.drop(before[:-1])
+        p = self.products(spark).select(F.col(self.product_key).cast("long").alias("product"),
+                                        F.col(self.name).alias("name"))
+        top = (store.read(batch_id).join(p, "product").where(F.col("name").isNotNull())
                .groupBy("name").agg(F.sum("quantity").cast("long").alias("quantity"))
                .orderBy(F.col("quantity").desc(), F.col("name").asc()).limit(self.k))
         top.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(self.out)
 
 
-def start_top_products(items_source: DataFrame, item_schema: T.StructType, writer: TopKWriter,
+def start_top_products(items_source: DataFrame, spec: TableSpec, writer: TopKWriter,
                        checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    w = (product_totals_stream(items_source, item_schema).writeStream
-         .outputMode("complete").foreachBatch(writer)
+    if not checkpoint:
+        raise ValueError("a stream needs a checkpoint folder that outlives it")
+    w = (product_deltas_stream(items_source, spec).writeStream
+         .outputMode("update").foreachBatch(writer)
          .option("checkpointLocation", checkpoint).queryName("top_products"))
     if trigger:
         w = w.trigger(**trigger)

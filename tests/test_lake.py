@@ -24,6 +24,38 @@ def test_missing_table_reads_empty(spark, scratch):
     assert t.read_or_empty(schema).count() == 1
 
 
+def test_folder_without_data_is_no_table(spark, scratch):
+    """A batch with rejected messages only (or none) leaves a folder without data files."""
+    spec = TableSpec("Customers", "customers", ROW_SCHEMAS["Customers"], "CustomerID")
+    sink = ChangeLogSink(spec, scratch)
+    sink(spark.createDataFrame([("customers", 0, 1, b"no json")], MESSAGE_SCHEMA), 0)
+    log = sink.log_table(spark)
+    assert not log.exists() and log.rows().count() == 0
+    assert log.rows().columns[:4] == ["CustomerID", "seq", "ts_ms", "op"]
+    assert sink.dead_letter_table(spark).read().first()["reason"] == "unparsable"
+
+
+def test_sink_decodes_decimals_and_rejects_what_it_cannot(spark, scratch):
+    def msgs(values):
+        return spark.createDataFrame(
+            [("orders", 0, i, f'{{"payload": {{"op": "{op}", "ts_ms": {i}, "after": {{"OrderID": {i}, "TotalAmount": {v}}}}}}}'
+              .encode()) for i, (op, v) in enumerate(values)], MESSAGE_SCHEMA)
+
+    for enc, values, want in (
+            ("base64", [("c", '"MDk="'), ("c", '"+1M="'), ("c", "null"), ("c", '"*"'), ("x", '"MDk="')],
+             {0: "123.45", 1: "-11.97", 2: None}),
+            ("number", [("c", "123.45"), ("c", "-11.97"), ("c", "null"), ("c", '"abc"'), ("x", "1")],
+             {0: "123.45", 1: "-11.97", 2: None})):
+        lake = f"{scratch}/{enc}"
+        spec = TableSpec("Orders", "orders", ROW_SCHEMAS["Orders"], "OrderID", ("CreatedAt", "UpdatedAt"), enc)
+        sink = ChangeLogSink(spec, lake)
+        sink(msgs(values), 0)
+        got = {r.OrderID: None if r.TotalAmount is None else str(r.TotalAmount) for r in sink.log_table(spark).rows().collect()}
+        assert got == want
+        dead = sorted((r.offset, r.reason, r.raw is not None) for r in sink.dead_letter_table(spark).read().collect())
+        assert dead == [(3, "bad_decimal", True), (4, "bad_op", True)]
+
+
 def test_other_read_errors_are_raised(spark, scratch):
     t = LakeTable(spark, scratch, "bad")
     with open(t.path, "w") as f:        # a file where a table folder is expected

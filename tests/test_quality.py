@@ -6,6 +6,7 @@ import datetime as dt
 import re
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from cdc_lake.contracts import Contract, ForeignKey
@@ -116,8 +117,18 @@ def test_upsert_and_expire(spark):
     snap = spark.createDataFrame([(1, 1, 1, "c", "a"), (2, 2, 2, "c", "b")], "k int, ts long, seq long, op string, v string")
     chg = spark.createDataFrame([(1, 5, 5, "u", "a2"), (2, 6, 6, "d", None), (3, 7, 7, "c", "c")],
                                 "k int, ts long, seq long, op string, v string")
-    got = sorted((r.k, r.v) for r in changes.upsert(snap, chg, "k", ["v"]).collect())
+    got = sorted((r.k, r.v) for r in changes.upsert(snap, chg, "k", ["v"], order_guard=False).collect())
     assert got == [(1, "a2"), (3, "c")]
+    merged = changes.upsert(snap, chg, "k", ["v"])            # the deleted key stays as a tombstone
+    assert sorted((r.k, r.op, r.v) for r in merged.collect()) == [(1, "u", "a2"), (2, "d", None), (3, "c", "c")]
+    late = spark.createDataFrame([(1, 3, 3, "u", "old"), (2, 4, 4, "u", "old"), (3, 8, 8, "u", "c2")],
+                                 "k int, ts long, seq long, op string, v string")
+    again = changes.upsert(merged, late, "k", ["v"])          # older changes lose, also against a tombstone
+    assert sorted((r.k, r.op, r.v) for r in again.collect()) == [(1, "u", "a2"), (2, "d", None), (3, "u", "c2")]
+    plain = changes.upsert(snap.drop("op"), chg, "k", ["v"])
+    assert sorted((r.k, r.v) for r in plain.collect()) == [(1, "a2"), (3, "c")]
+    with pytest.raises(ValueError):
+        changes.upsert(snap.drop("ts"), chg, "k", ["v"])
     hist = spark.createDataFrame([(1, "x", 1, 2, False), (1, "y", 2, None, True), (2, "z", 1, None, True)],
                                  "k int, v string, effective_date int, end_date int, is_current boolean")
     keys = spark.createDataFrame([(1,), (1,), (5,)], "k int")

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cdc_lake.operators import changes
-from cdc_lake.operators.sequence import HotSplit, hot_keys, keyed_next, keyed_prev, keyed_running_sum
+from cdc_lake.operators.sequence import HotSplit, _with_bucket, hot_keys, keyed_next, keyed_prev, keyed_running_sum
 
 
 def _skewed(spark, n=3000, seed=7):
@@ -55,6 +55,27 @@ def _check_split(spark, df, split):
     assert _as_set(plain, ["seq", "rs", "opening"]) == _as_set(hot, ["seq", "rs", "opening"])
 
 
+def test_split_equals_plain_with_null_keys_and_null_times(spark):
+    rnd = random.Random(4)
+    rows = [(rnd.choice([None, 0, 0, 1, 2]), i, rnd.choice([None, rnd.randrange(400)]), rnd.choice([None, rnd.randrange(9)]))
+            for i in range(1500)]
+    df = spark.createDataFrame(rows, "k int, seq long, ts long, v int")
+    for split in (F.floor(F.col("ts") / 50), HotSplit(F.floor(F.col("ts") / 50), share=0.1),
+                  HotSplit(order_value=F.col("ts"), rows_per_bucket=40)):
+        for fn, p in ((keyed_next, "next_"), (keyed_prev, "prev_")):
+            plain, hot = (fn(df, ["k"], ["ts", "seq"], ["ts"], bucket=b) for b in (None, split))
+            assert _as_set(plain, ["k", "seq", p + "ts"]) == _as_set(hot, ["k", "seq", p + "ts"])
+        plain, hot = (keyed_running_sum(df, ["k"], ["ts", "seq"], "v", "rs", bucket=b) for b in (None, split))
+        assert _as_set(plain, ["k", "seq", "rs"]) == _as_set(hot, ["k", "seq", "rs"])
+
+
+def test_keys_are_split_by_their_rows_whatever_their_share(spark):
+    df = spark.range(30_000).selectExpr("id % 300 AS k", "id AS seq", "id AS ts")      # 100 rows each, 0.33 % of all
+    marked, _ = _with_bucket(df, ["k"], HotSplit(order_value=F.col("ts"), rows_per_bucket=60))
+    assert marked.where("_hot").select("k").distinct().count() == 300
+    assert _with_bucket(df, ["k"], HotSplit(order_value=F.col("ts"), rows_per_bucket=100)) is None
+
+
 def test_split_running_sum_equal_plain(spark):
     df = _skewed(spark)
     plain = keyed_running_sum(df, ["k"], ["ts", "seq"], "v", "rs")

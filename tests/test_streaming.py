@@ -16,6 +16,7 @@ from cdc_lake.sources import feeds, messages
 from cdc_lake.sources.lake import LakeTable, table_path
 from cdc_lake.sources.tables import Tables
 from cdc_lake.streaming import pipeline as pl
+from cdc_lake.streaming.changelog import ChangeLog, CheckpointError
 
 pytestmark = pytest.mark.skipif(not os.path.exists(SF_SMALL), reason="driver fixtures missing")
 
@@ -37,9 +38,9 @@ def _write_files(df, folder, cuts, col="offset", reverse=False):
         os.link(os.path.join(tmp, name), os.path.join(folder, f"msgs_{i:03d}.parquet"))
 
 
-def _run(spark, spec, src_dir, lake, ckpt):
+def _run(spark, spec, src_dir, lake, ckpt, rejoin=False):
     q = pl.start_table_stream(spark, spec, pl.file_source(spark, src_dir + "/msgs_*.parquet", 1), lake, ckpt,
-                              trigger={"availableNow": True})
+                              trigger={"availableNow": True}, rejoin=rejoin)
     q.awaitTermination(300)
     assert q.exception() is None
     return q
@@ -69,13 +70,59 @@ def test_stream_equals_batch_and_replay(spark, scratch):
     dead = LakeTable(spark, lake, "users_dead_letter").read()
     assert dead.count() == msgs.count() - n_log
 
-    # Lost checkpoint: the whole topic is replayed into the same lake.
-    _run(spark, USERS, src, lake, os.path.join(scratch, "ckpt2"))
-    again = LakeTable(spark, lake, "users_log").read()
+    # Lost checkpoint: refused unless asked for, then the whole topic is read again into the same lake.
+    with pytest.raises(CheckpointError):
+        _run(spark, USERS, src, lake, os.path.join(scratch, "ckpt2"))
+    _run(spark, USERS, src, lake, os.path.join(scratch, "ckpt2"), rejoin=True)
+    again = ChangeLog(spark, lake, "users", USERS.log_schema).rows()
     assert again.count() == n_log
     assert _state(again) == _batch_state(spark)
 
 
+def _offsets(df):
+    return sorted(r.seq for r in df.select("seq").collect())
+
+
+def test_new_checkpoint_with_other_batch_borders(spark, scratch):
+    """Every message is in the log once, whatever borders the new stream's batches have."""
+    msgs = messages.user_messages(Tables(spark, SF_SMALL))
+    src, src2 = os.path.join(scratch, "a"), os.path.join(scratch, "b")
+    _write_files(msgs, src, [0, 700, 1400, 10**9])
+    _write_files(msgs, src2, [0, 10**9])                       # the same messages as one batch
+    lake = os.path.join(scratch, "lake")
+    _run(spark, USERS, src, lake, os.path.join(scratch, "ckpt"))
+    log = ChangeLog(spark, lake, "users", USERS.log_schema)
+    want = _offsets(log.rows())
+    history = changes.scd2_history(log.rows(), "user_id", ["value"], ("ts_ms", "seq"), ts="ts_ms").count()
+    _run(spark, USERS, src2, lake, os.path.join(scratch, "ckpt2"), rejoin=True)
+    assert _offsets(log.rows()) == want and len(set(want)) == len(want)
+    assert [r[2] for r in log.registered()] == [0, 3]
+    assert changes.scd2_history(log.rows(), "user_id", ["value"], ("ts_ms", "seq"), ts="ts_ms").count() == history
+
+
+def test_new_checkpoint_when_part_of_the_topic_has_expired(spark, scratch):
+    """Nothing that an older stream wrote is lost, and new messages come in."""
+    msgs = messages.user_messages(Tables(spark, SF_SMALL))
+    old, new = os.path.join(scratch, "old"), os.path.join(scratch, "new")
+    _write_files(msgs.where("offset < 1500"), old, [0, 700, 10**9])
+    _write_files(msgs.where("offset >= 1000"), new, [0, 1200, 10**9])   # 0 .. 999 are gone from the topic
+    lake = os.path.join(scratch, "lake")
+    _run(spark, USERS, old, lake, os.path.join(scratch, "ckpt"))
+    _run(spark, USERS, new, lake, os.path.join(scratch, "ckpt2"), rejoin=True)
+    _run(spark, USERS, new, lake, os.path.join(scratch, "ckpt2"))       # the same checkpoint goes on
+    log = ChangeLog(spark, lake, "users", USERS.log_schema)
+    valid = env.to_change_log(env.parse_messages(msgs, USER_ROW), "user_id", USERS.row_cols)
+    assert _offsets(log.rows()) == _offsets(valid)
+    assert _state(log.rows()) == _batch_state(spark)
+
+
+def test_streams_need_a_checkpoint(spark, scratch):
+    with pytest.raises(ValueError):
+        pl.start_table_stream(spark, USERS, pl.file_source(spark, scratch), scratch, None)
+    with pytest.raises(ValueError):
+        pl.start_top_products(pl.file_source(spark, scratch), USERS, None, "")
+
+
 def test_out_of_order_arrival(spark, scratch):
     msgs = messages.user_messages(Tables(spark, SF_SMALL))
     src = os.path.join(scratch, "users_rev")
@@ -155,11 +202,16 @@ def test_top_products_stream_equals_batch(spark, scratch):
 
     allm = as_msgs(creates, False).unionByName(as_msgs(upd, True)).unionByName(as_msgs(dele, True))
     src = os.path.join(scratch, "items")
-    _write_files(allm, src, [0, 10**9, 2 * 10**9, 3 * 10**9])
+    # Delivered at least once and out of order: every third create again after the deletes, updates last.
+    twice = allm.where("offset < 1000000000 AND offset % 3 = 0")
+    order = (allm.withColumn("at", F.when(F.col("offset") < 10**9, 1).when(F.col("offset") < 2 * 10**9, 3).otherwise(2))
+             .unionByName(twice.withColumn("at", F.lit(4))))
+    _write_files(order, src, [1, 2, 3, 4, 5], col="at")
     out = os.path.join(scratch, "top10")
     products = lambda s: Tables(s, SF_SMALL).part.select(
         F.col("p_partkey").cast("int").alias("ProductID"), F.col("p_name").alias("Name"))
-    q = pl.start_top_products(pl.file_source(spark, src + "/msgs_*.parquet", 1), item,
+    spec = pl.TableSpec("OrderItems", "order_items", item, "OrderItemID")
+    q = pl.start_top_products(pl.file_source(spark, src + "/msgs_*.parquet", 1), spec,
                               pl.TopKWriter(products, out), os.path.join(scratch, "ckpt"),
                               trigger={"availableNow": True})
     q.awaitTermination(300)
@@ -181,7 +233,7 @@ def test_compaction_equals_full_log(spark, scratch):
     _write_files(msgs, src, [0, 600, 1200, 1800, 10**9])
     lake = os.path.join(scratch, "lake")
     _run(spark, USERS, src, lake, os.path.join(scratch, "ckpt"))
-    log = LakeTable(spark, lake, "users_log")
+    log = ChangeLog(spark, lake, "users", USERS.log_schema)
     store = SnapshotStore(spark, lake, "users")
     want = _batch_state(spark)
 
@@ -205,10 +257,10 @@ def test_history_snapshots_equal_full_history(spark, scratch):
     _write_files(msgs, src, [0, 600, 1200, 1800, 10**9])
     lake = os.path.join(scratch, "lake")
     _run(spark, USERS, src, lake, os.path.join(scratch, "ckpt"))
-    log = LakeTable(spark, lake, "users_log")
+    log = ChangeLog(spark, lake, "users", USERS.log_schema)
     store = SnapshotStore(spark, lake, "users_history")
     cols = ["value", "props"]
-    full = changes.scd2_history(log.read(), "user_id", cols, ("ts_ms", "seq"), ts="ts_ms")
+    full = changes.scd2_history(log.rows(), "user_id", cols, ("ts_ms", "seq"), ts="ts_ms")
     rows = lambda df: sorted(
         (r.user_id, r.valid_from, r.valid_to, r.value, r.props, r.is_current) for r in df.collect())
     want = rows(full)
