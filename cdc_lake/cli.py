@@ -190,8 +190,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             else:
                 show(rows, a.limit or rows.count(), a.out)
         else:
-            h = history_table(spark, a.lake, a.table).orderBy(key, "valid_from")
-            show(h, a.limit or 10, a.out)
+            n = a.limit or 10
+            if a.out or SnapshotStore(spark, a.lake, f"{a.table}_history").latest() is not None:
+                h = history_table(spark, a.lake, a.table).orderBy(key, "valid_from")
+            else:  # without a stored history: that of the first keys only (one row more tells that there are more)
+                h = changes.history_head(change_log(spark, a.lake, a.table).rows(), key, _row_cols(a.table), n + 1,
+                                         LOG_ORDER, ts="ts_ms")
+                h = h.withColumn("valid_from", ms_to_ts("valid_from")).withColumn("valid_to", ms_to_ts("valid_to"))
+            show(h, n, a.out)
     elif a.cmd == "current":
         show(current_table(spark, a.lake, a.table), a.limit, a.out)
     elif a.cmd == "compact":

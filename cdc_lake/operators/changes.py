@@ -161,6 +161,40 @@ def scd2_history(log: DataFrame, key, cols: list[str], order=ORDER, ts: str = "t
     )
 
 
+def scd2_rows(log: DataFrame, key, cols: list[str], order=ORDER, ts: str = "ts", bucket=None) -> DataFrame:
+    """The history in the form in which it is stored: one row per change, deletes included, with the ordering
+    columns, op and the version's end.  :func:`scd2_versions` gives the history proper."""
+    keys = _keys(key)
+    own = [*keys, *[c for c in dict.fromkeys([*order, "op", *cols]) if c not in keys]]
+    return keyed_next(log.select(*own), keys, list(order), [ts], bucket).select(
+        *own, F.col("next_" + ts).alias("valid_to"))
+
+
+def scd2_versions(rows: DataFrame, key, cols: list[str], ts: str = "ts") -> DataFrame:
+    """The versions of stored history rows: deletes close a version and open none."""
+    keys = _keys(key)
+    return rows.where(F.col("op") != OP_DELETE).select(
+        *keys, *[c for c in cols if c not in keys], F.col(ts).alias("valid_from"), "valid_to",
+        F.col("valid_to").isNull().alias("is_current"))
+
+
+def scd2_extend(stored: DataFrame, tail: DataFrame, key: str, cols: list[str], order=ORDER, ts: str = "ts",
+                bucket=None) -> DataFrame:
+    """Stored history rows brought up to date with the ``tail`` of the log alone.
+
+    The stored rows of keys without new changes pass an anti join.  The others
+    are rebuilt from their stored rows, which carry every change of the key,
+    and the tail: a late change splits the old version it falls into, and a
+    change delivered twice counts once.  Nothing before the tail is read again.
+    """
+    own = [c for c in stored.columns if c != "valid_to"]
+    keys = tail.select(key).distinct()
+    redo = stored.join(keys, key, "left_semi").select(*own).unionByName(tail.select(*own)).dropDuplicates(
+        [key, *order, "op"])
+    return stored.join(keys, key, "left_anti").unionByName(
+        scd2_rows(redo, key, cols, order, ts, bucket).select(*stored.columns))
+
+
 def scd2_refresh(history: DataFrame, log: DataFrame, changed: DataFrame, key: str, cols: list[str],
                  order=ORDER, ts: str = "ts", bucket=None) -> DataFrame:
     """Bring a stored SCD2 ``history`` up to date with the ``changed`` rows of

@@ -46,9 +46,14 @@ class ChangeLog(LakeTable):
         """(number, checkpoint, first batch) of every stream, oldest first: one short row per start."""
         return sorted(tuple(r) for r in self.streams.read_or_empty(STREAMS).collect())
 
-    def rows(self) -> DataFrame:
-        """The log, every message once.  Empty with the known schema while there is no data."""
+    def rows(self, after: int | None = None, upto: int | None = None) -> DataFrame:
+        """The log, or its batches in ``(after, upto]`` (only their partitions are read), every message once.
+        Empty with the known schema while there is no data."""
         df = self.read_or_empty(self.schema) if self.schema is not None else self.read()
+        if after is not None:
+            df = df.where(F.col("batch_id") > after)
+        if upto is not None:
+            df = df.where(F.col("batch_id") <= upto)
         if len(self.registered()) > 1:
             # Copies of a message are equal but for the batch: the first batch that had it counts.
             rest = [c for c in df.columns if c not in (*PLACE, "batch_id")]

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdc_lake.operators import changes
+from cdc_lake.operators.sequence import HotSplit
 from cdc_lake.sources.lake import table_path
 from cdc_lake.streaming.changelog import ChangeLog
 
@@ -71,11 +72,8 @@ def compact_log(spark: SparkSession, log: ChangeLog, store: SnapshotStore, key:
     prev = store.latest()
     if prev is not None and prev >= upto:
         return prev
-    tail = log.rows().where(F.col("batch_id") <= upto)
-    base = None
-    if prev is not None:
-        tail = tail.where(F.col("batch_id") > prev)
-        base = store.read(prev)
+    tail = log.rows(prev, upto)
+    base = None if prev is None else store.read(prev)
     store.write(changes.compact(base, tail, key, cols, LOG_ORDER, purge_before), upto)
     return upto
 
@@ -84,48 +82,48 @@ def current_view(spark: SparkSession, log: ChangeLog, store: SnapshotStore, key:
                  cols: list[str]) -> DataFrame:
     """Current state = newest complete snapshot + the log after it, deletes applied."""
     prev = store.latest()
-    tail = log.rows()
-    base = None
-    if prev is not None:
-        tail = tail.where(F.col("batch_id") > prev)
-        base = store.read(prev)
+    tail = log.rows(prev)
+    base = None if prev is None else store.read(prev)
     snap = changes.compact(base, tail, key, cols, LOG_ORDER)
     return snap.where(F.col("op") != "d")
 
 
 # ------------------------------------------------------------------ SCD2
+def _time_split(ts: str) -> HotSplit:
+    """Keys with very many changes are split by event time."""
+    return HotSplit(order_value=F.col(ts))
+
+
 def compact_history(spark: SparkSession, log: ChangeLog, store: SnapshotStore, key: str, cols: list[str],
                     upto: int, ts: str = "ts_ms") -> int:
-    """Write the SCD2 history of log batches ``<= upto`` as snapshot ``upto``:
-    the previous history snapshot refreshed with the batches after it (only
-    the keys those batches touch are rebuilt).  Returns the snapshot id in
-    force afterwards."""
+    """Write the history rows of log batches ``<= upto`` as snapshot ``upto``: the
+    previous snapshot extended with the batches after it.  Returns the snapshot
+    id in force afterwards."""
     prev = store.latest()
     if prev is not None and prev >= upto:
         return prev
-    upto_log = log.rows().where(F.col("batch_id") <= upto)
+    tail = log.rows(prev, upto)
     if prev is None:
-        h = changes.scd2_history(upto_log, key, cols, LOG_ORDER, ts=ts)
+        rows = changes.scd2_rows(tail, key, cols, LOG_ORDER, ts, _time_split(ts))
     else:
-        h = changes.scd2_refresh(store.read(prev), upto_log, upto_log.where(F.col("batch_id") > prev),
-                                 key, cols, LOG_ORDER, ts=ts)
-    store.write(h, upto)
+        rows = changes.scd2_extend(store.read(prev), tail, key, cols, LOG_ORDER, ts, _time_split(ts))
+    store.write(rows, upto)
     return upto
 
 
 def history_view(spark: SparkSession, log: ChangeLog, store: SnapshotStore, key: str, cols: list[str],
                  ts: str = "ts_ms", value=None) -> DataFrame:
-    """SCD2 history = newest complete history snapshot, refreshed with the log after it.
+    """SCD2 history = newest complete history snapshot, extended with the log after it.
     With ``value``, the history of that key only: snapshot and log are
     filtered to it first, so nothing reads or groups other keys' rows."""
     prev = store.latest()
-    full = log.rows()
-    if value is not None:
-        full = full.where(F.col(key) == F.lit(changes._int_key(key, value)))
-    if prev is None:
-        return changes.scd2_history(full, key, cols, LOG_ORDER, ts=ts)
-    stored = store.read(prev)
+    tail = log.rows(prev)
+    stored = None if prev is None else store.read(prev)
+    bucket = _time_split(ts)
     if value is not None:
-        stored = stored.where(F.col(key) == F.lit(changes._int_key(key, value)))
-    return changes.scd2_refresh(stored, full, full.where(F.col("batch_id") > prev),
-                                key, cols, LOG_ORDER, ts=ts)
+        one = F.col(key) == F.lit(changes._int_key(key, value))
+        tail, stored = tail.where(one), stored if stored is None else stored.where(one)
+        bucket = None
+    rows = (changes.scd2_rows(tail, key, cols, LOG_ORDER, ts, bucket) if stored is None
+            else changes.scd2_extend(stored, tail, key, cols, LOG_ORDER, ts, bucket))
+    return changes.scd2_versions(rows, key, cols, ts)

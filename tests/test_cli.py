@@ -81,6 +81,26 @@ def test_cli_end_to_end(spark, scratch, capsys):
               .orderBy(F.desc("quantity"), "name").collect()]
     assert served == top
 
+    cli.main(["compact", "--lake", lake], spark=spark)
+    assert "Customers: compacted up to batch 0" in capsys.readouterr().out
+    again = cli.history_table(spark, lake, "Customers").orderBy("CustomerID", "valid_from").collect()
+    assert [tuple(r) for r in again] == [tuple(r) for r in hist]
+    assert again[0].effective_date == again[0].valid_from and again[0].end_date == again[0].valid_to
+    assert again[0].source_created_at == again[0].CreatedAt
+    assert [(r.CustomerID, r.Name) for r in cli.current_table(spark, lake, "Customers").collect()] == [(1, "anna")]
+    assert [(r.Name, r.quantity) for r in cli.top_products_table(spark, lake).collect()] == top
+
+    assert cli.main(["history", "--lake", lake, "--limit", "2"], spark=spark) == 0
+    assert "only the first 2 rows are shown" in capsys.readouterr().out
+    full = os.path.join(scratch, "history_out")
+    cli.main(["history", "--lake", lake, "--out", full], spark=spark)
+    assert spark.read.parquet(full).count() == 3
+    assert cli.main(["history", "--lake", lake, "seven"], spark=spark) == 2
+    assert cli.main(["history", "--lake", lake, "--table", "Orders"], spark=spark) == 1
+    assert cli.main(["current", "--lake", lake, "--table", "Nope"], spark=spark) == 2
+    assert cli.main(["top-products", "--lake", os.path.join(scratch, "nothing")], spark=spark) == 1
+    said = capsys.readouterr().out
+    assert "must be an integer" in said and "no data yet for Orders" in said and "unknown table Nope" in said
     cli.main(["history", "--lake", lake, "1"], spark=spark)
     cli.main(["history", "--lake", lake, "99"], spark=spark)
     cli.main(["top-products", "--lake", lake, "-k", "3"], spark=spark)

@@ -270,6 +270,14 @@ def test_history_snapshots_equal_full_history(spark, scratch):
     assert compact_history(spark, log, store, "user_id", cols, 3) == 3
     assert store.versions() == [1, 3]
     assert rows(history_view(spark, log, store, "user_id", cols)) == want
+    # With a snapshot only the log's partitions after it are scanned, once.
+    assert compact_history(spark, log, SnapshotStore(spark, lake, "users_h2"), "user_id", cols, 1) == 1
+    plan = history_view(spark, log, SnapshotStore(spark, lake, "users_h2"), "user_id", cols)
+    assert rows(plan) == want
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    scans = plan._jdf.queryExecution().sparkPlan().toString()
+    reads = re.findall(r"Location: InMemoryFileIndex[^\n]*users_log[^\n]*", scans)
+    assert reads and all(re.search(r"PartitionFilters: \[[^]]*batch_id#\d+L > 1", r) for r in reads), (text, scans)
     k = want[0][0]
     assert rows(history_view(spark, log, store, "user_id", cols, value=k)) == [r for r in want if r[0] == k]
 
