@@ -96,10 +96,11 @@ def test_bands_hold_every_linked_pair():
         large = 4 * small // 3
         a, b = (int(np.searchsorted(starts, x, side="right")) - 1 for x in (small, large))
         assert b - a <= 1
-        s, apart, cells = plan(a)
-        assert cells > apart
-        if not s:
-            assert apart >= (small + large) // 7
+        for tier in range(12):
+            share, apart, cells = plan(a, tier)
+            assert cells > apart
+            if share == 1:
+                assert apart >= (small + large) // 7
 
 
 def test_components(spark):
