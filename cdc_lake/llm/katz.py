@@ -267,12 +267,13 @@ def count_pairs(batches: DataFrame, words: DataFrame, buckets: int, uni: Unigram
                     new = np.ones(len(c), bool)
                     new[1:] = h[c][1:] != h[c][:-1]
                     hs, at = h[c][new], np.flatnonzero(new)
-                    cols.append((k, b.number, pack(names[hs]), pack(np.diff(np.append(at, len(c))).astype(np.uint32)),
-                                 _pack48(b.vocab[w[c]]), pack(own[c]), pack(count[w[c]].astype(np.uint32)),
-                                 pack((needed[hs] + 2 * salted[hs]).astype(np.uint8))))
-        kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 6]
-        return pa.table([pa.array(x, t) for x, t in zip(list(zip(*cols)) or [()] * 8, kinds)],
-                        ["bucket", "batch", "h", "runs", "w", "own", "cw", "flags"])
+                    ws, which = np.unique(w[c], return_inverse=True)  # a next word is sent once per bucket
+                    cols.append((k, b.number, pack(names[hs], True), pack(np.diff(np.append(at, len(c))).astype(np.uint32)),
+                                 _pack48(b.vocab[ws]), pack(which.astype(np.uint32)), pack(own[c]),
+                                 pack(count[ws].astype(np.uint32)), pack((needed[hs] + 2 * salted[hs]).astype(np.uint8))))
+        kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 7]
+        return pa.table([pa.array(x, t) for x, t in zip(list(zip(*cols)) or [()] * 9, kinds)],
+                        ["bucket", "batch", "h", "runs", "w", "which", "own", "cw", "flags"])
 
     def add(table: pa.Table) -> pa.Table:
         rows = _rows(table)
@@ -281,11 +282,12 @@ def count_pairs(batches: DataFrame, words: DataFrame, buckets: int, uni: Unigram
         h_all = np.concatenate(hs)
         names, h_index = np.unique(h_all, return_inverse=True)
         h = np.repeat(h_index, np.concatenate(runs))
-        w = np.concatenate([_unpack48(r["w"]) for r in rows])
+        which = [unpack(r["which"]) for r in rows]
+        w = np.concatenate([_unpack48(r["w"])[k] for r, k in zip(rows, which)])
         key = H.mix(names[h] + H.mix(w))
         _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
         total = np.bincount(inverse, np.concatenate([unpack(r["own"]) for r in rows])).astype(np.int64)
-        cw = np.concatenate([unpack(r["cw"]) for r in rows])[first].astype(np.int64)
+        cw = np.concatenate([unpack(r["cw"])[k] for r, k in zip(rows, which)])[first].astype(np.int64)
         seen = total > 0
         of, r = h[first][seen], total[seen]
         sums = np.bincount(of, uni.p(cw[seen]), len(names))
@@ -307,7 +309,7 @@ def count_pairs(batches: DataFrame, words: DataFrame, buckets: int, uni: Unigram
         return _answer(out)
 
     sent = batches.groupBy("batch").cogroup(words.where("kind = 0").groupBy("batch")).applyInArrow(
-        send, "bucket int, batch long, h binary, runs binary, w binary, own binary, cw binary, flags binary")
+        send, "bucket int, batch long, h binary, runs binary, w binary, which binary, own binary, cw binary, flags binary")
     return sent.groupBy("bucket").applyInArrow(add, ANSWER)
 
 
