@@ -3,6 +3,7 @@
     python -m cdc_lake.cli process  --lake PATH --checkpoint PATH (--kafka HOST:PORT [--topic-prefix P] | --source-dir DIR)
                                     [--decimals number|base64] [--rejoin]
     python -m cdc_lake.cli compact  --lake PATH [--tables A,B] [--purge-before MS]
+    python -m cdc_lake.cli check    --lake PATH [--out PATH]
     python -m cdc_lake.cli history  --lake PATH [--table Customers] [KEY] [--limit N] [--out PATH]
     python -m cdc_lake.cli current  --lake PATH --table NAME [--limit N] [--out PATH]
     python -m cdc_lake.cli top-products --lake PATH [-k 10]
@@ -24,9 +25,9 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdc_lake.contracts import PRIMARY_KEYS, ROW_SCHEMAS
+from cdc_lake.contracts import PRIMARY_KEYS, ROW_SCHEMAS, SOURCE_CONTRACTS, SOURCE_FOREIGN_KEYS
 from cdc_lake.functions.timecols import ms_to_ts
-from cdc_lake.operators import changes, metrics
+from cdc_lake.operators import changes, metrics, quality
 from cdc_lake.session import build_session
 from cdc_lake.streaming import pipeline as pl
 from cdc_lake.streaming.changelog import ChangeLog
@@ -137,6 +138,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     cp.add_argument("--lake", required=True)
     cp.add_argument("--tables", default=",".join(ROW_SCHEMAS))
     cp.add_argument("--purge-before", type=int, help="drop tombstones older than this ts_ms")
+    ck = sub.add_parser("check", help="contracts and foreign keys of the captured tables")
+    ck.add_argument("--lake", required=True)
+    ck.add_argument("--out")
     t = sub.add_parser("top-products")
     t.add_argument("--lake", required=True)
     t.add_argument("-k", type=int, default=10)
@@ -200,6 +204,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             show(h, n, a.out)
     elif a.cmd == "current":
         show(current_table(spark, a.lake, a.table), a.limit, a.out)
+    elif a.cmd == "check":
+        tables = {t: current_table(spark, a.lake, t) for t in ROW_SCHEMAS if change_log(spark, a.lake, t).exists()}
+        if not tables:
+            print(f"no data yet in {a.lake}")
+            return 1
+        report = quality.check_tables(tables, SOURCE_CONTRACTS, SOURCE_FOREIGN_KEYS).orderBy("table_name", "rule")
+        show(report, 1000, a.out)
     elif a.cmd == "compact":
         for t in a.tables.split(","):
             upto = compact_table(spark, a.lake, t, a.purge_before)

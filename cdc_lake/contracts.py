@@ -65,8 +65,48 @@ FOREIGN_KEYS = (
     ForeignKey("reviews_customer", "reviews", "custkey", "customer", "c_custkey"),
 )
 
-# Row images of the source tables, as they arrive in change envelopes
-# (DATETIME2 values as epoch nanoseconds, DECIMAL(18,2) as decimals).
+# Primary key, NOT NULL columns and CHECK rules of the 15 source tables.
+SOURCE_CONTRACTS = {
+    "Sellers": Contract("Sellers", ("SellerID",)),
+    "Customers": Contract("Customers", ("CustomerID",)),
+    "ProductCategories": Contract("ProductCategories", ("CategoryID",), ("CategoryName",)),
+    "Products": Contract("Products", ("ProductID",)),
+    "OrderStatus": Contract("OrderStatus", ("StatusID",), ("StatusName",)),
+    "Orders": Contract("Orders", ("OrderID",)),
+    "Reasons": Contract("Reasons", ("ReasonID",), ("OrderID", "ReasonType", "ReasonDescription"),
+                        {"ReasonType": "ReasonType IN ('Cancellation', 'Return')"}),
+    "OrderItems": Contract("OrderItems", ("OrderItemID",)),
+    "ShoppingCarts": Contract("ShoppingCarts", ("CartID",)),
+    "CartItems": Contract("CartItems", ("CartItemID",)),
+    "PaymentMethods": Contract("PaymentMethods", ("PaymentMethodID",), ("MethodName",)),
+    "Payments": Contract("Payments", ("PaymentID",)),
+    "Reviews": Contract("Reviews", ("ReviewID",)),
+    "Addresses": Contract("Addresses", ("AddressID",)),
+    "Inventory": Contract("Inventory", ("InventoryID",)),
+}
+
+# The 16 foreign keys of the source tables (name, child, child column, parent, parent column).
+SOURCE_FOREIGN_KEYS = (
+    ForeignKey("Products_CategoryID", "Products", "CategoryID", "ProductCategories", "CategoryID"),
+    ForeignKey("Products_SellerID", "Products", "SellerID", "Sellers", "SellerID"),
+    ForeignKey("Orders_CustomerID", "Orders", "CustomerID", "Customers", "CustomerID"),
+    ForeignKey("Orders_StatusID", "Orders", "StatusID", "OrderStatus", "StatusID"),
+    ForeignKey("Reasons_OrderID", "Reasons", "OrderID", "Orders", "OrderID"),
+    ForeignKey("OrderItems_OrderID", "OrderItems", "OrderID", "Orders", "OrderID"),
+    ForeignKey("OrderItems_ProductID", "OrderItems", "ProductID", "Products", "ProductID"),
+    ForeignKey("ShoppingCarts_CustomerID", "ShoppingCarts", "CustomerID", "Customers", "CustomerID"),
+    ForeignKey("CartItems_CartID", "CartItems", "CartID", "ShoppingCarts", "CartID"),
+    ForeignKey("CartItems_ProductID", "CartItems", "ProductID", "Products", "ProductID"),
+    ForeignKey("Payments_OrderID", "Payments", "OrderID", "Orders", "OrderID"),
+    ForeignKey("Payments_PaymentMethodID", "Payments", "PaymentMethodID", "PaymentMethods", "PaymentMethodID"),
+    ForeignKey("Reviews_ProductID", "Reviews", "ProductID", "Products", "ProductID"),
+    ForeignKey("Reviews_CustomerID", "Reviews", "CustomerID", "Customers", "CustomerID"),
+    ForeignKey("Addresses_CustomerID", "Addresses", "CustomerID", "Customers", "CustomerID"),
+    ForeignKey("Inventory_ProductID", "Inventory", "ProductID", "Products", "ProductID"),
+)
+
+# Row images of the captured source tables, as they arrive in change
+# envelopes (DATETIME2 values as epoch nanoseconds, DECIMAL(18,2) as decimals).
 _TS = T.LongType()
 ROW_SCHEMAS = {
     "Customers": T.StructType([

@@ -100,6 +100,20 @@ def fk_orphans(tables: dict[str, DataFrame], fks) -> DataFrame:
             .where(F.col("n_rows") > 0).select("fk_name", "child_key", "n_rows"))
 
 
+def check_tables(tables: dict[str, DataFrame], contracts: dict, fks) -> DataFrame:
+    """``(table_name, rule, violations)`` of every contract and foreign key that the given tables allow:
+    a foreign key is checked when child and parent are both there."""
+    reports = [contract_report(df, contracts[t]) for t, df in tables.items() if t in contracts]
+    usable = [fk for fk in fks if fk.child in tables and fk.parent in tables]
+    if usable:
+        orphans = fk_orphans(tables, usable).groupBy("fk_name").agg(F.sum("n_rows").cast("long").alias("n"))
+        names = orphans.sparkSession.createDataFrame([(fk.child, fk.name) for fk in usable], "t string, fk string")
+        reports.append(names.join(orphans, names["fk"] == orphans["fk_name"], "left").select(
+            F.col("t").alias("table_name"), F.concat(F.lit("fk:"), "fk").alias("rule"),
+            F.coalesce("n", F.lit(0).cast("long")).alias("violations")))
+    return union_all(reports)
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 

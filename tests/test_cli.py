@@ -101,6 +101,9 @@ def test_cli_end_to_end(spark, scratch, capsys):
     assert cli.main(["top-products", "--lake", os.path.join(scratch, "nothing")], spark=spark) == 1
     said = capsys.readouterr().out
     assert "must be an integer" in said and "no data yet for Orders" in said and "unknown table Nope" in said
+    cli.main(["check", "--lake", lake], spark=spark)
+    report = capsys.readouterr().out
+    assert "fk:OrderItems_ProductID" in report and "pk_unique" in report and "Orders_CustomerID" not in report
     cli.main(["history", "--lake", lake, "1"], spark=spark)
     cli.main(["history", "--lake", lake, "99"], spark=spark)
     cli.main(["top-products", "--lake", lake, "-k", "3"], spark=spark)

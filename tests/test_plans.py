@@ -65,3 +65,13 @@ def test_fk_check_is_one_join(spark):
     assert len(re.findall(r"Exchange hashpartitioning\(parent#\d+, key#\d+L", p)) == 2
     assert len(re.findall(r"Join \[parent#", p)) == 1
     assert len(re.findall(r"FileScan parquet \[o_orderkey#\d+L\]", p)) == 1    # orders as a parent, read once
+
+
+def test_rule_plans_read_each_child_once(spark):
+    """fk_orphans: lineitem at most twice (its own keys and the reviews join); contract_report shuffles keys only."""
+    from __spark_entry__ import queries
+    plan = queries()["fk_orphans"](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
+    scans = re.findall(r"FileScan parquet \[[^]]*l_(?:order|part|supp)key[^]]*\]", plan)
+    assert 1 <= len(scans) <= 3, scans
+    plan = queries()["route_by_type"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "events" not in plan and "user_id" not in plan

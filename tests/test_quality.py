@@ -188,3 +188,36 @@ def test_scd2_refresh_equals_full_history(spark):
     got.collect()                              # AQE's final plan: stored rows are not shuffled
     p = got._jdf.queryExecution().executedPlan().toString()
     assert "isFinalPlan=true" in p and re.search(r"BroadcastHashJoin \[k#\d+\], \[k#\d+\], LeftAnti", p)
+
+
+def test_source_contracts_one_violation_per_rule(spark):
+    from cdc_lake.contracts import SOURCE_CONTRACTS, SOURCE_FOREIGN_KEYS
+    assert len(SOURCE_CONTRACTS) == 15 and len(SOURCE_FOREIGN_KEYS) == 16
+    cols = {t: {*c.pk, *c.not_null, *[k for k in c.checks]} for t, c in SOURCE_CONTRACTS.items()}
+    for fk in SOURCE_FOREIGN_KEYS:
+        cols[fk.child].add(fk.child_col)
+        cols[fk.parent].add(fk.parent_col)
+    tables, want = {}, {}
+    for t, c in SOURCE_CONTRACTS.items():
+        names = sorted(cols[t])
+        text = [n for n in names if not n.endswith("ID")]
+        good = {n: "Return" if n in text else 1 for n in names}
+        rows = [good, good]                                              # the key twice
+        want[t, "pk_unique"] = 1
+        for i, n in enumerate(c.not_null):
+            rows.append({**good, c.pk[0]: 100 + i, n: None})
+            want[t, f"not_null:{n}"] = 1
+        for i, n in enumerate(c.checks):
+            rows.append({**good, c.pk[0]: 200 + i, n: "Other"})
+            want[t, f"check:{n}"] = 1
+        for i, fk in enumerate(f for f in SOURCE_FOREIGN_KEYS if f.child == t):
+            rows.append({**good, c.pk[0]: 300 + i, fk.child_col: 9000 + i})
+            want[t, f"fk:{fk.name}"] = 1
+        schema = ", ".join(f"{n} {'string' if n in text else 'int'}" for n in names)
+        tables[t] = spark.createDataFrame([tuple(r[n] for n in names) for r in rows], schema)
+    got = {(r.table_name, r.rule): r.violations
+           for r in quality.check_tables(tables, SOURCE_CONTRACTS, SOURCE_FOREIGN_KEYS).collect()}
+    assert got == want
+    few = {t: tables[t] for t in ("Orders", "Customers")}
+    rules = {r.rule for r in quality.check_tables(few, SOURCE_CONTRACTS, SOURCE_FOREIGN_KEYS).collect()}
+    assert rules == {"pk_unique", "fk:Orders_CustomerID"}
