@@ -68,7 +68,3 @@ def ns_to_us_double(ns) -> Column:
     """
     return (_c(ns) / F.lit(1_000_000_000) * F.lit(1_000_000)).cast("long")
 
-
-def ns_to_ts_double(ns) -> Column:
-    """The reference's lossy conversion, kept to reproduce its tables."""
-    return micros_to_ts(ns_to_us_double(ns))

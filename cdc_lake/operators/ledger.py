@@ -2,8 +2,8 @@
 
 The running balance is a per-product running sum split by time bucket (see
 :mod:`cdc_lake.operators.sequence`): a best-selling product is spread over its
-months instead of landing in one task.  The opening stock joins the per-bucket
-summary, not the sales rows, so the sales are shuffled exactly once.
+months instead of landing in one task.  The opening stock is joined by
+product.
 """
 
 from __future__ import annotations
