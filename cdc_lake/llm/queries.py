@@ -102,4 +102,18 @@ ORACLE = {
                row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
                text_sha256
         FROM d""",
+    "op7_ngram_join": f"""
+        WITH RECURSIVE dw AS (SELECT doc_id, {WORDS} AS w FROM documents),
+        sh AS (SELECT DISTINCT doc_id, unnest(
+                   CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+               FROM dw),
+        n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+              FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+        l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+        r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.b) AS component_id
+        FROM documents d LEFT JOIN n USING (doc_id) JOIN r ON r.a = d.doc_id
+        GROUP BY d.doc_id, n.n""",
 }
