@@ -17,6 +17,7 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.75
 #: A table is broadcast only after its rows were counted and found to be at most this many.
 BROADCAST_ROWS = 200_000
+ARROW_BATCH, ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,10 +65,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: cuts the lineage, survives lost executors."""
+    """``df`` written once to the shared folder and read back: cuts the lineage, survives lost executors.
+
+    While it is written, rows go to Python in batches of at most ``ARROW_ROWS``: whole texts are long rows, and a
+    batch is held outside the heap on both sides.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(ARROW_BATCH)
+    spark.conf.set(ARROW_BATCH, str(min(int(before), ARROW_ROWS) if int(before) > 0 else ARROW_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(ARROW_BATCH, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -38,7 +38,6 @@ K = 5
 TOKENS = 1_000_000
 BUCKET_TOKENS = 1_500_000
 MIN_BUCKETS = 48
-SLICE = 512
 END = H.U(0xE7D0E7D0E7D0E7D1)
 BEGIN = H.U(0xBE61BE61BE61BE63)
 ANSWER = "bucket int, batch long, kind int, a binary, b binary, c binary"
@@ -141,8 +140,7 @@ def streams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fol
 
         for batch in batches:
             type_ = batch.schema.field(0).type
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
+            for part in H.slices(batch, 2):
                 h, offsets = H.words(part.column(2).to_pylist())
                 ids.append(part.column(0).to_pylist())
                 held.append(part.column(1).to_pylist())

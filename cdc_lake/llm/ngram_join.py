@@ -51,7 +51,6 @@ FINER = 4.0     # growth of the sketched share for sets with too few filled cell
 BITS = 1024     # bits of the parity sketch that filters pairs
 BLOCK = 1024    # members of a home compared at a time, about
 FEW = 64        # members of a small pair of blocks
-SLICE = 256     # documents hashed at a time
 
 
 @lru_cache(maxsize=1)
@@ -171,8 +170,7 @@ def sketched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
+            for part in H.slices(batch, 1):
                 values, offsets = _sets(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(np.diff(offsets), pa.int64()),
@@ -207,8 +205,8 @@ def _member_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str)
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                values, offsets = _sets(batch.slice(at, SLICE).column(0).to_pylist())
+            for part in H.slices(batch, 0):
+                values, offsets = _sets(part.column(0).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*(pa.array(H.signed(H.fold(values, offsets, seed))) for seed in (1, 2)),
                      pa.array([values[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])], pa.binary())],

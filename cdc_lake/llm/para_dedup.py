@@ -34,7 +34,6 @@ WINDOW = 22
 MIN_RUN = 20
 RECALL = 0.98
 MAX_HASHES = 4
-SLICE = 256
 KEY_ROWS = 1_000_000    # band keys (16 bytes each) that are broadcast after being counted; more are joined
 
 
@@ -123,8 +122,7 @@ def paragraph_table(docs: DataFrame, id_col: str, text_col: str, bands: int, row
 
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, SLICE):
-                part = batch.slice(lo, SLICE)
+            for part in H.slices(batch, 1):
                 values, _, first, text, at, words = paragraphs(part.column(1).to_pylist())
                 per = pa.array(np.searchsorted(text, np.arange(part.num_rows + 1)), pa.int32())
                 keys = _banded(values, first, bands, rows)
@@ -147,8 +145,8 @@ def _members(docs: DataFrame, wanted: DataFrame, ids: DataFrame, id_col: str, te
 
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, SLICE):
-                values, _, first, *_ = paragraphs(batch.column(0).slice(lo, SLICE).to_pylist())
+            for part in H.slices(batch, 0):
+                values, _, first, *_ = paragraphs(part.column(0).to_pylist())
                 ends = np.concatenate((first[1:], [len(values)]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(H.signed(_named(values, first)), pa.int64()),

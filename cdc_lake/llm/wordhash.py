@@ -7,6 +7,7 @@ import numpy as np
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15 | 1)
 INVERSE = U(pow(int(BASE), -1, 1 << 64))
+SLICE_CHARS = 400_000
 _powers = [np.ones(1, U), np.ones(1, U)]
 
 
@@ -21,6 +22,22 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def slices(batch, column: int, chars: int = SLICE_CHARS):
+    """Parts of an Arrow batch with about ``chars`` bytes of text each, at least one row: the arrays of a part, some
+    forty times its text, bound the memory of a task, apart from single long texts."""
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    start, have = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > start and have + n > chars:
+            yield batch.slice(start, i - start)
+            start, have = i, 0
+        have += n + 1
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64: a bijection that spreads every input bit."""
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
