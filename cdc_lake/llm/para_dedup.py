@@ -9,6 +9,14 @@ that reaches the wanted recall at the similarity threshold.  Per band key the pa
 smallest one (a star); only keys that hold different paragraphs are joined back.  Candidates are verified by exact
 Jaccard similarity of their shingle sets, and verified links form components.
 
+*Rest.*  A key is few shingles, so a frequent sentence puts many unlike paragraphs under one key, and the smallest one
+says nothing about the others.  The members of keys that hold several components are therefore compared once more: two
+similar sets share one of their rarest shingles (as many as a set may miss, plus one), so the members are grouped by
+these, where boilerplate comes last and shingles that occur once are dropped.  Groups of several components are
+compared block against block, filtered by the Hamming distance of parity sketches of ``BITS`` bits and verified; of the
+links only those that join two components are emitted.  So every similar pair of a key ends in one component.  The work
+is quadratic in the size of a group of unlike paragraphs with a rare shingle in common, the output is not.
+
 *Removals.*  A component that occurs in two documents or more is a repeated passage; it stays in the document with the
 smallest doc_id and is removed elsewhere.  Neighbouring repeated paragraphs of a document (with at most one differing
 one between) form a run; runs shorter than ``MIN_RUN`` words are left alone (the first and the last paragraph of a passage also hold foreign words, so a
@@ -29,12 +37,15 @@ from pyspark.sql import Window as W
 from . import common as C
 from . import wordhash as H
 from .components import components
+from .ngram_join import _relinked, _with_component
 
 WINDOW = 22
 MIN_RUN = 20
 RECALL = 0.98
 MAX_HASHES = 4
 KEY_ROWS = 1_000_000    # band keys (16 bytes each) that are broadcast after being counted; more are joined
+BITS = 512      # bits of the parity sketch that filters pairs
+BLOCK = 512     # members of a group compared at a time, about
 
 
 def tune(threshold: float = C.SIMILARITY, recall: float = RECALL, max_hashes: int = MAX_HASHES) -> tuple[int, int]:
@@ -172,6 +183,94 @@ def _similar(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
         run, "a long, b long")
 
 
+def _rarest(members: DataFrame, percent: int) -> DataFrame:
+    """(key, name): the rarest shingles of every set, one more than it may miss, of those that occur more than once."""
+    def run(batches):
+        for batch in batches:
+            names, sets = batch.column("name").to_numpy(), [np.frombuffer(x, np.int64) for x in batch.column("members").to_pylist()]
+            sizes = np.array([len(x) for x in sets], np.int64)
+            spare = sizes + (-percent * sizes) // 100 + 1  # percent of the set are shared at least
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(names, sizes), pa.int64()), pa.array(np.repeat(sizes, sizes), pa.int32()),
+                 pa.array(np.repeat(spare, sizes), pa.int32()),
+                 pa.array(np.concatenate(sets) if sets else [], pa.int64())], ["name", "all", "spare", "key"])
+
+    own = C.written(members.mapInArrow(run, "name long, all int, spare int, key long"), "para-shingles")
+    often = C.written(own.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "para-often")
+    own = own.join(C.small(often, KEY_ROWS), "key")
+    w = W.partitionBy("name")  # the shingles of one paragraph
+    own = own.withColumn("place", F.row_number().over(w.orderBy("n", "key"))).withColumn("seen", F.count("*").over(w))
+    # Shingles that occur once come first in the order; there are all - seen of them.
+    return own.where(F.col("place") + F.col("all") - F.col("seen") <= F.col("spare")).select("key", "name")
+
+
+def _joining(x: list[dict], y: list[dict] | None, percent: int) -> tuple[list[int], list[int]]:
+    """Links between members of the blocks ``x`` and ``y`` (None: within ``x``) that join two components; links that
+    follow from those before are left out."""
+    rows = x if y is None else x + y
+    start = 0 if y is None else len(x)
+    sets = [np.frombuffer(m["members"], H.U) for m in rows]
+    sizes = np.array([len(s) for s in sets], np.int64)
+    h = H.mix(np.concatenate(sets) + H.U(0xB175))
+    sketch = np.zeros((len(rows), BITS // 64), H.U)
+    at = (np.repeat(np.arange(len(rows)), sizes), ((h >> H.U(6)) % H.U(BITS // 64)).astype(np.int64))
+    np.bitwise_xor.at(sketch, at, H.U(1) << (h & H.U(63)))
+    label = np.unique([m["component"] for m in rows], return_inverse=True)[1]
+    a, b = [], []
+    for i in range(len(x)):
+        first = max(start, i + 1)
+        apart = np.flatnonzero(label[first:] != label[i]) + first
+        if not len(apart):
+            continue
+        far = np.bitwise_count(sketch[apart] ^ sketch[i]).sum(1, dtype=np.int64)
+        for j in apart[(100 + percent) * far <= (100 - percent) * (sizes[apart] + sizes[i])].tolist():
+            if label[j] == label[i]:
+                continue
+            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if 100 * both >= percent * (sizes[i] + sizes[j] - both):
+                a.append(rows[i]["name"])
+                b.append(rows[j]["name"])
+                label[label == label[j]] = label[i]
+    return a, b
+
+
+def _rest(shared: DataFrame, comp: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join components, among the members (key, name) of keys that hold several components."""
+    own = _with_component(shared.select("key", "name"), "name", comp)
+    mixed = C.written(own.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                      .where("lo <> hi").select("key"), "para-mixed")
+    names = C.written(shared.join(C.small(mixed, KEY_ROWS), "key").select("name").distinct(), "para-open")
+    sets = C.written(_with_component(members.join(C.small(names, KEY_ROWS), "name", "left_semi"), "name", comp), "para-sets")
+    near = C.written(_rarest(sets.select("name", "members"), percent), "para-rarest")
+
+    groups = C.written(near.join(sets.select("name", "component"), "name").groupBy("key").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo <> hi")
+        .select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts")), "para-groups")
+    grouped = near.join(C.small(groups, KEY_ROWS), "key").join(sets, "name")
+    blocks = C.written(grouped.groupBy("key", "parts", F.pmod(F.xxhash64("name"), F.col("parts")).cast("int").alias("part")).agg(
+        F.collect_list(F.struct("name", "component", "members")).alias("m")), "para-blocks")  # about BLOCK members each
+
+    def within(batches):
+        for batch in batches:
+            for m in batch.column("m"):
+                a, b = _joining(m.as_py(), None, percent)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    def between(table):
+        a, b = [], []
+        for row in table.select(["x", "y"]).to_pylist():
+            for out, got in zip((a, b), _joining(row["x"], row["y"], percent)):
+                out += got
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    one = blocks.select("m").mapInArrow(within, "a long, b long")
+    large = blocks.where("parts > 1")
+    left, right = (large.select("key", F.col("part").alias(f"p{k}"), F.col("m").alias(v)) for k, v in ((0, "x"), (1, "y")))
+    # Pairs of blocks go to Python one by one.
+    two = left.join(right, "key").where("p0 < p1").groupBy("key", "p0", "p1").applyInArrow(between, "a long, b long")
+    return one.unionByName(two)
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       threshold: float = C.SIMILARITY, recall: float = RECALL, min_run: int = MIN_RUN) -> DataFrame:
     """One row per repeated paragraph: doc_id, first_word, n_words, component, keep_id, kept, run_first, run_words."""
@@ -183,8 +282,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                                               for b in range(bands)])).alias("p")).select("p.key", "p.name")
     stars = C.written(keyed.groupBy("key").agg(F.min("name").alias("a"), F.max("name").alias("hi"))
                       .where("a <> hi").select("key", "a"), "para-keys")
-    pairs = C.written(keyed.join(C.small(stars, KEY_ROWS), "key").where("name <> a").select(
-        F.col("a"), F.col("name").alias("b")).distinct(), "para-pairs")
+    shared = C.written(keyed.join(C.small(stars, KEY_ROWS), "key").distinct(), "para-shared")
+    pairs = C.written(shared.where("name <> a").select("a", F.col("name").alias("b")).distinct(), "para-pairs")
 
     flat = paras.select("rid", "doc_id", F.posexplode(F.arrays_zip("at", "words", "name")).alias("pos", "p")).select(
         "rid", "doc_id", "pos", "p.at", "p.words", "p.name")
@@ -198,8 +297,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     if not pairs.isEmpty():
         ids = C.written(seen.where("wanted").select(F.col("at_doc").alias("_id")).distinct(), "para-docs")
         members = _members(docs, seen.where("wanted").select("name"), ids, id_col, text_col)
-        comp = components(C.written(_similar(pairs, members, round(100 * threshold)), "para-links"))
-        comp = C.written(comp.select(F.col("node").alias("name"), "component"), "para-components")
+        comp = C.written(components(C.written(_similar(pairs, members, round(100 * threshold)), "para-links")),
+                         "para-components")
+        rest = C.written(_rest(shared, comp, members, round(100 * threshold)), "para-rest")
+        if not rest.isEmpty():
+            comp = _relinked(comp, rest)
+        comp = comp.select(F.col("node").alias("name"), "component")
     owned = seen.withColumn("component", F.col("name")) if comp is None else seen.join(
         C.small(comp, KEY_ROWS), "name", "left").withColumn("component", F.coalesce("component", "name"))
     owned = C.written(owned.select("name", "component", "lo", "hi", "keep_id"), "para-owned")

@@ -1,12 +1,13 @@
 """N-gram join and paragraph dedup against brute force; components; word hashes."""
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
 from cdc_lake.llm import common as C
+from cdc_lake.llm import para_dedup
 from cdc_lake.llm import wordhash as H
 from cdc_lake.llm.components import components
 from cdc_lake.llm.ngram_join import band_starts, drop_near_copies, ngram_components, plan
@@ -189,3 +190,23 @@ def test_passages_of_odd_rows(odd, empty):
     got = {(r.doc_id, r.kept) for r in repeated_passages(odd, min_run=1).collect()}
     assert {i for i, _ in got} == {None, 1, 2, 4}
     assert repeated_passages(empty).count() == 0
+
+
+@pytest.mark.parametrize("plate, others", [(11, 500), (13, 300)])
+def test_near_copies_that_share_boilerplate_are_linked(spark, monkeypatch, plate, others):
+    monkeypatch.setattr(para_dedup, "BLOCK", 64)
+    rnd = random.Random(plate)
+    word = lambda: f"w{rnd.randrange(10 ** 9)}"
+    common = [f"p{k}" for k in range(plate)]
+    rows = []
+    for _ in range(80):  # paragraphs of 12 shingles, plate - 4 of them frequent; Jaccard 11 / 13
+        text = common + [word() for _ in range(16 - plate)]
+        rows += [(len(rows) + k, " ".join(text[:-1] + [word()])) for k in range(2)]
+    rows += [(len(rows) + k, " ".join(common + [word() for _ in range(16 - plate)])) for k in range(others)]
+    low = {i: name for (i, _), (_, _, name) in zip(rows, brute(rows))}
+    often = Counter(low.values())
+    want = {(i, int(name)) for i, name in low.items() if often[name] > 1}
+    assert len(want) == 160
+    rnd.shuffle(rows)
+    got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), min_run=1).collect()
+    assert {(r.doc_id, r.keep_id) for r in got} == want
