@@ -2,7 +2,8 @@
 
 *Paragraphs* are cut by content, not by position: every window of ``WINDOW`` successive 5-word shingles marks its
 smallest hash (winnowing), and a paragraph runs from one mark to the next.  Equal passages are so cut alike wherever
-they stand, also inside lines, and a passage of 50 words holds two marks of its own at least.
+they stand, also inside lines.  The first and the last ``WINDOW`` shingles of a passage hold a mark of it each, so a
+passage of n words shows equal paragraphs of at least n + 1 - 2 * ``WINDOW`` words: 20 of 51 words.
 
 *Banding.*  The number of bands and rows per band is the one of least cost (most rows per band, then fewest bands)
 that reaches the wanted recall at the similarity threshold.  Per band key the paragraphs are compared with the
@@ -19,8 +20,8 @@ is quadratic in the size of a group of unlike paragraphs with a rare shingle in
 
 *Removals.*  A component that occurs in two documents or more is a repeated passage; it stays in the document with the
 smallest doc_id and is removed elsewhere.  Neighbouring repeated paragraphs of a document (with at most one differing
-one between) form a run; runs shorter than ``MIN_RUN`` words are left alone (the first and the last paragraph of a passage also hold foreign words, so a
-passage of 50 words shows a shorter run).
+one between) form a run; runs shorter than ``MIN_RUN`` words are left alone (the first and the last paragraph of a
+passage also hold foreign words, so a passage shows a shorter run; any passage of 51 words or more shows ``MIN_RUN``).
 
 Cases: null and empty texts have no paragraphs; a text under five words is one paragraph; passages repeated within one
 document only are not reported; rows that share a doc_id are separate documents under one name; null ids are kept.
@@ -39,8 +40,8 @@ from . import wordhash as H
 from .components import components
 from .ngram_join import _relinked, _with_component
 
-WINDOW = 22
-MIN_RUN = 20
+WINDOW = 16
+MIN_RUN = 20    # at most 52 - 2 * WINDOW, what a passage of 51 words shows at least
 RECALL = 0.98
 MAX_HASHES = 4
 KEY_ROWS = 1_000_000    # band keys (16 bytes each) that are broadcast after being counted; more are joined

@@ -210,3 +210,17 @@ def test_near_copies_that_share_boilerplate_are_linked(spark, monkeypatch, plate
     rnd.shuffle(rows)
     got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), min_run=1).collect()
     assert {(r.doc_id, r.keep_id) for r in got} == want
+
+
+def test_passages_of_just_over_fifty_words_are_all_found(spark):
+    rnd = random.Random(51)
+    word = lambda: f"w{rnd.randrange(10 ** 9)}"
+    rows = []
+    for size in list(range(51, 60)) * 40:
+        passage = [word() for _ in range(size)]
+        for _ in range(2):
+            own = [word() for _ in range(rnd.randint(60, 160))]
+            k = rnd.randrange(len(own) + 1)
+            rows.append((len(rows), " ".join(own[:k] + passage + own[k:])))
+    got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {i for i, _ in rows} - {r.doc_id for r in got} == set()
