@@ -8,8 +8,8 @@ never exceeds the symmetric difference.  By the pigeonhole principle at least C
 *Size bands.*  Bands grow by 4/3, so the sizes of a linked pair lie in one band or two neighbouring ones.  Every set
 is sketched for the band pair it leads and the one it follows, each with its own T and C.  Bands whose sets exceed
 ``SKETCH`` members sketch a hashed share of the members; there T is the mean of the sampled difference of the widest
-pair plus ``DEVIATIONS`` standard deviations (a pair at the very threshold is missed with probability 4e-6, pairs
-above it with much less; bands of smaller sets are exact).
+pair plus ``DEVIATIONS`` standard deviations (the widest pair at the very threshold is missed with probability 8e-6 at
+most, by the binomial tail, pairs above it with much less; bands of smaller sets are exact).
 
 *Join.*  Of the C cells, T + 1 suffice for a common one, so each set keeps its T + 1 rarest cells: cells that occur
 once are dropped (most documents have more than T of them and are done), and so are cells made of boilerplate.
