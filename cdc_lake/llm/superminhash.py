@@ -14,8 +14,11 @@ in numpy, shingles in blocks of bounded size.
 with the smallest member, a star and not a clique; pairs are confirmed on the full sets of shingle hashes and grouped to
 components by union-find steps on tables (:mod:`.components`).  Members of one band that are still in different
 components are then paired block by block: pairs of blocks of at most about ``BLOCK`` members go through numpy, which
-returns the pairs whose signatures agree in half of the components (a pair at 0.8 fails that with probability below
-1e-15) and whose sizes allow 0.8, and those are confirmed too.  No link between different sets is lost to a star, copies
+returns the pairs whose sizes allow 0.8, whose signatures agree nearly often enough, and whose parity sketches (``BITS``
+bits of the whole set, each the parity of its shingles) differ in no more bits than the difference of a link can turn;
+both tests lie ``DEVIATIONS`` standard deviations off a pair at 0.8 (it fails one with probability 1e-8).  What passes is
+nearly only links.  A first round takes of it no more pairs than join the block's components, and confirms them; the
+second takes and confirms every pair between components that are still apart.  No link between different sets is lost to a star, copies
 and near copies cost rows in proportion to their number, and no bucket is gathered in one task.
 
 Long texts are hashed in slices of bounded length; what grows with a single text is its set of distinct shingles.
@@ -46,6 +49,10 @@ STEP_BITS = 48           # an offer is step << STEP_BITS | fraction
 SHINGLES = 1 << 16       # shingles whose permutations are held at a time
 LONG = 1 << 20           # characters of a text beyond which it is hashed in slices
 BLOCK = 1024
+BITS = 2048              # bits of the parity sketch that filters pairs
+DEVIATIONS = 5.7
+#: Components that the signatures of a pair at 0.8 have in common, at least.
+AGREE = int(SIZE * PERCENT / 100 - DEVIATIONS * (SIZE * PERCENT / 100 * (1 - PERCENT / 100)) ** 0.5)
 SPACE = re.compile("[\\x20\\x09-\\x0D]")
 
 
@@ -124,6 +131,23 @@ def signatures(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return sig
 
 
+def parity(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """(document, 64-bit word) parity sketches of the whole sets: every shingle turns one of ``BITS`` bits."""
+    out = np.zeros((len(offsets) - 1, BITS // 64), H.U)
+    h = H.mix(values + H.U(0x0DD))
+    word = ((h >> H.U(6)) % H.U(BITS // 64)).astype(np.int64)
+    np.bitwise_xor.at(out, (np.repeat(np.arange(len(out)), np.diff(offsets)), word), H.U(1) << (h & H.U(63)))
+    return out
+
+
+def most_bits(size: np.ndarray) -> np.ndarray:
+    """Bits in which the parity sketches of a link with ``size`` shingles in both sets together differ at most: its
+    difference, or where shingles fall on the same bits, the mean for that difference and ``DEVIATIONS`` beyond."""
+    apart = (100 - PERCENT) / (100 + PERCENT) * size
+    p = (1 - np.exp(-2 * apart / BITS)) / 2
+    return np.minimum(np.floor(apart), BITS * p + DEVIATIONS * np.sqrt(BITS * p * (1 - p)) + 1)
+
+
 def band_keys(sig: np.ndarray) -> np.ndarray:
     """(document, band) hashes of the bands' components."""
     out = np.zeros((len(sig), BANDS), H.U)
@@ -133,7 +157,8 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per document: rid, doc_id, set size, 128-bit set hash, band keys, and 16 bits of every component."""
+    """One row per document: rid, doc_id, set size, 128-bit set hash, band keys, 16 bits of every component, parity
+    sketch."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
@@ -148,9 +173,12 @@ def hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     [part.column(0), pa.array(np.diff(offsets), pa.int64()),
                      *(pa.array(H.signed(H.fold(values, offsets, seed))) for seed in (1, 2)),
                      pa.FixedSizeListArray.from_arrays(pa.array(keys.reshape(-1)), BANDS).cast(pa.list_(pa.int64())),
-                     pa.array([s.tobytes() for s in some], pa.binary())], ["doc_id", "n", "s1", "s2", "bands", "sig"])
+                     pa.array([s.tobytes() for s in some], pa.binary()),
+                     pa.array([s.tobytes() for s in parity(values, offsets)], pa.binary())],
+                    ["doc_id", "n", "s1", "s2", "bands", "sig", "parity"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, n long, s1 long, s2 long, bands array<long>, sig binary").withColumn(
+    return rows.mapInArrow(run, f"doc_id {kind}, n long, s1 long, s2 long, bands array<long>, sig binary, "
+                           "parity binary").withColumn(
         "rid", F.monotonically_increasing_id())
 
 
@@ -200,64 +228,85 @@ def with_component(rows: DataFrame, node: str, comp: DataFrame) -> DataFrame:
         "component", F.coalesce("_c", node)).drop("_n", "_c")
 
 
-def _alike(rows_x, rows_y, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs between two blocks of members (rid, component, n, sig) that may be links and are not grouped yet."""
+def _alike(rows_x, rows_y, same: bool, forest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs between two blocks of members (rid, component, n, sig, parity) that may be links and are not grouped yet;
+    with ``forest`` only those that join groups which earlier pairs of the block have not joined."""
     rx, cx, nx = (rows_x.column(c).to_numpy(zero_copy_only=False) for c in ("rid", "component", "n"))
     ry, cy, ny = (rows_y.column(c).to_numpy(zero_copy_only=False) for c in ("rid", "component", "n"))
     sx, sy = (np.frombuffer(b"".join(r.column("sig").to_pylist()), np.uint16).reshape(-1, SIZE) for r in (rows_x, rows_y))
+    px, py = (np.frombuffer(b"".join(r.column("parity").to_pylist()), H.U).reshape(-1, BITS // 64) for r in (rows_x, rows_y))
     a, b = [], []
+    up: dict[int, int] = {}
+
+    def group(c: int) -> int:
+        while up.get(c, c) != c:
+            c = up[c]
+        return c
+
     for k in range(len(rx)):
         near = (cx[k] != cy) & (100 * np.minimum(nx[k], ny) >= PERCENT * np.maximum(nx[k], ny))
         if same:
             near &= ry > rx[k]
         at = np.flatnonzero(near)
-        at = at[(sy[at] == sx[k]).sum(1) >= SIZE // 2]
+        at = at[(sy[at] == sx[k]).sum(1) >= AGREE]
+        at = at[np.bitwise_count(py[at] ^ px[k]).sum(1, dtype=np.int64) <= most_bits(nx[k] + ny[at])]
+        if forest and len(at):
+            new = []
+            for c, first in zip(*(x.tolist() for x in np.unique(cy[at], return_index=True))):
+                own, other = group(int(cx[k])), group(c)
+                if own != other:
+                    up[other] = own
+                    new.append(at[first])
+            at = np.array(new, np.int64)
         a.append(np.minimum(rx[k], ry[at]))
         b.append(np.maximum(rx[k], ry[at]))
     empty = np.zeros(0, np.int64)
     return np.concatenate([empty, *a]), np.concatenate([empty, *b])
 
 
-def _block_pairs(table: pa.Table) -> pa.Table:
+def _block_pairs(table: pa.Table, forest: bool) -> pa.Table:
     """Pairs from the members of one pair of blocks of a band key (``side`` 0 and 1; one side alone: within it)."""
     import pyarrow.compute as pc
 
     table = table.combine_chunks()
     x, y = (table.filter(pc.equal(table.column("side"), s)) for s in (0, 1))
-    a, b = _alike(x, y, False) if y.num_rows else _alike(x, x, True)
+    a, b = _alike(x, y, False, forest) if y.num_rows else _alike(x, x, True, forest)
     return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def _small_keys(batches):
+def _small_keys(batches, forest: bool):
     """The same for small keys, many to a batch: all members of a key are in one row."""
     for batch in batches:
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for row in batch.column("m"):
             t = pa.Table.from_batches([pa.RecordBatch.from_struct_array(row.values)])
-            x, y = _alike(t, t, True)
+            x, y = _alike(t, t, True, forest)
             a.append(x)
             b.append(y)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
 
-def open_pairs(cells: DataFrame, comp: DataFrame, nodes: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Pairs (a, b) of members of one band key in different components, by signature; ``nodes``: rid, n, sig."""
+def open_pairs(cells: DataFrame, comp: DataFrame, nodes: DataFrame, block: int, forest: bool) -> DataFrame:
+    """Pairs (a, b) of members of one band key in different components, by signature; ``nodes``: rid, n, sig, parity.
+
+    With ``forest`` a block returns fewer pairs than it has components, without it all pairs.
+    """
     own = C.written(with_component(cells, "rid", comp), "band-members")
     per = own.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"))
     open_ = C.written(per.where("lo <> hi").select("key", F.ceil(F.col("size") / block).cast("int").alias("parts")), "open-keys")
-    full = own.join(C.small(open_), "key").join(nodes.select("rid", "n", "sig"), "rid")
-    full = C.written(full.select("key", "parts", "rid", "component", "n", "sig",
+    full = own.join(C.small(open_), "key").join(nodes.select("rid", "n", "sig", "parity"), "rid")
+    full = C.written(full.select("key", "parts", "rid", "component", "n", "sig", "parity",
                                  F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int").alias("part")), "open-members")
-    few = full.where("parts = 1").groupBy("key").agg(F.collect_list(F.struct("rid", "component", "n", "sig")).alias("m"))
-    small = few.select("m").mapInArrow(_small_keys, "a long, b long")
+    few = full.where("parts = 1").groupBy("key").agg(F.collect_list(F.struct("rid", "component", "n", "sig", "parity")).alias("m"))
+    small = few.select("m").mapInArrow(lambda it: _small_keys(it, forest), "a long, b long")
     # A member goes to the pairs of blocks it belongs to: its own block with every block of the key.
     k = F.col("part")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    many = full.where("parts > 1").select("key", "rid", "component", "n", "sig", "part", other.alias("other")).select(
+    many = full.where("parts > 1").select("key", "rid", "component", "n", "sig", "parity", "part", other.alias("other")).select(
         "key", F.least(k, "other").alias("p"), F.greatest(k, "other").alias("q"),
-        F.when(k <= F.col("other"), 0).otherwise(1).alias("side"), "rid", "component", "n", "sig")
+        F.when(k <= F.col("other"), 0).otherwise(1).alias("side"), "rid", "component", "n", "sig", "parity")
     large = many.groupBy("key", "p", "q").applyInArrow(
-        lambda t: _block_pairs(t.select(["side", "rid", "component", "n", "sig"])), "a long, b long")
+        lambda t: _block_pairs(t.select(["side", "rid", "component", "n", "sig", "parity"]), forest), "a long, b long")
     return small.unionByName(large).distinct()
 
 
@@ -297,10 +346,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             "rid", "doc_id", "s1", "s2"), "wanted")
         full = _member_sets(docs, wanted, id_col, text_col)
         comp = C.written(components(C.written(confirmed(fit, full), "links")), "components")
-        left = C.written(open_pairs(cells.select("key", "rid"), comp, rows, block), "open-pairs")
-        if not left.isEmpty():
-            known = fit.select(F.col("a").alias("pa"), F.col("b").alias("pb"))
-            left = left.join(known, (F.col("a") == F.col("pa")) & (F.col("b") == F.col("pb")), "left_anti")
+        for forest in (True, False):  # first as few pairs as can join the groups, then every pair that is left
+            left = C.written(open_pairs(cells.select("key", "rid"), comp, rows, block, forest), "open-pairs")
+            if left.isEmpty():
+                break
             found = C.written(confirmed(left, full), "links")
             if not found.isEmpty():
                 comp = _joined(comp, found)
