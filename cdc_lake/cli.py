@@ -30,7 +30,7 @@ from cdc_lake.functions.timecols import ms_to_ts
 from cdc_lake.operators import changes, metrics, quality
 from cdc_lake.session import build_session
 from cdc_lake.streaming import pipeline as pl
-from cdc_lake.streaming.changelog import ChangeLog
+from cdc_lake.streaming.changelog import ChangeLog, DeadLetters
 from cdc_lake.streaming.compaction import (LOG_ORDER, SnapshotStore, compact_history, compact_log, current_view,
                                            history_view)
 
@@ -77,10 +77,12 @@ def compact_table(spark: SparkSession, lake: str, table: str, purge_before: int
     log = change_log(spark, lake, table)
     if not log.exists():
         return None
-    upto = log.read(log.schema).agg(F.max("batch_id")).first()[0]
+    upto = log.committed_upto()
     key, cols = PRIMARY_KEYS[table], _row_cols(table)
     compact_log(spark, log, SnapshotStore(spark, lake, table), key, cols, upto, purge_before)
     compact_history(spark, log, SnapshotStore(spark, lake, f"{table}_history"), key, cols, upto)
+    for t in (log, DeadLetters(spark, lake, table)):
+        t.vacuum()
     return upto
 
 

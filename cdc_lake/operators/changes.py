@@ -119,21 +119,36 @@ def compact(base: DataFrame | None, tail: DataFrame, key, cols: list[str], order
 
 def touch_updated_at(log: DataFrame, key, cols: list[str], order=ORDER, ts: str = "ts") -> DataFrame:
     """Current state with ``created_at`` from the first image (after the last
-    delete, if any) and ``updated_at`` moved by every later change (what the source's update triggers maintain)."""
+    delete, if any) and ``updated_at`` moved by every later change (what the source's update triggers maintain).
+
+    One aggregate folds the log to a summary per key: last delete, first image, last image, number of changes; it is
+    combined map-side, one row per task and key.  The first image is the answer for every key that was never deleted,
+    and a key whose last change is a delete has no row.  Only keys that were deleted and created again are looked up
+    in the log a second time, for the first image after their last delete: a join with those keys' summaries, which
+    Spark broadcasts when they are few, filtered before the second (again map-side combined) aggregate.  Keys are
+    compared null-safely throughout.
+    """
     keys = _keys(key)
     carry = [c for c in dict.fromkeys([*order, "op", *cols]) if c not in keys]
     place = F.struct(*[F.col(o) for o in order])
-    # A key that was deleted and created again is a new row: only images after its last delete count.
-    gone = log.where(F.col("op") == OP_DELETE).groupBy(*keys).agg(F.max(place).alias("_gone"))
-    alive = F.col("_gone").isNull() | (place > F.col("_gone"))
-    agg = log.join(gone, keys, "left").groupBy(*keys).agg(
-        F.min(F.when(alive, F.col(ts))).alias("created_at"),
+    gone = F.col("op") == OP_DELETE
+    agg = log.groupBy(*keys).agg(
+        F.max(F.when(gone, place)).alias("_gone"),
+        F.min(F.when(~gone, F.col(ts))).alias("_first"),
         F.max_by(F.struct(*[F.col(c) for c in carry]), place).alias("_w"),
         F.count(F.lit(1)).alias("n_changes"),
-    )
-    return agg.where(F.col("_w.op") != OP_DELETE).select(
+    ).where(F.col("_w.op") != OP_DELETE)
+    born = agg.where(F.col("_gone").isNotNull()).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                                                        F.col("_gone").alias("_after"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    later = log.where(~gone).select(*keys, F.col(ts).alias("_ts"), place.alias("_place"))
+    again = (later.join(born, [*same, F.col("_place") > F.col("_after")])
+             .groupBy(*[f"_k{i}" for i in range(len(keys))]).agg(F.min("_ts").alias("_again")))
+    rows = agg.join(again, same, "left")
+    return rows.select(
         *keys, *[F.col("_w." + c).alias(c) for c in cols if c not in keys],
-        "created_at", F.col("_w." + ts).alias("updated_at"), "n_changes")
+        F.when(F.col("_gone").isNull(), F.col("_first")).otherwise(F.col("_again")).alias("created_at"),
+        F.col("_w." + ts).alias("updated_at"), "n_changes")
 
 
 def bootstrap_union(snapshot: DataFrame, changes: DataFrame) -> DataFrame:

@@ -7,9 +7,10 @@ message files.  The design differs from an eager per-batch MERGE:
   reading only its topic, instead of every query reading every topic and
   filtering afterwards (the topic predicate does not reach the source).
 * **Append-only change log.**  ``foreachBatch`` parses the batch once, writes
-  valid changes to ``<lake>/<table>_log`` partition ``batch_id=N`` and rejected
-  messages to ``<lake>/<table>_dead_letter``, both with dynamic partition
-  overwrite: replaying batch N after a failure rewrites the same partition.
+  valid changes to ``<lake>/<table>_log`` and rejected messages to
+  ``<lake>/<table>_dead_letter`` and commits both with one record, which readers
+  and compaction follow: a batch is seen whole or not at all, and a replay of
+  a committed batch changes nothing.
   Rows carry their place in the topic, and every checkpoint gets its own range
   of batch ids (:mod:`cdc_lake.streaming.changelog`), so a restart with a new
   checkpoint neither loses nor doubles a message.  Current state and history
@@ -23,6 +24,7 @@ message files.  The design differs from an eager per-batch MERGE:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -35,8 +37,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cdc_lake.contracts import PRIMARY_KEYS, ROW_SCHEMAS
 from cdc_lake.functions import envelope as env
 from cdc_lake.operators import changes
-from cdc_lake.sources.lake import LakeTable
-from cdc_lake.streaming.changelog import ChangeLog
+from cdc_lake.streaming.changelog import ChangeLog, CommittedTable, DeadLetters
 
 # Schema of a message as the bus (or a message file) delivers it.
 MESSAGE_SCHEMA = T.StructType([
@@ -127,23 +128,32 @@ def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 
 # ------------------------------------------------------------------ sinks
 class ChangeLogSink:
-    """``foreachBatch`` function: parse once, append the batch to the change
-    log and the dead-letter table under ``first_batch + batch_id``."""
+    """``foreachBatch`` function: parse once, write the batch's rows to the change
+    log and its rejected messages to the dead letters under
+    ``first_batch + batch_id``, then commit both with one record
+    (:mod:`cdc_lake.streaming.changelog`).  A replay of a committed batch writes nothing."""
 
     def __init__(self, spec: TableSpec, lake_root: str, fmt: str = "parquet",
-                 legacy_null_key: bool = False, first_batch: int = 0):
+                 legacy_null_key: bool = False, first_batch: int = 0, checkpoint: str | None = None):
         self.spec = spec
         self.lake_root = lake_root
         self.fmt = fmt
         self.legacy_null_key = legacy_null_key
         self.first_batch = first_batch
+        self.checkpoint = checkpoint
         self.last_counts: dict = {}
 
     def log_table(self, spark: SparkSession) -> ChangeLog:
         return ChangeLog(spark, self.lake_root, self.spec.name, self.spec.log_schema, self.fmt)
 
-    def dead_letter_table(self, spark: SparkSession) -> LakeTable:
-        return LakeTable(spark, self.lake_root, f"{self.spec.name}_dead_letter", self.fmt)
+    def dead_letter_table(self, spark: SparkSession) -> DeadLetters:
+        return DeadLetters(spark, self.lake_root, self.spec.name, self.fmt)
+
+    def _write(self, table: CommittedTable, df: DataFrame, number: int, attempt: str) -> None:
+        if self.fmt == "delta":  # its own log isolates readers
+            table.overwrite_partitions(df.withColumn("batch_id", F.lit(number).cast("long")))
+        else:
+            df.write.parquet(table.attempt_path(number, attempt))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         # One cheap emptiness probe (a LIMIT 1 job) instead of a write per empty trigger.
@@ -151,21 +161,31 @@ class ChangeLogSink:
             return
         spark = batch.sparkSession
         s = self.spec
-        number = F.lit(self.first_batch + batch_id).cast("long")
+        number, attempt = self.first_batch + batch_id, uuid.uuid4().hex
+        log, dead = self.log_table(spark), self.dead_letter_table(spark)
+        done = log.replayed(number, self.checkpoint)
+        if done is not None:
+            self.last_counts = {"batch_id": batch_id, **done["ops"]}
+            return
         parsed = env.parse_messages(batch, s.row_schema)
         # Two outputs read the parsed batch: keep it for the second one, the text of rejected messages only.
         bad = env.dead_letter_reason(s.pk, self.legacy_null_key, True, env.decimal_columns(s.row_schema),
                                      s.decimal_encoding).isNotNull()
         parsed = parsed.withColumn("_text", F.when(bad, F.col("_text"))).persist()
         try:
-            log = s.change_rows(parsed, keep=("topic", "partition"), legacy_null_key=self.legacy_null_key)
-            # Per-op counts ride along with the write: no extra action.
-            obs = Observation(f"{s.name}_{batch_id}")
-            log = log.observe(obs, *[F.count_if(F.col("op") == o).alias(o) for o in env.OPS])
-            self.log_table(spark).overwrite_partitions(log.withColumn("batch_id", number))
-            dead = s.rejected(parsed, self.legacy_null_key)
-            self.dead_letter_table(spark).overwrite_partitions(dead.withColumn("batch_id", number))
-            self.last_counts = {"batch_id": batch_id, **obs.get}
+            rows = s.change_rows(parsed, keep=("topic", "partition"), legacy_null_key=self.legacy_null_key)
+            # Counts ride along with the writes: no extra action.
+            ops, rejected = Observation(f"{s.name}_{attempt}"), Observation(f"{s.name}_dead_{attempt}")
+            self._write(log, rows.observe(ops, *[F.count_if(F.col("op") == o).alias(o) for o in env.OPS],
+                                          F.count(F.lit(1)).alias("rows")), number, attempt)
+            self._write(dead, s.rejected(parsed, self.legacy_null_key).observe(
+                rejected, F.count(F.lit(1)).alias("rows")), number, attempt)
+            counts = {k: int(v) for k, v in ops.get.items()}
+            record = {"attempt": attempt, "rows": {"log": counts.pop("rows"), "dead_letter": int(rejected.get["rows"])},
+                      "ops": counts, "checkpoint": self.checkpoint}
+            log.replayed(number, self.checkpoint)  # a newer stream may have started while this batch was written
+            log.commits.put(number, record)
+            self.last_counts = {"batch_id": batch_id, **counts}
         finally:
             parsed.unpersist()
 
@@ -182,7 +202,7 @@ def start_table_stream(spark: SparkSession, spec: TableSpec, source: DataFrame,
     if not checkpoint_root:
         raise ValueError("a stream needs a checkpoint folder that outlives it")
     checkpoint = f"{checkpoint_root.rstrip('/')}/{spec.name.lower()}"
-    sink = ChangeLogSink(spec, lake_root, fmt)
+    sink = ChangeLogSink(spec, lake_root, fmt, checkpoint=checkpoint)
     sink.first_batch = sink.log_table(spark).join_stream(checkpoint, rejoin)
     w = (source.writeStream
          .foreachBatch(sink)
@@ -276,11 +296,11 @@ class TopKWriter:
         self.product_key, self.name = product_key, name
 
     def __call__(self, deltas: DataFrame, batch_id: int) -> None:
-        from cdc_lake.streaming.compaction import SnapshotStore
+        from cdc_lake.streaming.versions import VersionedTable
 
         spark = deltas.sparkSession
-        store = SnapshotStore(spark, self.out.rstrip("/").rpartition("/")[0] or "/",
-                              self.out.rstrip("/").rpartition("/")[2] + "_totals")
+        store = VersionedTable(spark, self.out.rstrip("/").rpartition("/")[0] or "/",
+                               self.out.rstrip("/").rpartition("/")[2] + "_totals")
         before = [v for v in store.versions() if v < batch_id]
         totals = deltas.select("product", "delta")
         if before:

@@ -1,0 +1,50 @@
+"""A small table kept in numbered versions, each a folder that counts once it is complete (``_SUCCESS``)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from cdc_lake.sources.lake import table_path
+
+
+class VersionedTable:
+    def __init__(self, spark: SparkSession, root: str, name: str):
+        self.spark = spark
+        self.base = table_path(root, f"{name}_snapshot")
+
+    def _fs(self):
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.base)
+        return jvm, p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def versions(self) -> list[int]:
+        """Batch ids of the complete snapshots, oldest first."""
+        jvm, p, fs = self._fs()
+        if not fs.exists(p):
+            return []
+        out = []
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith("upto="):
+                if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                    out.append(int(name.split("=", 1)[1]))
+        return sorted(out)
+
+    def latest(self) -> int | None:
+        v = self.versions()
+        return v[-1] if v else None
+
+    def path(self, upto: int) -> str:
+        return f"{self.base}/upto={upto}"
+
+    def read(self, upto: int) -> DataFrame:
+        return self.spark.read.parquet(self.path(upto))
+
+    def write(self, df: DataFrame, upto: int) -> None:
+        df.write.mode("overwrite").parquet(self.path(upto))
+
+    def drop(self, versions: list[int]) -> None:
+        """Delete old snapshots."""
+        jvm, _, fs = self._fs()
+        for v in versions:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(self.path(v)), True)

@@ -75,3 +75,37 @@ def test_rule_plans_read_each_child_once(spark):
     assert 1 <= len(scans) <= 3, scans
     plan = queries()["route_by_type"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "events" not in plan and "user_id" not in plan
+
+
+def test_touch_folds_the_log_before_it_moves(spark):
+    """The log reaches the first shuffle as one row per task and key; the second look reads the re-created keys' rows
+    only, through a broadcast of those keys: no shuffle of the log's rows."""
+    df, p = _plan(spark, "touch_updated_at")
+    df.collect()
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in p and "partial_max_by" in p
+    final = p.split("== Initial Plan ==")[0]
+    for line in re.findall(r"Exchange hashpartitioning[^\n]*\n[^\n]*", final):
+        assert "Aggregate" in line.split("\n")[1] or "SortAggregate" in line.split("\n")[1], line
+    assert "SortMergeJoin" not in final
+
+
+def test_touch_equals_plain_with_null_keys(spark):
+    """Deletes, re-creations, null keys and keys that only ever were deleted, against a loop over the rows."""
+    import random
+
+    from cdc_lake.operators import changes
+
+    rng = random.Random(1)
+    rows = [(rng.choice([None, *range(40)]), n, n // 2, rng.choice("cuud"), f"v{n}") for n in range(600)]
+    want = {}
+    for k, seq, ts, op, v in rows:
+        w = want.setdefault(k, {"n": 0, "first": None, "last": None})
+        w["n"] += 1
+        w["first"], w["last"] = (None, None) if op == "d" else (ts if w["first"] is None else w["first"], (v, ts))
+    want = sorted((repr(k), *w["last"][:1], w["first"], w["last"][1], w["n"]) for k, w in want.items() if w["last"])
+    rng.shuffle(rows)
+    log = spark.createDataFrame(rows, "k int, seq long, ts long, op string, v string").repartition(5)
+    got = changes.touch_updated_at(log, "k", ["v"])
+    assert got.columns == ["k", "v", "created_at", "updated_at", "n_changes"]
+    assert sorted((repr(r.k), r.v, r.created_at, r.updated_at, r.n_changes) for r in got.collect()) == want
