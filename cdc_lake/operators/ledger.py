@@ -4,11 +4,24 @@ The running balance is a per-product running sum split by time bucket (see
 :mod:`cdc_lake.operators.sequence`): a best-selling product is spread over its
 months instead of landing in one task.  The opening stock is joined by
 product.
+
+**Kept ledger.**  With the running balance stored in every row, one late sale would
+change all later rows of its product.  The kept form stores two things instead:
+
+* *rows* with the sum sold so far within their time bucket (``bucket`` of
+  ``DAYS`` days), which a late sale changes in its own bucket only;
+* a *tree* of totals per product: level 0 has the buckets' totals, a node of level
+  l + 1 the sum of ``BRANCH`` neighbouring nodes of level l.  A late sale adds to
+  one node per level.
+
+The sum sold before a bucket is, per level, the total of the elder siblings of its
+ancestor: at most ``BRANCH`` nodes on each of ``LEVELS`` levels, however long the
+history is.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cdc_lake.operators.sequence import keyed_running_sum
@@ -40,3 +53,108 @@ def stock_balance(sales: DataFrame, stock: DataFrame) -> DataFrame:
     bal = F.col("qty_in_stock") - s
     return j.select("p_partkey", "qty_in_stock", s.alias("sold"), bal.alias("balance"),
                     (bal < 0).alias("oversold"))
+
+
+# ------------------------------------------------------------- kept ledger
+DAYS = 7        # days in a bucket
+BRANCH = 16     # children of a tree node
+LEVELS = 4
+NO_DATE = -(1 << 40)    # bucket of sales without a date: before all others, as null dates sort first
+
+MOVE = ("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_extendedprice", "qty")
+
+
+def time_bucket(col: str = "l_shipdate") -> Column:
+    return F.coalesce(F.floor(F.unix_date(F.col(col).cast("date")) / DAYS), F.lit(NO_DATE)).cast("long")
+
+
+def _sold_in_bucket(moves: DataFrame) -> DataFrame:
+    """Rows with the sum sold so far in their bucket; a window holds one product's sales of one bucket."""
+    w = Window.partitionBy("p_partkey", "bucket").orderBy(*_ledger_order()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return moves.select("p_partkey", *MOVE, "bucket", F.sum("qty").over(w).cast("long").alias("sold_in_bucket"))
+
+
+def ledger_rows(sales: DataFrame) -> DataFrame:
+    """The kept rows of all sales."""
+    return _sold_in_bucket(sales.select("p_partkey", *MOVE, time_bucket().alias("bucket")))
+
+
+def ledger_tree(sales: DataFrame) -> DataFrame:
+    """(p_partkey, level, node, sold): the totals of a table of sales on every level, one shuffle, combined map-side."""
+    per = sales.groupBy("p_partkey", time_bucket().alias("_b")).agg(F.sum("qty").cast("long").alias("sold"))
+    nodes = F.array(*[F.struct(F.lit(level).alias("level"), F.floor(F.col("_b") / BRANCH ** level).cast("long").alias("node"))
+                      for level in range(LEVELS)])
+    return per.select("p_partkey", "sold", F.inline(nodes)).groupBy("p_partkey", "level", "node").agg(
+        F.sum("sold").cast("long").alias("sold")).select("p_partkey", "level", "node", "sold")
+
+
+def ledger_add(rows: DataFrame, tree: DataFrame, late: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Kept rows and tree brought up to date with ``late`` sales of any date.
+
+    Returns (the rows of the time buckets that change, all of them; the rows of the other buckets as they were; the
+    changed tree nodes with their new totals).  With rows stored by ``bucket`` the first is what to overwrite and only
+    its buckets are read: their numbers are collected (as many as there are weeks) and named in the scan's filter.
+    """
+    moves = late.select("p_partkey", *MOVE, time_bucket().alias("bucket"))
+    weeks = sorted(r.bucket for r in moves.select("bucket").distinct().collect())
+    hit = F.col("bucket").isin(weeks) if weeks else F.lit(False)
+    pairs = moves.select("p_partkey", "bucket").distinct()
+    own = rows.where(hit)
+    redo = own.join(pairs, ["p_partkey", "bucket"], "left_semi").select("p_partkey", *MOVE, "bucket").unionByName(moves)
+    changed = own.join(pairs, ["p_partkey", "bucket"], "left_anti").unionByName(
+        _sold_in_bucket(redo).select(*own.columns))
+    more = ledger_tree(late)
+    nodes = ["p_partkey", "level", "node"]
+    new = more.join(tree.withColumnRenamed("sold", "_old"), nodes, "left").select(
+        *nodes, (F.col("sold") + F.coalesce("_old", F.lit(0).cast("long"))).alias("sold"))
+    return changed, rows.where(~hit), new
+
+
+def tree_with(tree: DataFrame, new: DataFrame) -> DataFrame:
+    """The whole tree after the changed nodes ``new``."""
+    nodes = ["p_partkey", "level", "node"]
+    return tree.join(new.select(*nodes), nodes, "left_anti").unionByName(new)
+
+
+def sold_before(tree: DataFrame) -> DataFrame:
+    """(p_partkey, bucket, sold_before): the sum sold before every bucket, from the elder siblings on every level."""
+    top = F.col("level") == LEVELS - 1
+    # The nodes of the top level are siblings of each other.
+    parent = F.when(top, F.lit(0).cast("long")).otherwise(F.floor(F.col("node") / BRANCH).cast("long"))
+    w = Window.partitionBy("p_partkey", "level", parent).orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
+    elder = tree.select("p_partkey", "level", "node", F.coalesce(F.sum("sold").over(w), F.lit(0)).cast("long").alias("_elder"))
+    b = F.col("bucket")
+    anc = F.array(*[F.struct(F.lit(level).alias("level"), F.floor(b / BRANCH ** level).cast("long").alias("node"))
+                    for level in range(LEVELS)])
+    own = tree.where("level = 0").select("p_partkey", F.col("node").alias("bucket"))
+    return own.select("p_partkey", "bucket", F.inline(anc)).join(elder, ["p_partkey", "level", "node"]).groupBy(
+        "p_partkey", "bucket").agg(F.sum("_elder").cast("long").alias("sold_before"))
+
+
+def ledger_view(rows: DataFrame, tree: DataFrame, stock: DataFrame) -> DataFrame:
+    """The ledger as :func:`stock_ledger` gives it, from the kept rows and tree."""
+    before = sold_before(tree).withColumnsRenamed({"p_partkey": "_p", "bucket": "_b"})
+    x = rows.join(before, F.col("p_partkey").eqNullSafe(F.col("_p")) & (F.col("bucket") == F.col("_b")))
+    x = x.withColumn("sold_to_date", F.col("sold_before") + F.col("sold_in_bucket"))
+    x = x.join(stock.select("p_partkey", "qty_in_stock"), "p_partkey", "left")
+    bal = F.col("qty_in_stock") - F.col("sold_to_date")
+    return x.select("p_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "qty",
+                    "qty_in_stock", "sold_to_date", bal.alias("balance"), (bal < 0).alias("oversold"))
+
+
+def balance_at(rows: DataFrame, tree: DataFrame, stock: DataFrame, product: int, day) -> DataFrame:
+    """Balance of one product at the end of ``day``: at most ``BRANCH`` nodes a level and one bucket of rows."""
+    day = F.lit(day).cast("date")
+    b = F.coalesce(F.floor(F.unix_date(day) / DAYS), F.lit(NO_DATE)).cast("long")
+    node = F.col("node")
+    top = F.col("level") == LEVELS - 1
+    at = F.floor(b / F.pow(F.lit(float(BRANCH)), F.col("level"))).cast("long")
+    elder = (node < at) & (top | (F.floor(node / BRANCH) == F.floor(at / BRANCH)))
+    whole = tree.where((F.col("p_partkey") == F.lit(product)) & elder).select("sold")
+    part = rows.where((F.col("p_partkey") == F.lit(product)) & (F.col("bucket") == b) & (
+        F.col("l_shipdate").isNull() | (F.col("l_shipdate").cast("date") <= day))).select(F.col("qty").alias("sold"))
+    sold = whole.unionByName(part).agg(F.coalesce(F.sum("sold"), F.lit(0)).cast("long").alias("sold_to_date"))
+    return stock.where(F.col("p_partkey") == F.lit(product)).select("p_partkey", "qty_in_stock").join(
+        sold, F.lit(True), "left").select("p_partkey", "qty_in_stock", "sold_to_date",
+                                          (F.col("qty_in_stock") - F.col("sold_to_date")).alias("balance"))

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from cdc_lake.contracts import CONTRACTS, FOREIGN_KEYS, ORDER_STATUS_ROW, USER_ROW
 from cdc_lake.functions import envelope as env
 from cdc_lake.functions.timecols import epoch_us_of, floor_div, ms_to_ts, ns_to_ts, ns_to_us_double
-from cdc_lake.operators import changes, ledger, metrics, quality
+from cdc_lake.operators import changes, fkcount, ledger, metrics, quality
 from cdc_lake.operators.sequence import HotSplit
 from cdc_lake.sources import feeds, messages
 from cdc_lake.sources.tables import Tables
@@ -282,6 +282,23 @@ def q_fk_orphans(spark, d):
     return quality.fk_orphans(tabs, FOREIGN_KEYS)
 
 
+def q_fk_orphans_refresh(spark, d):
+    """The counted orphan view after a batch of changes on both sides of the foreign keys: a tenth of the orders arrives
+    after their lines, customers leave, and some lines are moved to orders that do not exist."""
+    t = _t(spark, d)
+    tabs = _rule_tables(t)
+    late = F.pmod(F.col("o_orderkey"), F.lit(10)) == 3
+    gone = F.pmod(F.col("c_custkey"), F.lit(40)) == 7
+    moved = F.pmod(F.col("l_orderkey"), F.lit(50)) == 11
+    before = {n: tabs[n] for n in dict.fromkeys(x for fk in FOREIGN_KEYS for x in (fk.child, fk.parent))}
+    counts = fkcount.fk_counts({**before, "orders": t.orders.where(~late)}, FOREIGN_KEYS)
+    lines = t.lineitem.where(moved)
+    deltas = fkcount.fk_deltas(
+        {"orders": t.orders.where(late), "lineitem": lines.withColumn("l_orderkey", -F.col("l_orderkey"))},
+        {"customer": t.customer.where(gone), "lineitem": lines}, FOREIGN_KEYS)
+    return fkcount.fk_orphans_of(fkcount.fk_apply(counts, deltas))
+
+
 def q_order_total_reconcile(spark, d):
     t = _t(spark, d)
     return quality.order_total_reconcile(t.orders, t.lineitem)
@@ -298,6 +315,16 @@ def q_stock_ledger_hot(spark, d):
     return ledger.stock_ledger(feeds.sales(t), feeds.stock(t), bucket=time_split("l_shipdate", rows=20))
 
 
+def q_stock_ledger_refresh(spark, d):
+    """The kept ledger after late sales of every date: a fifth of the orders comes in after the others."""
+    t = _t(spark, d)
+    sales = feeds.sales(t)
+    late = F.pmod(F.xxhash64("l_orderkey"), F.lit(5)) == 0
+    rows, tree = ledger.ledger_rows(sales.where(~late)), ledger.ledger_tree(sales.where(~late))
+    changed, kept, nodes = ledger.ledger_add(rows, tree, sales.where(late))
+    return ledger.ledger_view(kept.unionByName(changed), ledger.tree_with(tree, nodes), feeds.stock(t))
+
+
 def q_address_violations(spark, d):
     return quality.address_violations(feeds.addresses(_t(spark, d)))
 

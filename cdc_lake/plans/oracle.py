@@ -109,14 +109,23 @@ def _contract_sql() -> str:
     return with_feeds("\nUNION ALL\n".join(parts), "reasons", "chg_users")
 
 
-def _fk_sql() -> str:
+#: The tables after the batch of changes of ``fk_orphans_refresh``.
+_FK_CHANGED = {
+    "lineitem": "(SELECT CASE WHEN l_orderkey % 50 = 11 THEN -l_orderkey ELSE l_orderkey END AS l_orderkey, l_partkey, "
+                "l_suppkey FROM lineitem)",
+    "customer": "(SELECT * FROM customer WHERE c_custkey % 40 <> 7)",
+}
+
+
+def _fk_sql(tables: dict[str, str]) -> str:
+    """Orphans of all foreign keys; ``tables`` replaces tables by others."""
     parts = []
     for fk in FOREIGN_KEYS:
-        child = "lineitem_spoiled" if fk.child == "lineitem" else fk.child
+        child, parent = tables.get(fk.child, fk.child), tables.get(fk.parent, fk.parent)
         parts.append(
             f"SELECT '{fk.name}' AS fk_name, CAST(c.{fk.child_col} AS BIGINT) AS child_key, COUNT(*) AS n_rows "
             f"FROM {child} c WHERE c.{fk.child_col} IS NOT NULL AND NOT EXISTS "
-            f"(SELECT 1 FROM {fk.parent} p WHERE p.{fk.parent_col} = c.{fk.child_col}) "
+            f"(SELECT 1 FROM {parent} p WHERE p.{fk.parent_col} = c.{fk.child_col}) "
             f"GROUP BY c.{fk.child_col}")
     return with_feeds("\nUNION ALL\n".join(parts), "lineitem_spoiled", "payments", "reasons", "reviews")
 
@@ -263,7 +272,8 @@ def oracle_sql() -> dict[str, str]:
     q["pk_duplicates"] = """
         SELECT l_orderkey, l_linenumber, COUNT(*) AS n_rows FROM lineitem
         GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1"""
-    q["fk_orphans"] = _fk_sql()
+    q["fk_orphans"] = _fk_sql({"lineitem": "lineitem_spoiled"})
+    q["fk_orphans_refresh"] = _fk_sql(_FK_CHANGED)
     q["order_total_reconcile"] = """
         SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS stored_total, computed_total, n_lines,
                CAST(CAST(o_totalprice AS DECIMAL(18,2)) - computed_total AS DECIMAL(18,2)) AS difference
@@ -283,6 +293,7 @@ def oracle_sql() -> dict[str, str]:
               FROM sales) s
         LEFT JOIN stock st ON st.p_partkey = s.p_partkey""", "sales", "stock")
     q["stock_ledger_hot"] = q["stock_ledger"]
+    q["stock_ledger_refresh"] = q["stock_ledger"]
     q["stock_balance"] = with_feeds("""
         SELECT st.p_partkey, st.qty_in_stock, COALESCE(s.sold, 0) AS sold,
                st.qty_in_stock - COALESCE(s.sold, 0) AS balance, st.qty_in_stock - COALESCE(s.sold, 0) < 0 AS oversold
