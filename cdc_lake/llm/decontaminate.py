@@ -12,13 +12,14 @@ The sketches (about a quarter of the items' shingles) are broadcast after their
 the shingles are joined by hash with a shuffle.  Only documents with a candidate are read into the second step.
 
 Cases: an item of fewer than five words is searched as one shingle of its own length; an item without words matches
-nothing; null texts are empty; rows sharing a doc_id count as one document; null ids are kept; equal items are
-reported each.
+nothing; null texts are empty; null ids are kept.  Every row of the items is an item of its own, also with an id that is
+null or repeated, and is reported under its id.  A document is a doc_id with its text: rows that repeat both are one,
+texts that share an id are searched one by one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -33,61 +34,76 @@ def _shingle(n: int):
 
 
 def item_shingles(items: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """Distinct shingles of the items: item_id, n (words per shingle), h, shingle."""
-    words = items.select(F.col(id_col).alias("item_id"), C.words_of(C.text_of(text_col)).alias("words"))
+    """Distinct shingles of the items: item (row number), item_id, n (words per shingle), h, shingle."""
+    numbered = C.written(items.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text")).withColumn(
+        "item", F.monotonically_increasing_id()), "item-rows")
+    words = numbered.select("item", "item_id", C.words_of(C.text_of()).alias("words"))
     out = None
     for n in range(1, width + 1):
         of = words.where(F.size("words") >= n if n == width else F.size("words") == n)
-        rows = C.ngram_rows(of, "words", n, ["item_id"]).select(
-            "item_id", F.lit(n).alias("n"), _hash(n).alias("h"), _shingle(n).alias("shingle")).distinct()
+        rows = C.ngram_rows(of, "words", n, ["item", "item_id"]).select(
+            "item", "item_id", F.lit(n).alias("n"), _hash(n).alias("h"), _shingle(n).alias("shingle")).distinct()
         out = rows if out is None else out.unionByName(rows)
     return out
 
 
 def sketches(shingles: DataFrame, threshold: float) -> DataFrame:
-    """Bottom-k sketch rows of every item: item_id, n, h."""
-    per = shingles.groupBy("item_id", "n").agg(F.array_sort(F.collect_set("h")).alias("hs"))
+    """Bottom-k sketch rows of every item: item, n, h."""
+    per = shingles.groupBy("item", "n").agg(F.array_sort(F.collect_set("h")).alias("hs"))
     top = F.pow(F.lit(2.0), F.floor(F.log2(F.size("hs"))) + 1) - 1  # largest item of the partition
     k = (F.floor(top * (1 - threshold) + 1e-9) + 1).cast("int")
-    return per.select("item_id", "n", F.explode(F.slice("hs", F.lit(1), k)).alias("h"))
+    return per.select("item", "n", F.explode(F.slice("hs", F.lit(1), k)).alias("h"))
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           item_id_col: str = "item_id", item_text_col: str = "text", threshold: float = C.SIMILARITY,
           width: int = C.SHINGLE_WORDS) -> DataFrame:
     """Pairs (doc_id, item_id, item_shingles, matched, containment) with containment >= threshold."""
+    return _leaks(docs, items, id_col, text_col, item_id_col, item_text_col, threshold, width).drop("text_hash")
+
+
+def _leaks(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_id_col: str = "item_id",
+           item_text_col: str = "text", threshold: float = C.SIMILARITY, width: int = C.SHINGLE_WORDS) -> DataFrame:
+    """The pairs with the hash that tells texts of one doc_id apart."""
     shingles = C.written(item_shingles(items, item_id_col, item_text_col, width), "items")
     sketch = C.written(sketches(shingles, threshold), "sketches")
     widths = sorted(r["n"] for r in sketch.select("n").distinct().collect())  # at most ``width`` numbers
-    words = docs.select(F.col(id_col).alias("doc_id"), C.words_of(C.text_of(text_col)).alias("words"))
+    doc = ["doc_id", "text_hash"]
+    words = docs.select(F.col(id_col).alias("doc_id"), text_hash(text_col).alias("text_hash"),
+                        C.words_of(C.text_of(text_col)).alias("words"))
 
-    found = sketch.select(F.lit(None).cast(words.schema["doc_id"].dataType).alias("doc_id"), "item_id").limit(0)
+    found = None
     for n in widths:
-        own = C.small(sketch.where(F.col("n") == n).select("item_id", "h"))
-        found = found.unionByName(C.ngram_rows(words, "words", n, ["doc_id"])
-                                  .select("doc_id", _hash(n).alias("h")).join(own, "h").select("doc_id", "item_id"))
-    pairs = C.written(found.distinct(), "candidates")
-
-    ids = C.small(C.written(pairs.select(F.col("doc_id").alias("_id")).distinct(), "candidate-docs"))
-    texts = words.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    sizes = shingles.groupBy("item_id", "n").agg(F.count("*").alias("item_shingles"))
+        own = C.small(sketch.where(F.col("n") == n).select("item", "h"))
+        rows = C.ngram_rows(words, "words", n, doc).select(*doc, _hash(n).alias("h")).join(own, "h").select(*doc)
+        found = rows if found is None else found.unionByName(rows)
+    if found is None:
+        found = words.select(*doc).limit(0)
+    ids = C.written(found.distinct().select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")), "candidate-docs")
+    ids = C.small(ids)
+    texts = words.join(ids, (F.col("text_hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    sizes = shingles.groupBy("item", "item_id").agg(F.count("*").alias("item_shingles"))
     hits = None
     for n in widths:
-        own = C.small(shingles.where(F.col("n") == n).select("item_id", "shingle"))
-        rows = (C.ngram_rows(texts, "words", n, ["doc_id"]).select("doc_id", _shingle(n).alias("shingle"))
-                .join(own, "shingle").select("doc_id", "item_id", "shingle").distinct())
+        own = C.small(shingles.where(F.col("n") == n).select("item", "shingle"))
+        rows = (C.ngram_rows(texts, "words", n, doc).select(*doc, _shingle(n).alias("shingle"))
+                .join(own, "shingle").select(*doc, "item", "shingle").distinct())
         hits = rows if hits is None else hits.unionByName(rows)
     if hits is None:
-        hits = pairs.withColumn("shingle", F.lit(""))
-    matched = hits.groupBy("doc_id", "item_id").agg(F.count("*").alias("matched"))
-    return (matched.join(C.small(C.written(sizes, "item-sizes")).alias("s"),
-                         matched["item_id"].eqNullSafe(F.col("s.item_id")))
+        hits = found.select(*doc, F.lit(0).cast("long").alias("item"))
+    matched = hits.groupBy(*doc, "item").agg(F.count("*").alias("matched"))
+    return (matched.join(C.small(C.written(sizes, "item-sizes")), "item")
             .where(F.col("matched") >= F.col("item_shingles") * threshold)
-            .select("doc_id", matched["item_id"], "item_shingles", "matched",
-                    (F.col("matched") / F.col("item_shingles")).alias("containment")))
+            .select("doc_id", "item_id", "item_shingles", "matched",
+                    (F.col("matched") / F.col("item_shingles")).alias("containment"), "text_hash"))
+
+
+def text_hash(text_col: str = "text") -> Column:
+    return F.xxhash64(C.text_of(text_col))
 
 
 def drop_leaking(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` (all columns) without the documents that hold a test item."""
-    hit = C.written(leaks(docs, items, id_col, text_col).select(F.col("doc_id").alias("_drop_id")).distinct(), "leaking")
-    return C.anti_rows(docs, docs[id_col], hit, "_drop_id")
+    """``docs`` (all columns) without the documents (doc_id and text) that hold a test item."""
+    hit = C.small(C.written(_leaks(docs, items, id_col, text_col).select(
+        F.col("doc_id").alias("_drop_id"), F.col("text_hash").alias("_drop_hash")).distinct(), "leaking"))
+    return docs.join(hit, docs[id_col].eqNullSafe(hit["_drop_id"]) & (text_hash(text_col) == hit["_drop_hash"]), "left_anti")

@@ -121,19 +121,20 @@ def _clusters_sql(rounds: int = 3) -> str:
 
 ORACLE = {
     "op2_decontaminate": f"""
-        WITH iw AS (SELECT item_id, {WORDS} AS w FROM benchmark),
-        ish AS (SELECT DISTINCT item_id, least(len(w), 5) AS n,
+        WITH iw AS MATERIALIZED (SELECT row_number() OVER () AS item, item_id, {WORDS} AS w FROM benchmark),
+        ish AS (SELECT DISTINCT item, item_id, least(len(w), 5) AS n,
                        unnest(list_transform(range(1, len(w) - least(len(w), 5) + 2),
                                              lambda i: array_to_string(w[i:i + least(len(w), 5) - 1], ' '))) AS shingle
                 FROM iw WHERE len(w) > 0),
-        q AS (SELECT item_id, count(*) AS item_shingles FROM ish GROUP BY item_id),
-        dw AS (SELECT doc_id, {WORDS} AS w FROM documents),
-        dsh AS (SELECT DISTINCT doc_id, n, unnest(list_transform(range(1, len(w) - n + 2),
+        q AS (SELECT item, item_id, count(*) AS item_shingles FROM ish GROUP BY item, item_id),
+        dw AS MATERIALIZED (SELECT row_number() OVER () AS doc, doc_id, {WORDS} AS w
+               FROM (SELECT DISTINCT doc_id, coalesce(text, '') AS text FROM documents)),
+        dsh AS (SELECT DISTINCT doc, doc_id, n, unnest(list_transform(range(1, len(w) - n + 2),
                                                   lambda i: array_to_string(w[i:i + n - 1], ' '))) AS shingle
                 FROM dw, (SELECT DISTINCT n FROM ish) WHERE len(w) >= n),
-        m AS (SELECT doc_id, item_id, count(*) AS matched FROM dsh JOIN ish USING (n, shingle) GROUP BY ALL)
+        m AS (SELECT doc, doc_id, item, count(*) AS matched FROM dsh JOIN ish USING (n, shingle) GROUP BY ALL)
         SELECT doc_id, item_id, item_shingles, matched, matched / item_shingles AS containment
-        FROM m JOIN q USING (item_id) WHERE matched >= 0.75 * item_shingles""",
+        FROM m JOIN q USING (item) WHERE matched >= 0.75 * item_shingles""",
     "op4_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
         g AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS keep, count(*) OVER (PARTITION BY html) AS n,

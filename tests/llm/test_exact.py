@@ -1,5 +1,6 @@
 """Exact dedup, decontamination and k-d shards: odd rows and brute force."""
 
+import random
 from collections import defaultdict
 
 from cdc_lake.llm import common as C
@@ -54,6 +55,35 @@ def test_leaks_equal_brute_force(spark):
     assert want and {(r.doc_id, r.item_id) for r in leaks(docs, items).collect()} == want
 
 
+def test_leaks_with_repeated_and_null_ids(spark):
+    """Every item row is an item of its own, every text of a doc_id a document of its own."""
+    rng = random.Random(8)
+    text = lambda n: " ".join(f"w{rng.randrange(60)}" for _ in range(n))
+    items = [(rng.choice([None, 1, 1, 2, 3]), text(rng.choice((3, 8, 30)))) for _ in range(14)]
+    items += [(1, "zz yy xx"), items[0], (None, None), (None, "")]
+    docs = []
+    for n in range(40):
+        parts = [text(20), *(rng.choice(items)[1] or "" for _ in range(rng.randrange(3))), text(20)]
+        docs.append((rng.choice([None, 5, 5, 6, *range(10, 30)]), " ".join(parts)))
+    docs += [docs[0], (5, "zz yy xx"), (5, None), (None, text(3))]
+    want, hit = [], set()
+    for d, t in set(docs):
+        for i, s in items:
+            width = min(5, len((s or "").split()))
+            sh = _shingles(s, width) if width else set()
+            both = len(sh & _shingles(t, width)) if width else 0
+            if both and both >= 0.75 * len(sh):
+                want.append((d, i, len(sh), both))
+                hit.add((d, t))
+    schema = "{} long, text string"
+    d, i = spark.createDataFrame(docs, schema.format("doc_id")), spark.createDataFrame(items, schema.format("item_id"))
+    got = leaks(d, i)
+    assert got.columns == ["doc_id", "item_id", "item_shingles", "matched", "containment"]
+    key = lambda r: [(x is not None, x) for x in r]
+    assert bag(got, "doc_id", "item_id", "item_shingles", "matched") == sorted(want, key=key)
+    assert bag(drop_leaking(d, i), "doc_id", "text") == sorted([r for r in docs if r not in hit], key=key)
+
+
 def test_leaks_odd_rows(spark, odd, empty):
     items = spark.createDataFrame([(1, "BETA gamma delta EPSILON zeta", "q"), (2, "x", "q"), (3, None, "q"), (4, "", "q"),
                                    (None, "gamma delta", "q"), (5, "not there at all really", "q")],
@@ -62,7 +92,8 @@ def test_leaks_odd_rows(spark, odd, empty):
         [(None, None), (None, 1), (1, None), (1, 1), (2, None), (2, 1), (4, 2)], key=lambda r: [(x is not None, x) for x in r])
     assert leaks(empty, items).count() == 0 and leaks(odd, items.limit(0)).count() == 0
     kept = drop_leaking(odd, items)
-    assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} == {3, 5, 6, 7, 8}
+    assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} == {None, 2, 3, 5, 6, 7, 8}
+    assert bag(kept.where("doc_id = 2 OR doc_id IS NULL"), "text") == [(None,), (None,)]  # other texts of these ids stay
 
 
 def test_partial_containment_at_the_threshold(spark):
