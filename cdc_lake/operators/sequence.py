@@ -60,12 +60,18 @@ class HotSplit:
     range into equal-width pieces sized so that a piece holds about
     ``rows_per_bucket`` rows.  A key with a third of a 100 TB table is then
     cut into pieces of that size, and a burst of its rows in a short span is
-    cut as finely as the rest.  Rows with one and the same order value cannot
-    be told apart by it and stay together.
+    cut as finely as the rest.
+
+    Rows of a hot key with one and the same order value are told apart by
+    ``tie`` (integral, the next sort column, e.g. the sequence number): a value that
+    alone holds more than ``rows_per_bucket`` rows of its key is cut again, at
+    quantiles of the tie-break, so the cuts are composite splitters (order value,
+    tie-break) as in a sample sort.  Without ``tie`` such rows stay together.
     """
     bucket: Column | None = None
     share: float = 0.0
     order_value: Column | None = None
+    tie: Column | None = None
     rows_per_bucket: int = 1_000_000
     ranges: int = 64
 
@@ -134,13 +140,14 @@ def _equi_depth_ranges(df: DataFrame, key: list[str], rows, schema, split: HotSp
         if lo is None or not q:              # no order values: one range
             bounds, lows, widths = [], [lo or 0], [1.0]
         else:
-            # As many ranges as the key needs (at most m), each of about n / mk rows,
-            # cut into pieces of about rows_per_bucket rows.
-            mk = min(m, -(-n // split.rows_per_bucket))
-            bounds = [q[round(j * m / mk) - 1] for j in range(1, mk)]
+            # Every stride-th quantile: at least as many ranges as the key needs (at most m), all of the same depth but
+            # the last, cut into pieces of about rows_per_bucket rows.
+            stride = max(1, m // min(m, -(-n // split.rows_per_bucket)))
+            bounds = list(q[stride - 1::stride])
             edges = [lo, *bounds, hi + 1]
             lows = edges[:-1]
-            widths = [max((edges[i + 1] - edges[i]) * split.rows_per_bucket * mk / n, 1.0) for i in range(mk)]
+            depth = n * stride / m
+            widths = [max((edges[i + 1] - edges[i]) * split.rows_per_bucket / depth, 1.0) for i in range(len(lows))]
         # Pad to a power of two so the range index is a fixed binary search
         # (bounds: +inf; unused ranges are never selected).
         size = _pow2(m)
@@ -163,6 +170,49 @@ def _pow2(n: int) -> int:
     return 1 << max(n - 1, 0).bit_length()
 
 
+def _piece(marked: DataFrame, value: Column, ranges: int, kind: str) -> tuple[DataFrame, Column]:
+    """The piece that ``value`` falls into, by the columns ``_bounds``, ``_lows`` and ``_widths`` (+ ``kind``).
+
+    Range index = number of bounds <= value, by binary search over the padded bounds: log2(ranges) steps of one array
+    read each (code-generated; every step is its own projection, which Catalyst keeps because the index is read more
+    than once).
+    """
+    name = f"_q{kind}"
+    marked = marked.withColumn(name, F.lit(0))
+    q = F.col(name)
+    step = _pow2(ranges) // 2
+    while step:
+        marked = marked.withColumn(name, q + F.when(
+            F.element_at(f"_bounds{kind}", q + step) <= value, F.lit(step)).otherwise(F.lit(0)))
+        step //= 2
+    lo, width = F.element_at(f"_lows{kind}", q + 1), F.element_at(f"_widths{kind}", q + 1)
+    return marked, q.cast("long") * F.lit(1 << 31) + F.floor((value - lo).cast("double") / width).cast("long")
+
+
+def _heavy_values(df: DataFrame, key: list[str], rows, schema, split: HotSplit):
+    """(per key the sorted heavy order values, per heavy (key, value) the cuts of its tie-break), None without any.
+
+    Found as the hot keys are: a sketch of (key, value) over the hot keys' rows, then exact counts and quantiles of the
+    at most ``CANDIDATES`` candidates."""
+    spark = df.sparkSession
+    own = _join_keys(df, spark.createDataFrame(rows, schema).select(*key), key, "inner").withColumn(
+        "_v", split.order_value.cast("long"))
+    pair = [*key, "_v"]
+    tie = split.tie.cast("long")
+    found, found_schema = _hot_rows(own, pair, 0.0, tie, split.rows_per_bucket)
+    if not found:
+        return None
+    cuts = _equi_depth_ranges(own, pair, found, found_schema, HotSplit(
+        order_value=split.tie, rows_per_bucket=split.rows_per_bucket, ranges=split.ranges))
+    cuts = cuts.withColumnsRenamed({_HOT: "_heavy", **{c: f"{c}_tie" for c in ("_bounds", "_lows", "_widths")}})
+    per: dict[tuple, list[int]] = {}
+    for r in found:
+        per.setdefault(tuple(r[k] for k in key), []).extend([] if r["_v"] is None else [r["_v"]])
+    values = spark.createDataFrame([(*k, sorted(v)) for k, v in per.items()], T.StructType(
+        [*[T.StructField(k, schema[k].dataType) for k in key], T.StructField("_values", T.ArrayType(T.LongType()))]))
+    return values, cuts
+
+
 def _with_bucket(df: DataFrame, key: list[str], bucket):
     """``df`` with the ``_bucket`` column, and a filter selecting the rows that
     need a summary (None: all rows).  None instead of the pair when a
@@ -182,19 +232,23 @@ def _with_bucket(df: DataFrame, key: list[str], bucket):
         hot = _equi_depth_ranges(df, key, rows, schema, bucket)
         # Bounded broadcast: at most CANDIDATES hot keys, collected above.
         marked = _join_keys(df, hot, key, "left").withColumn("_v", bucket.order_value.cast("long"))
-        # Range index = number of bounds <= v, by binary search over the padded
-        # bounds: log2(ranges) steps of one array read each (code-generated;
-        # every step is its own projection, which Catalyst keeps because the
-        # index is read more than once).
-        marked = marked.withColumn("_q", F.lit(0))
-        step = _pow2(bucket.ranges) // 2
-        while step:
-            marked = marked.withColumn("_q", F.col("_q") + F.when(
-                F.element_at("_bounds", F.col("_q") + step) <= F.col("_v"), F.lit(step)).otherwise(F.lit(0)))
-            step //= 2
-        q = F.col("_q")
-        lo, width = F.element_at("_lows", q + 1), F.element_at("_widths", q + 1)
-        fine = q.cast("long") * F.lit(1 << 31) + F.floor((F.col("_v") - lo).cast("double") / width).cast("long")
+        marked, fine = _piece(marked, F.col("_v"), bucket.ranges, "")
+        heavy = None if bucket.tie is None else _heavy_values(df, key, rows, schema, bucket)
+        if heavy is not None:
+            values, cuts = heavy
+            marked = _join_keys(_join_keys(marked, values, key, "left").withColumn("_t", bucket.tie.cast("long")),
+                                cuts, [*key, "_v"], "left")
+            marked, within = _piece(marked, F.col("_t"), bucket.ranges, "_tie")
+            cut = F.coalesce(F.col("_heavy"), F.lit(False))
+            below = F.size(F.filter(F.coalesce("_values", F.array().cast("array<bigint>")), lambda h: h < F.col("_v")))
+            # In order: the piece, the heavy values at or below, the place within a heavy value.
+            place = F.when(F.col("_v").isNull(), F.lit(0)).otherwise(2 * below + cut.cast("int"))
+            is_hot = F.coalesce(F.col(_HOT), F.lit(False))
+            marked = marked.withColumn(_B, F.struct(
+                F.when(is_hot, fine).otherwise(F.lit(0).cast("long")).alias("piece"),
+                F.when(is_hot, place).otherwise(F.lit(0)).alias("place"),
+                F.when(cut, within).otherwise(F.lit(0).cast("long")).alias("within")))
+            return marked.withColumn(_HOT, is_hot), F.col(_HOT)
         is_hot = F.coalesce(F.col(_HOT), F.lit(False))
         marked = marked.withColumn(_B, F.when(is_hot, fine).otherwise(F.lit(0).cast("long")))
         return marked.withColumn(_HOT, is_hot), F.col(_HOT)

@@ -31,8 +31,8 @@ FORCED_BUCKET = 50            # the *_hot queries split every key above this, so
 
 
 def time_split(ts: str = "ts", rows: int = ROWS_PER_BUCKET) -> HotSplit:
-    """Hot-key split for per-key sequences ordered by ``ts`` (adaptive widths)."""
-    return HotSplit(order_value=epoch_us_of(ts), rows_per_bucket=rows)
+    """Hot-key split for per-key sequences ordered by ``ts`` (adaptive widths), then ``seq`` or the order's key."""
+    return HotSplit(order_value=epoch_us_of(ts), tie=F.col("seq" if ts == "ts" else "l_orderkey"), rows_per_bucket=rows)
 
 
 def _t(spark: SparkSession, d: str) -> Tables:

@@ -277,8 +277,8 @@ def current_view(spark: SparkSession, log: ChangeLog, store: SnapshotStore, key:
 
 # ------------------------------------------------------------------ SCD2
 def _time_split(ts: str) -> HotSplit:
-    """Keys with very many changes are split by event time."""
-    return HotSplit(order_value=F.col(ts))
+    """Keys with very many changes are split by event time, those of one and the same time by place in the topic."""
+    return HotSplit(order_value=F.col(ts), tie=F.col("seq"))
 
 
 def _history_rows(rows: DataFrame, key: str, cols: list[str], ts: str, bucket, unique: bool = False) -> DataFrame:
