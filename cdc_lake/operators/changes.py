@@ -132,21 +132,18 @@ def touch_updated_at(log: DataFrame, key, cols: list[str], order=ORDER, ts: str
     carry = [c for c in dict.fromkeys([*order, "op", *cols]) if c not in keys]
     place = F.struct(*[F.col(o) for o in order])
     gone = F.col("op") == OP_DELETE
-    agg = log.groupBy(*keys).agg(
+    own = F.struct(*keys).alias("_k")  # nulls in a struct are equal: joins on it are null-safe and reuse its partitioning
+    agg = log.groupBy(own).agg(
         F.max(F.when(gone, place)).alias("_gone"),
         F.min(F.when(~gone, F.col(ts))).alias("_first"),
         F.max_by(F.struct(*[F.col(c) for c in carry]), place).alias("_w"),
         F.count(F.lit(1)).alias("n_changes"),
     ).where(F.col("_w.op") != OP_DELETE)
-    born = agg.where(F.col("_gone").isNotNull()).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                                                        F.col("_gone").alias("_after"))
-    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    later = log.where(~gone).select(*keys, F.col(ts).alias("_ts"), place.alias("_place"))
-    again = (later.join(born, [*same, F.col("_place") > F.col("_after")])
-             .groupBy(*[f"_k{i}" for i in range(len(keys))]).agg(F.min("_ts").alias("_again")))
-    rows = agg.join(again, same, "left")
-    return rows.select(
-        *keys, *[F.col("_w." + c).alias(c) for c in cols if c not in keys],
+    born = agg.where(F.col("_gone").isNotNull()).select("_k", F.col("_gone").alias("_after"))
+    later = log.where(~gone).select(own, F.col(ts).alias("_ts"), place.alias("_place"))
+    again = later.join(born, "_k").where(F.col("_place") > F.col("_after")).groupBy("_k").agg(F.min("_ts").alias("_again"))
+    return agg.join(again, "_k", "left").select(
+        *[F.col(f"_k.{k}").alias(k) for k in keys], *[F.col("_w." + c).alias(c) for c in cols if c not in keys],
         F.when(F.col("_gone").isNull(), F.col("_first")).otherwise(F.col("_again")).alias("created_at"),
         F.col("_w." + ts).alias("updated_at"), "n_changes")
 

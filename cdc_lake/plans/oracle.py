@@ -303,7 +303,8 @@ def oracle_sql() -> dict[str, str]:
         SELECT o_orderkey, prev AS from_status, status_id AS to_status, ts
         FROM (SELECT *, LAG(status_id) OVER (PARTITION BY o_orderkey ORDER BY ts, seq) AS prev
               FROM chg_order_status) x
-        WHERE NOT ((COALESCE(prev, 0) = 0 AND status_id = 1) OR (COALESCE(prev, 0) = 1 AND status_id = 2)
+        WHERE status_id IS NULL
+           OR NOT ((COALESCE(prev, 0) = 0 AND status_id = 1) OR (COALESCE(prev, 0) = 1 AND status_id = 2)
                    OR (COALESCE(prev, 0) = 2 AND status_id = 3))""", "chg_order_status")
     q["status_timeline"] = with_feeds("""
         SELECT o_orderkey, status_id, ts AS valid_from,

@@ -221,3 +221,10 @@ def test_source_contracts_one_violation_per_rule(spark):
     few = {t: tables[t] for t in ("Orders", "Customers")}
     rules = {r.rule for r in quality.check_tables(few, SOURCE_CONTRACTS, SOURCE_FOREIGN_KEYS).collect()}
     assert rules == {"pk_unique", "fk:Orders_CustomerID"}
+
+
+def test_null_status_is_illegal(spark):
+    chg = spark.createDataFrame([(1, 1, 1, 1), (1, None, 2, 2), (1, 2, 3, 3), (2, None, 1, 4)],
+                                "o_orderkey long, status_id int, ts long, seq long")
+    got = quality.illegal_transitions(chg).orderBy("o_orderkey", "ts").collect()
+    assert [tuple(r) for r in got] == [(1, 1, None, 2), (1, None, 2, 3), (2, None, None, 1)]
