@@ -3,12 +3,13 @@
 *Paragraphs* are cut by content, not by position: every window of ``WINDOW`` successive 5-word shingles marks its
 smallest hash (winnowing), and a paragraph runs from one mark to the next.  Equal passages are so cut alike wherever
 they stand, also inside lines.  The first and the last ``WINDOW`` shingles of a passage hold a mark of it each, so a
-passage of n words shows equal paragraphs of at least n + 1 - 2 * ``WINDOW`` words: 20 of 51 words.
+passage of n words shows equal paragraphs of at least n + 1 - 2 * ``WINDOW`` words: 8 of 51 words.
 
 *Banding.*  The number of bands and rows per band is the one of least cost (most rows per band, then fewest bands)
-that reaches the wanted recall at the similarity threshold.  Per band key the paragraphs are compared with the
-smallest one (a star); only keys that hold different paragraphs are joined back.  Candidates are verified by exact
-Jaccard similarity of their shingle sets, and verified links form components.
+that reaches the wanted recall at the similarity threshold: five bands of two.  The (key, name) rows of the bands are
+made distinct within a part of the texts, meet in one shuffle and are read in order of the key: every other paragraph
+of a key is compared with the smallest one (a star).  Candidates are verified by exact Jaccard similarity of their
+shingle sets, and verified links form components.  A paragraph's set is built once, from one of its documents.
 
 *Rest.*  A key is few shingles, so a frequent sentence puts many unlike paragraphs under one key, and the smallest one
 says nothing about the others.  The members of keys that hold several components are therefore compared once more: two
@@ -18,10 +19,13 @@ compared block against block, filtered by the Hamming distance of parity sketche
 links only those that join two components are emitted.  So every similar pair of a key ends in one component.  The work
 is quadratic in the size of a group of unlike paragraphs with a rare shingle in common, the output is not.
 
-*Removals.*  A component that occurs in two documents or more is a repeated passage; it stays in the document with the
-smallest doc_id and is removed elsewhere.  Neighbouring repeated paragraphs of a document (with at most one differing
-one between) form a run; runs shorter than ``MIN_RUN`` words are left alone (the first and the last paragraph of a
-passage also hold foreign words, so a passage shows a shorter run; any passage of 51 words or more shows ``MIN_RUN``).
+*Removals.*  A component that occurs in two documents or more is repeated; it stays in the document with the smallest
+doc_id and is removed elsewhere.  Successive repeated paragraphs of a document form a run.  The first and the last
+paragraph of a passage also hold foreign words, and similar paragraphs may add some to a run, at most ``WINDOW`` + 4 at
+an end.  A run that is long enough without them is a repeated passage; any other is judged by its true length: the
+passage reaches from the first to the last stretch of ``min_run`` words that holds a paragraph of the run and occurs,
+word for word, in another document as well.  Paragraphs outside are left alone.  (Below 49 words, where a passage need
+not show a paragraph, the length of the run decides.)
 
 Cases: null and empty texts have no paragraphs; a text under five words is one paragraph; passages repeated within one
 document only are not reported; rows that share a doc_id are separate documents under one name; null ids are kept.
@@ -40,10 +44,10 @@ from . import wordhash as H
 from .components import components
 from .ngram_join import _relinked, _with_component
 
-WINDOW = 16
-MIN_RUN = 20    # at most 52 - 2 * WINDOW, what a passage of 51 words shows at least
+WINDOW = 22     # at most 23: a passage of 51 words, 47 shingles, then shows two marks
+MIN_RUN = 51    # words of a passage
 RECALL = 0.98
-MAX_HASHES = 4
+MAX_HASHES = 16
 KEY_ROWS = 1_000_000    # band keys (16 bytes each) that are broadcast after being counted; more are joined
 BITS = 512      # bits of the parity sketch that filters pairs
 BLOCK = 512     # members of a group compared at a time, about
@@ -116,57 +120,144 @@ def _named(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _banded(values: np.ndarray, first: np.ndarray, bands: int, rows: int) -> list[np.ndarray]:
-    """Band keys of every paragraph."""
+    """Band keys of every paragraph.  The shingle hashes are mixed already: times an odd number they are another order."""
     out = []
     for b in range(bands):
         key = np.full(len(first), b + 1, H.U)
         for r in range(rows):
-            salt = H.U((b * rows + r + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-            key = H.mix(key * H.U(31) + np.minimum.reduceat(H.mix(values ^ salt), first)) if len(first) else key
+            salt = H.mix(np.full(1, b * rows + r + 1, H.U))[0] | H.U(1)
+            key = H.mix(key * H.U(31) + np.minimum.reduceat(values * salt, first)) if len(first) else key
         out.append(key)
     return out
 
 
-def paragraph_table(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -> DataFrame:
-    """One row per document: rid, doc_id and arrays over its paragraphs: at (first word), words, name, keys."""
-    frame = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text and g, a hash of the text: what a row is found again by."""
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+                       F.xxhash64(C.text_of(text_col)).alias("g"))
+
+
+def paragraph_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row per document: rid, doc_id, g and arrays over its paragraphs: at (first word), words, name."""
+    frame = _texts(docs, id_col, text_col).select("doc_id", "g", "text")
     kind = frame.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            for part in H.slices(batch, 1):
-                values, _, first, text, at, words = paragraphs(part.column(1).to_pylist())
+            for part in H.slices(batch, 2):
+                values, _, first, text, at, words = paragraphs(part.column(2).to_pylist())
                 per = pa.array(np.searchsorted(text, np.arange(part.num_rows + 1)), pa.int32())
-                keys = _banded(values, first, bands, rows)
                 cols = [pa.ListArray.from_arrays(per, pa.array(x, t)) for x, t in (
-                    (at, pa.int32()), (words, pa.int32()), (H.signed(_named(values, first)), pa.int64()),
-                    *((H.signed(k), pa.int64()) for k in keys))]
-                yield pa.RecordBatch.from_arrays([part.column(0), *cols],
-                                                 ["doc_id", "at", "words", "name", *(f"key{b}" for b in range(bands))])
+                    (at, pa.int32()), (words, pa.int32()), (H.signed(_named(values, first)), pa.int64()))]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *cols],
+                                                 ["doc_id", "g", "at", "words", "name"])
+
+    return frame.mapInArrow(run, f"doc_id {kind}, g long, at array<int>, words array<int>, name array<long>").withColumn(
+        "rid", F.monotonically_increasing_id())
+
+
+def _starred(docs: DataFrame, text_col: str, bands: int, rows: int) -> DataFrame:
+    """(key, a, name): the paragraphs under a band key other than its smallest one, ``a``."""
+    def run(batches):
+        for batch in batches:
+            for part in H.slices(batch, 0):
+                values, _, first, *_ = paragraphs(part.column(0).to_pylist())
+                name, once = np.unique(H.signed(_named(values, first)), return_index=True)
+                for keys in _banded(values, first, bands, rows):  # a paragraph counts once in a part
+                    yield pa.RecordBatch.from_arrays([pa.array(H.signed(keys[once]), pa.int64()), pa.array(name, pa.int64())],
+                                                     ["key", "name"])
+
+    def stars(batches):  # in order of key and name; only the key at hand is remembered
+        last_key = star = last = None
+        for batch in batches:
+            key, name = batch.column("key").to_numpy(), batch.column("name").to_numpy()
+            if not len(key):
+                continue
+            same = np.concatenate(([last_key is not None and key[0] == last_key], key[1:] == key[:-1]))
+            before = np.concatenate(([name[0] if last is None else last], name[:-1]))
+            group = np.cumsum(~same)
+            first = np.concatenate(([name[0] if star is None else star], name[~same]))[group]
+            out = same & (name != before)
+            yield pa.RecordBatch.from_arrays([pa.array(x[out], pa.int64()) for x in (key, first, name)], ["key", "a", "name"])
+            last_key, star, last = key[-1], first[-1], name[-1]
+
+    keyed = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "key long, name long")
+    return keyed.repartition("key").sortWithinPartitions("key", "name").mapInArrow(stars, "key long, a long, name long")
+
 
-    schema = f"doc_id {kind}, at array<int>, words array<int>, name array<long>, " + ", ".join(
-        f"key{b} array<long>" for b in range(bands))
-    return frame.mapInArrow(run, schema).withColumn("rid", F.monotonically_increasing_id())
+def _found_again(docs: DataFrame, lists: DataFrame, entries: int, id_col: str, text_col: str) -> DataFrame:
+    """The documents of the written ``lists`` (_id, _g, arrays of ``entries`` entries in all), numbered, with their lists."""
+    side = F.broadcast(lists) if entries <= KEY_ROWS else lists
+    return _texts(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()).join(
+        side, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("g") == F.col("_g")))
 
 
-def _members(docs: DataFrame, wanted: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(name, sorted distinct shingles as bytes) of the wanted paragraph names, read again from the documents ``ids``."""
-    ids = C.small(ids)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(
-        ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+def _members(docs: DataFrame, paras: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(name, sorted distinct shingles as bytes) of the ``wanted`` paragraphs (name, lo: the row it is read from)."""
+    lists = wanted.groupBy("lo").agg(F.collect_list("name").alias("names"))  # paragraphs of one document
+    lists = C.written(lists.join(paras.select(F.col("rid").alias("lo"), F.col("doc_id").alias("_id"), F.col("g").alias("_g")),
+                                 "lo").drop("lo"), "para-docs")
+    rows = _found_again(docs, lists, wanted.count(), id_col, text_col)
 
     def run(batches):
         for batch in batches:
             for part in H.slices(batch, 0):
                 values, _, first, *_ = paragraphs(part.column(0).to_pylist())
                 ends = np.concatenate((first[1:], [len(values)]))
+                name = H.signed(_named(values, first))
+                name, once = np.unique(name, return_index=True)
+                here = np.flatnonzero(np.isin(name, part.column(1).flatten().to_numpy()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(H.signed(_named(values, first)), pa.int64()),
-                     pa.array([np.unique(values[a:b]).tobytes() for a, b in zip(first, ends)], pa.binary())],
+                    [pa.array(name[here], pa.int64()),
+                     pa.array([np.unique(values[first[k]:ends[k]]).tobytes() for k in once[here]], pa.binary())],
                     ["name", "members"])
 
-    return C.written(rows.select("text").mapInArrow(run, "name long, members binary")
-                     .join(C.small(wanted, KEY_ROWS), "name", "left_semi").dropDuplicates(["name"]), "para-members")
+    return C.written(rows.select("text", "names").mapInArrow(run, "name long, members binary").dropDuplicates(["name"]),
+                     "para-members")
+
+
+def _stretches(docs: DataFrame, runs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    """Where ``size`` words with a paragraph of a run occur in another row as well: _id, _g, _first (word of the run) and
+    the first words ``lo`` and ``hi`` of the first and the last such stretch.  ``runs`` (written): doc_id, g, run_first,
+    first_end (end of the first paragraph), last_at (first word of the last one), judged (else only compared with)."""
+    kind = runs.schema["doc_id"].dataType.simpleString()
+    parts = ("run_first", "first_end", "last_at", "judged")
+    lists = C.written(runs.groupBy(F.col("doc_id").alias("_id"), F.col("g").alias("_g")).agg(
+        F.collect_list(F.struct(*parts)).alias("r")).select("_id", "_g", *[F.col(f"r.{c}").alias(c) for c in parts]),
+        "para-runs")  # runs of one document
+    rows = _found_again(docs, lists, runs.count(), id_col, text_col).select(
+        "text", "_id", "_g", "row", *parts)
+
+    def run(batches):
+        for batch in batches:
+            for part in H.slices(batch, 0):
+                hashes, offsets = H.words(part.column(0).to_pylist())
+                of = np.repeat(np.arange(part.num_rows), part.column(4).value_lengths().to_numpy())
+                at, end, last = (part.column(k).flatten().to_numpy().astype(np.int64) for k in (4, 5, 6))
+                start = offsets[of]
+                # The stretches that hold a whole paragraph of the run begin at lo .. hi.
+                lo, hi = np.maximum(start, start + end - size), np.minimum(start + last, offsets[of + 1] - size)
+                n = np.maximum(0, hi - lo + 1)
+                which = np.repeat(np.arange(len(n)), n)
+                place = lo[which] + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+                judged = part.column(7).flatten().to_numpy(zero_copy_only=False)[which]
+                once = np.flatnonzero(~judged)
+                once = once[np.unique(place[once], return_index=True)[1]]  # stretches compared with, once each
+                keep = np.concatenate((np.flatnonzero(judged), once))
+                which, place, judged = which[keep], place[keep], judged[keep]
+                h = H.signed(H.stretches(hashes, place, size))
+                cols = [part.column(k).take(pa.array(of[which])) for k in (1, 2, 3)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h, pa.int64()), *cols, pa.array(at[which], pa.int32()),
+                     pa.array(place - start[which], pa.int32()), pa.array(judged)],
+                    ["h", "_id", "_g", "row", "_first", "place", "judged"])
+
+    every = C.written(rows.mapInArrow(run, f"h long, _id {kind}, _g long, row long, _first int, place int, judged boolean"),
+                      "para-stretches")
+    twice = C.written(every.groupBy("h").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).where("lo <> hi")
+                      .select("h"), "para-common")
+    return C.written(every.where("judged").join(C.small(twice, KEY_ROWS), "h").groupBy("_id", "_g", "_first").agg(
+        F.min("place").alias("lo"), F.max("place").alias("hi")), "para-true")
 
 
 def _similar(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -276,49 +367,66 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                       threshold: float = C.SIMILARITY, recall: float = RECALL, min_run: int = MIN_RUN) -> DataFrame:
     """One row per repeated paragraph: doc_id, first_word, n_words, component, keep_id, kept, run_first, run_words."""
     bands, rows = tune(threshold, recall)
-    paras = C.written(paragraph_table(docs, id_col, text_col, bands, rows), "paragraphs")
-
-    # Band keys that hold different paragraphs, with the smallest of each.
-    keyed = paras.select(F.explode(F.concat(*[F.arrays_zip(F.col(f"key{b}").alias("key"), F.col("name").alias("name"))
-                                              for b in range(bands)])).alias("p")).select("p.key", "p.name")
-    stars = C.written(keyed.groupBy("key").agg(F.min("name").alias("a"), F.max("name").alias("hi"))
-                      .where("a <> hi").select("key", "a"), "para-keys")
-    shared = C.written(keyed.join(C.small(stars, KEY_ROWS), "key").distinct(), "para-shared")
-    pairs = C.written(shared.where("name <> a").select("a", F.col("name").alias("b")).distinct(), "para-pairs")
-
-    flat = paras.select("rid", "doc_id", F.posexplode(F.arrays_zip("at", "words", "name")).alias("pos", "p")).select(
-        "rid", "doc_id", "pos", "p.at", "p.words", "p.name")
-    # Where a paragraph occurs: the documents of its first and last row, and the smallest doc_id.
-    seen = C.written(flat.groupBy("name").agg(
-        F.min("rid").alias("lo"), F.max("rid").alias("hi"), F.min("doc_id").alias("keep_id"),
-        F.min_by("doc_id", "rid").alias("at_doc")).join(
-        C.written(pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct(), "para-wanted")
-        .withColumn("wanted", F.lit(True)), "name", "left").where("wanted OR lo <> hi"), "para-seen")
+    paras = C.written(paragraph_table(docs, id_col, text_col), "paragraphs")
+    stars = C.written(_starred(docs, text_col, bands, rows), "para-stars")
+    pairs = C.written(stars.select("a", F.col("name").alias("b")).distinct(), "para-pairs")
+
+    flat = paras.select("rid", "doc_id", "g", F.posexplode(F.arrays_zip("at", "words", "name")).alias("pos", "p")).select(
+        "rid", "doc_id", "g", "pos", "p.at", "p.words", "p.name")
+    wanted = C.written(pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct(), "para-wanted")
+    # The first and the last row that hold a paragraph.
+    seen = C.written(flat.groupBy("name").agg(F.min("rid").alias("lo"), F.max("rid").alias("hi")).join(
+        C.small(wanted.withColumn("wanted", F.lit(True)), KEY_ROWS), "name", "left").where("wanted OR lo <> hi"), "para-seen")
     comp = None
     if not pairs.isEmpty():
-        ids = C.written(seen.where("wanted").select(F.col("at_doc").alias("_id")).distinct(), "para-docs")
-        members = _members(docs, seen.where("wanted").select("name"), ids, id_col, text_col)
+        members = _members(docs, paras, seen.where("wanted").select("name", "lo"), id_col, text_col)
         comp = C.written(components(C.written(_similar(pairs, members, round(100 * threshold)), "para-links")),
                          "para-components")
+        shared = stars.select("key", "name").unionByName(stars.select("key", F.col("a").alias("name")).distinct())
         rest = C.written(_rest(shared, comp, members, round(100 * threshold)), "para-rest")
         if not rest.isEmpty():
             comp = _relinked(comp, rest)
         comp = comp.select(F.col("node").alias("name"), "component")
     owned = seen.withColumn("component", F.col("name")) if comp is None else seen.join(
         C.small(comp, KEY_ROWS), "name", "left").withColumn("component", F.coalesce("component", "name"))
-    owned = C.written(owned.select("name", "component", "lo", "hi", "keep_id"), "para-owned")
-    spread = C.written(owned.groupBy("component").agg(
-        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("keep_id").alias("keep_id")).where("lo <> hi")
-        .select("component", "keep_id"), "para-spread")
+    owned = C.written(owned.select("name", "component", "lo", "hi"), "para-owned")
+    spread = C.written(owned.groupBy("component").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi")
+                       .select("component"), "para-spread")
     hot = C.written(owned.select("name", "component").join(spread, "component"), "para-repeated")
 
-    found = flat.join(C.small(hot, KEY_ROWS), "name")
+    found = flat.join(C.small(hot, KEY_ROWS), "name").drop("name")
     w = W.partitionBy("rid").orderBy("pos")  # the paragraphs of one document
-    new = (F.col("pos") - F.lag("pos", 1, -9).over(w) > 2).cast("int")  # one differing paragraph does not end a run
+    new = (F.col("pos") - F.lag("pos", 1, -9).over(w) > 1).cast("int")
     found = found.withColumn("new", new).withColumn("run", F.sum("new").over(w)).drop("new")
     run = W.partitionBy("rid", "run")
     found = found.withColumn("run_first", F.min("at").over(run)).withColumn(
-        "run_words", F.max(F.col("at") + F.col("words")).over(run) - F.col("run_first"))
-    return found.where(F.col("run_words") >= min_run).select(
+        "run_words", F.max(F.col("at") + F.col("words")).over(run) - F.col("run_first")).withColumn(
+        "first_end", F.min(F.col("at") + F.col("words")).over(run)).withColumn("last_at", F.max("at").over(run))
+    # A passage of min_run words shows a run of ``low`` words at least; a run of ``sure`` words is one.
+    low, sure = min_run, min_run
+    if min_run > 2 * WINDOW + 4:
+        low, sure = min_run + 1 - 2 * WINDOW, min_run + 2 * (WINDOW + 4)
+    found = C.written(found.where(F.col("run_words") >= low), "para-found")
+    out = found.where(F.col("run_words") >= sure)
+    open_ = found.where(F.col("run_words") < sure)
+    if not open_.isEmpty():
+        # The sure runs' paragraphs that the open ones are to be compared with, from one of several equal texts.
+        also = out.join(C.small(C.written(open_.select("component").distinct(), "para-asked"), KEY_ROWS), "component").groupBy(
+            "g", "at").agg(F.min("doc_id").alias("doc_id"), F.first("words").alias("words")).select(
+            "doc_id", "g", F.col("at").alias("run_first"), (F.col("at") + F.col("words")).alias("first_end"),
+            F.col("at").alias("last_at"), F.lit(False).alias("judged"))
+        runs = C.written(open_.select("doc_id", "g", "run_first", "first_end", "last_at", F.lit(True).alias("judged"))
+                         .distinct().unionByName(also), "para-open-runs")
+        true = C.small(_stretches(docs, runs, min_run, id_col, text_col))
+        longer = open_.join(
+            true, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("g") == F.col("_g")) & (F.col("run_first") == F.col("_first"))
+        ).where((F.col("at") >= F.col("lo")) & (F.col("at") + F.col("words") <= F.col("hi") + min_run))
+        out = out.unionByName(longer.withColumn("run_first", F.col("lo")).withColumn(
+            "run_words", F.col("hi") + min_run - F.col("lo")).select(*out.columns))
+    out = C.written(out, "para-passages")
+    keep = C.written(out.groupBy("component").agg(F.min("rid").alias("lo"), F.max("rid").alias("hi"),
+                                                  F.min("doc_id").alias("keep_id")).where("lo <> hi").select(
+        "component", "keep_id"), "para-keep")
+    return out.join(C.small(keep, KEY_ROWS), "component").select(
         "doc_id", F.col("at").alias("first_word"), F.col("words").alias("n_words"), "component", "keep_id",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "run_first", "run_words")

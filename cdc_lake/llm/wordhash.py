@@ -87,6 +87,14 @@ def shingles(hashes: np.ndarray, offsets: np.ndarray, width: int = 5) -> tuple[n
     return values, texts
 
 
+def stretches(hashes: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` words from every place on."""
+    power, inverse = _power_tables(len(hashes) + 1)
+    total = np.zeros(len(hashes) + 1, U)
+    np.cumsum(hashes * power[:len(hashes)], out=total[1:])
+    return mix((total[places + size] - total[places]) * inverse[places])
+
+
 def unique_sets(values: np.ndarray, texts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct values of each text, and the offsets of the texts' sets."""
     order = np.lexsort((values, texts))

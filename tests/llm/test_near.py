@@ -150,6 +150,7 @@ def test_paragraph_marks_follow_the_content():
 
 def test_bands_are_tuned():
     assert tune(0.75, 0.98, 4) == (3, 1)
+    assert tune() == (5, 2)
     with pytest.raises(ValueError):
         tune(0.5, 0.99999, 2)
 
@@ -172,7 +173,7 @@ def test_passages_inside_lines_are_found(spark):
     got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
     assert {r.doc_id for r in got} == repeated
     kept = {r.doc_id for r in got if r.kept}
-    assert kept and kept < repeated and all(r.run_words >= 20 for r in got)
+    assert kept and kept < repeated and all(r.run_words >= 51 for r in got)
 
 
 def test_documents_with_shared_passages_are_all_found(spark):
@@ -183,7 +184,7 @@ def test_documents_with_shared_passages_are_all_found(spark):
         for k in range(len(w) - 50):
             own[tuple(w[k:k + 51])].add(r.doc_id)
     want = {i for s in own.values() if len(s) > 1 for i in s}
-    assert want and want <= {r.doc_id for r in repeated_passages(docs).collect()}
+    assert want and want == {r.doc_id for r in repeated_passages(docs).collect()}
 
 
 def test_passages_of_odd_rows(odd, empty):
@@ -224,3 +225,22 @@ def test_passages_of_just_over_fifty_words_are_all_found(spark):
             rows.append((len(rows), " ".join(own[:k] + passage + own[k:])))
     got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
     assert {i for i, _ in rows} - {r.doc_id for r in got} == set()
+
+
+def test_shorter_common_stretches_are_left_alone(spark):
+    rnd = random.Random(50)
+    word = lambda: f"w{rnd.randrange(10 ** 9)}"
+    rows = []
+    for size in list(range(20, 51, 3)) * 10:
+        passage = [word() for _ in range(size)]
+        for _ in range(3):
+            own = [word() for _ in range(rnd.randint(60, 160))]
+            k = rnd.randrange(len(own) + 1)
+            rows.append((len(rows), " ".join(own[:k] + passage + own[k:])))
+    long = [word() for _ in range(51)]
+    at = len(rows)  # a passage of 51 words in two documents, 30 of them in an earlier third one
+    rows += [(at, " ".join([word() for _ in range(80)] + long[10:40])),
+             (at + 1, " ".join([word() for _ in range(80)] + long)), (at + 2, " ".join(long + [word() for _ in range(80)]))]
+    got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id for r in got} == {at + 1, at + 2}
+    assert {r.keep_id for r in got} == {at + 1} and {r.run_words for r in got} == {51}
