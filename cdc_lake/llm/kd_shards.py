@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from . import common as C
@@ -43,7 +44,9 @@ def metadata(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     text, has = C.text_of(text_col), set(docs.columns)
     size = (F.octet_length(text) + 1).cast("long")
     col = {c: F.col(c) if c in has else F.lit(None) for c in ("lang", "source")}
-    chars = F.col("n_chars") if "n_chars" in has else F.char_length(text)
+    # A column of this name that is no number is some other column.
+    counted = "n_chars" in has and isinstance(docs.schema["n_chars"].dataType, T.NumericType)
+    chars = F.col("n_chars") if counted else F.char_length(text)
     return docs.select(
         F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("rid"), size.alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("g"),

@@ -137,3 +137,11 @@ def test_kd_shards_split_a_text_of_very_many_copies(spark):
 def test_kd_target_bytes(spark):
     docs = spark.range(100).selectExpr("id AS doc_id", "repeat('z', 99) || id AS text")
     assert len({r.shard for r in kd_shards(docs, target_bytes=2_000).collect()}) == 6
+
+
+def test_kd_shards_with_a_text_in_the_place_of_n_chars(spark):
+    docs = spark.createDataFrame([(k, "w " * (k % 7), "many") for k in range(40)], "doc_id long, text string, n_chars string")
+    got = kd_shards(docs, shards=4).collect()
+    assert sorted(r.doc_id for r in got) == list(range(40)) and {r.shard for r in got} == {0, 1, 2, 3}
+    plain = kd_shards(docs.drop("n_chars"), shards=4).collect()
+    assert sorted((r.doc_id, r.shard) for r in got) == sorted((r.doc_id, r.shard) for r in plain)
