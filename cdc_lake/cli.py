@@ -33,6 +33,7 @@ from cdc_lake.streaming import pipeline as pl
 from cdc_lake.streaming.changelog import ChangeLog, DeadLetters
 from cdc_lake.streaming.compaction import (LOG_ORDER, SnapshotStore, compact_history, compact_log, current_view,
                                            history_view)
+from cdc_lake.streaming.topk import RankedTotals
 
 
 def _row_cols(table: str) -> list[str]:
@@ -146,6 +147,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     t = sub.add_parser("top-products")
     t.add_argument("--lake", required=True)
     t.add_argument("-k", type=int, default=10)
+    t.add_argument("--served", action="store_true", help="the rows that `serve` made last, without reading the log")
     sv = sub.add_parser("serve", help="keep <lake>/top_products current from the OrderItems stream")
     sv.add_argument("--lake", required=True)
     sv.add_argument("--kafka")
@@ -217,6 +219,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         for t in a.tables.split(","):
             upto = compact_table(spark, a.lake, t, a.purge_before)
             print(f"{t}: no data yet" if upto is None else f"{t}: compacted up to batch {upto}")
+    elif a.cmd == "top-products" and a.served:
+        RankedTotals(spark, f"{a.lake.rstrip('/')}/top_products").served().orderBy(
+            F.col("quantity").desc(), "name").show(a.k, truncate=False)
     elif a.cmd == "top-products":
         if not change_log(spark, a.lake, "OrderItems").exists():
             print(f"no data yet for OrderItems in {a.lake}")

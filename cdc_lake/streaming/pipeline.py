@@ -19,7 +19,8 @@ message files.  The design differs from an eager per-batch MERGE:
 * **Incremental serving.**  The Top-k dashboard keeps the last image of every
   item in the streaming state store and adds only what a newer change alters
   to one running total per product, so redelivered and late messages change
-  nothing; the k best are written per trigger.
+  nothing; a trigger writes the buckets of totals that it touches and switches
+  to the new k best with one record (:mod:`cdc_lake.streaming.topk`).
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ from cdc_lake.contracts import PRIMARY_KEYS, ROW_SCHEMAS
 from cdc_lake.functions import envelope as env
 from cdc_lake.operators import changes
 from cdc_lake.streaming.changelog import ChangeLog, CommittedTable, DeadLetters
+from cdc_lake.streaming.topk import TopKWriter
 
 # Schema of a message as the bus (or a message file) delivers it.
 MESSAGE_SCHEMA = T.StructType([
@@ -260,11 +262,11 @@ def _item_deltas(key, frames, state) -> Iterator[pd.DataFrame]:
     ts, seq, product, qty = state.get if state.exists else (None, None, None, None)
     old = (product, qty)
     for f in frames:
-        for r in f.sort_values(["ts_ms", "seq"]).itertuples():
-            if ts is None or (r.ts_ms, r.seq) > (ts, seq):
-                ts, seq = int(r.ts_ms), int(r.seq)
-                gone = r.op == env.OP_DELETE or pd.isna(r.product) or pd.isna(r.qty)
-                product, qty = (None, None) if gone else (int(r.product), int(r.qty))
+        r = f.sort_values(["ts_ms", "seq"]).iloc[-1]
+        if ts is None or (r.ts_ms, r.seq) > (ts, seq):
+            ts, seq = int(r.ts_ms), int(r.seq)
+            gone = r.op == env.OP_DELETE or pd.isna(r["product"]) or pd.isna(r.qty)
+            product, qty = (None, None) if gone else (int(r["product"]), int(r.qty))
     if ts is not None:
         state.update((ts, seq, product, qty))
     if (product, qty) != old:
@@ -284,38 +286,6 @@ def product_deltas_stream(items_source: DataFrame, spec: TableSpec, product: str
     return rows.groupBy("item").applyInPandasWithState(_item_deltas, DELTAS, ITEM_STATE, "update", "NoTimeout")
 
 
-class TopKWriter:
-    """``foreachBatch`` over the product deltas: new totals = the totals of the
-    batch before plus the deltas, stored per batch (a replayed batch starts
-    from the same predecessor); then join names, keep the best ``k`` by name and
-    overwrite the small serving table."""
-
-    def __init__(self, products: Callable[[SparkSession], DataFrame], out: str, k: int = 10,
-                 product_key: str = "ProductID", name: str = "Name"):
-        self.products, self.out, self.k = products, out, k
-        self.product_key, self.name = product_key, name
-
-    def __call__(self, deltas: DataFrame, batch_id: int) -> None:
-        from cdc_lake.streaming.versions import VersionedTable
-
-        spark = deltas.sparkSession
-        store = VersionedTable(spark, self.out.rstrip("/").rpartition("/")[0] or "/",
-                               self.out.rstrip("/").rpartition("/")[2] + "_totals")
-        before = [v for v in store.versions() if v < batch_id]
-        totals = deltas.select("product", "delta")
-        if before:
-            totals = totals.unionByName(store.read(before[-1]).select("product", F.col("quantity").alias("delta")))
-        store.write(totals.groupBy("product").agg(F.sum("delta").cast("long").alias("quantity"))
-                    .where("quantity <> 0"), batch_id)
-        store.drop(before[:-1])
-        p = self.products(spark).select(F.col(self.product_key).cast("long").alias("product"),
-                                        F.col(self.name).alias("name"))
-        top = (store.read(batch_id).join(p, "product").where(F.col("name").isNotNull())
-               .groupBy("name").agg(F.sum("quantity").cast("long").alias("quantity"))
-               .orderBy(F.col("quantity").desc(), F.col("name").asc()).limit(self.k))
-        top.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(self.out)
-
-
 def start_top_products(items_source: DataFrame, spec: TableSpec, writer: TopKWriter,
                        checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     if not checkpoint:

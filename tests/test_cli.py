@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cdc_lake import cli
 from cdc_lake.streaming.pipeline import MESSAGE_SCHEMA
+from cdc_lake.streaming.topk import RankedTotals
 
 NS = 1_700_000_000_000_000_000
 
@@ -77,9 +78,12 @@ def test_cli_end_to_end(spark, scratch, capsys):
 
     cli.main(["serve", "--lake", lake, "--source-dir", os.path.join(src, "orderitems"),
               "--checkpoint", os.path.join(scratch, "serve_ckpt"), "--available-now"], spark=spark)
-    served = [(r.name, r.quantity) for r in spark.read.parquet(os.path.join(lake, "top_products"))
+    served = [(r.name, r.quantity) for r in RankedTotals(spark, os.path.join(lake, "top_products")).served()
               .orderBy(F.desc("quantity"), "name").collect()]
     assert served == top
+    capsys.readouterr()
+    assert cli.main(["top-products", "--lake", lake, "--served"], spark=spark) == 0
+    assert "pen" in capsys.readouterr().out
 
     cli.main(["compact", "--lake", lake], spark=spark)
     assert "Customers: compacted up to batch 0" in capsys.readouterr().out

@@ -17,6 +17,7 @@ from cdc_lake.sources.lake import LakeTable, table_path
 from cdc_lake.sources.tables import Tables
 from cdc_lake.streaming import pipeline as pl
 from cdc_lake.streaming.changelog import ChangeLog, CheckpointError
+from cdc_lake.streaming.topk import RankedTotals
 
 pytestmark = pytest.mark.skipif(not os.path.exists(SF_SMALL), reason="driver fixtures missing")
 
@@ -216,7 +217,8 @@ def test_top_products_stream_equals_batch(spark, scratch):
                               trigger={"availableNow": True})
     q.awaitTermination(300)
     assert q.exception() is None
-    streamed = [(r.name, r.quantity) for r in spark.read.parquet(out).orderBy(F.desc("quantity"), "name").collect()]
+    assert RankedTotals(spark, out).latest()[1]["stream"] == str(q.id)
+    streamed = [(r.name, r.quantity) for r in RankedTotals(spark, out).served().orderBy(F.desc("quantity"), "name").collect()]
 
     # Batch: current state of the items, then the dashboard query.
     parsed = env.parse_messages(allm, item)
