@@ -2,10 +2,11 @@
 
 A record is written under another name and renamed to its own without
 overwriting (``FileContext.rename`` with ``NONE``): readers see the whole record
-or none, and of two writers of one name the first wins.  HDFS and local file
-systems rename atomically; on an object store the rename is a copy of one
-small object, whole as well, and the single writer per stream that Spark's
-checkpoint enforces makes the existence check safe.
+or none, and of two writers of one name the first wins.  HDFS checks and renames
+in one step.  A local file system does not, so there the record gets its name by
+a hard link, which fails when the name is taken.  On an object store the rename
+is a copy of one small object, whole as well, and the single writer per stream
+that Spark's checkpoint enforces makes the existence check safe.
 """
 
 from __future__ import annotations
@@ -52,11 +53,16 @@ class RecordFolder:
             out.write(bytearray(json.dumps(record).encode()))
         finally:
             out.close()
-        rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-        how = self.spark.sparkContext._gateway.new_array(rename, 1)
-        how[0] = rename.NONE
         try:
-            jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(part, final, how)
+            if fs.getUri().getScheme() == "file":
+                name, own = (jvm.java.io.File(p.toUri().getPath()).toPath() for p in (final, part))
+                jvm.java.nio.file.Files.createLink(name, own)
+                fs.delete(part, False)
+            else:
+                rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+                how = self.spark.sparkContext._gateway.new_array(rename, 1)
+                how[0] = rename.NONE
+                jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(part, final, how)
         except Py4JJavaError as e:
             fs.delete(part, False)
             if e.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
