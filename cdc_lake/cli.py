@@ -74,7 +74,8 @@ def top_products_table(spark: SparkSession, lake: str, k: int = 10) -> DataFrame
 
 
 def compact_table(spark: SparkSession, lake: str, table: str, purge_before: int | None = None) -> int | None:
-    """Bring both snapshots of a table up to its newest batch; returns that batch, None without data."""
+    """Bring both snapshots of a table up to its newest batch and pack its small batches; returns that batch, None
+    without data."""
     log = change_log(spark, lake, table)
     if not log.exists():
         return None
@@ -83,6 +84,7 @@ def compact_table(spark: SparkSession, lake: str, table: str, purge_before: int
     compact_log(spark, log, SnapshotStore(spark, lake, table), key, cols, upto, purge_before)
     compact_history(spark, log, SnapshotStore(spark, lake, f"{table}_history"), key, cols, upto)
     for t in (log, DeadLetters(spark, lake, table)):
+        t.pack()
         t.vacuum()
     return upto
 

@@ -23,12 +23,24 @@ a snapshot is the newest stream's alone as soon as one snapshot covers the
 older ones.  From the moment a stream is registered the older ones are closed:
 their next batch is refused, so batch ids grow with time.
 
+*Packs.*  Small batches make small files.  :meth:`CommittedTable.pack` writes runs
+of successive closed batches into one file each, up to ``PACK_ROWS`` rows, and puts
+one record ``<table>_<kind>_packs/N`` that lists every bin with its range of
+batches: readers then open the bins that overlap the batches they ask for.  A
+batch of half that size or more stays where it is and is only listed.  A small bin
+is packed again once the batches behind it weigh half as much, so a row is
+rewritten a logarithmic number of times.  The folders that a pack replaces are
+removed by the next pack, so that a reader that planned before it can finish; the
+commit records stay, as a replay asks for them.  One pack of a table runs at a time.
+
 Starting a new checkpoint on a log that has data must be asked for
 (``rejoin=True``): it reads the topic again from its start.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +49,8 @@ from cdc_lake.sources.lake import LakeTable, table_path
 from cdc_lake.sources.records import RecordFolder
 
 PLACE = ("topic", "partition", "seq")
+#: Rows of a packed file, about.
+PACK_ROWS = 2_000_000
 STREAMS = T.StructType([T.StructField("number", T.IntegerType()), T.StructField("checkpoint", T.StringType()),
                         T.StructField("first_batch", T.LongType())])
 
@@ -53,6 +67,7 @@ class CommittedTable(LakeTable):
         self.kind = kind
         self.commits = RecordFolder(spark, table_path(root, f"{table}_commits"))
         self.streams = LakeTable(spark, root, f"{table}_streams")
+        self.packs = RecordFolder(spark, table_path(root, f"{table}_{kind}_packs"))
 
     def registered(self) -> list[tuple[int, str, int]]:
         """(number, checkpoint, first batch) of every stream, oldest first: one short row per start."""
@@ -63,17 +78,37 @@ class CommittedTable(LakeTable):
         return self.commits.read([n for n in self.commits.numbers()
                                   if (after is None or n > after) and (upto is None or n <= upto)])
 
+    def packed(self) -> tuple[int | None, list[dict]]:
+        """The newest batch that is packed and the bins (path, first, last, rows), oldest first."""
+        numbers = self.packs.numbers()
+        record = self.packs.get(numbers[-1]) if numbers else None
+        return (None, []) if record is None else (record["upto"], record["bins"])
+
     def committed_upto(self) -> int | None:
         """The newest committed batch; every batch that is ever committed later has a larger id."""
         numbers = self.commits.numbers()
         return numbers[-1] if numbers else None
 
+    def _parts(self, after: int | None, upto: int | None) -> tuple[list[dict], list[tuple[int, dict]]]:
+        """The bins that overlap ``(after, upto]`` and its committed batches behind the packed ones."""
+        packed, bins = self.packed()
+        last = after if packed is None or (after is not None and after > packed) else packed
+        return ([b for b in bins if (after is None or b["last"] > after) and (upto is None or b["first"] <= upto)],
+                self.committed(last, upto))
+
+    def rows_in(self, after: int | None = None, upto: int | None = None) -> int:
+        """Rows of the batches in ``(after, upto]`` as their commits count them; a bin counts whole."""
+        bins, batches = self._parts(after, upto)
+        return sum(b["rows"] for b in bins) + sum(r["rows"][self.kind] for _, r in batches)
+
     def attempt_path(self, batch: int, attempt: str) -> str:
         return f"{self.path}/batch_id={batch}/attempt={attempt}"
 
     def paths(self, after: int | None = None, upto: int | None = None) -> list[str]:
-        """Folders of the committed batches in ``(after, upto]`` that hold rows of this table."""
-        return [self.attempt_path(n, r["attempt"]) for n, r in self.committed(after, upto) if r["rows"][self.kind]]
+        """Folders that hold this table's rows of the committed batches in ``(after, upto]``."""
+        bins, batches = self._parts(after, upto)
+        return [b["path"] for b in bins] + [
+            self.attempt_path(n, r["attempt"]) for n, r in batches if r["rows"][self.kind]]
 
     def exists(self) -> bool:
         """True when a committed batch holds rows (a Delta table: when it is there)."""
@@ -84,11 +119,17 @@ class CommittedTable(LakeTable):
         if self.fmt == "delta":
             df = super().read() if super().exists() else None
         else:
+            df = None
             paths = self.paths(after, upto)
-            r = self.spark.read.option("basePath", self.path)
-            if schema is not None:
-                r = r.schema(T.StructType([*schema.fields, T.StructField("attempt", T.StringType())]))
-            df = r.parquet(*paths).drop("attempt") if paths else None
+            for in_bins in (True, False):  # the batch is a column of the files in bins
+                own = [p for p in paths if p.startswith(f"{self.path}_bins/") == in_bins]
+                r = self.spark.read if in_bins else self.spark.read.option("basePath", self.path)
+                if schema is not None:
+                    r = r.schema(T.StructType([*schema.fields, T.StructField("attempt", T.StringType())]))
+                part = r.parquet(*own).drop("attempt") if own else None
+                if part is not None:
+                    part = part.withColumn("batch_id", F.col("batch_id").cast("long")) if schema is None else part
+                    df = part if df is None else df.unionByName(part)
         if df is not None and after is not None:
             df = df.where(F.col("batch_id") > after)
         if df is not None and upto is not None:
@@ -120,6 +161,63 @@ class CommittedTable(LakeTable):
                     gone.append(a.getPath().toString())
         return gone
 
+    def pack(self, rows: int = PACK_ROWS, least: int = 16) -> list[dict]:
+        """Pack the closed batches (all committed ones but the newest) when there are ``least`` of them that are not
+        packed yet; returns the new bins."""
+        upto, bins = self.packed()
+        closed = self.committed(upto)[:-1]
+        if self.fmt == "delta" or len(closed) < least:
+            return []
+        own = [{"path": self.attempt_path(n, r["attempt"]), "first": n, "last": n, "rows": r["rows"][self.kind]}
+               for n, r in closed if r["rows"][self.kind]]
+        # Small bins at the end are packed again when what follows weighs half as much.
+        weight = sum(b["rows"] for b in own)
+        keep = list(bins)
+        while keep and keep[-1]["rows"] < rows // 2 and keep[-1]["rows"] <= 2 * weight:
+            weight += keep[-1]["rows"]
+            own.insert(0, keep.pop())
+        groups, have = [], 0
+        for b in own:  # successive batches to one file, so that its range stays narrow
+            if not groups or have + b["rows"] > rows or b["rows"] >= rows // 2:
+                groups.append([])
+                have = 0
+            groups[-1].append(b)
+            have += rows if b["rows"] >= rows // 2 else b["rows"]
+        path = f"{self.path}_bins/{uuid.uuid4().hex}"
+        made = [g[0] if len(g) == 1 else {"path": f"{path}/bin={k}", "first": g[0]["first"], "last": g[-1]["last"],
+                                          "rows": sum(b["rows"] for b in g)} for k, g in enumerate(groups)]
+        moved = [(k, g[0]["first"], g[-1]["last"]) for k, g in enumerate(groups) if len(g) > 1]
+        if moved:
+            # A schema that the caller knows is that of the log; dead letters have one of their own.
+            df = self._files(moved[0][1] - 1, moved[-1][2], getattr(self, "schema", None))
+            spans = self.spark.createDataFrame(moved, "bin int, first long, last long").select(
+                "bin", F.explode(F.sequence("first", "last")).alias("batch_id"))
+            (df.join(spans, "batch_id").select("bin", *df.columns).repartition("bin").sortWithinPartitions("bin", "batch_id")
+             .write.partitionBy("bin").parquet(path))
+        numbers = self.packs.numbers()
+        number = numbers[-1] + 1 if numbers else 0
+        record = {"upto": closed[-1][0], "bins": keep + made,
+                  "replaced": [b["path"] for g in groups if len(g) > 1 for b in g]}
+        if not self.packs.put(number, record):
+            raise RuntimeError(f"another run packed {self.path}")
+        self._retire(numbers)
+        return [b for b in made if b["path"].startswith(path)]
+
+    def _retire(self, numbers: list[int]) -> None:
+        """Delete what the packs before the newest one replaced, their records, and bins that no record names (of a
+        pack that failed)."""
+        path, fs = self._fs()
+        for _, r in self.packs.read(numbers):
+            for gone in r["replaced"]:
+                fs.delete(path(gone), True)
+        self.packs.drop(numbers)
+        (_, newest), = self.packs.read(self.packs.numbers())
+        root = f"{self.path}_bins"
+        named = {p.split("/")[-2] for p in [*[b["path"] for b in newest["bins"]], *newest["replaced"]] if p.startswith(f"{root}/")}
+        for st in fs.listStatus(path(root)) if fs.exists(path(root)) else []:
+            if st.getPath().getName() not in named:
+                fs.delete(st.getPath(), True)
+
 
 class DeadLetters(CommittedTable):
     """Handle on ``<lake>/<table>_dead_letter``: rejected messages with their reason."""

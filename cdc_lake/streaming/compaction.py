@@ -237,8 +237,8 @@ def _both(*frames: DataFrame | None) -> DataFrame | None:
 
 
 def _tail_rows(log: ChangeLog, after: int | None, upto: int) -> int:
-    """Rows of the batches, as their commits count them."""
-    return sum(r["rows"]["log"] for _, r in log.committed(after, upto))
+    """Rows of the batches, as their commits count them (bins that overlap them count whole)."""
+    return log.rows_in(after, upto)
 
 
 # ------------------------------------------------------------------ SCD1

@@ -158,9 +158,8 @@ class Batches:
             df = df.where(cond)
         return df
 
-    def committed(self, after=None, upto=None):
-        return [(b, {"rows": {"log": n}}) for b, n in sorted(self.n.items())
-                if (after is None or b > after) and (upto is None or b <= upto)]
+    def rows_in(self, after=None, upto=None):
+        return sum(n for b, n in self.n.items() if (after is None or b > after) and (upto is None or b <= upto))
 
 
 @pytest.fixture(scope="module")
@@ -292,3 +291,72 @@ def test_index_has_no_false_negatives(spark, scratch):
         assert home.f in [r.file for r in keyindex.may_hold(index, value).collect()]
     absent = sum(keyindex.may_hold(index, v).count() for v in range(1, 120_000, 3001) if v % 3)
     assert absent <= 8                                       # of about 110 file tests
+
+
+def written_batches(spark, lake, first, n, rows=1):
+    """``n`` committed batches of ``rows`` changes each, as the sink lays them out, and one that is not committed."""
+    log = ChangeLog(spark, lake, SPEC.name, SPEC.log_schema)
+    df = spark.range(first * rows, (first + n + 1) * rows).select(
+        (F.col("id") % 7).cast("int").alias("CustomerID"), F.col("id").alias("seq"), F.col("id").alias("ts_ms"),
+        F.lit("u").alias("op"), F.concat(F.lit("n"), "id").alias("Name"), F.lit("customers").alias("topic"),
+        F.lit(0).alias("partition"), F.floor(F.col("id") / rows).alias("batch_id")).withColumn(
+        "attempt", F.when(F.col("batch_id") < first + n, "a").otherwise("b"))
+    df.coalesce(1).write.mode("append").partitionBy("batch_id", "attempt").parquet(log.path)
+    for b in range(first, first + n):
+        log.commits.put(b, {"attempt": "a", "rows": {"log": rows, "dead_letter": 0}, "ops": {}, "checkpoint": None})
+    return log
+
+
+def rows_of(df):
+    return sorted((r.seq, r.CustomerID, r.Name, r.batch_id) for r in df.collect())
+
+
+def test_small_batches_are_packed(spark, scratch):
+    log = written_batches(spark, scratch, 0, 120)
+    want = rows_of(log.rows())
+    assert len(want) == 120 and len(log.paths()) == 120
+    before = log.rows()                                        # a reader that planned before the pack
+    made = log.pack(rows=50, least=16)
+    assert [(b["first"], b["last"], b["rows"]) for b in made] == [(0, 49, 50), (50, 99, 50), (100, 118, 19)]
+    assert rows_of(log.rows()) == want and rows_of(before) == want
+    assert len(log.paths()) == 4                               # three bins and the newest batch
+    # Only bins that overlap the batches asked for are opened; the tail opens none.
+    assert len(log.paths(after=99)) == 2 and len(log.paths(after=118)) == 1 and len(log.paths(after=49, upto=60)) == 1
+    assert rows_of(log.rows(after=70, upto=110)) == want[71:111]
+    assert log.rows_in(after=118) == 1 and log.rows_in() == 120
+    assert log.pack(rows=50, least=16) == [] and log.replayed(3, None)["attempt"] == "a"
+    # Later batches: the small bin is packed again with them, full ones are left; what the first pack replaced goes.
+    written_batches(spark, scratch, 120, 40)
+    held = log.rows()
+    again = log.pack(rows=50, least=16)
+    assert [(b["first"], b["last"]) for b in again] == [(100, 149), (150, 158)]
+    assert [b["path"] for b in log.packed()[1]][:2] == [b["path"] for b in made[:2]]
+    assert not os.path.exists(log.attempt_path(7, "a")) and os.path.exists(made[2]["path"])
+    assert len(rows_of(held)) == 160 and rows_of(log.rows()) == rows_of(held)
+    files = [f for b in log.packed()[1] for f in os.listdir(b["path"]) if f.endswith(".parquet")]
+    assert len(files) == 4                                     # one file per bin
+
+
+def test_large_batches_stay_and_a_failed_pack_changes_nothing(spark, scratch, monkeypatch):
+    log = written_batches(spark, scratch, 0, 4, rows=40)
+    with monkeypatch.context() as m:
+        m.setattr(RecordFolder, "put", lambda *a: (_ for _ in ()).throw(Stop()))
+        with pytest.raises(Stop):
+            log.pack(rows=1000, least=2)
+    assert len(log.paths()) == 4 and log.packed() == (None, [])
+    want = rows_of(log.rows())
+    assert log.pack(rows=60, least=2) == []                    # 40 rows are more than half a file
+    assert [b["path"] for b in log.packed()[1]] == [log.attempt_path(n, "a") for n in range(3)]
+    assert rows_of(log.rows()) == want
+    assert not os.path.exists(f"{log.path}_bins") or os.listdir(f"{log.path}_bins") == []
+
+
+def test_compaction_packs_and_views_hold(spark, scratch):
+    log = written_batches(spark, scratch, 0, 30)
+    want = sorted((r.CustomerID, r.seq) for r in cli.current_table(spark, scratch, SPEC.name).collect())
+    assert cli.compact_table(spark, scratch, SPEC.name) == 29
+    assert log.packed()[0] == 28 and len(log.paths()) == 2
+    assert state(spark, scratch) == want
+    written_batches(spark, scratch, 30, 3)
+    assert state(spark, scratch) == sorted((k, max(i for i in range(33) if i % 7 == k)) for k in range(7))
+    assert cli.history_table(spark, scratch, SPEC.name, 3).count() == len([i for i in range(33) if i % 7 == 3])
