@@ -46,13 +46,16 @@ def build_session(master: str | None = None, cpus: int | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder of the cluster; a scratch folder only when unset."""
+    """Shared checkpoint folder of the cluster (``spark.checkpoint.dir``).  Where it is unset, a local master gets a
+    scratch folder; a cluster, whose machines would not share one, is refused."""
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
     if cur:
         return cur
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="cdc_lake_ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)

@@ -116,3 +116,23 @@ def test_history_of_filters_first(spark):
     assert [tuple(r) for r in one.collect()] == [tuple(r) for r in full.collect()]
     with pytest.raises(ValueError):
         changes.history_of(log, "user_id", "seven", ["v"])
+
+
+@pytest.mark.parametrize("master, refused", [("spark://host:7077", True), ("local-cluster[2,1,1024]", True), ("yarn", True),
+                                             ("local[4]", False), ("local", False)])
+def test_a_cluster_needs_a_shared_checkpoint_folder(master, refused):
+    from types import SimpleNamespace
+
+    from cdc_lake.session import checkpoint_dir
+
+    conf, used = {}, []
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=used.append)
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=conf.get, set=conf.__setitem__))
+    if refused:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_dir(session)
+        assert not used and not conf
+        conf["spark.checkpoint.dir"] = "/shared/ckpt"
+        assert checkpoint_dir(session) == "/shared/ckpt" and used == ["/shared/ckpt"]
+    else:
+        assert checkpoint_dir(session) == used[0]
