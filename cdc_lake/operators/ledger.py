@@ -17,6 +17,13 @@ change all later rows of its product.  The kept form stores two things instead:
 The sum sold before a bucket is, per level, the total of the elder siblings of its
 ancestor: at most ``BRANCH`` nodes on each of ``LEVELS`` levels, however long the
 history is.
+
+**What moves.**  The rows are laid out by (product, bucket), the tree by product (a
+product's nodes are bounded by the weeks of its history, its sales are combined
+map-side first).  Every step on them keeps that layout: the steps are windows,
+groupings and unions of equally laid out tables, and the only join of the rows is by
+product and bucket.  From the sales to the view each sale's row is shuffled once, its
+week's total twice and the sum before its week once.
 """
 
 from __future__ import annotations
@@ -61,6 +68,7 @@ BRANCH = 16     # children of a tree node
 LEVELS = 4
 NO_DATE = -(1 << 40)    # bucket of sales without a date: before all others, as null dates sort first
 
+NODE = ("p_partkey", "level", "node")
 MOVE = ("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_extendedprice", "qty")
 
 
@@ -81,12 +89,25 @@ def ledger_rows(sales: DataFrame) -> DataFrame:
 
 
 def ledger_tree(sales: DataFrame) -> DataFrame:
-    """(p_partkey, level, node, sold): the totals of a table of sales on every level, one shuffle, combined map-side."""
+    """(p_partkey, level, node, sold): the totals of a table of sales on every level.
+
+    The buckets' totals are combined map-side; a product's (as many as its weeks) then meet in one task, where its nodes
+    of all levels are summed without another shuffle."""
     per = sales.groupBy("p_partkey", time_bucket().alias("_b")).agg(F.sum("qty").cast("long").alias("sold"))
     nodes = F.array(*[F.struct(F.lit(level).alias("level"), F.floor(F.col("_b") / BRANCH ** level).cast("long").alias("node"))
                       for level in range(LEVELS)])
-    return per.select("p_partkey", "sold", F.inline(nodes)).groupBy("p_partkey", "level", "node").agg(
-        F.sum("sold").cast("long").alias("sold")).select("p_partkey", "level", "node", "sold")
+    return per.repartition("p_partkey").select("p_partkey", "sold", F.inline(nodes)).groupBy(
+        "p_partkey", "level", "node").agg(F.sum("sold").cast("long").alias("sold")).select(*NODE, "sold")
+
+
+def _nodes_met(tree: DataFrame, new: DataFrame) -> DataFrame:
+    """Per node of either table: ``_old`` its total in ``tree``, ``_new`` that in ``new``, ``_hit`` whether ``new`` has it.
+
+    A grouping of the union, not a join: tables laid out by product meet where they are."""
+    none = F.lit(None).cast("long")
+    both = tree.select(*NODE, F.col("sold").alias("_old"), none.alias("_new"), F.lit(False).alias("_hit")).unionByName(
+        new.select(*NODE, none.alias("_old"), F.col("sold").alias("_new"), F.lit(True).alias("_hit")))
+    return both.groupBy(*NODE).agg(*[F.max(c).alias(c) for c in ("_old", "_new", "_hit")])
 
 
 def ledger_add(rows: DataFrame, tree: DataFrame, late: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -99,45 +120,58 @@ def ledger_add(rows: DataFrame, tree: DataFrame, late: DataFrame) -> tuple[DataF
     moves = late.select("p_partkey", *MOVE, time_bucket().alias("bucket"))
     weeks = sorted(r.bucket for r in moves.select("bucket").distinct().collect())
     hit = F.col("bucket").isin(weeks) if weeks else F.lit(False)
-    pairs = moves.select("p_partkey", "bucket").distinct()
     own = rows.where(hit)
-    redo = own.join(pairs, ["p_partkey", "bucket"], "left_semi").select("p_partkey", *MOVE, "bucket").unionByName(moves)
-    changed = own.join(pairs, ["p_partkey", "bucket"], "left_anti").unionByName(
-        _sold_in_bucket(redo).select(*own.columns))
-    more = ledger_tree(late)
-    nodes = ["p_partkey", "level", "node"]
-    new = more.join(tree.withColumnRenamed("sold", "_old"), nodes, "left").select(
-        *nodes, (F.col("sold") + F.coalesce("_old", F.lit(0).cast("long"))).alias("sold"))
+    # Kept and late rows of a (product, bucket) meet in one window; with kept rows laid out so, only the late ones move.
+    met = own.withColumn("_late", F.lit(False)).unionByName(
+        moves.repartition("p_partkey", "bucket").withColumn("_late", F.lit(True)), allowMissingColumns=True)
+    pair = Window.partitionBy("p_partkey", "bucket").orderBy(*_ledger_order())
+    touched = F.max("_late").over(pair.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    again = F.sum("qty").over(pair.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("long")
+    changed = met.withColumn("sold_in_bucket", F.when(touched, again).otherwise(F.col("sold_in_bucket"))).select(
+        *own.columns)
+    new = _nodes_met(tree, ledger_tree(late)).where("_hit").select(
+        *NODE, (F.col("_new") + F.coalesce("_old", F.lit(0).cast("long"))).alias("sold"))
     return changed, rows.where(~hit), new
 
 
 def tree_with(tree: DataFrame, new: DataFrame) -> DataFrame:
     """The whole tree after the changed nodes ``new``."""
-    nodes = ["p_partkey", "level", "node"]
-    return tree.join(new.select(*nodes), nodes, "left_anti").unionByName(new)
+    return _nodes_met(tree, new).select(*NODE, F.when(F.col("_hit"), F.col("_new")).otherwise(F.col("_old")).alias("sold"))
 
 
 def sold_before(tree: DataFrame) -> DataFrame:
-    """(p_partkey, bucket, sold_before): the sum sold before every bucket, from the elder siblings on every level."""
-    top = F.col("level") == LEVELS - 1
+    """(p_partkey, bucket, sold_before): the sum sold before every bucket, from the elder siblings on every level.
+
+    One pass over a product's nodes in the order of the tree: a node comes after all that ends before it and before its
+    children.  The elder siblings of a node are the nodes of its level between its parent and itself.
+    """
+    level, node = F.col("level"), F.col("node")
+    span = F.element_at(F.array(*[F.lit(BRANCH ** n).cast("long") for n in range(LEVELS)]), level + 1)
+    w = Window.partitionBy("p_partkey").orderBy("_start", F.desc("level"))
+    past, here = (w.rowsBetween(Window.unboundedPreceding, end) for end in (-1, Window.currentRow))
+
+    def at(n: int, sums: str) -> Column:
+        """A column's value at the ancestor on level ``n`` (the row itself on its own level)."""
+        return F.last(F.when(level == n, F.col(sums)), ignorenulls=True).over(here)
+
+    x = tree.withColumn("_start", node * span)
+    x = x.select("*", *[F.coalesce(F.sum(F.when(level == n, F.col("sold"))).over(past), F.lit(0)).cast("long").alias(f"_sum{n}")
+                        for n in range(LEVELS)])
     # The nodes of the top level are siblings of each other.
-    parent = F.when(top, F.lit(0).cast("long")).otherwise(F.floor(F.col("node") / BRANCH).cast("long"))
-    w = Window.partitionBy("p_partkey", "level", parent).orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
-    elder = tree.select("p_partkey", "level", "node", F.coalesce(F.sum("sold").over(w), F.lit(0)).cast("long").alias("_elder"))
-    b = F.col("bucket")
-    anc = F.array(*[F.struct(F.lit(level).alias("level"), F.floor(b / BRANCH ** level).cast("long").alias("node"))
-                    for level in range(LEVELS)])
-    own = tree.where("level = 0").select("p_partkey", F.col("node").alias("bucket"))
-    return own.select("p_partkey", "bucket", F.inline(anc)).join(elder, ["p_partkey", "level", "node"]).groupBy(
-        "p_partkey", "bucket").agg(F.sum("_elder").cast("long").alias("sold_before"))
+    before = at(LEVELS - 1, f"_sum{LEVELS - 1}")
+    for n in range(LEVELS - 1):
+        before = before + at(n, f"_sum{n}") - at(n + 1, f"_sum{n}")
+    return x.select("p_partkey", "level", "node", before.alias("sold_before")).where("level = 0").select(
+        "p_partkey", F.col("node").alias("bucket"), "sold_before")
 
 
 def ledger_view(rows: DataFrame, tree: DataFrame, stock: DataFrame) -> DataFrame:
-    """The ledger as :func:`stock_ledger` gives it, from the kept rows and tree."""
-    before = sold_before(tree).withColumnsRenamed({"p_partkey": "_p", "bucket": "_b"})
-    x = rows.join(before, F.col("p_partkey").eqNullSafe(F.col("_p")) & (F.col("bucket") == F.col("_b")))
+    """The ledger as :func:`stock_ledger` gives it, from the kept rows and tree; sales without a product are left out.
+
+    The stock is joined to the sums before the buckets, which are by product as it is, not to the rows."""
+    before = sold_before(tree).join(stock.select("p_partkey", "qty_in_stock"), "p_partkey", "left")
+    x = rows.join(before, ["p_partkey", "bucket"])
     x = x.withColumn("sold_to_date", F.col("sold_before") + F.col("sold_in_bucket"))
-    x = x.join(stock.select("p_partkey", "qty_in_stock"), "p_partkey", "left")
     bal = F.col("qty_in_stock") - F.col("sold_to_date")
     return x.select("p_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "qty",
                     "qty_in_stock", "sold_to_date", bal.alias("balance"), (bal < 0).alias("oversold"))

@@ -134,3 +134,31 @@ def test_kept_ledger_of_empty_tables(spark):
     changed, kept, nodes = ledger.ledger_add(rows, tree, none)
     assert changed.count() == kept.count() == nodes.count() == ledger.ledger_view(rows, tree, stock).count() == 0
     assert tuple(ledger.balance_at(rows, tree, stock, 1, dt.date(2000, 1, 1)).first()) == (1, 5, 0, 5)
+
+
+def test_kept_ledger_moves_each_sale_once(spark):
+    """From the sales to the view: the kept rows (those of changing weeks and the others) and the late rows are shuffled
+    once each, never again after they met; the trees and the sums before the weeks move without the rows."""
+    rng = random.Random(4)
+    sales = some_sales(rng, 300, 0)
+    sales += [(2, 500, 1, 5, dt.date(1996, 1, 1), 10.0, -3)] * 2 + [(9, 501, 1, 5, dt.date(1996, 1, 1), 10.0, 4)]
+    a = spark.createDataFrame(sales, SALES)
+    b = spark.createDataFrame(some_sales(rng, 60, 1000) + sales[-1:], SALES)
+    stock = spark.createDataFrame([(k, 50) for k in range(1, 8)] + [(3, 60)], "p_partkey long, qty_in_stock int")
+    was = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    for adaptive in ("false", "true"):
+        try:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+            changed, kept, nodes = ledger.ledger_add(ledger.ledger_rows(a), ledger.ledger_tree(a), b)
+            view = ledger.ledger_view(kept.unionByName(changed), ledger.tree_with(ledger.ledger_tree(a), nodes), stock)
+            plan = view._jdf.queryExecution().executedPlan().toString()
+            assert ledger_of(view) == ledger_of(ledger.stock_ledger(a.unionByName(b), stock))
+        finally:
+            for k, v in was.items():
+                spark.conf.set(k, v)
+        by = [re.sub(r"#\d+L?", "", m) for m in re.findall(r" Exchange hashpartitioning\((.*), \d+\)", plan)]
+        # Kept rows twice (weeks that change, weeks that do not), late rows, sums before the weeks.
+        assert by.count("p_partkey, bucket") == 4, by
+        # The old tree (read twice) and that of the late sales, each after its weeks' totals, and the stock.
+        assert by.count("p_partkey") <= 4 and len(by) <= 11, by
